@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lakemart.plans.oracle_sources import with_steps
+from lakemart.plans.oracle_sources import STEPS, with_steps
 
 ORACLES: dict[str, str] = {}
 
@@ -178,5 +178,321 @@ ORACLES["hourly_client_spend"] = """
     FROM raw_transactions GROUP BY 1, 2"""
 
 
+# --- seller, delivery, payment, state, customer -----------------------------------------
+
+
+def _mean(expr: str) -> str:
+    return f"CAST(SUM({expr}) AS DOUBLE) / NULLIF(COUNT({expr}), 0)"
+
+
+STEPS["seller_orders"] = """
+    SELECT b.seller_id, b.order_id, ANY_VALUE(purchase_year_month) AS purchase_year_month,
+           ANY_VALUE(customer_id) AS customer_id, ANY_VALUE(review_score) AS score,
+           ANY_VALUE(is_late_delivery) AS late, ANY_VALUE(is_cancelled) AS cancelled, COUNT(*) AS n, SUM(price) AS gross
+    FROM base b GROUP BY 1, 2"""
+STEPS["seller_months"] = f"""
+    SELECT seller_id, purchase_year_month, COUNT(*) AS orders_received, CAST(SUM(n) AS BIGINT) AS items_sold,
+           SUM(gross) AS exact_gross, CAST(SUM(gross) AS DOUBLE) / SUM(n) AS avg_item_price,
+           {_mean('score')} AS avg_review_score, COUNT(*) FILTER (late) AS late_orders,
+           COUNT(*) FILTER (cancelled) AS cancelled_orders,
+           CAST(COUNT(*) FILTER (late) AS DOUBLE) / COUNT(*) AS late_delivery_rate,
+           CAST(COUNT(*) FILTER (cancelled) AS DOUBLE) / COUNT(*) AS cancellation_rate,
+           COUNT(DISTINCT customer_id) AS unique_customers
+    FROM seller_orders GROUP BY 1, 2"""
+STEPS["seller_scores"] = """
+    SELECT seller_id, purchase_year_month, revenue_score, review_score, delivery_score, cancellation_score,
+           revenue_score * 0.4e0 + review_score * 0.3e0 + delivery_score * 0.2e0 + cancellation_score * 0.1e0
+               AS seller_score
+    FROM (SELECT seller_id, purchase_year_month,
+                 PERCENT_RANK() OVER (PARTITION BY purchase_year_month ORDER BY exact_gross) AS revenue_score,
+                 PERCENT_RANK() OVER (PARTITION BY purchase_year_month ORDER BY COALESCE(avg_review_score, 0))
+                     AS review_score,
+                 PERCENT_RANK() OVER (PARTITION BY purchase_year_month ORDER BY late_delivery_rate DESC)
+                     AS delivery_score,
+                 PERCENT_RANK() OVER (PARTITION BY purchase_year_month ORDER BY cancellation_rate DESC)
+                     AS cancellation_score
+          FROM seller_months)"""
+
+ORACLES["agg_seller_performance"] = """
+    SELECT m.seller_id, m.purchase_year_month, orders_received, items_sold,
+           CAST(exact_gross AS DOUBLE) AS gross_merchandise_value, avg_item_price, avg_review_score, late_delivery_rate,
+           cancellation_rate, unique_customers, p.active_products
+    FROM seller_months m JOIN (SELECT seller_id, purchase_year_month, COUNT(DISTINCT product_id) AS active_products
+                               FROM base GROUP BY 1, 2) p USING (seller_id, purchase_year_month)"""
+ORACLES["seller_score"] = "SELECT * FROM seller_scores"
+
+
+def _delivery(columns: list[str], source: str, item_keys: list[str]) -> str:
+    keys = ", ".join(columns)
+    known = "COUNT(delay)"
+    return f"""
+    SELECT {keys}, COUNT(*) AS orders, {_mean('days')} AS avg_delivery_days, MEDIAN(days) AS median_delivery_days,
+           {_mean('delay')} AS avg_delay_days,
+           CAST(COUNT(*) FILTER (delay <= 0) AS DOUBLE) / NULLIF({known}, 0) AS on_time_delivery_rate,
+           CAST(COUNT(*) FILTER (delay > 0) AS DOUBLE) / NULLIF({known}, 0) AS late_delivery_rate,
+           CAST(SUM(freight) AS DOUBLE) / SUM(items) AS avg_freight_value
+    FROM (SELECT order_id, {keys}, ANY_VALUE(delivery_duration_days) AS days, ANY_VALUE(delivery_delay_days) AS delay,
+                 SUM(freight_value) AS freight, COUNT(*) AS items
+          FROM {source} GROUP BY order_id, {keys}) GROUP BY {keys}"""
+
+
+_CATEGORIZED = """(SELECT b.*, COALESCE(p.product_category_name_en, 'unknown') AS category
+                   FROM base b LEFT JOIN products p USING (product_id))"""
+ORACLES["agg_delivery_by_date"] = _delivery(["purchase_date"], "base", [])
+ORACLES["agg_delivery_by_state"] = _delivery(["customer_state"], "persons", [])
+ORACLES["agg_delivery_by_seller"] = _delivery(["seller_id"], "base", ["seller_id"])
+ORACLES["agg_delivery_by_category"] = _delivery(["category"], _CATEGORIZED, ["category"])
+ORACLES["agg_delivery_by_month_state"] = _delivery(["purchase_year_month", "customer_state"], "persons", [])
+ORACLES["agg_payment_performance"] = """
+    SELECT *, paid_value / SUM(paid_value) OVER (PARTITION BY purchase_year_month) AS payment_type_share
+    FROM (SELECT purchase_year_month, payment_type, COUNT(*) AS payment_count, SUM(payment_value) AS paid_value,
+                 CAST(SUM(payment_value) AS DOUBLE) / COUNT(*) AS avg_payment_value,
+                 CAST(SUM(payment_installments) AS DOUBLE) / COUNT(*) AS avg_installments,
+                 COUNT(DISTINCT order_id) FILTER (in_order > 1) AS multi_payment_order_count
+          FROM (SELECT *, COUNT(*) OVER (PARTITION BY order_id) AS in_order FROM payments)
+               JOIN orders_clean USING (order_id) GROUP BY 1, 2)"""
+ORACLES["agg_payment_performance"] = ORACLES["agg_payment_performance"].replace(
+    "SELECT *, paid_value / SUM(paid_value) OVER (PARTITION BY purchase_year_month)",
+    "SELECT * REPLACE (CAST(paid_value AS DOUBLE) AS paid_value), CAST(paid_value AS DOUBLE) "
+    "/ CAST(SUM(paid_value) OVER (PARTITION BY purchase_year_month) AS DOUBLE)")
+ORACLES["agg_state_performance"] = f"""
+    SELECT purchase_year_month, customer_state, COUNT(*) AS orders, COUNT(DISTINCT customer_unique_id) AS customers,
+           {_money('total', 'revenue')}, CAST(SUM(total) AS DOUBLE) / COUNT(*) AS avg_order_value,
+           {_mean('days')} AS avg_delivery_days,
+           CAST(COUNT(*) FILTER (is_late_delivery) AS DOUBLE) / COUNT(*) AS late_delivery_rate,
+           {_mean('score')} AS avg_review_score
+    FROM person_orders GROUP BY 1, 2"""
+ORACLES["agg_customer_value"] = f"""
+    SELECT customer_unique_id, COUNT(*) AS orders, {_money('total', 'total_spend')},
+           CAST(SUM(total) AS DOUBLE) / COUNT(*) AS avg_order_value FROM person_orders GROUP BY 1"""
+ORACLES["agg_customer_value_by_state"] = f"""
+    SELECT customer_state, COUNT(*) AS orders, {_money('total', 'total_spend')},
+           CAST(SUM(total) AS DOUBLE) / COUNT(*) AS avg_order_value, COUNT(DISTINCT customer_unique_id) AS customers
+    FROM person_orders GROUP BY 1"""
+ORACLES["agg_person_sales"] = """
+    SELECT purchase_year_month, COUNT(DISTINCT customer_id) AS unique_customers,
+           COUNT(DISTINCT customer_unique_id) AS unique_persons FROM person_orders GROUP BY 1"""
+
+# --- star schema ------------------------------------------------------------------------
+
+ORACLES["dim_date"] = """
+    SELECT CAST(STRFTIME(d, '%Y%m%d') AS INT) AS date_key, CAST(d AS DATE) AS full_date, CAST(DAY(d) AS INT) AS day,
+           DAYNAME(d) AS day_name, CAST(WEEK(d) AS INT) AS week, CAST(MONTH(d) AS INT) AS month,
+           MONTHNAME(d) AS month_name, CAST(QUARTER(d) AS INT) AS quarter, CAST(YEAR(d) AS INT) AS year,
+           STRFTIME(d, '%Y-%m') AS year_month, ISODOW(d) >= 6 AS is_weekend
+    FROM (SELECT UNNEST(GENERATE_SERIES(MIN(purchase_date), MAX(purchase_date), INTERVAL 1 DAY)) AS d FROM orders_clean)"""
+STEPS["latest_place"] = """
+    SELECT customer_unique_id, customer_zip_code_prefix, customer_city, customer_state FROM person_orders
+    QUALIFY ROW_NUMBER() OVER (PARTITION BY customer_unique_id ORDER BY ts DESC, order_id DESC) = 1"""
+ORACLES["dim_customer"] = f"""
+    SELECT MD5(customer_unique_id) AS customer_key, customer_unique_id, customer_zip_code_prefix, customer_city,
+           customer_state, {_region('customer_state')} AS customer_region, first_purchase_date, last_purchase_date,
+           CAST(last_purchase_date - first_purchase_date AS INT) AS customer_tenure_days, total_orders,
+           CASE WHEN (SELECT MAX(purchase_date) FROM orders_clean) - last_purchase_date <= 180 THEN 'active'
+                ELSE 'inactive' END AS customer_status
+    FROM latest_place JOIN (SELECT customer_unique_id, MIN(purchase_date) AS first_purchase_date,
+                                   MAX(purchase_date) AS last_purchase_date, COUNT(*) AS total_orders
+                            FROM person_orders GROUP BY 1) USING (customer_unique_id)"""
+ORACLES["dim_product"] = f"""
+    SELECT MD5(product_id) AS product_key, product_id, product_category_name_pt AS category_name_pt,
+           b.product_category_name_en AS category_name_en, product_weight_g AS weight_g, product_volume_cm3 AS volume_cm3,
+           b.product_weight_band AS weight_band, b.product_size_band AS size_band
+    FROM products JOIN ({ORACLES['product_bands']}) b USING (product_id)"""
+ORACLES["dim_seller"] = f"""
+    SELECT MD5(seller_id) AS seller_key, seller_id, seller_city, seller_state,
+           {_region('seller_state')} AS seller_region FROM sellers"""
+ORACLES["dim_geography"] = f"""
+    SELECT MD5(zip_code_prefix) AS geography_key, zip_code_prefix, city, state, {_region('state')} AS region,
+           latitude, longitude FROM ({_BY_ZIP})"""
+ORACLES["dim_payment_type"] = "SELECT DISTINCT MD5(payment_type) AS payment_type_key, payment_type FROM payments"
+ORACLES["fact_order_items"] = """
+    SELECT b.order_id, b.order_item_id, CAST(STRFTIME(purchase_date, '%Y%m%d') AS INT) AS date_key,
+           MD5(c.customer_unique_id) AS customer_key, MD5(b.product_id) AS product_key, MD5(b.seller_id) AS seller_key,
+           MD5(c.customer_zip_code_prefix) AS customer_geography_key,
+           MD5(s.seller_zip_code_prefix) AS seller_geography_key, order_status, CAST(price AS DOUBLE) AS item_price,
+           CAST(freight_value AS DOUBLE) AS freight_amount, CAST(total_item_amount AS DOUBLE) AS total_item_amount,
+           delivery_duration_days, delivery_delay_days, review_score, is_delivered, is_cancelled, is_late_delivery
+    FROM base b LEFT JOIN customers c USING (customer_id) LEFT JOIN sellers s USING (seller_id)"""
+ORACLES["fact_orders"] = """
+    SELECT o.order_id, CAST(STRFTIME(o.purchase_date, '%Y%m%d') AS INT) AS date_key,
+           MD5(c.customer_unique_id) AS customer_key, o.order_status, COALESCE(t.items, 0) AS item_count,
+           CAST(t.gross AS DOUBLE) AS item_revenue, CAST(t.freight AS DOUBLE) AS freight_revenue,
+           CAST(t.total AS DOUBLE) AS total_order_value, o.delivery_duration_days, o.delivery_delay_days,
+           r.review_score, o.is_delivered, o.is_cancelled, o.is_late_delivery
+    FROM orders_clean o LEFT JOIN order_totals t USING (order_id) LEFT JOIN order_reviews r USING (order_id)
+    LEFT JOIN customers c ON o.customer_id = c.customer_id"""
+ORACLES["fact_payments"] = """
+    SELECT order_id, payment_sequential, CAST(STRFTIME(purchase_date, '%Y%m%d') AS INT) AS date_key,
+           MD5(payment_type) AS payment_type_key, payment_installments, CAST(payment_value AS DOUBLE) AS payment_value
+    FROM payments JOIN orders_clean USING (order_id)"""
+ORACLES["fact_reviews"] = """
+    SELECT review_id, order_id, CAST(STRFTIME(purchase_date, '%Y%m%d') AS INT) AS date_key,
+           CAST(STRFTIME(review_creation_date, '%Y%m%d') AS INT) AS creation_date_key, review_score,
+           review_score_category, has_review_message
+    FROM reviews JOIN orders_clean USING (order_id)"""
+
+# --- customers --------------------------------------------------------------------------
+
+_AS_OF = "(SELECT MAX(purchase_date) FROM orders_clean)"
+STEPS["people"] = f"""
+    SELECT customer_unique_id, MIN(purchase_date) AS first_purchase_date, MAX(purchase_date) AS last_purchase_date,
+           COUNT(*) AS orders_made, SUM(total) AS spend, CAST({_AS_OF} - MAX(purchase_date) AS INT) AS recency_days,
+           CAST('0x' || SUBSTR(MD5(customer_unique_id), 1, 15) AS BIGINT) AS tie
+    FROM person_orders GROUP BY 1"""
+_SEGMENT = """CASE WHEN r >= 4 AND f + m >= 8 THEN 'Champions' WHEN r >= 3 AND f + m >= 7 THEN 'Loyal customers'
+    WHEN r >= 4 AND f <= 1 THEN 'New customers' WHEN r >= 3 THEN 'Potential loyalists'
+    WHEN f + m >= 6 THEN 'At risk' WHEN r = 2 THEN 'Hibernating' ELSE 'Lost customers' END"""
+
+
+def _rfm(score) -> str:
+    return f"""
+    SELECT customer_unique_id, last_purchase_date, recency_days, orders_made AS frequency_orders,
+           CAST(spend AS DOUBLE) AS monetary_value, r AS recency_score, f AS frequency_score, m AS monetary_score,
+           CAST(r AS VARCHAR) || CAST(f AS VARCHAR) || CAST(m AS VARCHAR) AS rfm_score, {_SEGMENT} AS customer_segment
+    FROM (SELECT *, CAST({score('-recency_days')} AS INT) AS r, CAST({score('orders_made')} AS INT) AS f,
+                 CAST({score('spend')} AS INT) AS m FROM people)"""
+
+
+STEPS["rfm"] = _rfm(lambda v: f"NTILE(5) OVER (ORDER BY {v}, tie, customer_unique_id)")
+ORACLES["customer_rfm"] = "SELECT * FROM rfm"
+# The tile of the first row of each group of equal values.
+ORACLES["customer_rfm_tied"] = _rfm(
+    lambda v: f"MIN(tile_{v.strip('-')}) OVER (PARTITION BY {v})").replace(
+    "FROM people)", """FROM (SELECT *, NTILE(5) OVER (ORDER BY -recency_days, tie) AS tile_recency_days,
+        NTILE(5) OVER (ORDER BY orders_made, tie) AS tile_orders_made, NTILE(5) OVER (ORDER BY spend, tie) AS tile_spend
+        FROM people))""")
+ORACLES["rfm_segments"] = """
+    SELECT customer_segment, COUNT(*) AS customers, CAST(SUM(p.spend) AS DOUBLE) AS monetary_value
+    FROM rfm JOIN people p USING (customer_unique_id) GROUP BY 1"""
+ORACLES["customer_360"] = f"""
+
+    SELECT p.customer_unique_id, l.customer_city, l.customer_state, p.first_purchase_date, p.last_purchase_date,
+           p.orders_made AS orders, CAST(p.spend AS DOUBLE) AS total_spend,
+           CAST(p.spend AS DOUBLE) / p.orders_made AS avg_order_value, c.category AS preferred_category,
+           y.payment_type AS preferred_payment_type, m.avg_review_score, m.avg_delivery_delay_days, rfm.customer_segment
+    FROM people p JOIN latest_place l USING (customer_unique_id) JOIN rfm USING (customer_unique_id)
+    JOIN (SELECT customer_unique_id, {_mean('score')} AS avg_review_score, {_mean('delay')} AS avg_delivery_delay_days
+          FROM person_orders GROUP BY 1) m USING (customer_unique_id)
+    LEFT JOIN (SELECT customer_unique_id, COALESCE(product_category_name_en, 'unknown') AS category
+               FROM persons LEFT JOIN products USING (product_id) GROUP BY 1, 2
+               QUALIFY ROW_NUMBER() OVER (PARTITION BY customer_unique_id ORDER BY COUNT(*) DESC, category) = 1) c
+         USING (customer_unique_id)
+    LEFT JOIN (SELECT customer_unique_id, payment_type
+               FROM payments JOIN orders_clean USING (order_id) JOIN customers USING (customer_id) GROUP BY 1, 2
+               QUALIFY ROW_NUMBER() OVER (PARTITION BY customer_unique_id ORDER BY COUNT(*) DESC, payment_type) = 1) y
+         USING (customer_unique_id)"""
+ORACLES["repeat_customers"] = f"""
+    SELECT COUNT(*) AS customers, COUNT(*) FILTER (orders_made > 1) AS repeat_customers,
+           COUNT(*) FILTER ({_AS_OF} - first_purchase_date < 90) AS new_customers,
+           COUNT(*) FILTER (spend >= (SELECT QUANTILE_DISC(spend, 0.9) FROM people)) AS high_value_customers,
+           CAST(SUM(spend) AS DOUBLE) / COUNT(*) AS avg_customer_value,
+           CAST(SUM(orders_made) AS DOUBLE) / COUNT(*) AS avg_order_frequency
+    FROM people"""
+ORACLES["first_versus_repeat"] = f"""
+    SELECT purchase_year_month,
+           CASE WHEN purchase_year_month = STRFTIME(p.first_purchase_date, '%Y-%m') THEN 'first' ELSE 'repeat' END
+               AS customer_kind,
+           COUNT(DISTINCT customer_unique_id) AS customers, COUNT(*) AS orders, {_money('total', 'revenue')}
+    FROM person_orders JOIN people p USING (customer_unique_id) GROUP BY 1, 2"""
+ORACLES["cohort_retention"] = """
+    SELECT *, CAST(customers AS DOUBLE) / MAX(CASE WHEN months_since = 0 THEN customers END)
+                  OVER (PARTITION BY cohort_month) AS retention_rate
+    FROM (SELECT STRFTIME(first_purchase_date, '%Y-%m') AS cohort_month,
+                 CAST(DATEDIFF('month', first_purchase_date, purchase_date) AS INT) AS months_since,
+                 COUNT(DISTINCT customer_unique_id) AS customers
+          FROM person_orders JOIN people USING (customer_unique_id) GROUP BY 1, 2)"""
+STEPS["baskets"] = """
+    SELECT DISTINCT order_id, COALESCE(product_category_name_en, 'unknown') AS category
+    FROM items LEFT JOIN products USING (product_id)"""
+ORACLES["category_affinity"] = """
+    SELECT category_a, category_b, pair_orders, CAST(pair_orders AS DOUBLE) / total AS support,
+           CAST(pair_orders AS DOUBLE) / a.n AS confidence_a_to_b, CAST(pair_orders AS DOUBLE) / b.n AS confidence_b_to_a,
+           (CAST(pair_orders AS DOUBLE) * total) / (CAST(a.n AS DOUBLE) * b.n) AS lift
+    FROM (SELECT x.category AS category_a, y.category AS category_b, COUNT(*) AS pair_orders
+          FROM baskets x JOIN baskets y ON x.order_id = y.order_id AND x.category < y.category GROUP BY 1, 2)
+    JOIN (SELECT category, COUNT(*) AS n FROM baskets GROUP BY 1) a ON a.category = category_a
+    JOIN (SELECT category, COUNT(*) AS n FROM baskets GROUP BY 1) b ON b.category = category_b,
+    (SELECT COUNT(DISTINCT order_id) AS total FROM baskets)"""
+ORACLES["churn_risk"] = """
+    SELECT *, CASE WHEN mean_gap_days IS NULL THEN CASE WHEN recency_days > 365 THEN 'high' ELSE 'low' END
+                   WHEN recency_days / mean_gap_days > 3 THEN 'high'
+                   WHEN recency_days / mean_gap_days > 1.5 THEN 'medium' ELSE 'low' END AS churn_risk
+    FROM (SELECT customer_unique_id, orders_made AS orders, recency_days,
+                 CASE WHEN orders_made > 1 AND last_purchase_date > first_purchase_date
+                      THEN CAST(last_purchase_date - first_purchase_date AS DOUBLE) / (orders_made - 1) END
+                     AS mean_gap_days
+          FROM people)"""
+
+# --- scorecards and dashboards ----------------------------------------------------------
+
+ORACLES["seller_scorecard"] = """
+    SELECT seller_id, COUNT(*) AS active_months, CAST(SUM(orders_received) AS BIGINT) AS orders_received,
+           CAST(SUM(items_sold) AS BIGINT) AS items_sold, CAST(SUM(exact_gross) AS DOUBLE) AS gross_merchandise_value,
+           CAST(SUM(late_orders) AS DOUBLE) / SUM(orders_received) AS late_delivery_rate,
+           CAST(SUM(cancelled_orders) AS DOUBLE) / SUM(orders_received) AS cancellation_rate,
+           ROUND(CAST(SUM(CAST(seller_score AS DECIMAL(18,9))) AS DOUBLE) / COUNT(*), 6) AS avg_seller_score
+    FROM seller_months JOIN seller_scores USING (seller_id, purchase_year_month) GROUP BY 1"""
+ORACLES["product_scorecard"] = f"""
+    SELECT product_id, category, orders, units_sold, CAST(revenue AS DOUBLE) AS revenue, avg_review_score,
+           late_delivery_rate, PERCENT_RANK() OVER (PARTITION BY category ORDER BY revenue) AS revenue_rank_in_category
+    FROM (SELECT product_id, ANY_VALUE(category) AS category, COUNT(*) AS orders, CAST(SUM(n) AS BIGINT) AS units_sold,
+                 SUM(gross) AS revenue, {_mean('score')} AS avg_review_score,
+                 CAST(COUNT(*) FILTER (late) AS DOUBLE) / COUNT(*) AS late_delivery_rate
+          FROM (SELECT product_id, order_id, ANY_VALUE(COALESCE(product_category_name_en, 'unknown')) AS category,
+                       COUNT(*) AS n, SUM(price) AS gross, ANY_VALUE(review_score) AS score,
+                       ANY_VALUE(is_late_delivery) AS late
+                FROM base LEFT JOIN products USING (product_id) GROUP BY 1, 2) GROUP BY 1)"""
+_KPIS = f"""{_money('total', 'total_revenue')}, COUNT(*) AS orders,
+    CAST(SUM(total) AS DOUBLE) / COUNT(*) AS avg_order_value, CAST(SUM(items) AS BIGINT) AS items_sold,
+    CAST(COUNT(*) FILTER (is_cancelled) AS DOUBLE) / COUNT(*) AS cancellation_rate,
+    CAST(COUNT(*) FILTER (delay <= 0) AS DOUBLE) / NULLIF(COUNT(delay), 0) AS on_time_rate,
+    {_mean('score')} AS avg_review_score, COUNT(DISTINCT customer_unique_id) AS customers"""
+ORACLES["executive_kpis"] = f"SELECT {_KPIS} FROM person_orders"
+ORACLES["sales_dashboard"] = f"""
+    SELECT * EXCLUDE (exact, previous), CASE WHEN previous > 0
+               THEN CAST(exact - previous AS DOUBLE) / CAST(previous AS DOUBLE) END AS revenue_growth
+    FROM (SELECT purchase_year_month, {_KPIS}, SUM(total) AS exact,
+                 LAG(SUM(total)) OVER (ORDER BY purchase_year_month) AS previous
+          FROM person_orders GROUP BY 1)"""
+ORACLES["orders_by_status"] = "SELECT order_status, COUNT(*) AS orders FROM orders_clean GROUP BY 1"
+ORACLES["revenue_by_state"] = f"""
+    SELECT customer_state, {_money('total', 'revenue')}, COUNT(*) AS orders FROM person_orders GROUP BY 1"""
+ORACLES["top_categories"] = f"""
+    SELECT COALESCE(product_category_name_en, 'unknown') AS category, {_money('total_item_amount', 'total_revenue')}
+    FROM base LEFT JOIN products USING (product_id) GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5"""
+ORACLES["top_sellers_by_month"] = """
+    SELECT purchase_year_month, seller_id, CAST(exact_gross AS DOUBLE) AS gross_merchandise_value,
+           CAST(RANK() OVER (PARTITION BY purchase_year_month ORDER BY exact_gross DESC) AS INT) AS revenue_rank
+    FROM seller_months QUALIFY revenue_rank <= 3"""
+ORACLES["late_seller_ranking"] = """
+    SELECT seller_id, CAST(SUM(late_orders) AS BIGINT) AS late_orders,
+           CAST(SUM(late_orders) AS DOUBLE) / SUM(orders_received) AS late_delivery_rate
+    FROM seller_months GROUP BY 1 ORDER BY 3 DESC, 1 LIMIT 10"""
+ORACLES["delay_vs_score"] = f"""
+    SELECT CASE WHEN d <= -8 THEN 'early 8+' WHEN d < 0 THEN 'early 1-7' WHEN d = 0 THEN 'on the day'
+                WHEN d <= 7 THEN 'late 1-7' ELSE 'late 8+' END AS delay_bucket,
+           COUNT(*) AS orders, {_mean('score')} AS avg_review_score
+    FROM (SELECT delivery_delay_days AS d, review_score AS score FROM orders_clean JOIN order_reviews USING (order_id)
+          WHERE delivery_delay_days IS NOT NULL) GROUP BY 1"""
+ORACLES["delay_score_correlation"] = """
+    SELECT n AS orders, (n * sxy - sx * sy) / (SQRT(n * sxx - sx * sx) * SQRT(n * syy - sy * sy)) AS correlation
+    FROM (SELECT COUNT(*) AS n, CAST(SUM(x) AS DOUBLE) AS sx, CAST(SUM(y) AS DOUBLE) AS sy,
+                 CAST(SUM(x * y) AS DOUBLE) AS sxy, CAST(SUM(x * x) AS DOUBLE) AS sxx, CAST(SUM(y * y) AS DOUBLE) AS syy
+          FROM (SELECT delivery_delay_days AS x, review_score AS y
+                FROM orders_clean JOIN order_reviews USING (order_id) WHERE delivery_delay_days IS NOT NULL))"""
+ORACLES["seller_growth"] = """
+    SELECT seller_id, purchase_year_month, CAST(exact_gross AS DOUBLE) AS gross_merchandise_value,
+           CASE WHEN previous > 0 THEN CAST(exact_gross - previous AS DOUBLE) / CAST(previous AS DOUBLE) END
+               AS revenue_growth
+    FROM (SELECT *, LAG(exact_gross) OVER (PARTITION BY seller_id ORDER BY purchase_year_month) AS previous
+          FROM seller_months)"""
+ORACLES["seller_kpis"] = """
+    SELECT purchase_year_month, COUNT(*) AS active_sellers, CAST(SUM(exact_gross) AS DOUBLE) AS gross_merchandise_value,
+           ROUND(CAST(SUM(CAST(seller_score AS DECIMAL(18,9))) AS DOUBLE) / COUNT(*), 6) AS avg_seller_score,
+           ROUND(CAST(SUM(CAST(avg_review_score AS DECIMAL(18,9))) AS DOUBLE) / COUNT(avg_review_score), 6)
+               AS avg_seller_review
+    FROM seller_months JOIN seller_scores USING (seller_id, purchase_year_month) GROUP BY 1"""
+
+
 def all_oracles() -> dict[str, str]:
     return {name: with_steps(sql) for name, sql in ORACLES.items()}

@@ -6,9 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakemart.functions import digest
-from lakemart.operators import clean, enrich, sales
-from lakemart.sources.adapters import raw_entities
+from lakemart.operators import clean, customers, enrich, performance, sales, scorecards, star
+from lakemart.sources.adapters import RawEntities
 
 # Test places belong to these regions (state -> region), a fixed five-way mapping.
 REGIONS = {f"NATION_{n}": ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"][n % 5] for n in range(20)}
@@ -19,9 +18,14 @@ class Silver:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
-        self.raw = raw_entities(spark, folder)
+        self.raw = RawEntities(spark, folder)
 
     def __getattr__(self, name: str) -> DataFrame:
+        built = self._build(name)
+        setattr(self, name, built)
+        return built
+
+    def _build(self, name: str) -> DataFrame:
         if name == "products":
             return clean.clean_products(self.raw["products"], self.raw["category_translation"])
         if name == "items":
@@ -178,3 +182,225 @@ def category_revenue_share(s):
 @query
 def hourly_client_spend(s):
     return sales.hourly_client_spend(s.raw["transactions"])
+
+
+# --- seller, delivery, payment, state, customer -----------------------------------------
+
+def _seller_performance(s):
+    return performance.agg_seller_performance(s.orders, s.items, s.reviews)
+
+
+def _person_orders(s):
+    return performance.person_orders(s.orders, s.items, s.customers, s.reviews)
+
+
+@query
+def agg_seller_performance(s):
+    return _seller_performance(s)
+
+
+@query
+def seller_score(s):
+    return performance.seller_score(_seller_performance(s))
+
+
+for _grain in [["date"], ["state"], ["seller"], ["category"], ["month", "state"]]:
+    QUERIES["agg_delivery_by_" + "_".join(_grain)] = lambda s, by=_grain: performance.agg_delivery_performance(
+        s.orders, s.items, by, s.customers, s.products)
+
+
+@query
+def agg_payment_performance(s):
+    return performance.agg_payment_performance(s.orders, s.payments)
+
+
+@query
+def agg_state_performance(s):
+    return performance.agg_state_performance(s.orders, s.items, s.reviews, s.customers)
+
+
+@query
+def agg_customer_value(s):
+    return performance.agg_customer_value(s.orders, s.items, s.customers)
+
+
+@query
+def agg_customer_value_by_state(s):
+    return performance.agg_customer_value(s.orders, s.items, s.customers, by="state")
+
+
+@query
+def agg_person_sales(s):
+    return performance.agg_person_sales(s.orders, s.items, s.customers)
+
+
+# --- star schema ------------------------------------------------------------------------
+
+@query
+def dim_date(s):
+    return star.dim_date(s.orders)
+
+
+@query
+def dim_customer(s):
+    return star.dim_customer(s.orders, s.items, s.customers, REGIONS)
+
+
+@query
+def dim_product(s):
+    return star.dim_product(s.products)
+
+
+@query
+def dim_seller(s):
+    return star.dim_seller(s.sellers, REGIONS)
+
+
+@query
+def dim_geography(s):
+    return star.dim_geography(enrich.geolocation_by_zip(s.raw["geolocation"]), REGIONS)
+
+
+@query
+def dim_payment_type(s):
+    return star.dim_payment_type(s.payments)
+
+
+@query
+def fact_order_items(s):
+    return star.fact_order_items(s.orders, s.items, s.reviews, s.customers, s.sellers)
+
+
+@query
+def fact_orders(s):
+    return star.fact_orders(s.orders, s.items, s.reviews, s.customers)
+
+
+@query
+def fact_payments(s):
+    return star.fact_payments(s.orders, s.payments)
+
+
+@query
+def fact_reviews(s):
+    return star.fact_reviews(s.orders, s.reviews)
+
+
+# --- customers --------------------------------------------------------------------------
+
+@query
+def customer_rfm(s):
+    return customers.customer_rfm(s.orders, s.items, s.customers)
+
+
+@query
+def customer_rfm_tied(s):
+    return customers.customer_rfm(s.orders, s.items, s.customers, ties="together")
+
+
+@query
+def rfm_segments(s):
+    rfm = customers.customer_rfm(s.orders, s.items, s.customers)
+    return rfm.groupBy("customer_segment").agg(
+        F.count(F.lit(1)).alias("customers"), F.sum("monetary_value").alias("monetary_value"))
+
+
+@query
+def customer_360(s):
+    rfm = customers.customer_rfm(s.orders, s.items, s.customers)
+    return customers.customer_360(s.orders, s.items, s.customers, s.products, s.payments, s.reviews, rfm)
+
+
+@query
+def repeat_customers(s):
+    return customers.customer_kpis(s.orders, s.items, s.customers)
+
+
+@query
+def first_versus_repeat(s):
+    return customers.first_versus_repeat(s.orders, s.items, s.customers)
+
+
+@query
+def cohort_retention(s):
+    return customers.cohort_retention(s.orders, s.items, s.customers)
+
+
+@query
+def category_affinity(s):
+    return customers.category_affinity(s.items, s.products)
+
+
+@query
+def churn_risk(s):
+    return customers.churn_risk(s.orders, s.items, s.customers)
+
+
+# --- scorecards and dashboards ----------------------------------------------------------
+
+@query
+def seller_scorecard(s):
+    perf = _seller_performance(s)
+    return scorecards.seller_scorecard(perf, performance.seller_score(perf))
+
+
+@query
+def product_scorecard(s):
+    return scorecards.product_scorecard(s.orders, s.items, s.products, s.reviews)
+
+
+@query
+def executive_kpis(s):
+    return scorecards.executive_kpis(_person_orders(s))
+
+
+@query
+def sales_dashboard(s):
+    return scorecards.sales_dashboard(_person_orders(s))
+
+
+@query
+def orders_by_status(s):
+    return scorecards.orders_by_status(s.orders)
+
+
+@query
+def revenue_by_state(s):
+    return scorecards.revenue_by_state(_person_orders(s))
+
+
+@query
+def top_categories(s):
+    return scorecards.top_categories(
+        sales.agg_category_performance(s.orders, s.items, s.products, s.reviews))
+
+
+@query
+def top_sellers_by_month(s):
+    return scorecards.top_sellers_by_month(_seller_performance(s))
+
+
+@query
+def late_seller_ranking(s):
+    return scorecards.late_seller_ranking(_seller_performance(s))
+
+
+@query
+def delay_vs_score(s):
+    return scorecards.delay_vs_score(s.orders, s.reviews)
+
+
+@query
+def delay_score_correlation(s):
+    return scorecards.delay_score_correlation(s.orders, s.reviews)
+
+
+@query
+def seller_growth(s):
+    return scorecards.seller_growth(_seller_performance(s))
+
+
+@query
+def seller_kpis(s):
+    perf = _seller_performance(s)
+    return scorecards.seller_kpis(perf, performance.seller_score(perf))

@@ -58,7 +58,7 @@ def main(argv):
     import __spark_entry__ as entry
     folder = f"/root/testdata/sf{argv[0]}"
     names = argv[1:]
-    spark = build_session("compare", master="local[8]", shuffle_partitions=8, **{"spark.ui.enabled": "false"})
+    spark = build_session("compare", master="local[8]", shuffle_partitions=8, **{"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con = oracle_connection(folder)
     queries, oracles = entry.queries(), entry.oracle_sql()
