@@ -12,6 +12,7 @@ from lakemart.functions import ratio
 from lakemart.operators.joins import with_default
 from lakemart.operators.performance import person_orders
 from lakemart.operators.ranking import ntile_by_value, quantile_value
+from lakemart.session import materialize
 
 
 def _as_of(orders: DataFrame, as_of) -> Column:
@@ -39,18 +40,21 @@ def customer_rfm(orders: DataFrame, items: DataFrame, customers: DataFrame, as_o
     Scores are exact ``ntile`` values; ``ties="together"`` keeps persons with equal values in
     one tile. ``as_of`` defaults to the last purchase date.
     """
-    people = person_orders(orders, items, customers).groupBy("customer_unique_id").agg(
+    people = materialize(person_orders(orders, items, customers).groupBy("customer_unique_id").agg(
         F.max("purchase_date").alias("last_purchase_date"),
         F.count(F.lit(1)).alias("frequency_orders"),
         F.sum("total").alias("monetary_value"),
-    ).withColumn("recency_days", F.datediff(_as_of(orders, as_of), "last_purchase_date"))
+    ).withColumn("recency_days", F.datediff(_as_of(orders, as_of), "last_purchase_date")), "rfm-people")
     # Recent is good: rank the negative number of days, so that a high score is best throughout.
-    scored = people.withColumn("_recent", -F.col("recency_days"))
-    for value, name in [("_recent", "recency_score"), ("frequency_orders", "frequency_score"),
-                        ("monetary_value", "monetary_score")]:
-        scored = ntile_by_value(scored, "customer_unique_id", value, n, name, ties, **limits)
+    values = {"recency": -F.col("recency_days"), "frequency": F.col("frequency_orders"), "monetary": F.col("monetary_value")}
+    measures = F.array(*[
+        F.struct(F.lit(m).alias("measure"), v.cast("decimal(30,2)").alias("value")) for m, v in values.items()])
+    long = people.select("customer_unique_id", F.inline(measures))
+    scored = ntile_by_value(long, "customer_unique_id", "value", n, "score", ["measure"], ties, **limits)
+    scores = scored.groupBy("customer_unique_id").agg(*[
+        F.max(F.when(F.col("measure") == m, F.col("score"))).alias(f"{m}_score") for m in values])
     r, f, m = F.col("recency_score"), F.col("frequency_score"), F.col("monetary_score")
-    return scored.drop("_recent").withColumns({
+    return people.join(scores, "customer_unique_id").withColumns({
         "rfm_score": F.concat(r.cast("string"), f.cast("string"), m.cast("string")),
         "customer_segment": rfm_segment(r, f, m),
     })
@@ -103,8 +107,9 @@ def customer_kpis(orders: DataFrame, items: DataFrame, customers: DataFrame, as_
     New: first purchase within ``new_days``. High value: spend at or above the exact
     (1 - ``high_value_share``) quantile.
     """
-    people = person_orders(orders, items, customers).groupBy("customer_unique_id").agg(
-        F.count(F.lit(1)).alias("orders"), F.sum("total").alias("spend"), F.min("purchase_date").alias("first"))
+    people = materialize(person_orders(orders, items, customers).groupBy("customer_unique_id").agg(
+        F.count(F.lit(1)).alias("orders"), F.sum("total").alias("spend"), F.min("purchase_date").alias("first")),
+        "customer-kpis")
     border = quantile_value(people.select("spend"), "spend", 1 - high_value_share, **limits)
     rows = F.count(F.lit(1))
     marked = people.withColumns({
@@ -154,7 +159,7 @@ def category_affinity(items: DataFrame, products: DataFrame) -> DataFrame:
     names = products.select("product_id", F.col("product_category_name_en").alias("category"))
     labelled = with_default(items.join(names, "product_id", "left"), "category", "unknown")
     sets = labelled.groupBy("order_id").agg(F.sort_array(F.collect_set("category")).alias("categories"))
-    counted = sets.groupBy("categories").agg(F.count(F.lit(1)).alias("orders"))
+    counted = materialize(sets.groupBy("categories").agg(F.count(F.lit(1)).alias("orders")), "category-sets")
     total = counted.agg(F.sum("orders")).scalar()
     single = counted.select(F.explode("categories").alias("category"), "orders").groupBy("category").agg(
         F.sum("orders").alias("category_orders"))

@@ -77,9 +77,14 @@ def geolocation_by_zip(raw: DataFrame, **limits) -> DataFrame:
         F.min(F.struct((-F.col("n")).alias("n"), "city", "state")).alias("top"),
         F.sum("n").alias("coordinate_count"),
     )
-    lat = exact_median(points, ["zip_code_prefix"], "lat", "latitude", **limits)
-    lng = exact_median(points, ["zip_code_prefix"], "lng", "longitude", **limits)
-    return place.join(lat, "zip_code_prefix").join(lng, "zip_code_prefix").select(
+    axes = F.array(F.struct(F.lit("lat").alias("axis"), F.col("lat").alias("value")),
+                   F.struct(F.lit("lng").alias("axis"), F.col("lng").alias("value")))
+    medians = exact_median(points.select("zip_code_prefix", F.inline(axes)), ["zip_code_prefix", "axis"], "value",
+                           "median", **limits)
+    middle = medians.groupBy("zip_code_prefix").agg(
+        F.max(F.when(F.col("axis") == "lat", F.col("median"))).alias("latitude"),
+        F.max(F.when(F.col("axis") == "lng", F.col("median"))).alias("longitude"))
+    return place.join(middle, "zip_code_prefix").select(
         "zip_code_prefix", "latitude", "longitude", F.col("top.city").alias("city"), F.col("top.state").alias("state"),
         "coordinate_count",
     )

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from lakemart.functions import ratio, share
 from lakemart.operators.joins import item_totals, order_base, persons_of, review_per_order, with_default
 from lakemart.operators.ranking import percent_ranks
+from lakemart.session import materialize
 
 
 def _distinct_per(orders: DataFrame, items: DataFrame, by: list[str], item_key: str, column: str, name: str) -> DataFrame:
@@ -59,7 +60,7 @@ def seller_score(performance: DataFrame, weights: dict[str, float] | None = None
     # One long frame ranks all parts in one pass instead of one per part.
     parts = F.explode(F.array(*[
         F.struct(F.lit(name).alias("part"), value.cast("double").alias("value")) for name, value in measures.items()]))
-    long = performance.select(*keys, parts.alias("p")).select(*keys, "p.part", "p.value")
+    long = materialize(performance.select(*keys, parts.alias("p")).select(*keys, "p.part", "p.value"), "seller-parts")
     ranked = percent_ranks(long, ["purchase_year_month", "part"], "value", "rank", **limits)
     scored = ranked.groupBy(*keys).agg(*[
         F.max(F.when(F.col("part") == name, F.col("rank"))).alias(f"{name}_score") for name in measures])

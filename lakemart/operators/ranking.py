@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lakemart.functions import ratio
+from lakemart.session import materialize
 
 #: Distinct values one task may sort before a group is cut, and the number of ranges then used.
 PIECE_ROWS = 500_000
@@ -28,46 +29,54 @@ def _same(left: str, right: str, columns: list[str]) -> Column:
 
 
 def split_large_groups(df: DataFrame, by: list[str], value: str, piece_rows: int = PIECE_ROWS,
-                       pieces: int = PIECES) -> DataFrame:
+                       pieces: int = PIECES) -> DataFrame | None:
     """Add ``_piece``: 0 for small groups, a value range number for large ones.
 
     Pieces follow the order of ``value``; equal values share a piece; null counts as lowest.
+    None if no group is large, so that small data takes the plain plan. ``df`` should be stored.
     """
-    points = F.array(*[F.lit(i / pieces) for i in range(1, pieces)])
-    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_size"))
-    large = sizes.filter(F.col("_size") > piece_rows).drop("_size")
+    large = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_size")).filter(F.col("_size") > piece_rows).drop("_size")
     # Only large groups pay for the quantile sketch; there are at most rows / piece_rows of them.
+    if large.isEmpty():
+        return None
+    points = F.array(*[F.lit(i / pieces) for i in range(1, pieces)])
+    sketch = F.percentile_approx(value, points, F.lit(10 * pieces)).alias("_cuts")
     if by:
         members = df.alias("d").join(F.broadcast(large).alias("g"), _same("d", "g", by), "left_semi")
-        cuts = members.groupBy(*by).agg(F.percentile_approx(value, points, F.lit(10 * pieces)).alias("_cuts"))
+        cuts = members.groupBy(*by).agg(sketch)
         joined = df.alias("d").join(F.broadcast(cuts).alias("g"), _same("d", "g", by), "left").select("d.*", "g._cuts")
     else:
-        small = sizes.select(F.col("_size") <= piece_rows).scalar()
-        cuts = df.agg(F.percentile_approx(value, points, F.lit(10 * pieces))).scalar()
-        joined = df.withColumn("_cuts", F.when(~small, cuts))
-    above = F.size(F.filter(F.col("_cuts"), lambda c: F.coalesce(F.col(value) >= c, F.lit(False))))
-    return joined.withColumn("_piece", F.when(F.col("_cuts").isNull(), 0).otherwise(above)).drop("_cuts")
+        joined = df.withColumn("_cuts", df.agg(sketch).scalar())
+    below = F.size(F.filter(F.col("_cuts"), lambda c: F.coalesce(F.col(value) >= c, F.lit(False))))
+    return joined.withColumn("_piece", F.when(F.col("_cuts").isNull(), 0).otherwise(below)).drop("_cuts")
 
 
-def value_positions(df: DataFrame, by: list[str], value: str, weight: Column | None = None, **limits) -> DataFrame:
+def value_positions(df: DataFrame, by: list[str], value: str, **limits) -> DataFrame:
     """One row per group and distinct value with ``rows_here``, ``rows_below`` and ``rows_total``.
 
-    ``rows_below + 1`` is the SQL ``rank`` of the value. Nulls sort lowest.
+    ``rows_below + 1`` is the SQL ``rank`` of the value. Nulls sort lowest. The counts per value
+    are stored once, because sizes, cut points and ranks all read them.
     """
-    here = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    counts = df.groupBy(*by, value).agg(here.alias(_N))
+    counts = materialize(df.groupBy(*by, value).agg(F.count(F.lit(1)).alias(_N)), "value-counts")
+    group = Window.partitionBy(*by)
+    order = F.col(value).asc_nulls_first()
+    to_here = (Window.unboundedPreceding, Window.currentRow)
     cut = split_large_groups(counts, by, value, **limits)
-    inside = Window.partitionBy(*by, "_piece").orderBy(F.col(value).asc_nulls_first())
-    ranked = cut.withColumn("_upto", F.sum(_N).over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+    if cut is None:
+        ranked = counts.withColumns({
+            "_upto": F.sum(_N).over(group.orderBy(order).rowsBetween(*to_here)),
+            "rows_total": F.sum(_N).over(group),
+        })
+        return ranked.select(*by, value, F.col(_N).alias("rows_here"),
+                             (F.col("_upto") - F.col(_N)).alias("rows_below"), "rows_total")
+    inside = Window.partitionBy(*by, "_piece").orderBy(order).rowsBetween(*to_here)
+    ranked = cut.withColumn("_upto", F.sum(_N).over(inside))
     # Per group at most PIECES rows, so this window is small whatever the group holds.
-    pieces = cut.groupBy(*by, "_piece").agg(F.sum(_N).alias("_piece_rows"))
-    group = Window.partitionBy(*by)
-    offsets = pieces.withColumns({
-        "_offset": F.sum("_piece_rows").over(group.orderBy("_piece")) - F.col("_piece_rows"),
+    offsets = cut.groupBy(*by, "_piece").agg(F.sum(_N).alias("_piece_rows")).withColumns({
+        "_offset": F.sum("_piece_rows").over(group.orderBy("_piece").rowsBetween(*to_here)) - F.col("_piece_rows"),
         "rows_total": F.sum("_piece_rows").over(group),
     })
-    keys = [*by, "_piece"]
-    return ranked.alias("v").join(offsets.alias("o"), _same("v", "o", keys), "inner").select(
+    return ranked.alias("v").join(offsets.alias("o"), _same("v", "o", [*by, "_piece"]), "inner").select(
         *[F.col(f"v.{c}") for c in by], F.col(f"v.{value}"), F.col(_N).alias("rows_here"),
         (F.col("_offset") + F.col("_upto") - F.col(_N)).alias("rows_below"), "rows_total",
     )
@@ -110,37 +119,37 @@ def _tile(position: Column, total: Column, n: int) -> Column:
     return F.when(position < head, F.floor(position / (size + 1)) + 1).otherwise(extra + tail + 1).cast("int")
 
 
-def ntile_by_value(df: DataFrame, key: str, value: str, n: int, name: str, ties: str = "split", **limits) -> DataFrame:
-    """``df`` plus ``name`` in 1..n, low values first. ``key`` is unique and not null.
+def ntile_by_value(df: DataFrame, key: str, value: str, n: int, name: str, by: list[str] | None = None,
+                   ties: str = "split", **limits) -> DataFrame:
+    """``df`` plus ``name`` in 1..n per group, low values first. ``key`` is unique in the group.
 
     ``ties="together"`` gives equal values the tile of their first row. ``ties="split"`` is
-    SQL ``ntile`` ordered by value and then by the digest of ``key``: at most n - 1 values
-    straddle a tile border, and only their rows are ranked one by one.
+    SQL ``ntile`` ordered by value and then by the digest of ``key``: at most n - 1 values per
+    group straddle a tile border, and only their rows are ranked one by one. ``df`` is read
+    twice, so it should be stored.
     """
+    by = by or []
     total = F.col("rows_total")
-    positions = value_positions(df, [], value, **limits).withColumns({
+    tiles = value_positions(df, by, value, **limits).withColumns({
         "_first": _tile(F.col("rows_below"), total, n),
         "_last": _tile(F.col("rows_below") + F.col("rows_here") - 1, total, n),
     })
-    tiles = positions.select(value, "_first", "_last", "rows_below", "rows_total")
-    with_tiles = df.alias("d").join(tiles.alias("t"), _same("d", "t", [value]), "left") \
-        .select("d.*", "_first", "_last", "rows_below", "rows_total")
+    extra = ["_first", "_last", "rows_below", "rows_total"]
+    tiled = df.alias("d").join(tiles.alias("t"), _same("d", "t", [*by, value]), "left").select("d.*", *extra)
     if ties == "together":
-        return with_tiles.withColumn(name, F.col("_first")).drop("_first", "_last", "rows_below", "rows_total")
+        return tiled.withColumn(name, F.col("_first")).drop(*extra)
     # Rows of border values: rank by a uniform 60-bit digest of the key, again in pieces.
-    border = with_tiles.filter(F.col("_first") != F.col("_last")).select(
-        key, value, F.col("rows_below").alias("_start"), F.col("rows_total").alias("_total"),
-        tie_number(key).alias("_tie"))
-    within = value_positions(border, [value], "_tie", **limits).select(value, "_tie", F.col("rows_below").alias("_ahead"))
+    border = materialize(tiled.filter(F.col("_first") != F.col("_last")).select(
+        *by, key, value, "rows_below", "rows_total", tie_number(key).alias("_tie")), "tile-borders")
+    ahead = value_positions(border, [*by, value], "_tie", **limits).select(
+        *by, value, "_tie", F.col("rows_below").alias("_ahead"))
     # Equal digests are almost always single rows; the window orders the rest by key.
-    same_digest = Window.partitionBy(value, "_tie").orderBy(key)
-    placed = border.alias("b").join(within.alias("w"), _same("b", "w", [value, "_tie"]), "inner") \
-        .select("b.*", "_ahead") \
-        .withColumn("_position", F.col("_start") + F.col("_ahead") + F.row_number().over(same_digest) - 1) \
-        .select(key, _tile(F.col("_position"), F.col("_total"), n).alias("_placed"))
-    return with_tiles.join(placed, key, "left") \
-        .withColumn(name, F.coalesce("_placed", "_first")) \
-        .drop("_first", "_last", "rows_below", "rows_total", "_placed")
+    same_digest = Window.partitionBy(*by, value, "_tie").orderBy(key)
+    position = F.col("rows_below") + F.col("_ahead") + F.row_number().over(same_digest) - 1
+    placed = border.alias("b").join(ahead.alias("a"), _same("b", "a", [*by, value, "_tie"]), "inner") \
+        .select("b.*", "_ahead").select(*by, key, _tile(position, total, n).alias("_placed"))
+    return tiled.alias("d").join(placed.alias("p"), _same("d", "p", [*by, key]), "left").select(
+        "d.*", "_placed").withColumn(name, F.coalesce("_placed", "_first")).drop(*extra, "_placed")
 
 
 def tie_number(key: str) -> Column:

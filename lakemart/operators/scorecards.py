@@ -8,6 +8,7 @@ from lakemart.functions import ratio
 from lakemart.operators.joins import order_base, review_per_order, with_default
 from lakemart.operators.ranking import percent_ranks
 from lakemart.operators.sales import with_growth
+from lakemart.session import materialize
 
 
 def seller_scorecard(performance: DataFrame, scores: DataFrame) -> DataFrame:
@@ -35,7 +36,7 @@ def product_scorecard(orders: DataFrame, items: DataFrame, products: DataFrame,
         ratio(F.sum("review_score"), F.count("review_score")).alias("avg_review_score"),
         ratio(F.count_if("is_late_delivery"), F.count(F.lit(1))).alias("late_delivery_rate"))
     names = products.select("product_id", F.col("product_category_name_en").alias("category"))
-    named = with_default(per_product.join(names, "product_id", "left"), "category", "unknown")
+    named = materialize(with_default(per_product.join(names, "product_id", "left"), "category", "unknown"), "products")
     return percent_ranks(named, ["category"], "revenue", "revenue_rank_in_category", **limits)
 
 

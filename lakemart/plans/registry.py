@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakemart.operators import clean, customers, enrich, performance, sales, scorecards, star
+from lakemart.session import materialize
 from lakemart.sources.adapters import RawEntities
 
 # Test places belong to these regions (state -> region), a fixed five-way mapping.
@@ -190,6 +191,11 @@ def _seller_performance(s):
     return performance.agg_seller_performance(s.orders, s.items, s.reviews)
 
 
+def _stored_seller_performance(s):
+    """For queries that read it more than once."""
+    return materialize(_seller_performance(s), "seller-performance")
+
+
 def _person_orders(s):
     return performance.person_orders(s.orders, s.items, s.customers, s.reviews)
 
@@ -340,7 +346,7 @@ def churn_risk(s):
 
 @query
 def seller_scorecard(s):
-    perf = _seller_performance(s)
+    perf = _stored_seller_performance(s)
     return scorecards.seller_scorecard(perf, performance.seller_score(perf))
 
 
@@ -402,5 +408,5 @@ def seller_growth(s):
 
 @query
 def seller_kpis(s):
-    perf = _seller_performance(s)
+    perf = _stored_seller_performance(s)
     return scorecards.seller_kpis(perf, performance.seller_score(perf))

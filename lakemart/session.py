@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Runtime SQL settings every job wants. Partition counts stay a caller's choice: AQE merges
 #: small shuffle partitions, splits skewed ones (even where that costs one more shuffle) and
@@ -46,3 +46,14 @@ def shared_folder(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame that is read several times to the shared folder and read it back.
+
+    Cuts the lineage, is computed once, survives lost executors, and keeps column pruning and
+    file sizes for the planner.
+    """
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
