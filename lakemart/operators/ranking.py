@@ -42,9 +42,9 @@ def split_large_groups(df: DataFrame, by: list[str], value: str, piece_rows: int
     points = F.array(*[F.lit(i / pieces) for i in range(1, pieces)])
     sketch = F.percentile_approx(value, points, F.lit(10 * pieces)).alias("_cuts")
     if by:
-        members = df.alias("d").join(F.broadcast(large).alias("g"), _same("d", "g", by), "left_semi")
+        members = df.alias("d").join(large.alias("g"), _same("d", "g", by), "left_semi")
         cuts = members.groupBy(*by).agg(sketch)
-        joined = df.alias("d").join(F.broadcast(cuts).alias("g"), _same("d", "g", by), "left").select("d.*", "g._cuts")
+        joined = df.alias("d").join(cuts.alias("g"), _same("d", "g", by), "left").select("d.*", "g._cuts")
     else:
         joined = df.withColumn("_cuts", df.agg(sketch).scalar())
     below = F.size(F.filter(F.col("_cuts"), lambda c: F.coalesce(F.col(value) >= c, F.lit(False))))

@@ -494,5 +494,145 @@ ORACLES["seller_kpis"] = """
     FROM seller_months JOIN seller_scores USING (seller_id, purchase_year_month) GROUP BY 1"""
 
 
+# --- quality ----------------------------------------------------------------------------
+
+
+def _dq(table: str, rule: str, kind: str, checked: str, failed: str, source: str) -> str:
+    return f"""SELECT '{table}' AS table_name, '{rule}' AS rule_name, '{kind}' AS rule_type, checked AS rows_checked,
+        failed AS rows_failed, COALESCE(CAST(failed AS DOUBLE) / NULLIF(checked, 0), 0) * 100 AS failure_percentage,
+        CASE WHEN failed = 0 THEN 'passed' ELSE 'failed' END AS status
+        FROM (SELECT {checked} AS checked, {failed} AS failed FROM {source})"""
+
+
+_KEYS = {"customers": "customer_id", "orders": "order_id", "products": "product_id", "sellers": "seller_id",
+         "order_items": "order_id, order_item_id", "payments": "order_id, payment_sequential"}
+ORACLES["dq_uniqueness"] = " UNION ALL ".join(
+    _dq(t, "unique_" + k.replace(", ", "_"), "uniqueness", "CAST(SUM(n) AS BIGINT)", "CAST(SUM(n - 1) AS BIGINT)",
+        f"(SELECT {k}, COUNT(*) AS n FROM raw_{t} GROUP BY {k})") for t, k in _KEYS.items())
+ORACLES["dq_referential"] = " UNION ALL ".join(
+    _dq(t, f"{k}_in_{p}", "referential", f"COUNT({k})",
+        f"COUNT(*) FILTER ({k} IS NOT NULL AND {k} NOT IN (SELECT {k} FROM {parent}))", child)
+    for t, child, p, parent, k in [
+        ("orders", "orders_clean", "customers", "customers", "customer_id"),
+        ("order_items", "items", "orders", "orders_clean", "order_id"),
+        ("order_items", "items", "products", "products", "product_id"),
+        ("order_items", "items", "sellers", "sellers", "seller_id"),
+        ("payments", "payments", "orders", "orders_clean", "order_id"),
+        ("reviews", "reviews", "orders", "orders_clean", "order_id")])
+_RULES = {
+    "customers": {"customer_id_present": "customer_id IS NOT NULL",
+                  "customer_unique_id_present": "customer_unique_id IS NOT NULL"},
+    "orders": {"order_id_present": "order_id IS NOT NULL", "customer_id_present": "customer_id IS NOT NULL",
+               "purchase_timestamp_valid":
+                   "TRY_STRPTIME(order_purchase_timestamp, '%Y-%m-%d %H:%M:%S') IS NOT NULL"},
+    "order_items": {"order_id_present": "order_id IS NOT NULL", "order_item_id_present": "order_item_id IS NOT NULL",
+                    "price_not_negative": "price >= 0", "freight_not_negative": "freight_value >= 0"},
+    "products": {"product_id_present": "product_id IS NOT NULL"},
+    "sellers": {"seller_id_present": "seller_id IS NOT NULL"},
+    "payments": {"order_id_present": "order_id IS NOT NULL", "value_not_negative": "payment_value >= 0",
+                 "installments_not_negative": "payment_installments >= 0"},
+    "reviews": {"review_id_present": "review_id IS NOT NULL", "order_id_present": "order_id IS NOT NULL",
+                "score_in_range": "review_score BETWEEN 1 AND 5"},
+}
+_DOMAIN = {t: dict(r) for t, r in _RULES.items() if t != "sellers"}
+_DOMAIN["orders"]["status_allowed"] = (
+    "LOWER(TRIM(order_status)) IN ('created', 'approved', 'invoiced', 'processing', 'shipped', 'delivered', "
+    "'canceled', 'unavailable')")
+_DOMAIN["products"]["weight_not_negative"] = "product_weight_g >= 0"
+ORACLES["dq_domain"] = " UNION ALL ".join(
+    _dq(t, name, "domain", "COUNT(*)", f"COUNT(*) FILTER (NOT COALESCE({ok}, FALSE))", f"raw_{t}")
+    for t, rules in _DOMAIN.items() for name, ok in rules.items())
+_TIME_RULES = {
+    "approved_after_purchase": "order_approved_at < order_purchase_timestamp",
+    "carrier_after_approval": "order_delivered_carrier_date < order_approved_at",
+    "delivered_after_carrier": "order_delivered_customer_date < order_delivered_carrier_date",
+    "delivered_after_purchase": "order_delivered_customer_date < order_purchase_timestamp",
+    "estimate_after_purchase": "order_estimated_delivery_date < order_purchase_timestamp",
+}
+ORACLES["dq_timestamps"] = " UNION ALL ".join(
+    _dq("orders", name, "timestamp", "COUNT(*)", f"COUNT(*) FILTER ({bad})", "orders_clean")
+    for name, bad in _TIME_RULES.items())
+_BROKEN_TIMES = ", ".join(f"CASE WHEN {bad} THEN '{name}' END" for name, bad in _TIME_RULES.items())
+ORACLES["order_time_flags"] = f"""
+    SELECT order_id, CONCAT_WS(',', {_BROKEN_TIMES}) AS violations,
+           CONCAT_WS(',', {_BROKEN_TIMES}) <> '' AS has_time_violation FROM orders_clean"""
+_BROKEN = ", ".join(f"CASE WHEN NOT COALESCE({ok}, FALSE) THEN '{name}' END"
+                    for name, ok in _RULES["order_items"].items())
+ORACLES["reject_split"] = f"""
+    SELECT order_id, order_item_id, product_id, seller_id, price, CONCAT_WS(',', {_BROKEN}) AS errors
+    FROM raw_order_items WHERE CONCAT_WS(',', {_BROKEN}) <> ''"""
+
+
+def _reconcile(table: str, keys: str) -> str:
+    ok = " AND ".join(f"({r})" for r in _RULES[table].values())
+    return f"""SELECT '{table}' AS table_name, CAST(SUM(n) AS BIGINT) AS source_rows,
+        COUNT(*) FILTER (valid > 0) AS target_rows, CAST(SUM(n - valid) AS BIGINT) AS rejected_rows,
+        CAST(SUM(GREATEST(valid - 1, 0)) AS BIGINT) AS duplicate_rows, TRUE AS is_balanced
+        FROM (SELECT COUNT(*) AS n, COUNT(*) FILTER ({ok}) AS valid FROM raw_{table} GROUP BY {keys})"""
+
+
+ORACLES["reconcile_silver"] = " UNION ALL ".join(
+    _reconcile(t, k) for t, k in {**_KEYS, "reviews": "review_id, order_id"}.items())
+ORACLES["reconcile_gold"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS check_name, CAST({value} AS DOUBLE) AS left_value, CAST({value} AS DOUBLE) AS right_value, "
+    f"0.0e0 AS difference, 'passed' AS status FROM {source}"
+    for name, value, source in [
+        ("daily_gross_equals_fact", "SUM(price)", "base"), ("monthly_total_equals_daily", "SUM(total_item_amount)", "base"),
+        ("daily_orders_equal_fact", "COUNT(DISTINCT order_id)", "base"),
+        ("dimension_orders_equal_fact", "COUNT(*)", "person_orders"), ("no_negative_revenue", "0", "(SELECT 1)")])
+
+# --- upsert, history, replication -------------------------------------------------------
+
+ORACLES["upsert_orders"] = """
+    SELECT order_id, customer_id,
+           CASE WHEN purchase_date >= DATE '1999-10-01' AND order_status = 'shipped' THEN 'delivered' ELSE order_status END
+               AS order_status, order_purchase_timestamp,
+           CASE WHEN purchase_date >= DATE '2000-01-01' THEN 'insert'
+                WHEN purchase_date >= DATE '1999-10-01' AND order_status = 'shipped' THEN 'update' ELSE 'unchanged' END
+               AS change
+    FROM orders_clean"""
+ORACLES["incremental_months"] = ORACLES["agg_category_performance"]
+ORACLES["scd2_customer"] = """
+    SELECT customer_unique_id, ts AS order_purchase_timestamp,
+           LEAD(ts) OVER (PARTITION BY customer_unique_id ORDER BY ts) AS valid_to,
+           LEAD(ts) OVER (PARTITION BY customer_unique_id ORDER BY ts) IS NULL AS is_current,
+           s.z AS customer_zip_code_prefix, s.c AS customer_city, s.st AS customer_state
+    FROM (SELECT *, LAG(s) OVER (PARTITION BY customer_unique_id ORDER BY ts) AS before
+          FROM (SELECT customer_unique_id, order_purchase_timestamp AS ts,
+                       MAX({'z': customer_zip_code_prefix, 'c': customer_city, 'st': customer_state}) AS s
+                FROM orders_clean JOIN customers USING (customer_id) GROUP BY 1, 2))
+    WHERE before IS DISTINCT FROM s"""
+_DRAW = "CAST('0x' || SUBSTR(MD5('{0}' || {1}), 1, 8) AS BIGINT) % 1000 < {2}"
+
+
+def _shifted(column: str) -> str:
+    return f"""CASE WHEN copy = 0 OR TRY_STRPTIME({column}, '%Y-%m-%d %H:%M:%S') IS NULL THEN {column}
+        ELSE STRFTIME(TRY_STRPTIME({column}, '%Y-%m-%d %H:%M:%S') + TO_MONTHS(copy * 12), '%Y-%m-%d %H:%M:%S') END
+        AS {column}"""
+
+
+_NEW_ID = "CASE WHEN copy = 0 THEN {0} ELSE {0} || '-' || copy END"
+ORACLES["replicate_orders"] = f"""
+    SELECT {_NEW_ID.format('order_id')} AS order_id, {_NEW_ID.format('customer_id')} AS customer_id,
+           CASE WHEN copy > 0 AND {_DRAW.format('status', _NEW_ID.format('order_id'), 20)} THEN '???'
+                ELSE order_status END AS order_status,
+           {', '.join(_shifted(c) for c in ['order_purchase_timestamp', 'order_approved_at',
+                                            'order_delivered_carrier_date', 'order_delivered_customer_date',
+                                            'order_estimated_delivery_date'])}
+    FROM raw_orders, (SELECT UNNEST([0, 1, 2]) AS copy)"""
+ORACLES["replicate_items"] = f"""
+    SELECT {_NEW_ID.format('order_id')} AS order_id, order_item_id, product_id, seller_id, shipping_limit_date,
+           CASE WHEN copy > 0 AND {_DRAW.format('price', _NEW_ID.format('order_id'), 5)} THEN -ABS(price)
+                ELSE price END AS price, freight_value
+    FROM raw_order_items, (SELECT UNNEST([0, 1]) AS copy)"""
+
+# --- streaming --------------------------------------------------------------------------
+
+ORACLES["stream_bronze"] = "SELECT * FROM raw_transactions"
+ORACLES["stream_latest"] = "SELECT * FROM transactions"
+ORACLES["stream_hourly_spend"] = f"""
+    SELECT * FROM ({ORACLES['hourly_client_spend']}) WHERE transaction_hour IS NOT NULL"""
+
+
 def all_oracles() -> dict[str, str]:
     return {name: with_steps(sql) for name, sql in ORACLES.items()}

@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakemart.operators import clean, customers, enrich, performance, sales, scorecards, star
-from lakemart.session import materialize
+from lakemart.operators import clean, customers, enrich, performance, quality, sales, scale, scorecards, star, upsert
+from lakemart.operators.rules import entity_rules
+from lakemart.schemas import KEYS, SCHEMAS
+from lakemart.session import materialize, work_path
 from lakemart.sources.adapters import RawEntities
+from lakemart.streaming import ingest, latest
 
 # Test places belong to these regions (state -> region), a fixed five-way mapping.
 REGIONS = {f"NATION_{n}": ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"][n % 5] for n in range(20)}
@@ -410,3 +413,143 @@ def seller_growth(s):
 def seller_kpis(s):
     perf = _stored_seller_performance(s)
     return scorecards.seller_kpis(perf, performance.seller_score(perf))
+
+
+# --- quality ----------------------------------------------------------------------------
+
+@query
+def dq_uniqueness(s):
+    names = ["customers", "orders", "products", "sellers", "order_items", "payments"]
+    return quality.union_all([quality.check_unique(s.raw[n], n, KEYS[n]) for n in names])
+
+
+@query
+def dq_referential(s):
+    pairs = [
+        (s.orders, "orders", s.customers, "customers", "customer_id"), (s.items, "order_items", s.orders, "orders", "order_id"),
+        (s.items, "order_items", s.products, "products", "product_id"),
+        (s.items, "order_items", s.sellers, "sellers", "seller_id"), (s.payments, "payments", s.orders, "orders", "order_id"),
+        (s.reviews, "reviews", s.orders, "orders", "order_id"),
+    ]
+    return quality.union_all([
+        quality.check_reference(child, parent, table, parent_table, key)
+        for child, table, parent, parent_table, key in pairs])
+
+
+@query
+def dq_domain(s):
+    rules = {n: entity_rules(n) for n in ["customers", "orders", "order_items", "payments", "reviews"]}
+    rules["orders"].update(quality.status_rule())
+    rules["products"] = {**entity_rules("products"), "weight_not_negative": F.col("product_weight_g") >= 0}
+    return quality.union_all([quality.check_rows(s.raw[n], n, r, "domain") for n, r in rules.items()])
+
+
+@query
+def dq_timestamps(s):
+    return quality.check_rows(s.orders, "orders", quality.time_rules(), "timestamp")
+
+
+@query
+def order_time_flags(s):
+    flagged = quality.flag_time_violations(s.orders)
+    return flagged.select("order_id", F.array_join("time_violations", ",").alias("violations"), "has_time_violation")
+
+
+@query
+def reject_split(s):
+    _, rejected = quality.split_rejects(s.raw["order_items"], entity_rules("order_items"))
+    return rejected.select("order_id", "order_item_id", "product_id", "seller_id", "price",
+                           F.array_join("_validation_errors", ",").alias("errors"))
+
+
+@query
+def reconcile_silver(s):
+    names = ["customers", "orders", "order_items", "products", "sellers", "payments", "reviews"]
+    return quality.union_all([quality.reconcile(s.raw[n], entity_rules(n), KEYS[n], n) for n in names])
+
+
+@query
+def reconcile_gold(s):
+    daily = materialize(sales.agg_daily_sales(s.orders, s.items, s.reviews), "daily")
+    monthly = sales.agg_monthly_sales(s.orders, s.items, s.reviews)
+    facts = star.fact_order_items(s.orders, s.items, s.reviews, s.customers, s.sellers)
+    orders = materialize(star.fact_orders(s.orders, s.items, s.reviews, s.customers), "fact-orders")
+    people = star.dim_customer(s.orders, s.items, s.customers, REGIONS)
+    return quality.reconcile_gold(daily, monthly, facts, orders, people)
+
+
+# --- upsert, history, replication -------------------------------------------------------
+
+@query
+def upsert_orders(s):
+    """Orders known before a date, then a late batch: open orders of its last quarter delivered, and new ones."""
+    columns = ["order_id", "customer_id", "order_status", "order_purchase_timestamp"]
+    orders = s.orders.select(*columns)
+    bought = F.to_date("order_purchase_timestamp")
+    target = orders.filter(bought < F.lit("2000-01-01"))
+    arrived = F.when(F.col("order_status") == "shipped", "delivered").otherwise(F.col("order_status"))
+    source = orders.filter(bought >= F.lit("1999-10-01")).withColumn("order_status", arrived)
+    return upsert.upsert(target, source, ["order_id"]).withColumnRenamed("_change", "change")
+
+
+@query
+def incremental_months(s):
+    """A category mart whose orders before 2000 are loaded, then brought up to date by month."""
+    late = s.orders.filter(F.col("purchase_date") >= F.lit("1999-12-15"))
+    known = s.orders.filter(F.col("purchase_date") < F.lit("1999-12-15"))
+    months = materialize(upsert.affected_months(late), "months")
+    before = sales.agg_category_performance(known, s.items, s.products, s.reviews)
+    fresh = upsert.refresh_months(sales.agg_category_performance, s.orders, s.items, s.products, s.reviews, months=months)
+    return upsert.replace_months(before, fresh, months)
+
+
+@query
+def scd2_customer(s):
+    seen = s.orders.select("customer_id", "order_purchase_timestamp").join(s.customers, "customer_id")
+    return upsert.customer_history(seen, "customer_unique_id", "order_purchase_timestamp",
+                                   ["customer_zip_code_prefix", "customer_city", "customer_state"])
+
+
+@query
+def replicate_orders(s):
+    return scale.replicate_orders(s.raw["orders"], 3, bad_status_per_thousand=20)
+
+
+@query
+def replicate_items(s):
+    return scale.replicate_items(s.raw["order_items"], 2, negative_price_per_thousand=5)
+
+
+# --- streaming --------------------------------------------------------------------------
+
+def _transaction_stream(s):
+    """The transactions as JSON messages in files, read as a stream."""
+    messages = s.raw["transactions"].select(F.to_json(F.struct("*")).alias("value"))
+    source = work_path(s.spark, "messages")
+    messages.write.text(source)
+    stream = ingest.read_stream(s.spark, "text", schema=messages.schema, path=source)
+    return ingest.decode_json(stream, SCHEMAS["transactions"])
+
+
+@query
+def stream_bronze(s):
+    out = work_path(s.spark, "bronze")
+    ingest.run_available(ingest.write_stream(
+        _transaction_stream(s), work_path(s.spark, "bronze-log"), path=out, trigger={"availableNow": True}))
+    return s.spark.read.schema(SCHEMAS["transactions"]).parquet(out)
+
+
+@query
+def stream_latest(s):
+    out = work_path(s.spark, "latest")
+    ingest.run_available(latest.stream_latest(
+        _transaction_stream(s), out, work_path(s.spark, "latest-log"), {"availableNow": True}))
+    return latest.read_latest(s.spark, out, ["id_transaction"], "transaction_time", [F.col("price").desc_nulls_last()])
+
+
+@query
+def stream_hourly_spend(s):
+    out = work_path(s.spark, "hourly")
+    ingest.run_available(latest.stream_hourly_spend(
+        _transaction_stream(s), out, work_path(s.spark, "hourly-log"), trigger={"availableNow": True}))
+    return latest.read_latest(s.spark, out, ["client", "transaction_hour"])
