@@ -63,7 +63,10 @@ def source_file_report(spark: SparkSession, path: str, schema: T.StructType) ->
     not need a file in one task. Empty files appear with zero rows.
     """
     header = ",".join(schema.fieldNames())
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file_path"))
+    text = spark.read.text(path)
+    lines = text.select("value", F.col("_metadata.file_path").alias("file_path"))
+    # Scans skip empty files, so the names come from the listing.
+    listed = spark.createDataFrame([(f,) for f in text.inputFiles()], "file_path string")
     is_header = F.regexp_replace("value", '["﻿\r]', "") == header
     line_hash = F.xxhash64("value")
     content = lines.groupBy("file_path").agg(
@@ -73,9 +76,10 @@ def source_file_report(spark: SparkSession, path: str, schema: T.StructType) ->
         F.bit_xor(line_hash).alias("xor_hash"),
     )
     sizes = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file_path"), "length")
-    slashes = F.regexp_replace("file_path", "^file:/+", "file:/")  # both listings write local paths alike
-    return sizes.withColumn("file_path", slashes).join(content.withColumn("file_path", slashes), "file_path", "left").select(
-        "file_path", F.col("length").alias("bytes"), F.coalesce("data_rows", F.lit(0)).alias("data_rows"),
+    slashes = F.regexp_replace("file_path", "^file:/+", "file:/")  # the listings write local paths differently
+    named = [d.withColumn("file_path", slashes) for d in (listed, sizes, content)]
+    return named[0].join(named[1], "file_path", "left").join(named[2], "file_path", "left").select(
+        "file_path", F.coalesce("length", F.lit(0)).alias("bytes"), F.coalesce("data_rows", F.lit(0)).alias("data_rows"),
         (F.coalesce("headers", F.lit(0)) > 0).alias("has_expected_columns"),
         F.concat_ws("-", F.coalesce("data_rows", F.lit(0)), "sum_hash", F.hex("xor_hash")).alias("fingerprint"),
         (F.coalesce("data_rows", F.lit(0)) > 0).alias("is_not_empty"),

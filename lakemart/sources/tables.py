@@ -7,6 +7,7 @@ formats with their own catalog (``iceberg``, ``delta``) take the second-generati
 from __future__ import annotations
 
 import math
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
@@ -67,7 +68,7 @@ def write_table(df: DataFrame, table: str, fmt: str = "parquet", partition_by=()
             writer = writer.partitionedBy(*[F.col(c) for c in partition_by])
         writer.createOrReplace()
     else:
-        writer = arranged.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "static")
+        writer = arranged.write.format(fmt).mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         if bucket_by:
@@ -75,7 +76,9 @@ def write_table(df: DataFrame, table: str, fmt: str = "parquet", partition_by=()
             writer = writer.bucketBy(number, column).sortBy(column)
         if path:
             writer = writer.option("path", path)
-        writer.saveAsTable(table)
+        # A fixed location may still hold folders of an earlier table: replace all of it.
+        with _partition_overwrite(df.sparkSession, "static"):
+            writer.saveAsTable(table)
     return {"target_rows": counted.get["rows"]}
 
 
@@ -85,12 +88,19 @@ def overwrite_partitions(df: DataFrame, table: str) -> None:
     The frame must not read the table itself: stage it first.
     """
     spark = df.sparkSession
-    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
+    with _partition_overwrite(spark, "dynamic"):
         df.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+
+
+@contextmanager
+def _partition_overwrite(spark: SparkSession, mode: str):
+    name = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(name)
+    spark.conf.set(name, mode)
+    try:
+        yield
     finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+        spark.conf.set(name, before)
 
 
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
