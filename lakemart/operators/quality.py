@@ -84,6 +84,22 @@ def stamp(results: DataFrame, run_id: str, checked_at, details: str | None = Non
         "details": F.lit(details).cast("string")})
 
 
+RESULT_COLUMNS = ["run_id", "table_name", "rule_name", "rule_type", "checked_at", "rows_checked", "rows_failed",
+                  "failure_percentage", "status", "details"]
+
+
+def append_results(results: DataFrame, table: str) -> None:
+    """Append stamped results to the quality table, creating it if needed."""
+    results.select(*RESULT_COLUMNS).write.mode("append").saveAsTable(table)
+
+
+def check_reject_rate(reconciled: DataFrame, max_percentage: float = 5.0) -> DataFrame:
+    """Tables of :func:`reconcile` with their rejected share and whether it is acceptable."""
+    percentage = F.coalesce(ratio("rejected_rows", "source_rows"), F.lit(0.0)) * 100
+    return reconciled.select("table_name", "source_rows", "rejected_rows", percentage.alias("rejected_percentage"),
+                             F.when(percentage <= max_percentage, "passed").otherwise("failed").alias("status"))
+
+
 def split_rejects(df: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
     """Valid rows, and rejected rows with ``_validation_errors`` naming the broken rules."""
     marked = df.withColumn("_validation_errors", broken_rules(rules))

@@ -10,13 +10,22 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lakemart.functions import money, parse_timestamp
+from lakemart.functions import parse_timestamp
+
+
+LARGEST_AMOUNT = 1e15
 
 
 def _present(*names: str) -> dict[str, Column]:
     return {f"{n}_present": F.col(n).isNotNull() for n in names}
 
 
+def _amount(name: str) -> Column:
+    """Not negative and small enough for the money type. Compared as it comes, so that the range
+    reaches the scan and no row is converted twice; the upper end also excludes not-a-number."""
+    return F.col(name).between(0, LARGEST_AMOUNT)
+
+
 def entity_rules(entity: str) -> dict[str, Column]:
     """Rules on the raw columns of one entity."""
     if entity == "customers":
@@ -29,8 +38,8 @@ def entity_rules(entity: str) -> dict[str, Column]:
     if entity == "order_items":
         return {
             **_present("order_id", "order_item_id"),
-            "price_not_negative": money("price") >= 0,
-            "freight_not_negative": money("freight_value") >= 0,
+            "price_not_negative": _amount("price"),
+            "freight_not_negative": _amount("freight_value"),
         }
     if entity == "products":
         return _present("product_id")
@@ -39,7 +48,7 @@ def entity_rules(entity: str) -> dict[str, Column]:
     if entity == "payments":
         return {
             **_present("order_id"),
-            "value_not_negative": money("payment_value") >= 0,
+            "value_not_negative": _amount("payment_value"),
             "installments_not_negative": F.col("payment_installments") >= 0,
         }
     if entity == "reviews":

@@ -17,6 +17,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Recording a call site for every column expression slows down building wide plans.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

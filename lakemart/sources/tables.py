@@ -51,15 +51,17 @@ def arrange(df: DataFrame, partition_by=(), sort_by=()) -> DataFrame:
 
 
 def write_table(df: DataFrame, table: str, fmt: str = "parquet", partition_by=(), sort_by=(), bucket_by=None,
-                path: str | None = None, with_processed_at: bool = False) -> dict:
+                path: str | None = None, with_processed_at: bool = False, global_order=()) -> dict:
     """Replace a table with the frame and return its row count, taken during the write.
 
-    ``bucket_by`` is (column, number). ``path`` fixes the location.
+    ``bucket_by`` is (column, number). ``path`` fixes the location. ``global_order`` sorts the whole
+    result by ranges, for small tables that are read in order; ``sort_by`` only sorts inside files.
     """
     if with_processed_at:
         df = df.withColumn("processed_at", F.current_timestamp())
     counted = Observation()
-    arranged = arrange(df, partition_by, sort_by).observe(counted, F.count(F.lit(1)).alias("rows"))
+    arranged = df.orderBy(*global_order) if global_order else arrange(df, partition_by, sort_by)
+    arranged = arranged.observe(counted, F.count(F.lit(1)).alias("rows"))
     if fmt in CATALOG_FORMATS:
         writer = arranged.writeTo(table).using(fmt)
         if path:
