@@ -134,28 +134,31 @@ def customer_history(versions: DataFrame, key: str, valid_from: str, tracked: li
                        F.col("next_start").isNull().alias("is_current"), "state.*")
 
 
-def _pieces(df: DataFrame, key: str, valid_from: str, **limits) -> DataFrame:
-    cut = split_large_groups(df, [key], valid_from, **limits)
-    return df.withColumn("_piece", F.lit(0)) if cut is None else cut
-
-
 def _changes(observed: DataFrame, key: str, valid_from: str, **limits) -> DataFrame:
-    """Observations that differ from the one before."""
-    cut = _pieces(observed, key, valid_from, **limits)
-    inside = Window.partitionBy(key, "_piece").orderBy(valid_from)
-    before = cut.withColumns({"_before": F.lag("state").over(inside), "_nth": F.row_number().over(inside)})
-    borders = cut.groupBy(key, "_piece").agg(F.max_by("state", valid_from).alias("_last")).withColumn(
-        "_last_before", F.lag("_last").over(Window.partitionBy(key).orderBy("_piece"))).drop("_last")
-    joined = before.join(borders, [key, "_piece"])
-    previous = F.when(F.col("_nth") == 1, F.col("_last_before")).otherwise(F.col("_before"))
-    return materialize(joined.filter(~F.col("state").eqNullSafe(previous)).select(key, valid_from, "state"), "history-changes")
+    """Observations that differ from the one before, stored because they are read again."""
+    person = Window.partitionBy(key)
+    cut = split_large_groups(observed, [key], valid_from, **limits)
+    if cut is None:
+        before = observed.withColumn("_before", F.lag("state").over(person.orderBy(valid_from)))
+    else:
+        inside = Window.partitionBy(key, "_piece").orderBy(valid_from)
+        last = cut.groupBy(key, "_piece").agg(F.max_by("state", valid_from).alias("_last"))
+        border = last.withColumn("_border", F.lag("_last").over(person.orderBy("_piece"))).drop("_last")
+        before = cut.withColumns({"_inner": F.lag("state").over(inside), "_nth": F.row_number().over(inside)}) \
+            .join(border, [key, "_piece"]) \
+            .withColumn("_before", F.when(F.col("_nth") == 1, F.col("_border")).otherwise(F.col("_inner")))
+    changed = before.filter(~F.col("state").eqNullSafe(F.col("_before")))
+    return materialize(changed.select(key, valid_from, "state"), "history-changes")
 
 
 def _next_start(starts: DataFrame, key: str, valid_from: str, **limits) -> DataFrame:
     """Start of the following period, null for the last."""
-    cut = _pieces(starts, key, valid_from, **limits)
+    person = Window.partitionBy(key)
+    cut = split_large_groups(starts, [key], valid_from, **limits)
+    if cut is None:
+        return starts.withColumn("next_start", F.lead(valid_from).over(person.orderBy(valid_from)))
     inside = Window.partitionBy(key, "_piece").orderBy(valid_from)
-    after = cut.withColumn("_after", F.lead(valid_from).over(inside))
-    borders = cut.groupBy(key, "_piece").agg(F.min(valid_from).alias("_first")).withColumn(
-        "_first_after", F.lead("_first").over(Window.partitionBy(key).orderBy("_piece"))).drop("_first")
-    return after.join(borders, [key, "_piece"]).withColumn("next_start", F.coalesce("_after", "_first_after"))
+    first = cut.groupBy(key, "_piece").agg(F.min(valid_from).alias("_first"))
+    border = first.withColumn("_border", F.lead("_first").over(person.orderBy("_piece"))).drop("_first")
+    return cut.withColumn("_inner", F.lead(valid_from).over(inside)).join(border, [key, "_piece"]) \
+        .withColumn("next_start", F.coalesce("_inner", "_border"))
