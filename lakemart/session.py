@@ -40,8 +40,10 @@ def shared_folder(spark: SparkSession) -> str:
     """Folder all executors can reach: ``spark.checkpoint.dir``; a local one only if that is unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        folder = tempfile.mkdtemp(prefix="lakemart-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        context = spark.sparkContext
+        if context.getCheckpointDir() is None:
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="lakemart-"))
+        folder = context.getCheckpointDir()
     return folder.rstrip("/")
 
 
