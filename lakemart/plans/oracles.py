@@ -634,5 +634,43 @@ ORACLES["stream_hourly_spend"] = f"""
     SELECT * FROM ({ORACLES['hourly_client_spend']}) WHERE transaction_hour IS NOT NULL"""
 
 
+# --- joins, duplicates, hashes, skew ----------------------------------------------------
+
+ORACLES["item_base"] = """
+    SELECT order_id, customer_id, order_purchase_timestamp, purchase_date, purchase_year_month, order_status, is_delivered,
+           is_cancelled, is_late_delivery, delivery_duration_days, delivery_delay_days, order_item_id, product_id,
+           seller_id, CAST(price AS DOUBLE) AS price, CAST(freight_value AS DOUBLE) AS freight_value,
+           CAST(total_item_amount AS DOUBLE) AS total_item_amount, review_score FROM base"""
+ORACLES["item_categories"] = """
+    SELECT order_id, order_item_id, COALESCE(product_category_name_en, 'unknown') AS category
+    FROM items LEFT JOIN products USING (product_id)"""
+ORACLES["missing_orders"] = """
+    SELECT order_id, COUNT(*) AS child_rows FROM items
+    WHERE NOT EXISTS (SELECT 1 FROM orders_clean o WHERE o.order_id = items.order_id) GROUP BY 1"""
+ORACLES["exact_duplicates"] = "SELECT DISTINCT product_id, seller_id FROM raw_order_items"
+ORACLES["record_hashes"] = """
+    SELECT customer_id, SHA256(customer_id || CHR(1) || COALESCE(customer_unique_id, CHR(0)) || CHR(1) || customer_city)
+               AS record_hash
+    FROM raw_customers"""
+ORACLES["salted_join"] = """
+    SELECT order_id, order_item_id, seller_state FROM items LEFT JOIN sellers USING (seller_id)"""
+ORACLES["salted_aggregate"] = f"""
+    SELECT seller_id, {_money('price', 'revenue')}, COUNT(*) AS items FROM items GROUP BY 1"""
+ORACLES["daily_batches"] = """
+    SELECT CAST(CAST('0x' || SUBSTR(MD5(order_id), 1, 15) AS BIGINT) % 7 AS INT) AS batch_number, COUNT(*) AS orders
+    FROM raw_orders GROUP BY 1"""
+
+# --- files and tables -------------------------------------------------------------------
+
+ORACLES["csv_reviews"] = ORACLES["clean_reviews"]
+ORACLES["orders_table"] = ORACLES["clean_orders"]
+ORACLES["hourly_spend_table"] = ORACLES["stream_hourly_spend"]
+ORACLES["upsert_orders_table"] = """
+    SELECT order_id, customer_id,
+           CASE WHEN purchase_date >= DATE '1999-10-01' AND order_status = 'shipped' THEN 'delivered' ELSE order_status END
+               AS order_status, order_purchase_timestamp, purchase_year_month
+    FROM orders_clean"""
+
+
 def all_oracles() -> dict[str, str]:
     return {name: with_steps(sql) for name, sql in ORACLES.items()}

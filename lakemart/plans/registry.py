@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakemart.operators import clean, customers, enrich, performance, quality, sales, scale, scorecards, star, upsert
+from lakemart.operators import (
+    clean, customers, dedup, enrich, joins, performance, quality, sales, scale, scorecards, skew, star, upsert,
+)
 from lakemart.operators.rules import entity_rules
 from lakemart.schemas import KEYS, SCHEMAS
 from lakemart.session import materialize, work_path
+from lakemart.functions import row_hash
+from lakemart.sources import files, tables
 from lakemart.sources.adapters import RawEntities
 from lakemart.streaming import ingest, latest
 
@@ -553,3 +558,112 @@ def stream_hourly_spend(s):
     ingest.run_available(latest.stream_hourly_spend(
         _transaction_stream(s), out, work_path(s.spark, "hourly-log"), trigger={"availableNow": True}))
     return latest.read_latest(s.spark, out, ["client", "transaction_hour"])
+
+
+# --- joins, duplicates, hashes, skew ----------------------------------------------------
+
+@query
+def item_base(s):
+    return joins.item_base(s.orders, s.items, s.reviews)
+
+
+@query
+def item_categories(s):
+    names = s.products.select("product_id", F.col("product_category_name_en").alias("category"))
+    joined = joins.broadcast_lookup(s.items, names, ["product_id"])
+    return joins.with_default(joined, "category", "unknown").select("order_id", "order_item_id", "category")
+
+
+@query
+def missing_orders(s):
+    return joins.missing_parents(s.items, s.orders, "order_id")
+
+
+@query
+def exact_duplicates(s):
+    return dedup.drop_exact_duplicates(s.raw["order_items"].select("product_id", "seller_id"))
+
+
+@query
+def record_hashes(s):
+    hashed = row_hash("customer_id", "customer_unique_id", "customer_city")
+    return s.raw["customers"].select("customer_id", hashed.alias("record_hash"))
+
+
+@query
+def salted_join(s):
+    """Items with the state of their seller; sellers with many items are spread over tasks."""
+    states = s.sellers.select("seller_id", "seller_state")
+    return skew.salted_join(s.items, states, ["seller_id"], "left", min_rows=100, salts=8).select(
+        "order_id", "order_item_id", "seller_state")
+
+
+@query
+def salted_aggregate(s):
+    return skew.salted_aggregate(
+        s.items, ["seller_id"], {"revenue": F.sum("price"), "items": F.count("price")},
+        {"revenue": F.sum("revenue"), "items": F.sum("items")}, salts=8)
+
+
+@query
+def daily_batches(s):
+    return scale.daily_batches(s.raw["orders"], 7).groupBy("batch_number").agg(F.count(F.lit(1)).alias("orders"))
+
+
+# --- files and tables -------------------------------------------------------------------
+
+def _new_table(s, name: str) -> dict:
+    """Name and place of a table of its own."""
+    return {"table": f"{name}_{uuid.uuid4().hex}", "path": work_path(s.spark, name)}
+
+
+def _read_and_forget(s, table: str) -> DataFrame:
+    """The table's files, without leaving its name in the catalog (they stay: the location is external)."""
+    files_of_table = s.spark.table(table)
+    place = s.spark.sql(f"DESCRIBE FORMATTED {table}").filter("col_name = 'Location'").first().data_type
+    schema = files_of_table.schema
+    tables.drop_table(s.spark, table)
+    return s.spark.read.schema(schema).parquet(place)
+
+
+@query
+def csv_reviews(s):
+    """Reviews written as CSV with quotes and line breaks, read back with the declared schema and cleaned."""
+    place = work_path(s.spark, "reviews")
+    s.raw["reviews"].write.options(header=True, escape='"', ignoreLeadingWhiteSpace=False,
+                                   ignoreTrailingWhiteSpace=False).csv(place)
+    return clean.clean_reviews(files.read_entity(s.spark, place, "reviews"))
+
+
+@query
+def orders_table(s):
+    """Orders as a table partitioned by month, with the months of one year replaced."""
+    t = _new_table(s, "orders_table")
+    tables.write_table(s.orders, t["table"], path=t["path"], partition_by=["purchase_year_month"],
+                       sort_by=["order_purchase_timestamp", "customer_id"])
+    tables.overwrite_partitions(tables.filter_period(s.orders, "1998-01", "1998-12"), t["table"])
+    return _read_and_forget(s, t["table"])
+
+
+@query
+def hourly_spend_table(s):
+    t = _new_table(s, "hourly_spend")
+    hourly = sales.hourly_client_spend(s.raw["transactions"]).filter(F.col("transaction_hour").isNotNull())
+    tables.write_table(hourly.withColumn("day", F.date_format("transaction_hour", "yyyyMMdd")), t["table"], path=t["path"],
+                       partition_by=["day"], bucket_by=("client", 4))
+    return _read_and_forget(s, t["table"]).drop("day")
+
+
+@query
+def upsert_orders_table(s):
+    """The upsert applied to a partitioned table: only the months it touches are rewritten."""
+    t = _new_table(s, "upserted")
+    columns = ["order_id", "customer_id", "order_status", "order_purchase_timestamp", "purchase_year_month"]
+    orders = s.orders.select(*columns)
+    bought = F.to_date("order_purchase_timestamp")
+    tables.write_table(orders.filter(bought < F.lit("2000-01-01")), t["table"], path=t["path"],
+                       partition_by=["purchase_year_month"])
+    arrived = F.when(F.col("order_status") == "shipped", "delivered").otherwise(F.col("order_status"))
+    batch = orders.filter(bought >= F.lit("1999-10-01")).withColumn("order_status", arrived)
+    upsert.upsert_table(s.spark, t["table"], batch, ["order_id"])
+    return _read_and_forget(s, t["table"])
