@@ -39,7 +39,10 @@ def canonical(columns, rows):
 
 def compare(spark, con, folder, run, sql):
     """Differences as a list of messages; empty when both sides agree exactly."""
-    df = run(spark, folder)
+    return compare_frame(run(spark, folder), con, sql)
+
+
+def compare_frame(df, con, sql):
     left_cols, left = canonical(df.columns, [tuple(r) for r in df.collect()])
     cur = con.execute(sql)
     right_cols, right = canonical([d[0] for d in cur.description], cur.fetchall())

@@ -2,6 +2,7 @@ import datetime
 import os
 
 import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from lakemart.operators import quality, scale, upsert
@@ -93,6 +94,20 @@ def test_upsert_changes_and_record_times(spark):
     assert {r._change for r in again.collect()} == {"unchanged"}
 
 
+versions = st.dictionaries(st.sampled_from("abcd"), st.one_of(st.none(), st.integers(0, 2)), max_size=4)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(versions, versions)
+def test_upsert_twice_is_upsert_once(spark, old, new):
+    target = spark.createDataFrame(list(old.items()), "id string, v int")
+    source = spark.createDataFrame(list(new.items()), "id string, v int")
+    once = upsert.upsert(target, source, ["id"])
+    twice = upsert.upsert(once.drop("_change"), source, ["id"])
+    assert {(r.id, r.v) for r in once.collect()} == {(k, v) for k, v in {**old, **new}.items()}
+    assert {(r.id, r.v, r._change) for r in twice.collect()} == {(k, v, "unchanged") for k, v in {**old, **new}.items()}
+
+
 def test_upsert_table_moves_rows_between_partitions(spark, db):
     t = f"{db}.u"
     tables.write_table(sample(spark), t, partition_by=["purchase_year_month"])
