@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lakemart.functions import digest, region_of, year_month
 from lakemart.operators.enrich import with_product_bands
-from lakemart.operators.joins import order_base, persons_of, review_per_order
+from lakemart.operators.joins import order_base, review_per_order
 from lakemart.operators.performance import person_orders
 
 

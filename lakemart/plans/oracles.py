@@ -222,7 +222,7 @@ ORACLES["agg_seller_performance"] = """
 ORACLES["seller_score"] = "SELECT * FROM seller_scores"
 
 
-def _delivery(columns: list[str], source: str, item_keys: list[str]) -> str:
+def _delivery(columns: list[str], source: str) -> str:
     keys = ", ".join(columns)
     known = "COUNT(delay)"
     return f"""
@@ -238,11 +238,11 @@ def _delivery(columns: list[str], source: str, item_keys: list[str]) -> str:
 
 _CATEGORIZED = """(SELECT b.*, COALESCE(p.product_category_name_en, 'unknown') AS category
                    FROM base b LEFT JOIN products p USING (product_id))"""
-ORACLES["agg_delivery_by_date"] = _delivery(["purchase_date"], "base", [])
-ORACLES["agg_delivery_by_state"] = _delivery(["customer_state"], "persons", [])
-ORACLES["agg_delivery_by_seller"] = _delivery(["seller_id"], "base", ["seller_id"])
-ORACLES["agg_delivery_by_category"] = _delivery(["category"], _CATEGORIZED, ["category"])
-ORACLES["agg_delivery_by_month_state"] = _delivery(["purchase_year_month", "customer_state"], "persons", [])
+ORACLES["agg_delivery_by_date"] = _delivery(["purchase_date"], "base")
+ORACLES["agg_delivery_by_state"] = _delivery(["customer_state"], "persons")
+ORACLES["agg_delivery_by_seller"] = _delivery(["seller_id"], "base")
+ORACLES["agg_delivery_by_category"] = _delivery(["category"], _CATEGORIZED)
+ORACLES["agg_delivery_by_month_state"] = _delivery(["purchase_year_month", "customer_state"], "persons")
 ORACLES["agg_payment_performance"] = """
     SELECT *, paid_value / SUM(paid_value) OVER (PARTITION BY purchase_year_month) AS payment_type_share
     FROM (SELECT purchase_year_month, payment_type, COUNT(*) AS payment_count, SUM(payment_value) AS paid_value,
