@@ -6,10 +6,12 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from lakemart.plans.oracles import all_oracles
+from lakemart.plans.registry import all_queries
 from tests.oracle_compare import compare_frame, oracle_connection
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = all_queries(), all_oracles()
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +21,7 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
