@@ -16,8 +16,8 @@ WORD = re.compile(rb"[0-9a-z'\x80-\xff]+")
 BITS = 20
 #: At most so many labelled rows are learned from, the first by a hash of their id.
 SAMPLE_ROWS = 24_000
-EPOCHS = 3
-ALPHA, BETA, L1, L2 = 0.1, 1.0, 2.0, 1.0
+EPOCHS = 4
+ALPHA, BETA, L1, L2 = 0.6, 1.0, 8.0, 0.1
 THRESHOLD = 0.3
 CACHE_WORDS = 400_000
 
