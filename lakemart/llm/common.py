@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from lakemart.session import materialize
+
 # The letters that lower-casing covers.
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -67,3 +69,9 @@ def shuffle_cleanup(spark: SparkSession):
             spark.conf.unset(key)
         else:
             spark.conf.set(key, before)
+
+
+def store(df: DataFrame, name: str) -> DataFrame:
+    """Written to the shared folder and read back; the shuffle files of the computation go."""
+    with shuffle_cleanup(df.sparkSession):
+        return materialize(df, name)

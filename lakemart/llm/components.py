@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from lakemart.session import materialize
+from lakemart.llm.common import store
+
 
 
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -17,10 +18,10 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     """
     edges = links.select(F.least(a, b).alias("low"), F.greatest(a, b).alias("high")) \
         .filter(F.col("low") < F.col("high")).distinct()
-    edges = materialize(edges, "components")
+    edges = store(edges, "components")
     before = None
     while True:
-        edges = materialize(_small_star(_large_star(edges)), "components")
+        edges = store(_small_star(_large_star(edges)), "components")
         # Order-free digest of the links; the same twice means that nothing moved.
         state = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("low", "high")), F.sum(F.hash("low", "high").cast("long"))).first()
         if state == before:

@@ -13,8 +13,7 @@ from collections.abc import Iterable
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from lakemart.llm.common import add_columns, as_bytes
-from lakemart.session import materialize
+from lakemart.llm.common import add_columns, as_bytes, store
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 WINDOW = 10
@@ -114,7 +113,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text"
         part = wanted.filter(F.pmod(F.xxhash64("item", "text"), F.lit(passes)) == number) if passes > 1 else wanted
         rows = spark.sparkContext.broadcast([(r.item, bytes(r.text or b"")) for r in part.collect()])
         if number:
-            out = materialize(out, "decontaminate-pass")
+            out = store(out, "decontaminate-pass")
         out = add_columns(out, [text, "hit_spans", "items"], FIELDS, lambda rows=rows: _searcher(rows.value, window))
     return out
 

@@ -10,8 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lakemart.llm.common import shuffle_cleanup
-from lakemart.session import materialize
+from lakemart.llm.common import store
 
 SIMILARITY = 0.8
 #: Shorter lines are never compared: headings and separators repeat in clean text.
@@ -93,19 +92,18 @@ def similar_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", simi
     # Words before the met one are apart unless they met before; the rest must be able to fill the overlap.
     can_fill = F.least(F.col("pa"), F.col("pb")) + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) >= needed
     met = stored.join(probe, "code").filter(ordered & long_enough & can_fill).select("a", "b").distinct()
-    with shuffle_cleanup(docs.sparkSession):
-        pairs = materialize(met, "lines-candidates")
-        wanted = pairs.select(F.col("a").alias("at")).union(pairs.select(F.col("b").alias("at"))).distinct()
-        sets = materialize(
-            wanted.join(lines, "at").dropDuplicates(["at"]).select("at", word_codes(F.col("line"), ranks).alias("codes")),
-            "lines-sets")
-        left = sets.select(F.col("at").alias("a"), F.col("codes").alias("ca"))
-        right = sets.select(F.col("at").alias("b"), F.col("codes").alias("cb"))
-        shared = F.size(F.array_intersect("ca", "cb"))
-        alike = shared >= (F.size("ca") + F.size("cb") - shared) * similarity - 1e-9
-        found = pairs.join(left, "a").join(right, "b").filter(alike) \
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        return materialize(found, "lines-pairs")
+    pairs = store(met, "lines-candidates")
+    wanted = pairs.select(F.col("a").alias("at")).union(pairs.select(F.col("b").alias("at"))).distinct()
+    sets = store(
+        wanted.join(lines, "at").dropDuplicates(["at"]).select("at", word_codes(F.col("line"), ranks).alias("codes")),
+        "lines-sets")
+    left = sets.select(F.col("at").alias("a"), F.col("codes").alias("ca"))
+    right = sets.select(F.col("at").alias("b"), F.col("codes").alias("cb"))
+    shared = F.size(F.array_intersect("ca", "cb"))
+    alike = shared >= (F.size("ca") + F.size("cb") - shared) * similarity - 1e-9
+    found = pairs.join(left, "a").join(right, "b").filter(alike) \
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return store(found, "lines-pairs")
 
 
 def judge_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY,

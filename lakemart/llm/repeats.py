@@ -9,6 +9,7 @@ document that holds each.
 
 from __future__ import annotations
 
+from collections import Counter
 from itertools import groupby
 
 import numpy as np
@@ -16,9 +17,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from lakemart.llm.common import add_columns, as_bytes, shuffle_cleanup
+from lakemart.llm.common import add_columns, as_bytes, store
 from lakemart.llm.suffixes import permuted_prefixes, suffix_array
-from lakemart.session import materialize
 
 SPAN = 50
 GRAM = 16
@@ -28,19 +28,29 @@ BLOCK_BYTES = 1 << 20
 SHARD_BYTES = 1 << 20
 
 
-def window_anchors(data: np.ndarray, span: int = SPAN, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
-    """For each start of a ``span``-byte window, the place of its anchor; and the hash of each gram."""
-    n = len(data)
-    padded = np.concatenate([data, np.zeros(8, dtype=np.uint8)])
-    words = np.ndarray((n,), dtype="<u8", buffer=padded, strides=(1,))
-    count = n - gram + 1
-    low, high = words[:count], words[gram - 8:gram - 8 + count]
+def gram_hashes(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Hashes of grams given by their first and last 8 bytes."""
     h = low * np.uint64(0x9E3779B97F4A7C15)
     h ^= h >> np.uint64(29)
     h += high
     h *= np.uint64(0xBF58476D1CE4E5B9)
     h ^= h >> np.uint64(32)
     h *= np.uint64(0x94D049BB133111EB)
+    return h
+
+
+def _words(data: np.ndarray) -> np.ndarray:
+    """The 8 bytes from every place on, as numbers; zeros follow the end."""
+    padded = np.concatenate([data, np.zeros(8, dtype=np.uint8)])
+    return np.ndarray((len(data),), dtype="<u8", buffer=padded, strides=(1,))
+
+
+def window_anchors(data: np.ndarray, span: int = SPAN, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
+    """For each start of a ``span``-byte window, the place of its anchor; and the hash of each gram."""
+    n = len(data)
+    words = _words(data)
+    count = n - gram + 1
+    h = gram_hashes(words[:count], words[gram - 8:gram - 8 + count])
     value = (h >> np.uint64(32)).astype(np.uint32)
     place = np.arange(count, dtype=np.int32)
     width = span - gram + 1  # grams in a window
@@ -55,8 +65,8 @@ def window_anchors(data: np.ndarray, span: int = SPAN, gram: int = GRAM) -> tupl
 
 
 def anchored(texts: list[bytes], span: int = SPAN, gram: int = GRAM):
-    """Per block of texts: (bytes, text number, gram hash, first window, last window) of every anchor; the
-    windows count from the start of the text."""
+    """Per block of texts: (text number, gram hash, where) of every anchor. ``where`` packs the first
+    window (from the start of the text), the number of further windows and the place of the gram in the first."""
     at = 0
     while at < len(texts):
         stop, size = at, 0
@@ -89,78 +99,133 @@ def _anchored_block(texts, first, span, gram):
     filled = np.flatnonzero(lengths)  # empty texts share a start with the next one
     owner = filled[np.searchsorted(starts[filled], runs, side="right") - 1]
     # A run never spans two texts, as the last span - 1 windows of a text are not valid.
-    return data, first + owner, h[place[runs]], runs - starts[owner], ends - starts[owner]
+    where = (runs - starts[owner] << 16) | (ends - runs << 8) | (place[runs] - runs)
+    return first + owner, h[place[runs]], where
 
 
-def _emit_anchors(span, gram):
-    """Rows (route, gram, lo, hi, doc, first, last, settled) for the texts of a batch.
+def _pack(gram: np.ndarray, doc: np.ndarray, where: np.ndarray) -> bytes:
+    """Three columns as bytes, equal byte places together, so that block compression finds their runs."""
+    columns = [np.ascontiguousarray(c, dtype=np.int64).view(np.uint8).reshape(-1, 8).T for c in (gram, doc, where)]
+    return np.concatenate(columns).tobytes()
 
-    A gram met in two documents of the batch is settled: its rows need no further proof and are routed
-    by place, so a hot gram is spread; one summary row (no doc) tells the other batches about it.
+
+def _unpack(data: bytes) -> np.ndarray:
+    """Rows gram, doc, where."""
+    planes = np.frombuffer(data, dtype=np.uint8).reshape(24, -1)
+    return np.stack([np.ascontiguousarray(planes[8 * i:8 * i + 8].T).view(np.int64)[:, 0] for i in range(3)])
+
+
+SUMMARY = -1
+
+
+def _emit_anchors(span, gram, buckets):
+    """Rows (bucket, settled, anchors) for the texts of a batch: the packed anchors of each hash bucket.
+
+    A gram met in two documents of the batch is settled: its anchors need no further proof and go to
+    buckets in equal parts, so a hot gram is spread; its smallest and largest document (two summary
+    entries) tell the other batches about it.
     """
     def run(batches):
-        for batch in batches:
+        for number, batch in enumerate(batches):
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            parts = [(own, h, a, b) for _, own, h, a, b in anchored(as_bytes(batch.column(1)), span, gram)]
-            if not parts:
+            parts = list(anchored(as_bytes(batch.column(1)), span, gram))
+            if not parts or not sum(len(p[0]) for p in parts):
                 continue
-            own, h, a, b = (np.concatenate(x) for x in zip(*parts))
-            if not len(h):
-                continue
-            doc, keys = ids[own], h.view(np.int64)
-            order = np.argsort(keys, kind="stable")
-            heads = np.flatnonzero(np.append(True, keys[order][1:] != keys[order][:-1]))
-            lo, hi = np.minimum.reduceat(doc[order], heads), np.maximum.reduceat(doc[order], heads)
-            sizes = np.diff(np.append(heads, len(order)))
-            settled = np.empty(len(order), dtype=bool)
-            settled[order] = np.repeat(lo < hi, sizes)
-            spread = keys ^ ((doc * np.int64(0x9E3779B97F4A7C1) + a) | np.int64(1))
-            yield _rows(np.where(settled, spread, keys), keys, doc, doc, doc, a, b, settled)
-            some = np.flatnonzero(lo < hi)
-            if len(some):
-                own_keys = keys[order][heads[some]]
-                nothing = pa.nulls(len(some), pa.int64())
-                zero = np.zeros(len(some), dtype=np.int32)
-                yield _rows(own_keys, own_keys, lo[some], hi[some], nothing, zero, zero, np.zeros(len(some), dtype=bool))
+            own, h, where = (np.concatenate(x) for x in zip(*parts))
+            order = np.argsort(h, kind="stable")
+            h, doc, where = h[order], ids[own[order]], where[order]
+            heads = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+            lo, hi = np.minimum.reduceat(doc, heads), np.maximum.reduceat(doc, heads)
+            settled = np.repeat(lo < hi, np.diff(np.append(heads, len(h))))
+            some = heads[lo < hi]
+            told = np.full(2 * len(some), SUMMARY)
+            keys = np.concatenate([h[~settled], h[some], h[some]])
+            docs = np.concatenate([doc[~settled], lo[lo < hi], hi[lo < hi]])
+            places = np.concatenate([where[~settled], told])
+            bucket = (keys >> np.uint64(32)) % np.uint64(buckets)
+            order = np.lexsort((keys, bucket))
+            rows = _slices(bucket[order], keys[order].view(np.int64), docs[order], places[order])
+            out = [(b, False, data) for b, data in rows]
+            free = np.arange(settled.sum()) * buckets // max(1, settled.sum())
+            turned = (free + number + int(ids[0] or 0)) % buckets
+            order = np.argsort(turned, kind="stable")
+            rows = _slices(turned[order], h[settled].view(np.int64)[order], doc[settled][order], where[settled][order])
+            out += [(b, True, data) for b, data in rows]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([o[0] for o in out], pa.int32()), pa.array([o[1] for o in out]), pa.array([o[2] for o in out], pa.binary())],
+                names=["bucket", "settled", "anchors"])
     return run
 
 
-def _rows(route, gram, lo, hi, doc, first, last, settled):
-    arrays = [route, gram, lo, hi, doc, np.asarray(first, dtype=np.int32), np.asarray(last, dtype=np.int32), settled]
-    return pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in arrays],
-                                      names=["route", "gram", "lo", "hi", "doc", "first", "last", "settled"])
-
-
-def _cut(span):
-    """Distinct fragments of a batch with digest, smallest and largest document, and packed occurrences."""
+def _slices(bucket, gram, doc, where):
+    heads = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else []
+    ends = np.append(heads[1:], len(bucket)) if len(bucket) else []
+    for a, b in zip(heads, ends):
+        yield int(bucket[a]), _pack(gram[a:b], doc[a:b], where[a:b])
+
+
+def _shared(batches):
+    """Anchors (doc, where) of a partition of whole buckets whose gram two documents hold."""
+    held: list[np.ndarray] = []
+    for batch in batches:
+        for settled, data in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1))):
+            rows = _unpack(data)
+            if settled:
+                yield _pairs(rows[1], rows[2])
+            else:
+                held.append(rows)
+    if held:
+        gram, doc, where = np.concatenate(held, axis=1)
+        held.clear()
+        order = np.argsort(gram, kind="stable")
+        gram, doc, where = gram[order], doc[order], where[order]
+        heads = np.flatnonzero(np.append(True, gram[1:] != gram[:-1]))
+        many = np.minimum.reduceat(doc, heads) < np.maximum.reduceat(doc, heads)
+        keep = np.repeat(many, np.diff(np.append(heads, len(gram)))) & (where != SUMMARY)
+        yield _pairs(doc[keep], where[keep])
+
+
+def _pairs(doc, where):
+    return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(where)], names=["doc", "where"])
+
+
+def _cut(span, gram):
+    """Distinct fragments of a batch with digest, place of the gram, smallest and largest document, and
+    packed occurrences."""
     def run(batches):
         for batch in batches:
-            found: dict[tuple[int, bytes], tuple[list, list]] = {}
+            found: dict[bytes, tuple[int, int, list, list]] = {}
+            places = batch.column(2).flatten().to_numpy(zero_copy_only=False)
             ends = batch.column(2).value_lengths().to_numpy(zero_copy_only=False).cumsum()
-            cells = [batch.column(2).flatten().field(i).to_pylist() for i in range(3)]
             low = 0
             for doc, text, end in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1)), ends.tolist()):
-                own_cells, low = zip(*(c[low:end] for c in cells)), end
-                for gram, a, b in own_cells:
-                    piece = text[a:b + span]
-                    if len(piece) < span:
-                        continue
-                    own = found.get((gram, piece))
-                    if own is None:
-                        found[gram, piece] = own = ([], [])
-                    own[0].append(doc)
-                    own[1].append(a)
-            keys = list(found)
-            for low in range(0, len(keys), 50_000):
-                some = keys[low:low + 50_000]
-                sums = [xxhash.xxh3_128_intdigest(p) for _, p in some]
-                at = [np.array(found[k][0], dtype=np.int64).tobytes() + np.array(found[k][1], dtype=np.int32).tobytes() for k in some]
+                own, low = places[low:end], end
+                first, more, off = own >> 16, own >> 8 & 255, own & 255
+                fits = first + more + span <= len(text)  # not so only where rows share a key
+                first, more, off = first[fits], more[fits], off[fits]
+                words = _words(np.frombuffer(text, dtype=np.uint8))
+                keys = gram_hashes(words[first + off], words[first + off + gram - 8]).view(np.int64)
+                for key, a, b, o in zip(keys.tolist(), first.tolist(), (first + more + span).tolist(), off.tolist()):
+                    piece = text[a:b]
+                    cell = found.get(piece)
+                    if cell is None:
+                        found[piece] = (key, o, [doc], [a])
+                    else:
+                        cell[2].append(doc)
+                        cell[3].append(a)
+            pieces = list(found)
+            for low in range(0, len(pieces), 50_000):
+                some = pieces[low:low + 50_000]
+                cells = [found[p] for p in some]
+                sums = [xxhash.xxh3_128_intdigest(p) for p in some]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([g for g, _ in some], pa.int64()), pa.array([p for _, p in some], pa.binary()),
+                    pa.array([c[0] for c in cells], pa.int64()), pa.array(some, pa.binary()),
                     pa.array([(s >> 64) - (1 << 63) for s in sums], pa.int64()),
                     pa.array([(s & (1 << 64) - 1) - (1 << 63) for s in sums], pa.int64()),
-                    pa.array([min(found[k][0]) for k in some], pa.int64()), pa.array([max(found[k][0]) for k in some], pa.int64()),
-                    pa.array(at, pa.binary())], names=["gram", "fragment", "d1", "d2", "lo", "hi", "at"])
+                    pa.array([c[1] for c in cells], pa.int32()),
+                    pa.array([min(c[2]) for c in cells], pa.int64()), pa.array([max(c[2]) for c in cells], pa.int64()),
+                    pa.array([np.array(c[2], dtype=np.int64).tobytes() + np.array(c[3], dtype=np.int32).tobytes() for c in cells], pa.binary())],
+                    names=["gram", "fragment", "d1", "d2", "off", "lo", "hi", "at"])
     return run
 
 
@@ -182,18 +247,30 @@ def smallest_holders(fragments: list[bytes], lows: np.ndarray, span: int = SPAN)
     return [holder[a:a + n - span + 1] for a, n in zip(starts.tolist(), lengths.tolist())]
 
 
-def _judge(span, shard_bytes):
+def _may_share(fragments: list[bytes], offs: list[int], span: int, gram: int) -> list[bool]:
+    """Whether a fragment of one gram can share a window with another: a window reaches half of the rest
+    of its length beyond the gram on one side, and that much of both fragments must then be equal."""
+    half = (span - gram + 1) // 2
+    right = [f[o:o + gram + half] for f, o in zip(fragments, offs)]
+    left = [f[o - half:o + gram] if o >= half else None for f, o in zip(fragments, offs)]
+    seen_right, seen_left = Counter(right), Counter(left)
+    return [seen_right[r] > 1 and len(r) == gram + half or l is not None and seen_left[l] > 1 for r, l in zip(right, left)]
+
+
+def _judge(span, gram, shard_bytes):
     """Verdicts for the distinct fragments of a partition that is sorted by gram: the packed runs of
     windows with one smallest holder, for fragments of which a window has a smaller holder than some owner."""
     def shard(rows):
-        """rows: (gram, fragment, d1, d2, lo, hi), whole grams."""
+        """rows: (gram, fragment, d1, d2, lo, hi, off), whole grams."""
         many, out = [], []
         for _, same in groupby(rows, key=lambda r: r[0]):
             same = list(same)
-            if len(same) > 1:
-                many += same
-            elif same[0][4] < same[0][5]:  # the only fragment of its gram: there is nothing to sort
-                out.append((same[0], np.array([same[0][4]]), np.array([0])))
+            maybe = _may_share([r[1] for r in same], [r[6] for r in same], span, gram) if len(same) > 1 else [False]
+            for row, sorted_with_others in zip(same, maybe):
+                if sorted_with_others:
+                    many.append(row)
+                elif row[4] < row[5]:  # no other fragment holds a string of it: there is nothing to sort
+                    out.append((row, np.array([row[4]]), np.array([0])))
         if many:
             for row, least in zip(many, smallest_holders([r[1] for r in many], np.array([r[4] for r in many]), span)):
                 if (least < row[5]).any():
@@ -251,23 +328,22 @@ def find_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", span:
     """(doc, start, stop) of byte stretches whose strings of ``span`` bytes also start in a document
     with a smaller key. Stretches may overlap. Documents without a key, and empty or short texts, take no part.
 
-    Only the smallest and largest document per gram and batch are sent to find the grams that two
-    documents share; equal fragments collapse before they are sorted, and their occurrences come back
+    Anchors meet in as many hash buckets as there are shuffle partitions (a task holds some 1.5 bytes per
+    byte of text and bucket); of a gram that a batch of documents shares, only two entries are sent there; equal fragments collapse before they are sorted, and their occurrences come back
     through a join, so a passage in a large part of all documents is one string for the sort.
     """
     spark = docs.sparkSession
     source = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("binary").alias("bytes"))         .filter(F.col("doc").isNotNull() & (F.length("bytes") >= span))
-    rows = "route long, gram long, lo long, hi long, doc long, first int, last int, settled boolean"
-    same = Window.partitionBy("route")
-    shared = source.mapInArrow(_emit_anchors(span, gram), rows)         .withColumns({"least": F.min("lo").over(same), "most": F.max("hi").over(same)})         .filter((F.col("settled") | (F.col("least") < F.col("most"))) & F.col("doc").isNotNull())
-    places = shared.groupBy("doc").agg(F.collect_list(F.struct("gram", "first", "last")).alias("places"))
-    fragments = "gram long, fragment binary, d1 long, d2 long, lo long, hi long, at binary"
-    with shuffle_cleanup(spark):
-        pieces = materialize(source.join(places, "doc").mapInArrow(_cut(span), fragments), "repeats-pieces")
-        distinct = pieces.repartition("gram").groupBy("gram", "fragment", "d1", "d2")             .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).sortWithinPartitions("gram", "d1", "d2")
-        judged = distinct.mapInArrow(_judge(span, shard_bytes), "gram long, d1 long, d2 long, size int, runs binary")
-        marks = pieces.select("gram", "d1", "d2", "at").join(judged, ["gram", "d1", "d2"])             .select("at", "size", "runs").mapInArrow(_mark(span), "doc long, start int, stop int")
-        return materialize(marks, "repeats-marks")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    anchors = source.mapInArrow(_emit_anchors(span, gram, buckets), "bucket int, settled boolean, anchors binary")
+    shared = anchors.repartition(buckets, "bucket").select("settled", "anchors").mapInArrow(_shared, "doc long, where long")
+    places = shared.groupBy("doc").agg(F.collect_list("where").alias("places"))
+    fragments = "gram long, fragment binary, d1 long, d2 long, off int, lo long, hi long, at binary"
+    pieces = store(source.join(places, "doc").mapInArrow(_cut(span, gram), fragments), "repeats-pieces")
+    distinct = pieces.repartition("gram").groupBy("gram", "fragment", "d1", "d2")             .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("off").alias("off")).sortWithinPartitions("gram", "d1", "d2")
+    judged = distinct.mapInArrow(_judge(span, gram, shard_bytes), "gram long, d1 long, d2 long, size int, runs binary")
+    marks = pieces.select("gram", "d1", "d2", "at").join(judged, ["gram", "d1", "d2"])             .select("at", "size", "runs").mapInArrow(_mark(span), "doc long, start int, stop int")
+    return store(marks, "repeats-marks")
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", span: int = SPAN, gram: int = GRAM) -> DataFrame:

@@ -17,9 +17,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lakemart.llm.common import add_columns, as_bytes
+from lakemart.llm.common import add_columns, as_bytes, store
 from lakemart.llm.components import connected_components
-from lakemart.session import materialize
 
 BITS = 64
 SHINGLE = 4
@@ -250,9 +249,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     Repeated keys are kept row by row; a null key gets the component of its fingerprint and never
     names one, unless the component has no other key (then null).
     """
-    done = materialize(fingerprints(docs.select(F.col(key), F.col(text)), text, shingle).select(key, "fp"), "simhash-fps")
-    points = materialize(done.groupBy("fp").agg(F.min(key).alias("first")), "simhash-points")
-    links = materialize(near_pairs(points.select("fp"), distance), "simhash-links")
+    done = store(fingerprints(docs.select(F.col(key), F.col(text)), text, shingle).select(key, "fp"), "simhash-fps")
+    points = store(done.groupBy("fp").agg(F.min(key).alias("first")), "simhash-points")
+    links = store(near_pairs(points.select("fp"), distance), "simhash-links")
     classes = connected_components(links.select("a", "b"))
     joined = points.join(classes, points["fp"] == classes["node"], "left") \
         .select("fp", "first", F.coalesce("class", "fp").alias("class"))
@@ -296,19 +295,19 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle:
 
     source = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).filter(F.col("k").isNotNull())
     marked = add_columns(source, ["t"], "fp bigint, same binary", start).select("k", "fp", "same")
-    marked = materialize(marked.filter(F.col("same").isNotNull()), "simhash-texts")
-    points = materialize(marked.groupBy("fp", "same").agg(F.min("k").alias("first")), "simhash-points")
+    marked = store(marked.filter(F.col("same").isNotNull()), "simhash-texts")
+    points = store(marked.groupBy("fp", "same").agg(F.min("k").alias("first")), "simhash-points")
     earliest = points.groupBy("fp").agg(F.min("first").alias("x"))
     near = near_pairs(earliest.select("fp"), distance)
     across = near.join(points.select(F.col("fp").alias("a"), F.col("first").alias("x")), "a") \
         .join(points.select(F.col("fp").alias("b"), F.col("first").alias("y")), "b").select("x", "y")
     within = points.join(earliest, "fp").select("x", F.col("first").alias("y"))
-    proposed = materialize(across.union(within).filter("x <> y").distinct(), "simhash-proposed")
+    proposed = store(across.union(within).filter("x <> y").distinct(), "simhash-proposed")
 
     wanted = proposed.select(F.col("x").alias("k")).union(proposed.select("y")).distinct()
     sets = add_columns(source.join(wanted, "k"), ["t"], "s binary",
                        lambda: lambda texts: [[_shingle_hashes(t, shingle).tobytes() for t in as_bytes(texts)]])
-    sets = materialize(sets.groupBy("k").agg(F.min("s").alias("s")), "simhash-sets")
+    sets = store(sets.groupBy("k").agg(F.min("s").alias("s")), "simhash-sets")
 
     def alike(batches):
         for batch in batches:
@@ -322,7 +321,7 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle:
     kind = docs.schema[key].dataType.simpleString()
     pairs = proposed.join(sets.select(F.col("k").alias("x"), F.col("s").alias("sx")), "x") \
         .join(sets.select(F.col("k").alias("y"), F.col("s").alias("sy")), "y").select("x", "y", "sx", "sy")
-    links = materialize(pairs.mapInArrow(alike, f"x {kind}, y {kind}"), "simhash-links")
+    links = store(pairs.mapInArrow(alike, f"x {kind}, y {kind}"), "simhash-links")
     classes = connected_components(links, "x", "y")
     named = points.join(classes, F.col("first") == F.col("node"), "left") \
         .select("fp", "same", F.coalesce("class", "first").alias("class"))
