@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from lakemart.session import materialize
+from lakemart.session import work_path
 
 # The letters that lower-casing covers.
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -71,7 +71,9 @@ def shuffle_cleanup(spark: SparkSession):
             spark.conf.set(key, before)
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
+def store(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Written to the shared folder and read back; the shuffle files of the computation go."""
+    path = work_path(df.sparkSession, name)
     with shuffle_cleanup(df.sparkSession):
-        return materialize(df, name)
+        df.write.parquet(path, compression=compression)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

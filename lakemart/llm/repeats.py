@@ -189,6 +189,11 @@ def _pairs(doc, where):
     return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(where)], names=["doc", "where"])
 
 
+def _digest(fragment: bytes) -> int:
+    """Tells the fragments of one gram apart."""
+    return xxhash.xxh3_64_intdigest(fragment) - (1 << 63)
+
+
 def _cut(span, gram):
     """Distinct fragments of a batch with digest, place of the gram, smallest and largest document, and
     packed occurrences."""
@@ -217,15 +222,12 @@ def _cut(span, gram):
             for low in range(0, len(pieces), 50_000):
                 some = pieces[low:low + 50_000]
                 cells = [found[p] for p in some]
-                sums = [xxhash.xxh3_128_intdigest(p) for p in some]
                 yield pa.RecordBatch.from_arrays([
                     pa.array([c[0] for c in cells], pa.int64()), pa.array(some, pa.binary()),
-                    pa.array([(s >> 64) - (1 << 63) for s in sums], pa.int64()),
-                    pa.array([(s & (1 << 64) - 1) - (1 << 63) for s in sums], pa.int64()),
-                    pa.array([c[1] for c in cells], pa.int32()),
+                    pa.array([_digest(p) for p in some], pa.int64()), pa.array([c[1] for c in cells], pa.int32()),
                     pa.array([min(c[2]) for c in cells], pa.int64()), pa.array([max(c[2]) for c in cells], pa.int64()),
                     pa.array([np.array(c[2], dtype=np.int64).tobytes() + np.array(c[3], dtype=np.int32).tobytes() for c in cells], pa.binary())],
-                    names=["gram", "fragment", "d1", "d2", "off", "lo", "hi", "at"])
+                    names=["gram", "fragment", "digest", "off", "lo", "hi", "at"])
     return run
 
 
@@ -260,40 +262,43 @@ def _may_share(fragments: list[bytes], offs: list[int], span: int, gram: int) ->
 def _judge(span, gram, shard_bytes):
     """Verdicts for the distinct fragments of a partition that is sorted by gram: the packed runs of
     windows with one smallest holder, for fragments of which a window has a smaller holder than some owner."""
-    def shard(rows):
-        """rows: (gram, fragment, d1, d2, lo, hi, off), whole grams."""
-        many, out = [], []
+    def weigh(same):
+        """Rows (gram, fragment, lo, hi, off) of one gram: those to sort, and the verdicts of the others."""
+        maybe = _may_share([r[1] for r in same], [r[4] for r in same], span, gram) if len(same) > 1 else [False]
+        # Where no other fragment can hold a string of a fragment, its own smallest document decides.
+        return [r for r, m in zip(same, maybe) if m], [(r, np.array([r[2]]), np.array([0])) for r, m in zip(same, maybe) if not m and r[2] < r[3]]
+
+    def sort(rows):
+        for row, least in zip(rows, smallest_holders([r[1] for r in rows], np.array([r[2] for r in rows]), span)):
+            if (least < row[3]).any():
+                heads = np.flatnonzero(np.append(True, least[1:] != least[:-1]))
+                yield row, least[heads], heads
+
+    def verdicts(out):
+        return pa.RecordBatch.from_arrays([
+            pa.array([r[0] for r, _, _ in out], pa.int64()), pa.array([_digest(r[1]) for r, _, _ in out], pa.int64()),
+            pa.array([len(r[1]) for r, _, _ in out], pa.int32()),
+            pa.array([d.astype(np.int64).tobytes() + o.astype(np.int32).tobytes() for _, d, o in out], pa.binary())],
+            names=["gram", "digest", "size", "runs"])
+
+    def run(batches):
+        rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
+        many, size, out = [], 0, []
         for _, same in groupby(rows, key=lambda r: r[0]):
-            same = list(same)
-            maybe = _may_share([r[1] for r in same], [r[6] for r in same], span, gram) if len(same) > 1 else [False]
-            for row, sorted_with_others in zip(same, maybe):
-                if sorted_with_others:
-                    many.append(row)
-                elif row[4] < row[5]:  # no other fragment holds a string of it: there is nothing to sort
-                    out.append((row, np.array([row[4]]), np.array([0])))
+            some, settled = weigh(list(same))
+            many += some
+            size += sum(len(r[1]) for r in some)
+            out += settled
+            if size >= shard_bytes:
+                out += sort(many)
+                many, size = [], 0
+            if len(out) >= 10_000:
+                yield verdicts(out)
+                out = []
         if many:
-            for row, least in zip(many, smallest_holders([r[1] for r in many], np.array([r[4] for r in many]), span)):
-                if (least < row[5]).any():
-                    heads = np.flatnonzero(np.append(True, least[1:] != least[:-1]))
-                    out.append((row, least[heads], heads))
+            out += sort(many)
         if out:
-            yield pa.RecordBatch.from_arrays([
-                pa.array([r[0] for r, _, _ in out], pa.int64()), pa.array([r[2] for r, _, _ in out], pa.int64()),
-                pa.array([r[3] for r, _, _ in out], pa.int64()), pa.array([len(r[1]) for r, _, _ in out], pa.int32()),
-                pa.array([d.astype(np.int64).tobytes() + o.astype(np.int32).tobytes() for _, d, o in out], pa.binary())],
-                names=["gram", "d1", "d2", "size", "runs"])
-
-    def run(batches):
-        held, size = [], 0
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if size >= shard_bytes and row[0] != held[-1][0]:
-                    yield from shard(held)
-                    held, size = [], 0
-                held.append(row)
-                size += len(row[1])
-        if held:
-            yield from shard(held)
+            yield verdicts(out)
     return run
 
 
@@ -338,11 +343,14 @@ def find_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", span:
     anchors = source.mapInArrow(_emit_anchors(span, gram, buckets), "bucket int, settled boolean, anchors binary")
     shared = anchors.repartition(buckets, "bucket").select("settled", "anchors").mapInArrow(_shared, "doc long, where long")
     places = shared.groupBy("doc").agg(F.collect_list("where").alias("places"))
-    fragments = "gram long, fragment binary, d1 long, d2 long, off int, lo long, hi long, at binary"
-    pieces = store(source.join(places, "doc").mapInArrow(_cut(span, gram), fragments), "repeats-pieces")
-    distinct = pieces.repartition("gram").groupBy("gram", "fragment", "d1", "d2")             .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("off").alias("off")).sortWithinPartitions("gram", "d1", "d2")
-    judged = distinct.mapInArrow(_judge(span, gram, shard_bytes), "gram long, d1 long, d2 long, size int, runs binary")
-    marks = pieces.select("gram", "d1", "d2", "at").join(judged, ["gram", "d1", "d2"])             .select("at", "size", "runs").mapInArrow(_mark(span), "doc long, start int, stop int")
+    fragments = "gram long, fragment binary, digest long, off int, lo long, hi long, at binary"
+    # Neighbouring fragments overlap, so a strong codec makes the table small.
+    pieces = store(source.join(places, "doc").mapInArrow(_cut(span, gram), fragments), "repeats-pieces", "zstd")
+    distinct = pieces.select("gram", "fragment", "lo", "hi", "off").repartition("gram").groupBy("gram", "fragment") \
+        .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("off").alias("off")).sortWithinPartitions("gram")
+    judged = store(distinct.mapInArrow(_judge(span, gram, shard_bytes), "gram long, digest long, size int, runs binary"), "repeats-judged")
+    marks = pieces.select("gram", "digest", "at").join(judged, ["gram", "digest"]).select("at", "size", "runs") \
+        .mapInArrow(_mark(span), "doc long, start int, stop int")
     return store(marks, "repeats-marks")
 
 
