@@ -9,11 +9,13 @@ document that holds each.
 
 from __future__ import annotations
 
+import struct
 from collections import Counter
 from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -51,17 +53,15 @@ def window_anchors(data: np.ndarray, span: int = SPAN, gram: int = GRAM) -> tupl
     words = _words(data)
     count = n - gram + 1
     h = gram_hashes(words[:count], words[gram - 8:gram - 8 + count])
-    value = (h >> np.uint64(32)).astype(np.uint32)
-    place = np.arange(count, dtype=np.int32)
+    # Hash above, place below: the smaller number is the smaller hash, or the earlier of equal ones.
+    best = h & np.uint64(0xFFFFFFFF00000000) | np.arange(count, dtype=np.uint64)
     width = span - gram + 1  # grams in a window
     have = 1
     while have < width:
         step = min(have, width - have)
-        later = value[step:] < value[:-step]
-        place = np.where(later, place[step:], place[:-step])
-        value = np.where(later, value[step:], value[:-step])
+        best = np.minimum(best[:-step], best[step:])
         have += step
-    return place, h
+    return (best & np.uint64(0xFFFFFFFF)).astype(np.int32), h
 
 
 def anchored(texts: list[bytes], span: int = SPAN, gram: int = GRAM):
@@ -116,6 +116,9 @@ def _unpack(data: bytes) -> np.ndarray:
 
 
 SUMMARY = -1
+#: Packed pairs: document and start of an occurrence; smallest holder and first window of a run.
+OCCURRENCE = struct.Struct("<qi")
+PAIR = np.dtype([("doc", "<i8"), ("low", "<i4")])
 
 
 def _emit_anchors(span, gram, buckets):
@@ -199,7 +202,7 @@ def _cut(span, gram):
     packed occurrences."""
     def run(batches):
         for batch in batches:
-            found: dict[bytes, tuple[int, int, list, list]] = {}
+            found: dict[bytes, list] = {}  # fragment: gram, place of it, smallest and largest document, occurrences
             places = batch.column(2).flatten().to_numpy(zero_copy_only=False)
             ends = batch.column(2).value_lengths().to_numpy(zero_copy_only=False).cumsum()
             low = 0
@@ -214,10 +217,10 @@ def _cut(span, gram):
                     piece = text[a:b]
                     cell = found.get(piece)
                     if cell is None:
-                        found[piece] = (key, o, [doc], [a])
+                        found[piece] = [key, o, doc, doc, OCCURRENCE.pack(doc, a)]
                     else:
-                        cell[2].append(doc)
-                        cell[3].append(a)
+                        cell[2], cell[3] = min(doc, cell[2]), max(doc, cell[3])
+                        cell[4] += OCCURRENCE.pack(doc, a)
             pieces = list(found)
             for low in range(0, len(pieces), 50_000):
                 some = pieces[low:low + 50_000]
@@ -225,8 +228,7 @@ def _cut(span, gram):
                 yield pa.RecordBatch.from_arrays([
                     pa.array([c[0] for c in cells], pa.int64()), pa.array(some, pa.binary()),
                     pa.array([_digest(p) for p in some], pa.int64()), pa.array([c[1] for c in cells], pa.int32()),
-                    pa.array([min(c[2]) for c in cells], pa.int64()), pa.array([max(c[2]) for c in cells], pa.int64()),
-                    pa.array([np.array(c[2], dtype=np.int64).tobytes() + np.array(c[3], dtype=np.int32).tobytes() for c in cells], pa.binary())],
+                    *(pa.array([c[i] for c in cells], t) for i, t in ((2, pa.int64()), (3, pa.int64()), (4, pa.binary())))],
                     names=["gram", "fragment", "digest", "off", "lo", "hi", "at"])
     return run
 
@@ -266,19 +268,20 @@ def _judge(span, gram, shard_bytes):
         """Rows (gram, fragment, lo, hi, off) of one gram: those to sort, and the verdicts of the others."""
         maybe = _may_share([r[1] for r in same], [r[4] for r in same], span, gram) if len(same) > 1 else [False]
         # Where no other fragment can hold a string of a fragment, its own smallest document decides.
-        return [r for r, m in zip(same, maybe) if m], [(r, np.array([r[2]]), np.array([0])) for r, m in zip(same, maybe) if not m and r[2] < r[3]]
+        return [r for r, m in zip(same, maybe) if m], [(r, OCCURRENCE.pack(r[2], 0)) for r, m in zip(same, maybe) if not m and r[2] < r[3]]
 
     def sort(rows):
         for row, least in zip(rows, smallest_holders([r[1] for r in rows], np.array([r[2] for r in rows]), span)):
             if (least < row[3]).any():
                 heads = np.flatnonzero(np.append(True, least[1:] != least[:-1]))
-                yield row, least[heads], heads
+                runs = np.empty(len(heads), dtype=PAIR)
+                runs["doc"], runs["low"] = least[heads], heads
+                yield row, runs.tobytes()
 
     def verdicts(out):
         return pa.RecordBatch.from_arrays([
-            pa.array([r[0] for r, _, _ in out], pa.int64()), pa.array([_digest(r[1]) for r, _, _ in out], pa.int64()),
-            pa.array([len(r[1]) for r, _, _ in out], pa.int32()),
-            pa.array([d.astype(np.int64).tobytes() + o.astype(np.int32).tobytes() for _, d, o in out], pa.binary())],
+            pa.array([r[0] for r, _ in out], pa.int64()), pa.array([_digest(r[1]) for r, _ in out], pa.int64()),
+            pa.array([len(r[1]) for r, _ in out], pa.int32()), pa.array([runs for _, runs in out], pa.binary())],
             names=["gram", "digest", "size", "runs"])
 
     def run(batches):
@@ -302,29 +305,33 @@ def _judge(span, gram, shard_bytes):
     return run
 
 
+def _pair_column(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All packed pairs of a binary column, and their number by row."""
+    joined = b"".join(column.to_pylist())
+    return np.frombuffer(joined, dtype=PAIR), pc.binary_length(column).to_numpy(zero_copy_only=False) // PAIR.itemsize
+
+
 def _mark(span):
     """Covered stretches (doc, start, stop) of the occurrences of judged fragments."""
     def run(batches):
         for batch in batches:
-            docs, starts, stops = [], [], []
-            for at, size, runs in zip(as_bytes(batch.column(0)), batch.column(1).to_pylist(), as_bytes(batch.column(2))):
-                n, k = len(at) // 12, len(runs) // 12
-                doc, first = np.frombuffer(at[:8 * n], np.int64), np.frombuffer(at[8 * n:], np.int32)
-                least, low = np.frombuffer(runs[:8 * k], np.int64), np.frombuffer(runs[8 * k:], np.int32)
-                high = np.append(low[1:], size - span + 1)  # windows low to high - 1
-                if k == 1:
-                    own = doc > least[0]
-                    docs.append(doc[own])
-                    starts.append(first[own])
-                    stops.append(first[own] + size)
-                else:
-                    which, run_no = np.nonzero(doc[:, None] > least[None, :])
-                    docs.append(doc[which])
-                    starts.append(first[which] + low[run_no])
-                    stops.append(first[which] + high[run_no] + span - 1)
-            if docs:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(docs)), pa.array(np.concatenate(starts), pa.int32()),
-                                                  pa.array(np.concatenate(stops), pa.int32())], names=["doc", "start", "stop"])
+            at, places = _pair_column(batch.column(0))
+            runs, pieces = _pair_column(batch.column(2))
+            windows = batch.column(1).to_numpy(zero_copy_only=False) - span + 1
+            ends = np.cumsum(pieces)
+            high = np.append(runs["low"][1:], 0)  # a run ends where the next one starts
+            high[ends - 1] = windows
+            row = np.repeat(np.arange(len(places)), places)
+            times = pieces[row]
+            which = np.repeat(np.arange(len(at)), times)
+            nth = np.arange(len(which)) - np.repeat(np.cumsum(times) - times, times)
+            run_no = (ends - pieces)[row][which] + nth
+            own = at["doc"][which] > runs["doc"][run_no]
+            which, run_no = which[own], run_no[own]
+            first = at["low"][which]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(at["doc"][which]), pa.array(first + runs["low"][run_no], pa.int32()),
+                pa.array(first + high[run_no] + span - 1, pa.int32())], names=["doc", "start", "stop"])
     return run
 
 
@@ -354,6 +361,18 @@ def find_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", span:
     return store(marks, "repeats-marks")
 
 
+def _union(starts: np.ndarray, stops: np.ndarray, size: int) -> list[tuple[int, int]]:
+    """Maximal runs covered by the stretches; touching ones become one."""
+    inside = starts < size  # not so only where rows share a key
+    starts, stops = starts[inside], stops[inside]
+    if not len(starts):
+        return []
+    order = np.argsort(starts, kind="stable")
+    starts, reach = starts[order], np.maximum.accumulate(stops[order])
+    heads = np.flatnonzero(np.append(True, starts[1:] > reach[:-1]))
+    return list(zip(starts[heads].tolist(), reach[np.append(heads[1:], len(starts)) - 1].tolist()))
+
+
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", span: int = SPAN, gram: int = GRAM) -> DataFrame:
     """``docs`` with ``kept`` (the bytes that remain) and ``removed_spans`` (maximal removed byte runs).
 
@@ -370,20 +389,18 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", spa
     def start():
         def work(texts, marks_):
             remaining, runs = [], []
-            for body, own in zip(as_bytes(texts), marks_.to_pylist()):
+            ends = np.cumsum(pc.fill_null(marks_.value_lengths(), 0).to_numpy(zero_copy_only=False))
+            starts, stops = (marks_.flatten().field(i).to_numpy(zero_copy_only=False) for i in range(2))
+            low = 0
+            for body, end in zip(as_bytes(texts), ends.tolist()):
                 body = body or b""
-                merged: list[list[int]] = []
-                for a, b in sorted((m["start"], min(m["stop"], len(body))) for m in own or () if m["start"] < len(body)):
-                    if merged and a <= merged[-1][1]:
-                        merged[-1][1] = max(b, merged[-1][1])
-                    else:
-                        merged.append([a, b])
-                at, parts = 0, []
-                for a, b in merged:
+                spans = _union(starts[low:end], np.minimum(stops[low:end], len(body)), len(body))
+                low, at, parts = end, 0, []
+                for a, b in spans:
                     parts.append(body[at:a])
                     at = b
                 remaining.append(b"".join([*parts, body[at:]]))
-                runs.append([{"start": a, "stop": b} for a, b in merged])
+                runs.append([{"start": a, "stop": b} for a, b in spans])
             return remaining, runs
         return work
 
