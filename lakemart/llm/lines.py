@@ -86,16 +86,20 @@ def similar_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", simi
     probe = prefix.select("code", F.col("at").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"))
     short = F.col("pos") <= F.col("n") - _least_overlap(F.col("n"), 2 * similarity / (1 + similarity))
     stored = prefix.filter(short).select("code", F.col("at").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"))
-    needed = _least_overlap(F.col("na") + F.col("nb"), similarity / (1 + similarity))
     ordered = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
     long_enough = F.col("na") >= F.col("nb") * similarity - 1e-9
-    # Words before the met one are apart unless they met before; the rest must be able to fill the overlap.
-    can_fill = F.least(F.col("pa"), F.col("pb")) + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) >= needed
-    met = stored.join(probe, "code").filter(ordered & long_enough & can_fill).select("a", "b").distinct()
+    met = stored.join(probe, "code").filter(ordered & long_enough).groupBy("a", "b", "na", "nb") \
+        .agg(F.count(F.lit(1)).alias("m"), F.max("pa").alias("pa"), F.max("pb").alias("pb"))
+    # Both prefixes are in one order, so words shared up to the last met ones have all met; the rest of
+    # the shorter remainder must be able to fill the overlap.
+    needed = _least_overlap(F.col("na") + F.col("nb"), similarity / (1 + similarity))
+    can_fill = F.col("m") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1 >= needed
+    met = met.filter(can_fill).select("a", "b")
     pairs = store(met, "lines-candidates")
     wanted = pairs.select(F.col("a").alias("at")).union(pairs.select(F.col("b").alias("at"))).distinct()
     sets = store(
-        wanted.join(lines, "at").dropDuplicates(["at"]).select("at", word_codes(F.col("line"), ranks).alias("codes")),
+        lines.join(wanted, "at", "left_semi").groupBy("at").agg(F.min("line").alias("line"))
+        .select("at", word_codes(F.col("line"), ranks).alias("codes")),
         "lines-sets")
     left = sets.select(F.col("at").alias("a"), F.col("codes").alias("ca"))
     right = sets.select(F.col("at").alias("b"), F.col("codes").alias("cb"))

@@ -117,7 +117,7 @@ def _unpack(data: bytes) -> np.ndarray:
 
 SUMMARY = -1
 #: Packed pairs: document and start of an occurrence; smallest holder and first window of a run.
-OCCURRENCE = struct.Struct("<qi")
+OCCURRENCE = "<qi"
 PAIR = np.dtype([("doc", "<i8"), ("low", "<i4")])
 
 
@@ -217,10 +217,10 @@ def _cut(span, gram):
                     piece = text[a:b]
                     cell = found.get(piece)
                     if cell is None:
-                        found[piece] = [key, o, doc, doc, OCCURRENCE.pack(doc, a)]
+                        found[piece] = [key, o, doc, doc, struct.pack(OCCURRENCE, doc, a)]
                     else:
                         cell[2], cell[3] = min(doc, cell[2]), max(doc, cell[3])
-                        cell[4] += OCCURRENCE.pack(doc, a)
+                        cell[4] += struct.pack(OCCURRENCE, doc, a)
             pieces = list(found)
             for low in range(0, len(pieces), 50_000):
                 some = pieces[low:low + 50_000]
@@ -268,7 +268,7 @@ def _judge(span, gram, shard_bytes):
         """Rows (gram, fragment, lo, hi, off) of one gram: those to sort, and the verdicts of the others."""
         maybe = _may_share([r[1] for r in same], [r[4] for r in same], span, gram) if len(same) > 1 else [False]
         # Where no other fragment can hold a string of a fragment, its own smallest document decides.
-        return [r for r, m in zip(same, maybe) if m], [(r, OCCURRENCE.pack(r[2], 0)) for r, m in zip(same, maybe) if not m and r[2] < r[3]]
+        return [r for r, m in zip(same, maybe) if m], [(r, struct.pack(OCCURRENCE, r[2], 0)) for r, m in zip(same, maybe) if not m and r[2] < r[3]]
 
     def sort(rows):
         for row, least in zip(rows, smallest_holders([r[1] for r in rows], np.array([r[2] for r in rows]), span)):
