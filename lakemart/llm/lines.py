@@ -69,14 +69,9 @@ def split_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     return docs.select(F.col(key).cast("long").alias("doc"), F.posexplode(F.split(text, "\n")).alias("no", "line"))
 
 
-def similar_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY,
-                  min_words: int = MIN_WORDS) -> DataFrame:
-    """All pairs (a, b) of places of different lines, a before b, whose word sets reach ``similarity``.
-
-    A line is compared once, at its first place; equal lines are found by equality and need no pair.
-    """
-    ranks = _literal(rarity_ranks(docs, text))
-    lines = split_lines(docs, key, text).withColumn("at", _place("doc", "no"))
+def _candidates(docs: DataFrame, lines: DataFrame, ranks: Column, similarity: float, min_words: int) -> DataFrame:
+    """``a`` and ``b`` (places, a before b) of different lines whose prefixes allow the similarity, and the
+    number ``m`` of words met. A line is compared once, at its first place."""
     firsts = lines.groupBy("line").agg(F.min("at").alias("at"))  # collapses before the shuffle
     coded = firsts.select("at", word_codes(F.col("line"), ranks).alias("codes")) \
         .withColumn("n", F.size("codes")).filter(F.col("n") >= min_words)
@@ -94,27 +89,62 @@ def similar_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", simi
     # the shorter remainder must be able to fill the overlap.
     needed = _least_overlap(F.col("na") + F.col("nb"), similarity / (1 + similarity))
     can_fill = F.col("m") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1 >= needed
-    met = met.filter(can_fill).select("a", "b")
-    pairs = store(met, "lines-candidates")
+    return store(met.filter(can_fill).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "m"), "lines-candidates")
+
+
+def _word_sets(pairs: DataFrame, lines: DataFrame, ranks: Column) -> DataFrame:
+    """``at`` and ``codes`` of the lines in the pairs."""
     wanted = pairs.select(F.col("a").alias("at")).union(pairs.select(F.col("b").alias("at"))).distinct()
-    sets = store(
-        lines.join(wanted, "at", "left_semi").groupBy("at").agg(F.min("line").alias("line"))
-        .select("at", word_codes(F.col("line"), ranks).alias("codes")),
-        "lines-sets")
+    found = lines.join(wanted, "at", "left_semi").groupBy("at").agg(F.min("line").alias("line"))
+    return store(found.select("at", word_codes(F.col("line"), ranks).alias("codes")), "lines-sets")
+
+
+def _verify(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs whose word sets reach the similarity."""
     left = sets.select(F.col("at").alias("a"), F.col("codes").alias("ca"))
     right = sets.select(F.col("at").alias("b"), F.col("codes").alias("cb"))
     shared = F.size(F.array_intersect("ca", "cb"))
     alike = shared >= (F.size("ca") + F.size("cb") - shared) * similarity - 1e-9
-    found = pairs.join(left, "a").join(right, "b").filter(alike) \
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return store(found, "lines-pairs")
+    return store(pairs.join(left, "a").join(right, "b").filter(alike).select("a", "b"), "lines-pairs")
+
+
+def similar_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY,
+                  min_words: int = MIN_WORDS) -> DataFrame:
+    """All pairs (a, b) of places of different lines, a before b, whose word sets reach ``similarity``.
+    Equal lines are found by equality and need no pair."""
+    ranks = _literal(rarity_ranks(docs, text))
+    lines = split_lines(docs, key, text).withColumn("at", _place("doc", "no"))
+    met = _candidates(docs, lines, ranks, similarity, min_words)
+    return _verify(met.select("a", "b"), _word_sets(met, lines, ranks), similarity)
+
+
+def earlier_matches(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY,
+                    min_words: int = MIN_WORDS) -> DataFrame:
+    """For every line that a different earlier one resembles, at least one such pair (a, b).
+
+    Of the earlier lines that may match, the one with most words met is verified first; the others only
+    where that one fails. So a large group of near copies costs a few pairs a line, and no match is missed.
+    """
+    ranks = _literal(rarity_ranks(docs, text))
+    lines = split_lines(docs, key, text).withColumn("at", _place("doc", "no"))
+    met = _candidates(docs, lines, ranks, similarity, min_words)
+    sets = _word_sets(met, lines, ranks)
+    likely = met.groupBy("b").agg(F.max(F.struct("m", "a")).alias("best")).select(F.col("best.a").alias("a"), "b")
+    first = _verify(likely, sets, similarity)
+    rest = met.select("a", "b").join(first.select("b"), "b", "left_anti").join(likely, ["a", "b"], "left_anti")
+    return first.union(_verify(rest.select("a", "b"), sets, similarity))
 
 
 def judge_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY,
-                min_words: int = MIN_WORDS) -> DataFrame:
+                min_words: int = MIN_WORDS, all_links: bool = True) -> DataFrame:
     """``doc``, ``no``, ``removed``, ``links`` (other texts alike) and ``class`` (place of the earliest line
-    that it equals or resembles) of every line of at least ``min_words`` distinct words."""
-    pairs = similar_lines(docs, key, text, similarity, min_words)
+    that it equals or resembles) of every line of at least ``min_words`` distinct words.
+
+    Without ``all_links`` only what removal needs is searched: ``removed`` is the same, ``links`` and
+    ``class`` come from the matches that were needed.
+    """
+    search = similar_lines if all_links else earlier_matches
+    pairs = search(docs, key, text, similarity, min_words)
     sides = pairs.select(F.col("a").alias("at"), F.col("b").alias("other")).union(pairs.select("b", "a"))
     linked = sides.groupBy("at").agg(F.count(F.lit(1)).alias("links"), F.min("other").alias("earliest"))
     lines = split_lines(docs, key, text).withColumn("at", _place("doc", "no")) \
@@ -145,7 +175,7 @@ def drop_similar_lines(docs: DataFrame, key: str = "doc_id", text: str = "text",
     ``n_chars``, where there is one, counted anew. A document of which only blank lines remain goes,
     unless nothing was removed from it. Keys are unique, but for exact repeats of a row, which stay or
     go together; a null key counts as the last."""
-    judged = judge_lines(docs, key, text, **options)
+    judged = judge_lines(docs, key, text, all_links=False, **options)
     gone = judged.filter("removed").groupBy("doc").agg(F.collect_set("no").alias("_gone"))
     joined = docs.join(gone.withColumnRenamed("doc", "_doc"), F.col(key).eqNullSafe(F.col("_doc")), "left").drop("_doc")
     kept = F.array_compact(F.transform(F.split(text, "\n"), lambda l, i: F.when(~F.array_contains("_gone", i), l)))
