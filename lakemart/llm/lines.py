@@ -1,9 +1,9 @@
 """Line dedup by an exact set-similarity join, in DataFrame operations only.
 
 A line is the set of its words. Words are ordered by rarity; two lines of Jaccard similarity t or more
-share a word within the first n - ceil(t n) + 1 words of each (the prefix). Prefixes meet in an
-equi-join, length and position rule out most pairs, and the word sets decide. A line goes if a similar
-line came before it.
+share k words within the first n - ceil(t n) + k words of each (the prefix), if they share as many at all.
+Prefixes meet in an equi-join, length, number and position of the words met rule out most pairs, and the
+word sets decide. A line goes if a similar line came before it.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ MIN_WORDS = 5
 #: Words are counted in so many hash classes; the counts order words by rarity. Any total order gives
 #: the same result, so collisions cost time only, and the broadcast has this size for any corpus.
 RARITY_CLASSES = 1 << 16
+#: Prefixes are longer by one word, and lines must meet on two: one rare word in common is mostly chance.
+LEAST_MET = 2
 PLACES = 1 << 31
 #: Sorts after every 64-bit key.
 NO_KEY = str(1 << 63)
@@ -75,11 +77,12 @@ def _candidates(docs: DataFrame, lines: DataFrame, ranks: Column, similarity: fl
     firsts = lines.groupBy("line").agg(F.min("at").alias("at"))  # collapses before the shuffle
     coded = firsts.select("at", word_codes(F.col("line"), ranks).alias("codes")) \
         .withColumn("n", F.size("codes")).filter(F.col("n") >= min_words)
-    # The longer line offers its whole prefix; the shorter is met on its first n - ceil(2t/(1+t) n) + 1 words.
-    length = (F.col("n") - _least_overlap(F.col("n"), similarity) + 1).cast("int")
+    # The longer line offers its whole prefix; the shorter needs only n - ceil(2t/(1+t) n) words and one more
+    # for each word that must be met.
+    length = (F.col("n") - _least_overlap(F.col("n"), similarity) + LEAST_MET).cast("int")
     prefix = coded.select("at", "n", F.posexplode(F.slice("codes", F.lit(1), length)).alias("pos", "code"))
     probe = prefix.select("code", F.col("at").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"))
-    short = F.col("pos") <= F.col("n") - _least_overlap(F.col("n"), 2 * similarity / (1 + similarity))
+    short = F.col("pos") < LEAST_MET + F.col("n") - _least_overlap(F.col("n"), 2 * similarity / (1 + similarity))
     stored = prefix.filter(short).select("code", F.col("at").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"))
     ordered = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
     long_enough = F.col("na") >= F.col("nb") * similarity - 1e-9
@@ -89,7 +92,7 @@ def _candidates(docs: DataFrame, lines: DataFrame, ranks: Column, similarity: fl
     # the shorter remainder must be able to fill the overlap.
     needed = _least_overlap(F.col("na") + F.col("nb"), similarity / (1 + similarity))
     can_fill = F.col("m") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1 >= needed
-    return store(met.filter(can_fill).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "m"), "lines-candidates")
+    return store(met.filter(can_fill & (F.col("m") >= LEAST_MET)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "m"), "lines-candidates")
 
 
 def _word_sets(pairs: DataFrame, lines: DataFrame, ranks: Column) -> DataFrame:
