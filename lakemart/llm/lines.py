@@ -81,9 +81,12 @@ def _candidates(docs: DataFrame, lines: DataFrame, ranks: Column, similarity: fl
     # for each word that must be met.
     length = (F.col("n") - _least_overlap(F.col("n"), similarity) + LEAST_MET).cast("int")
     prefix = coded.select("at", "n", F.posexplode(F.slice("codes", F.lit(1), length)).alias("pos", "code"))
+    prefix = store(prefix, "lines-prefixes", "zstd")  # read twice, and the texts behind it are done with
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few bytes make many rows here
     probe = prefix.select("code", F.col("at").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"))
     short = F.col("pos") < LEAST_MET + F.col("n") - _least_overlap(F.col("n"), 2 * similarity / (1 + similarity))
     stored = prefix.filter(short).select("code", F.col("at").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"))
+    probe, stored = probe.repartition(partitions, "code"), stored.repartition(partitions, "code")
     ordered = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
     long_enough = F.col("na") >= F.col("nb") * similarity - 1e-9
     met = stored.join(probe, "code").filter(ordered & long_enough).groupBy("a", "b", "na", "nb") \
