@@ -51,6 +51,13 @@ def word_codes(line: Column, ranks: Column) -> Column:
     return F.sort_array(F.transform(hashes, code))
 
 
+def _parity(codes: str) -> Column:
+    """64 bits; each word of the set turns the bit of its hash."""
+    def turn(bits, code):
+        return bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), code.bitwiseAND(F.lit(63)).cast("int")))
+    return F.aggregate(codes, F.lit(0).cast("long"), turn)
+
+
 def _literal(ranks: list[int]) -> Column:
     return F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<bigint>")
 
@@ -76,24 +83,27 @@ def _candidates(docs: DataFrame, lines: DataFrame, ranks: Column, similarity: fl
     number ``m`` of words met. A line is compared once, at its first place."""
     firsts = lines.groupBy("line").agg(F.min("at").alias("at"))  # collapses before the shuffle
     coded = firsts.select("at", word_codes(F.col("line"), ranks).alias("codes")) \
-        .withColumn("n", F.size("codes")).filter(F.col("n") >= min_words)
+        .withColumn("n", F.size("codes")).filter(F.col("n") >= min_words).withColumn("parity", _parity("codes"))
     # The longer line offers its whole prefix; the shorter needs only n - ceil(2t/(1+t) n) words and one more
     # for each word that must be met.
     length = (F.col("n") - _least_overlap(F.col("n"), similarity) + LEAST_MET).cast("int")
-    prefix = coded.select("at", "n", F.posexplode(F.slice("codes", F.lit(1), length)).alias("pos", "code"))
+    prefix = coded.select("at", "n", "parity", F.posexplode(F.slice("codes", F.lit(1), length)).alias("pos", "code"))
     prefix = store(prefix, "lines-prefixes", "zstd")  # read twice, and the texts behind it are done with
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few bytes make many rows here
-    probe = prefix.select("code", F.col("at").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"))
+    probe = prefix.select("code", F.col("at").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("parity").alias("yb"))
     short = F.col("pos") < LEAST_MET + F.col("n") - _least_overlap(F.col("n"), 2 * similarity / (1 + similarity))
-    stored = prefix.filter(short).select("code", F.col("at").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"))
+    stored = prefix.filter(short).select("code", F.col("at").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("parity").alias("ya"))
     probe, stored = probe.repartition(partitions, "code"), stored.repartition(partitions, "code")
     ordered = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
     long_enough = F.col("na") >= F.col("nb") * similarity - 1e-9
-    met = stored.join(probe, "code").filter(ordered & long_enough).groupBy("a", "b", "na", "nb") \
+    needed = _least_overlap(F.col("na") + F.col("nb"), similarity / (1 + similarity))
+    # Every odd place of the two parities stands for a word that only one line has.
+    close = F.bit_count(F.col("ya").bitwiseXOR(F.col("yb"))) <= F.col("na") + F.col("nb") - 2 * needed
+    placed = F.least("pa", "pb") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) >= needed
+    met = stored.join(probe, "code").filter(ordered & long_enough & close & placed).groupBy("a", "b", "na", "nb") \
         .agg(F.count(F.lit(1)).alias("m"), F.max("pa").alias("pa"), F.max("pb").alias("pb"))
     # Both prefixes are in one order, so words shared up to the last met ones have all met; the rest of
     # the shorter remainder must be able to fill the overlap.
-    needed = _least_overlap(F.col("na") + F.col("nb"), similarity / (1 + similarity))
     can_fill = F.col("m") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1 >= needed
     return store(met.filter(can_fill & (F.col("m") >= LEAST_MET)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "m"), "lines-candidates")
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 import numpy as np
 
 #: Largest alphabet whose buckets are passed one by one; names beyond it become two digits.
-WIDE = 2048
+WIDE = 1024
 
 
 def classify(text: np.ndarray) -> np.ndarray:
@@ -81,7 +81,7 @@ def induce(text: np.ndarray, smaller: np.ndarray, seeds: np.ndarray, alphabet: i
     return array
 
 
-def suffix_array(text: np.ndarray, alphabet: int, apart: bool = False) -> np.ndarray:
+def suffix_array(text: np.ndarray, alphabet: int, apart: bool = False, digits_left: bool = True) -> np.ndarray:
     """Starts of all suffixes of ``text`` (values below ``alphabet``) in ascending order.
 
     ``apart``: symbol 0 separates non-empty strings; it equals no other 0, and an earlier one is smaller.
@@ -90,11 +90,11 @@ def suffix_array(text: np.ndarray, alphabet: int, apart: bool = False) -> np.nda
     n = len(text)
     if n < 2:
         return np.arange(n, dtype=np.int32)
-    if alphabet > WIDE:  # two digits a symbol sort as the symbols do
+    if alphabet > WIDE and digits_left:  # two digits a symbol sort as the symbols do
         base = int(np.ceil(alphabet ** 0.5))
         digits = np.empty(2 * n, dtype=np.uint16)
         digits[0::2], digits[1::2] = np.divmod(text, base)
-        order = suffix_array(digits, base)
+        order = suffix_array(digits, base, digits_left=False)
         return order[order % 2 == 0] // 2
     text = text.astype(np.uint16)
     smaller = classify(text)
