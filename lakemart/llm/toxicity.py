@@ -99,6 +99,8 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text
 
     model = featured.repartition(1).sortWithinPartitions("o", "y", "f") \
         .mapInArrow(learn, "index binary, value binary, bias double").first()
+    if model is None:  # an empty frame may have no task at all
+        return [], [], fit_ftrl([])[1]
     return (np.frombuffer(model["index"], np.int32).tolist(), np.frombuffer(model["value"], np.float64).tolist(),
             model["bias"])
 
