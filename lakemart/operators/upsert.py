@@ -59,19 +59,26 @@ def upsert_table(spark: SparkSession, table: str, source: DataFrame, keys: list[
         counts, F.count_if(F.col("_change") == "insert").alias("inserted_rows"),
         F.count_if(F.col("_change") == "update").alias("updated_rows"), F.count(F.lit(1)).alias("rewritten_rows"))
     staged = materialize(result, "upsert-result")
-    overwrite_partitions(arrange(staged.drop("_change"), parts, sort_by), table)
     if parts:
+        # Emptied partitions go first: all their rows have moved and are in ``source``, so a run that
+        # stops in between loses nothing that a repeat does not bring back, and leaves no second copy.
         left = {tuple(r) for r in staged.select(*parts).distinct().collect()}
         for row in touched:
             if tuple(row) not in left:
-                spec = ", ".join(f"`{c}` = '{v}'" for c, v in zip(parts, row))
+                spec = ", ".join(f"`{c}` = {_sql_value(v)}" for c, v in zip(parts, row))
                 spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+    overwrite_partitions(arrange(staged.drop("_change"), parts, sort_by), table)
     return counts.get
 
 
+def _sql_value(value) -> str:
+    if value is None:
+        return "NULL"
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _in_partitions(parts: list[str], rows) -> Column:
-    if len(parts) == 1:
-        return F.col(parts[0]).isin([r[0] for r in rows])
+    """Null-safe: the null partition matches too."""
     match = F.lit(False)
     for row in rows:
         one = F.lit(True)

@@ -37,11 +37,13 @@ def build_session(app_name="lakemart", master=None, shuffle_partitions=None, **s
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors can reach: ``spark.checkpoint.dir``; a local one only if that is unset."""
+    """Folder all executors can reach: ``spark.checkpoint.dir``. Only a local master may go without."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
         context = spark.sparkContext
         if context.getCheckpointDir() is None:
+            if not context.master.startswith("local[") and context.master != "local":
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             context.setCheckpointDir(tempfile.mkdtemp(prefix="lakemart-"))
         folder = context.getCheckpointDir()
     return folder.rstrip("/")

@@ -31,7 +31,7 @@ def run_audit(spark: SparkSession, table: str, job_name: str, batch_id: str | No
     try:
         yield counts
     except Exception as e:
-        status, error = "failed", f"{type(e).__name__}: {e}"[:2000]
+        status, error = "failed", f"{type(e).__name__}: {e}"
         raise
     finally:
         end = datetime.datetime.now()

@@ -35,8 +35,10 @@ def write_stream(df: DataFrame, checkpoint: str, table: str | None = None, path:
     return writer.start(path)
 
 
-def run_available(query: StreamingQuery, timeout_seconds: int = 600) -> None:
-    """Wait for a bounded run to end; an error in the stream is raised here."""
-    if not query.awaitTermination(timeout_seconds):
+def run_available(query: StreamingQuery, timeout_seconds: int | None = None) -> None:
+    """Wait for a bounded run to end, by default as long as it takes; an error in the stream is raised here."""
+    if timeout_seconds is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout_seconds):
         query.stop()
         raise TimeoutError(f"stream did not finish in {timeout_seconds} s")
