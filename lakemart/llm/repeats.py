@@ -358,7 +358,7 @@ def find_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", span:
     judged = store(distinct.mapInArrow(_judge(span, gram, shard_bytes), "gram long, digest long, size int, runs binary"), "repeats-judged")
     marks = pieces.select("gram", "digest", "at").join(judged, ["gram", "digest"]).select("at", "size", "runs") \
         .mapInArrow(_mark(span), "doc long, start int, stop int")
-    return store(marks, "repeats-marks")
+    return marks
 
 
 def _union(starts: np.ndarray, stops: np.ndarray, size: int) -> list[tuple[int, int]]:
