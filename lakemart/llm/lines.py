@@ -23,11 +23,7 @@ LEAST_MET = 2
 PLACES = 1 << 31
 #: Sorts after every 64-bit key.
 NO_KEY = str(1 << 63)
-
-
-def words_of(line: Column) -> Column:
-    """Distinct lower-case words between spaces (and tabs)."""
-    return F.array_remove(F.array_distinct(F.split(F.replace(F.lower(line), F.lit("\t"), F.lit(" ")), " ")), "")
+LARGEST = (1 << 63) - 1
 
 
 def rarity_ranks(docs: DataFrame, text: str = "text") -> list[int]:
@@ -43,8 +39,10 @@ def rarity_ranks(docs: DataFrame, text: str = "text") -> list[int]:
 
 
 def word_codes(line: Column, ranks: Column) -> Column:
-    """Sorted codes of the words of a line: rarity rank above 47 bits of the word's hash."""
-    hashes = F.transform(words_of(line), lambda w: F.xxhash64(w))
+    """Sorted codes of the distinct lower-case words of a line, between spaces and tabs: rarity rank above
+    47 bits of the word's hash."""
+    words = F.split(F.replace(F.lower(line), F.lit("\t"), F.lit(" ")), " ")
+    hashes = F.array_distinct(F.transform(F.array_remove(words, ""), lambda w: F.xxhash64(w)))
     def code(h):
         rank = F.element_at(ranks, (F.pmod(h, F.lit(RARITY_CLASSES)) + 1).cast("int"))
         return F.shiftleft(rank, 47).bitwiseOR(F.shiftrightunsigned(h, 17))
@@ -78,34 +76,106 @@ def split_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     return docs.select(F.col(key).cast("long").alias("doc"), F.posexplode(F.split(text, "\n")).alias("no", "line"))
 
 
-def _candidates(docs: DataFrame, lines: DataFrame, ranks: Column, similarity: float, min_words: int) -> DataFrame:
-    """``a`` and ``b`` (places, a before b) of different lines whose prefixes allow the similarity, and the
-    number ``m`` of words met. A line is compared once, at its first place."""
-    firsts = lines.groupBy("line").agg(F.min("at").alias("at"))  # collapses before the shuffle
-    coded = firsts.select("at", word_codes(F.col("line"), ranks).alias("codes")) \
-        .withColumn("n", F.size("codes")).filter(F.col("n") >= min_words).withColumn("parity", _parity("codes"))
+def _split_place(at: Column) -> list[Column]:
+    """``hi`` and ``lo``, two longs in the order of places: the join compares millions of them, and
+    decimals are slow. ``hi * PLACES + lo`` is the place again, also for documents without a key."""
+    doc = F.floor(at / PLACES).cast("decimal(20,0)")
+    keyless = doc >= F.lit(NO_KEY).cast("decimal(20,0)")
+    lo = (at - doc * F.lit(PLACES).cast("decimal(11,0)")).cast("long") + F.when(keyless, F.lit(PLACES)).otherwise(F.lit(0))
+    return [F.when(keyless, F.lit(LARGEST)).otherwise(doc.cast("long")).alias("hi"), lo.alias("lo")]
+
+
+def _joined_place(hi: str, lo: str) -> Column:
+    key = F.col(hi).cast("decimal(20,0)") * F.lit(PLACES).cast("decimal(11,0)")
+    return (key + F.col(lo)).cast("decimal(38,0)")
+
+
+def _line_table(lines: DataFrame, ranks: Column, similarity: float, min_words: int) -> DataFrame:
+    """``doc``, ``no``, ``at``, a digest (``h1``, ``h2``) of the text, ``n``, ``parity`` and ``prefix`` (its codes)
+    of every line to compare. All texts are split and hashed once, for this; later steps read only these columns."""
+    coded = lines.select("doc", "no", "at", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), F.reverse("line")).alias("h2"),
+                         word_codes(F.col("line"), ranks).alias("codes")).withColumn("n", F.size("codes"))
     # The longer line offers its whole prefix; the shorter needs only n - ceil(2t/(1+t) n) words and one more
     # for each word that must be met.
     length = (F.col("n") - _least_overlap(F.col("n"), similarity) + LEAST_MET).cast("int")
-    prefix = coded.select("at", "n", "parity", F.posexplode(F.slice("codes", F.lit(1), length)).alias("pos", "code"))
-    prefix = store(prefix, "lines-prefixes", "zstd")  # read twice, and the texts behind it are done with
-    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few bytes make many rows here
-    probe = prefix.select("code", F.col("at").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("parity").alias("yb"))
-    short = F.col("pos") < LEAST_MET + F.col("n") - _least_overlap(F.col("n"), 2 * similarity / (1 + similarity))
-    stored = prefix.filter(short).select("code", F.col("at").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("parity").alias("ya"))
-    probe, stored = probe.repartition(partitions, "code"), stored.repartition(partitions, "code")
-    ordered = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
-    long_enough = F.col("na") >= F.col("nb") * similarity - 1e-9
-    needed = _least_overlap(F.col("na") + F.col("nb"), similarity / (1 + similarity))
+    table = coded.select("doc", "no", "at", "h1", "h2", "n", _parity("codes").alias("parity"),
+                         F.slice("codes", F.lit(1), length).alias("prefix"))
+    # A filter before the store would be pushed below the codes and compute them twice.
+    return store(table, "lines-table", "zstd").filter(F.col("n") >= min_words)
+
+
+def _firsts(table: DataFrame) -> DataFrame:
+    return table.groupBy("h1", "h2").agg(F.min("at").alias("first"))
+
+
+def _prefixes(table: DataFrame) -> DataFrame:
+    """``hi``, ``lo``, ``n``, ``parity`` and ``prefix`` of every different line, at its first place."""
+    at_first = table.join(_firsts(table), ["h1", "h2"]).filter(F.col("at") == F.col("first"))
+    return store(at_first.select(*_split_place(F.col("at")), "n", "parity", "prefix"), "lines-prefixes", "zstd")
+
+
+def _exploded(prefixes: DataFrame, end: str) -> DataFrame:
+    """One row for each prefix word; the columns' names end in ``end``, ``code`` aside."""
+    kept = [F.col(c).alias(c + end) for c in prefixes.columns if c != "prefix"]
+    return prefixes.select(*kept, F.posexplode("prefix").alias("pos" + end, "code"))
+
+
+def _shorter_prefix(similarity: float) -> Column:
+    """Positions of ``_a`` with which the shorter line of a pair must be met."""
+    return F.col("pos_a") < LEAST_MET + F.col("n_a") - _least_overlap(F.col("n_a"), 2 * similarity / (1 + similarity))
+
+
+def _later(x: str, y: str) -> Column:
+    return (F.col("hi" + x) > F.col("hi" + y)) | ((F.col("hi" + x) == F.col("hi" + y)) & (F.col("lo" + x) > F.col("lo" + y)))
+
+
+def _close(similarity: float) -> Column:
+    """Whether length, parities and the positions of a met word allow the similarity (``_a`` not longer than ``_b``)."""
+    needed = _least_overlap(F.col("n_a") + F.col("n_b"), similarity / (1 + similarity))
     # Every odd place of the two parities stands for a word that only one line has.
-    close = F.bit_count(F.col("ya").bitwiseXOR(F.col("yb"))) <= F.col("na") + F.col("nb") - 2 * needed
-    placed = F.least("pa", "pb") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) >= needed
-    met = stored.join(probe, "code").filter(ordered & long_enough & close & placed).groupBy("a", "b", "na", "nb") \
-        .agg(F.count(F.lit(1)).alias("m"), F.max("pa").alias("pa"), F.max("pb").alias("pb"))
+    alike = F.bit_count(F.col("parity_a").bitwiseXOR(F.col("parity_b"))) <= F.col("n_a") + F.col("n_b") - 2 * needed
+    placed = F.least("pos_a", "pos_b") + F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) >= needed
+    return (F.col("n_a") >= F.col("n_b") * similarity - 1e-9) & alike & placed
+
+
+def _meet(short: DataFrame, long: DataFrame, similarity: float, wanted: Column | None = None) -> DataFrame:
+    """Rows of two lines of which the shorter (of equal ones, the earlier) is in ``short``, one for each
+    word their prefixes share, where the filters allow the similarity."""
+    partitions = int(short.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few bytes make many rows here
+    a = _exploded(short, "_a").filter(_shorter_prefix(similarity)).repartition(partitions, "code")
+    b = _exploded(long, "_b").repartition(partitions, "code")
+    ordered = (F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & _later("_b", "_a"))
+    condition = ordered & _close(similarity)
+    met = a.join(b, "code").filter(condition if wanted is None else condition & wanted)
+    return met.select(*[c + end for end in ("_a", "_b") for c in ("hi", "lo", "n", "pos")])
+
+
+def _pairs_met(met: DataFrame, similarity: float) -> DataFrame:
+    """``a`` and ``b`` (places, a before b) of the lines that met on enough words."""
+    met = met.groupBy("hi_a", "lo_a", "hi_b", "lo_b", "n_a", "n_b") \
+        .agg(F.count(F.lit(1)).alias("m"), F.max("pos_a").alias("pos_a"), F.max("pos_b").alias("pos_b"))
     # Both prefixes are in one order, so words shared up to the last met ones have all met; the rest of
     # the shorter remainder must be able to fill the overlap.
-    can_fill = F.col("m") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1 >= needed
-    return store(met.filter(can_fill & (F.col("m") >= LEAST_MET)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "m"), "lines-candidates")
+    needed = _least_overlap(F.col("n_a") + F.col("n_b"), similarity / (1 + similarity))
+    can_fill = F.col("m") + F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) - 1 >= needed
+    met = met.filter(can_fill & (F.col("m") >= LEAST_MET)) \
+        .select(_joined_place("hi_a", "lo_a").alias("x"), _joined_place("hi_b", "lo_b").alias("y"))
+    return store(met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")), "lines-candidates")
+
+
+def _likely(prefixes: DataFrame, similarity: float) -> DataFrame:
+    """For a line, the earliest line of its size with which it shares most prefix words, if the filters
+    allow it: one pair (a, b) a line at most, however large a group of near copies is."""
+    words = _exploded(prefixes, "_b")
+    heads = prefixes.select("hi", "lo", "n", "parity", F.posexplode("prefix").alias("pos", "code")) \
+        .groupBy("code", F.col("n").alias("n_b")) \
+        .agg(F.min(F.struct("hi", "lo", "parity", "pos")).alias("head")) \
+        .select("code", "n_b", F.col("n_b").alias("n_a"), *[F.col("head." + c).alias(c + "_a") for c in ("hi", "lo", "parity", "pos")])
+    met = words.join(heads, ["code", "n_b"]).filter(_later("_b", "_a") & _close(similarity))
+    pairs = met.groupBy("hi_b", "lo_b", "hi_a", "lo_a").agg(F.count(F.lit(1)).alias("m"))
+    best = pairs.groupBy("hi_b", "lo_b").agg(F.max(F.struct("m", "hi_a", "lo_a")).alias("best")) \
+        .select("hi_b", "lo_b", "best.hi_a", "best.lo_a")
+    return store(best.select(_joined_place("hi_a", "lo_a").alias("a"), _joined_place("hi_b", "lo_b").alias("b")), "lines-likely")
 
 
 def _word_sets(pairs: DataFrame, lines: DataFrame, ranks: Column) -> DataFrame:
@@ -124,31 +194,42 @@ def _verify(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return store(pairs.join(left, "a").join(right, "b").filter(alike).select("a", "b"), "lines-pairs")
 
 
-def similar_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY,
-                  min_words: int = MIN_WORDS) -> DataFrame:
-    """All pairs (a, b) of places of different lines, a before b, whose word sets reach ``similarity``.
-    Equal lines are found by equality and need no pair."""
-    ranks = _literal(rarity_ranks(docs, text))
-    lines = split_lines(docs, key, text).withColumn("at", _place("doc", "no"))
-    met = _candidates(docs, lines, ranks, similarity, min_words)
-    return _verify(met.select("a", "b"), _word_sets(met, lines, ranks), similarity)
+def _placed_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
+    return split_lines(docs, key, text).withColumn("at", _place("doc", "no"))
+
 
+def _similar_lines(lines: DataFrame, table: DataFrame, ranks: Column, similarity: float) -> DataFrame:
+    prefixes = _prefixes(table)
+    met = _pairs_met(_meet(prefixes, prefixes, similarity), similarity)
+    return _verify(met, _word_sets(met, lines, ranks), similarity)
 
-def earlier_matches(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY,
-                    min_words: int = MIN_WORDS) -> DataFrame:
+
+def _earlier_matches(lines: DataFrame, table: DataFrame, ranks: Column, similarity: float) -> DataFrame:
     """For every line that a different earlier one resembles, at least one such pair (a, b).
 
-    Of the earlier lines that may match, the one with most words met is verified first; the others only
-    where that one fails. So a large group of near copies costs a few pairs a line, and no match is missed.
+    First each line is compared with one likely earlier line. Lines settled by that need no other partner;
+    they stay in the join only as possible earlier matches of the lines still open. So a large group of
+    near copies costs a few pairs a line, and no match is missed.
     """
-    ranks = _literal(rarity_ranks(docs, text))
-    lines = split_lines(docs, key, text).withColumn("at", _place("doc", "no"))
-    met = _candidates(docs, lines, ranks, similarity, min_words)
-    sets = _word_sets(met, lines, ranks)
-    likely = met.groupBy("b").agg(F.max(F.struct("m", "a")).alias("best")).select(F.col("best.a").alias("a"), "b")
-    first = _verify(likely, sets, similarity)
-    rest = met.select("a", "b").join(first.select("b"), "b", "left_anti").join(likely, ["a", "b"], "left_anti")
-    return first.union(_verify(rest.select("a", "b"), sets, similarity))
+    prefixes = _prefixes(table)
+    likely = _likely(prefixes, similarity)
+    first = _verify(likely, _word_sets(likely, lines, ranks), similarity)
+    settled = first.select(*_split_place(F.col("b")), F.lit(True).alias("settled"))
+    marked = prefixes.join(settled, ["hi", "lo"], "left").withColumn("open", F.col("settled").isNull()).drop("settled")
+    still, done = marked.filter("open"), marked.filter("not open")
+    # Pairs of two settled lines are not formed at all; of the others, those whose later line is open count.
+    met = _meet(marked, still, similarity, _later("_b", "_a") | F.col("open_a")) \
+        .union(_meet(still, done, similarity, _later("_a", "_b")))
+    rest = _pairs_met(met, similarity)
+    return first.union(_verify(rest, _word_sets(rest, lines, ranks), similarity))
+
+
+def similar_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY,
+                  min_words: int = MIN_WORDS) -> DataFrame:
+    """All pairs (a, b) of places of different lines, a before b, whose word sets reach ``similarity``.
+    Equal lines are found by equality and need no pair."""
+    ranks, lines = _literal(rarity_ranks(docs, text)), _placed_lines(docs, key, text)
+    return _similar_lines(lines, _line_table(lines, ranks, similarity, min_words), ranks, similarity)
 
 
 def judge_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY,
@@ -159,15 +240,13 @@ def judge_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", simila
     Without ``all_links`` only what removal needs is searched: ``removed`` is the same, ``links`` and
     ``class`` come from the matches that were needed.
     """
-    search = similar_lines if all_links else earlier_matches
-    pairs = search(docs, key, text, similarity, min_words)
+    ranks, placed = _literal(rarity_ranks(docs, text)), _placed_lines(docs, key, text)
+    lines = _line_table(placed, ranks, similarity, min_words)
+    search = _similar_lines if all_links else _earlier_matches
+    pairs = search(placed, lines, ranks, similarity)
     sides = pairs.select(F.col("a").alias("at"), F.col("b").alias("other")).union(pairs.select("b", "a"))
     linked = sides.groupBy("at").agg(F.count(F.lit(1)).alias("links"), F.min("other").alias("earliest"))
-    lines = split_lines(docs, key, text).withColumn("at", _place("doc", "no")) \
-        .filter(F.size(words_of(F.col("line"))) >= min_words) \
-        .select("doc", "no", "at", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), F.reverse("line")).alias("h2"))
-    firsts = lines.groupBy("h1", "h2").agg(F.min("at").alias("first"))
-    known = firsts.join(linked, F.col("first") == F.col("at"), "left") \
+    known = _firsts(lines).join(linked, F.col("first") == F.col("at"), "left") \
         .select("h1", "h2", "first", F.coalesce("links", F.lit(0)).alias("links"), F.least("first", "earliest").alias("class"))
     return lines.join(known, ["h1", "h2"]).select(
         "doc", "no", ((F.col("at") > F.col("first")) | (F.col("class") < F.col("first"))).alias("removed"), "links", "class")
