@@ -218,9 +218,9 @@ def _earlier_matches(lines: DataFrame, table: DataFrame, ranks: Column, similari
     marked = prefixes.join(settled, ["hi", "lo"], "left").withColumn("open", F.col("settled").isNull()).drop("settled")
     still, done = marked.filter("open"), marked.filter("not open")
     # Pairs of two settled lines are not formed at all; of the others, those whose later line is open count.
-    met = _meet(marked, still, similarity, _later("_b", "_a") | F.col("open_a")) \
-        .union(_meet(still, done, similarity, _later("_a", "_b")))
-    rest = _pairs_met(met, similarity)
+    # The two joins share no pair, and each frees its shuffle files before the next.
+    rest = _pairs_met(_meet(marked, still, similarity, _later("_b", "_a") | F.col("open_a")), similarity) \
+        .union(_pairs_met(_meet(still, done, similarity, _later("_a", "_b")), similarity))
     return first.union(_verify(rest, _word_sets(rest, lines, ranks), similarity))
 
 
