@@ -110,6 +110,40 @@ def test_keep_one(spark):
     assert {r.doc_id for r in simhash.keep_one(df).collect()} == {1, 4, 5, 6, None}
 
 
+def shingle_set(text):
+    w = text.split()
+    return {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))}
+
+
+def brute_kept(rows):
+    """Keys that remain if texts of Jaccard similarity 0.8 or more are linked, and the number of links."""
+    sets = {k: shingle_set(t) for k, t in rows}
+    root, links = {k: k for k in sets}, 0
+    for a in sets:
+        for b in sets:
+            if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) - 1e-9:
+                links += 1
+                old, new = max(root[a], root[b]), min(root[a], root[b])
+                root = {k: new if r == old else r for k, r in root.items()}
+    return set(root.values()), links
+
+
+def test_keep_one_finds_edited_copies(spark):
+    rnd = random.Random(5)
+    rows = []
+    for i in range(90):
+        n, edits = ((200, 4), (200, 3), (200, 2), (500, 11), (500, 8), (500, 5))[i % 6]
+        words = [f"w{rnd.randrange(10 ** 6)}" for _ in range(n)]
+        copy = list(words)
+        for at in rnd.sample(range(n), edits):
+            copy[at] = "new"
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(copy))]
+    want, links = brute_kept(rows)
+    assert links > 60
+    got = {r.doc_id for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == want
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(0, 40) if i % 10 != 9] + [(100, i) for i in range(101, 120)] + [(5, 5)]
     got = {r.node: r["class"] for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
