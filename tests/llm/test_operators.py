@@ -144,6 +144,18 @@ def test_keep_one_finds_edited_copies(spark):
     assert got == want
 
 
+def test_keep_one_within_one_fingerprint(spark):
+    rnd = random.Random(6)
+    rows = []
+    for i in range(12):
+        words = [f"w{rnd.randrange(10 ** 6)}" for _ in range(60)]
+        rows += [(10 * i + j, "the " * 300 + " ".join(words + ["end"] * j)) for j in range(3)]
+    assert len({simhash.fingerprint(t.encode(), 5) for _, t in rows}) == 1
+    rows += [(500, "one two three four five six"), (500, rows[0][1] + " more")]  # two texts of one key
+    got = {r.doc_id for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {10 * i for i in range(12)}
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(0, 40) if i % 10 != 9] + [(100, i) for i in range(101, 120)] + [(5, 5)]
     got = {r.node: r["class"] for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
