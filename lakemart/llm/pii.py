@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime
 import re
+from bisect import bisect
 from collections.abc import Callable, Iterable
 from functools import lru_cache
 from hashlib import blake2b
@@ -181,15 +182,18 @@ def _date(found: str, key: bytes) -> str | None:
     return new and f"{new.day:02d}{sep}{new.month:02d}{sep}{new.year:04d}"
 
 
-# Kinds in order of precedence: pattern and rule. What a rule does not validate is left as it is.
-KINDS: list[tuple[str, str, Callable]] = [
-    ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])", _account),
-    ("card", r"(?<![0-9])(?<![0-9][ .-])[0-9](?:[ -]?[0-9]){12,18}(?![ -]?[0-9])", _card),
-    ("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", _social),
-    ("ip", r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])", _address),
-    ("date", r"(?<![0-9./-])(?:[0-9]{4}([-/.])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([-/.])[0-9]{1,2}\2[0-9]{4})(?![0-9]|[./-][0-9])", _date),
-    ("phone", r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9])", _phone),
+# Kinds in order of precedence: the left border, the value, what must not follow, and the rule. What a
+# rule does not validate is left as it is. Digits after a blank are no bar: values stand beside other numbers.
+KINDS: list[tuple[str, str, str, str, Callable]] = [
+    ("iban", r"(?<![A-Za-z0-9])", r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}", r"[A-Za-z0-9]", _account),
+    ("card", r"(?<![0-9])(?<![0-9][.-])", r"[0-9](?:[ -]?[0-9]){12,18}", r"-?[0-9]", _card),
+    ("ssn", r"(?<![0-9-])", r"[0-9]{3}-[0-9]{2}-[0-9]{4}", r"[0-9-]", _social),
+    ("ip", r"(?<![0-9.])", r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}", r"[0-9]|\.[0-9]", _address),
+    ("date", r"(?<![0-9./-])", r"(?:[0-9]{4}([-/.])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([-/.])[0-9]{1,2}\2[0-9]{4})", r"[0-9]|[./-][0-9]", _date),
+    ("phone", r"(?<![0-9+])", r"(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}", r"[0-9]", _phone),
 ]
+#: No value of a kind in ``KINDS`` is longer: an account number with a blank before every character.
+LONGEST = 64
 MAIL = re.compile(r"(?<![\w.+-])[A-Za-z0-9](?:[A-Za-z0-9._%+-]{0,62}[A-Za-z0-9_%+-])?@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}")
 
 
@@ -198,25 +202,37 @@ class Pseudonyms:
 
     def __init__(self, key: bytes):
         self.key = key
-        self.kinds = [(kind, re.compile(pattern), lru_cache(65_536)(rule)) for kind, pattern, rule in KINDS]
+        self.kinds = [(kind, re.compile(f"{before}(?={value})"), re.compile(value), re.compile(after), lru_cache(65_536)(rule))
+                      for kind, before, value, after, rule in KINDS]
+        self.digit = re.compile("[0-9]")
         # Any stretch in which one of the number patterns can lie.
-        self.stretch = re.compile(r"[A-Z]{2}[0-9]{2}[A-Z0-9 ]{11,38}|[+(]?[0-9][0-9 ().+/-]{5,}[0-9]")
+        self.stretch = re.compile(r"[A-Z0-9+(][A-Z0-9 ().+/-]{6,}")
         self.mail = lru_cache(65_536)(_mail)
 
     def find(self, text: str) -> list[tuple[str, int, int, str]]:
         """Disjoint (kind, start, stop, pseudonym) in order of place."""
-        found: list[tuple[str, int, int, str]] = []
+        found: list[tuple[str, int, int, str]] = []  # sorted by place
         if "@" in text:
             for m in MAIL.finditer(text):
                 found.append(("mail", m.start(), m.end(), self.mail(m[0], self.key)))
         for area in self.stretch.finditer(text):
-            low, high = max(0, area.start() - 2), min(len(text), area.end() + 2)
-            for kind, pattern, rule in self.kinds:
-                for m in pattern.finditer(text, low, high):
-                    if area.start() <= m.start() and m.end() <= area.end() and (new := rule(m[0], self.key)) \
-                            and all(m.end() <= a or b <= m.start() for _, a, b, _ in found[-8:]):
-                        found.append((kind, m.start(), m.end(), new))
-        return sorted(found, key=lambda f: f[1])
+            if not self.digit.search(text, area.start(), area.end()):
+                continue
+            for kind, starts, value, after, rule in self.kinds:
+                at = 0
+                for m in starts.finditer(text, area.start(), area.end()):
+                    if m.start() < at:
+                        continue
+                    # Every right end, the farthest first.
+                    for stop in range(min(area.end(), m.start() + LONGEST), m.start(), -1):
+                        if text[stop - 1].isalnum() and not after.match(text, stop) and value.fullmatch(text, m.start(), stop) \
+                                and (new := rule(text[m.start():stop], self.key)):
+                            place = bisect(found, m.start(), key=lambda f: f[1])
+                            if (place == 0 or found[place - 1][2] <= m.start()) and (place == len(found) or stop <= found[place][1]):
+                                found.insert(place, (kind, m.start(), stop, new))
+                                at = stop
+                                break
+        return found
 
     @staticmethod
     def replace(text: str, found: Iterable[tuple[str, int, int, str]]) -> str:
@@ -231,8 +247,8 @@ def pseudonymise(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
     """``docs`` with personal data in ``text`` replaced, and ``pii``: kind, place in the old text, new value.
 
     Kinds: payment cards (Luhn), account numbers (mod 97), social security numbers, IPv4 addresses,
-    phone numbers, dates, and mail addresses, whose domain stays. Invalid candidates stay as they are,
-    and where two kinds overlap the first in ``KINDS`` wins. Null stays null, with no findings. Whole
+    phone numbers, dates, and mail addresses, whose domain stays. Of the ends a value can have, the farthest
+    valid one counts; invalid candidates stay as they are, and where two kinds overlap the first in ``KINDS`` wins. Null stays null, with no findings. Whole
     texts, row by row, no shuffle. ``key`` (16 to 64 bytes) is the secret; the same key gives the same
     pseudonyms in every run. An existing ``pii`` column is replaced.
     """

@@ -246,6 +246,24 @@ def test_pii(spark):
         assert sorted(pii.permute(i, size, key, "t") for i in range(size)) == list(range(size))
 
 
+def test_pii_beside_other_numbers():
+    worker = pii.Pseudonyms(b"k" * 16)
+    card, other, phone, iban = "4111 1111 1111 1111", "5500 0000 0000 0004", "556-555-4807", "DE89 3704 0044 0532 0130 00"
+    for text, want in [
+        (f"{card} 12/25", [card]), (f"{card} {other}", [card, other]), (f"12 {card}", [card]), (f"{phone} 24/7", [phone]),
+        (f"{phone} 556-555-4808", [phone, "556-555-4808"]), (f"{iban} BIC: X", [iban]), (f"{iban} EUR 50", [iban]),
+        (f"AB12 {'X' * 30} {card}", [card]), (f"{iban} {card.replace(' ', '-')} 12", [iban, card.replace(' ', '-')]),
+        (f"{'A1 ' * 40}{iban}", [iban]), (f"{phone} {card}", [phone, card]), ("4041894974608794 2023-02-29", []),
+    ]:
+        assert [text[a:b] for _, a, b, _ in worker.find(text)] == want, text
+    # Overlap counts against all accepted values, however many came before.
+    mails = " ".join(f"{i}.{phone}@x.org" for i in range(20))
+    assert [k for k, *_ in worker.find(mails)] == ["mail"] * 20
+    text = " ".join([f"192.0.2.{i}" for i in range(12)]) + f" {card} " + " ".join(f"200-555-{i:04d}" for i in range(12))
+    found = worker.find(text)
+    assert all(a[2] <= b[1] for a, b in zip(found, found[1:])) and len(found) == 25
+
+
 def test_toxicity(spark):
     rnd = random.Random(1)
     words = [f"w{i}" for i in range(80)]
