@@ -20,9 +20,9 @@ MIN_WORDS = 5
 RARITY_CLASSES = 1 << 16
 #: Prefixes are longer by one word, and lines must meet on two: one rare word in common is mostly chance.
 LEAST_MET = 2
-PLACES = 1 << 31
-#: Sorts after every 64-bit key.
-NO_KEY = str(1 << 63)
+PLACE = ("hi", "mid", "lo")
+#: Set in the middle part of a place if the document has no key.
+KEYLESS = 1 << 62
 LARGEST = (1 << 63) - 1
 
 
@@ -65,29 +65,29 @@ def _least_overlap(n: Column | int, share: float) -> Column:
     return F.ceil(n * share - 1e-9)
 
 
-def _place(doc: str, line: str) -> Column:
-    """One sortable number for a line: the document, then the line within it. Documents without a key come last."""
-    key = F.coalesce(F.col(doc).cast("decimal(20,0)"), F.lit(NO_KEY).cast("decimal(20,0)"))
-    return (key * F.lit(PLACES).cast("decimal(11,0)") + F.col(line)).cast("decimal(38,0)")
+def _document(key: str, text: str) -> list[Column]:
+    """``hi`` and ``mid``: the key, and 62 bits of a digest of the text. Different texts without a key, or with
+    one key, are different documents. Documents without a key come last."""
+    doc = F.col(key).cast("long")
+    mid = F.shiftrightunsigned(F.xxhash64(text), 2) + F.when(doc.isNull(), F.lit(KEYLESS)).otherwise(F.lit(0))
+    return [F.coalesce(doc, F.lit(LARGEST)).alias("hi"), mid.alias("mid")]
 
 
 def split_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc``, ``no``, ``line`` of every line with at least one word character; \\n ends a line."""
-    return docs.select(F.col(key).cast("long").alias("doc"), F.posexplode(F.split(text, "\n")).alias("no", "line"))
+    """``doc``, ``no``, ``line`` and place ``at`` of every line; \\n ends a line. A place is a sortable struct: the
+    document (``hi``, ``mid``), then the line within it (``lo``)."""
+    # Digests are computed before lines are split off, once a document.
+    known = docs.select(F.col(key).cast("long").alias("doc"), *_document(key, text), F.col(text).alias("_text"))
+    lines = known.select("doc", "hi", "mid", F.posexplode(F.split("_text", "\n")).alias("no", "line"))
+    return lines.select("doc", "no", "line", F.struct("hi", "mid", F.col("no").alias("lo")).alias("at"))
 
 
 def _split_place(at: Column) -> list[Column]:
-    """``hi`` and ``lo``, two longs in the order of places: the join compares millions of them, and
-    decimals are slow. ``hi * PLACES + lo`` is the place again, also for documents without a key."""
-    doc = F.floor(at / PLACES).cast("decimal(20,0)")
-    keyless = doc >= F.lit(NO_KEY).cast("decimal(20,0)")
-    lo = (at - doc * F.lit(PLACES).cast("decimal(11,0)")).cast("long") + F.when(keyless, F.lit(PLACES)).otherwise(F.lit(0))
-    return [F.when(keyless, F.lit(LARGEST)).otherwise(doc.cast("long")).alias("hi"), lo.alias("lo")]
+    return [at[c].alias(c) for c in PLACE]
 
 
-def _joined_place(hi: str, lo: str) -> Column:
-    key = F.col(hi).cast("decimal(20,0)") * F.lit(PLACES).cast("decimal(11,0)")
-    return (key + F.col(lo)).cast("decimal(38,0)")
+def _joined_place(end: str) -> Column:
+    return F.struct(*[F.col(c + end).alias(c) for c in PLACE])
 
 
 def _line_table(lines: DataFrame, ranks: Column, similarity: float, min_words: int) -> DataFrame:
@@ -109,7 +109,7 @@ def _firsts(table: DataFrame) -> DataFrame:
 
 
 def _prefixes(table: DataFrame) -> DataFrame:
-    """``hi``, ``lo``, ``n``, ``parity`` and ``prefix`` of every different line, at its first place."""
+    """Place, ``n``, ``parity`` and ``prefix`` of every different line, at its first place."""
     at_first = table.join(_firsts(table), ["h1", "h2"]).filter(F.col("at") == F.col("first"))
     return store(at_first.select(*_split_place(F.col("at")), "n", "parity", "prefix"), "lines-prefixes", "zstd")
 
@@ -126,7 +126,7 @@ def _shorter_prefix(similarity: float) -> Column:
 
 
 def _later(x: str, y: str) -> Column:
-    return (F.col("hi" + x) > F.col("hi" + y)) | ((F.col("hi" + x) == F.col("hi" + y)) & (F.col("lo" + x) > F.col("lo" + y)))
+    return _joined_place(x) > _joined_place(y)
 
 
 def _close(similarity: float) -> Column:
@@ -147,19 +147,19 @@ def _meet(short: DataFrame, long: DataFrame, similarity: float, wanted: Column |
     ordered = (F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & _later("_b", "_a"))
     condition = ordered & _close(similarity)
     met = a.join(b, "code").filter(condition if wanted is None else condition & wanted)
-    return met.select(*[c + end for end in ("_a", "_b") for c in ("hi", "lo", "n", "pos")])
+    return met.select(*[c + end for end in ("_a", "_b") for c in (*PLACE, "n", "pos")])
 
 
 def _pairs_met(met: DataFrame, similarity: float) -> DataFrame:
     """``a`` and ``b`` (places, a before b) of the lines that met on enough words."""
-    met = met.groupBy("hi_a", "lo_a", "hi_b", "lo_b", "n_a", "n_b") \
+    met = met.groupBy(*[c + end for end in ("_a", "_b") for c in (*PLACE, "n")]) \
         .agg(F.count(F.lit(1)).alias("m"), F.max("pos_a").alias("pos_a"), F.max("pos_b").alias("pos_b"))
     # Both prefixes are in one order, so words shared up to the last met ones have all met; the rest of
     # the shorter remainder must be able to fill the overlap.
     needed = _least_overlap(F.col("n_a") + F.col("n_b"), similarity / (1 + similarity))
     can_fill = F.col("m") + F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) - 1 >= needed
     met = met.filter(can_fill & (F.col("m") >= LEAST_MET)) \
-        .select(_joined_place("hi_a", "lo_a").alias("x"), _joined_place("hi_b", "lo_b").alias("y"))
+        .select(_joined_place("_a").alias("x"), _joined_place("_b").alias("y"))
     return store(met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")), "lines-candidates")
 
 
@@ -167,15 +167,14 @@ def _likely(prefixes: DataFrame, similarity: float) -> DataFrame:
     """For a line, the earliest line of its size with which it shares most prefix words, if the filters
     allow it: one pair (a, b) a line at most, however large a group of near copies is."""
     words = _exploded(prefixes, "_b")
-    heads = prefixes.select("hi", "lo", "n", "parity", F.posexplode("prefix").alias("pos", "code")) \
+    heads = prefixes.select(*PLACE, "n", "parity", F.posexplode("prefix").alias("pos", "code")) \
         .groupBy("code", F.col("n").alias("n_b")) \
-        .agg(F.min(F.struct("hi", "lo", "parity", "pos")).alias("head")) \
-        .select("code", "n_b", F.col("n_b").alias("n_a"), *[F.col("head." + c).alias(c + "_a") for c in ("hi", "lo", "parity", "pos")])
+        .agg(F.min(F.struct(*PLACE, "parity", "pos")).alias("head")) \
+        .select("code", "n_b", F.col("n_b").alias("n_a"), *[F.col("head." + c).alias(c + "_a") for c in (*PLACE, "parity", "pos")])
     met = words.join(heads, ["code", "n_b"]).filter(_later("_b", "_a") & _close(similarity))
-    pairs = met.groupBy("hi_b", "lo_b", "hi_a", "lo_a").agg(F.count(F.lit(1)).alias("m"))
-    best = pairs.groupBy("hi_b", "lo_b").agg(F.max(F.struct("m", "hi_a", "lo_a")).alias("best")) \
-        .select("hi_b", "lo_b", "best.hi_a", "best.lo_a")
-    return store(best.select(_joined_place("hi_a", "lo_a").alias("a"), _joined_place("hi_b", "lo_b").alias("b")), "lines-likely")
+    pairs = met.groupBy(_joined_place("_b").alias("b"), _joined_place("_a").alias("a")).agg(F.count(F.lit(1)).alias("m"))
+    best = pairs.groupBy("b").agg(F.max(F.struct("m", "a")).alias("best"))
+    return store(best.select("best.a", "b"), "lines-likely")
 
 
 def _word_sets(pairs: DataFrame, lines: DataFrame, ranks: Column) -> DataFrame:
@@ -194,10 +193,6 @@ def _verify(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return store(pairs.join(left, "a").join(right, "b").filter(alike).select("a", "b"), "lines-pairs")
 
 
-def _placed_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
-    return split_lines(docs, key, text).withColumn("at", _place("doc", "no"))
-
-
 def _similar_lines(lines: DataFrame, table: DataFrame, ranks: Column, similarity: float) -> DataFrame:
     prefixes = _prefixes(table)
     met = _pairs_met(_meet(prefixes, prefixes, similarity), similarity)
@@ -215,7 +210,7 @@ def _earlier_matches(lines: DataFrame, table: DataFrame, ranks: Column, similari
     likely = _likely(prefixes, similarity)
     first = _verify(likely, _word_sets(likely, lines, ranks), similarity)
     settled = first.select(*_split_place(F.col("b")), F.lit(True).alias("settled"))
-    marked = prefixes.join(settled, ["hi", "lo"], "left").withColumn("open", F.col("settled").isNull()).drop("settled")
+    marked = prefixes.join(settled, list(PLACE), "left").withColumn("open", F.col("settled").isNull()).drop("settled")
     still, done = marked.filter("open"), marked.filter("not open")
     # Pairs of two settled lines are not formed at all; of the others, those whose later line is open count.
     # The two joins share no pair, and each frees its shuffle files before the next.
@@ -228,19 +223,19 @@ def similar_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", simi
                   min_words: int = MIN_WORDS) -> DataFrame:
     """All pairs (a, b) of places of different lines, a before b, whose word sets reach ``similarity``.
     Equal lines are found by equality and need no pair."""
-    ranks, lines = _literal(rarity_ranks(docs, text)), _placed_lines(docs, key, text)
+    ranks, lines = _literal(rarity_ranks(docs, text)), split_lines(docs, key, text)
     return _similar_lines(lines, _line_table(lines, ranks, similarity, min_words), ranks, similarity)
 
 
 def judge_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY,
                 min_words: int = MIN_WORDS, all_links: bool = True) -> DataFrame:
-    """``doc``, ``no``, ``removed``, ``links`` (other texts alike) and ``class`` (place of the earliest line
+    """``doc``, ``no``, ``at``, ``removed``, ``links`` (other texts alike) and ``class`` (place of the earliest line
     that it equals or resembles) of every line of at least ``min_words`` distinct words.
 
     Without ``all_links`` only what removal needs is searched: ``removed`` is the same, ``links`` and
     ``class`` come from the matches that were needed.
     """
-    ranks, placed = _literal(rarity_ranks(docs, text)), _placed_lines(docs, key, text)
+    ranks, placed = _literal(rarity_ranks(docs, text)), split_lines(docs, key, text)
     lines = _line_table(placed, ranks, similarity, min_words)
     search = _similar_lines if all_links else _earlier_matches
     pairs = search(placed, lines, ranks, similarity)
@@ -249,30 +244,33 @@ def judge_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", simila
     known = _firsts(lines).join(linked, F.col("first") == F.col("at"), "left") \
         .select("h1", "h2", "first", F.coalesce("links", F.lit(0)).alias("links"), F.least("first", "earliest").alias("class"))
     return lines.join(known, ["h1", "h2"]).select(
-        "doc", "no", ((F.col("at") > F.col("first")) | (F.col("class") < F.col("first"))).alias("removed"), "links", "class")
+        "doc", "no", "at", ((F.col("at") > F.col("first")) | (F.col("class") < F.col("first"))).alias("removed"), "links", "class")
 
 
 def lines_report(docs: DataFrame) -> DataFrame:
     """Per document: lines compared, lines removed, links to other texts, and its earliest source: the
-    document of the earliest line that one of its lines equals or resembles (its own id if none)."""
-    judged = judge_lines(docs.select("doc_id", "text"))
-    by_doc = judged.groupBy("doc").agg(
+    document of the earliest line that one of its lines equals or resembles (its own id if none). Texts
+    with one id are counted together, texts without an id each for itself."""
+    docs = docs.select("doc_id", *_document("doc_id", "text"), "text")
+    own = F.when(F.col("mid") >= KEYLESS, F.col("mid")).otherwise(F.lit(0))
+    judged = judge_lines(docs.select("doc_id", "text")).select("*", *_split_place(F.col("at")))
+    by_doc = judged.groupBy("hi", own.alias("mid")).agg(
         F.count(F.lit(1)).alias("n_lines"), F.count_if("removed").alias("n_removed"), F.sum("links").alias("n_links"),
         F.min("class").alias("class"))
-    earliest = F.floor(F.col("class") / PLACES).cast("decimal(20,0)")
-    return docs.select("doc_id").join(by_doc, F.col("doc_id").eqNullSafe(F.col("doc")), "left").select(
+    return docs.select("doc_id", "hi", own.alias("mid")).join(by_doc, ["hi", "mid"], "left").select(
         "doc_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_lines", "n_removed", "n_links")],
-        F.when(earliest < F.lit(NO_KEY).cast("decimal(20,0)"), earliest.cast("long")).alias("source_doc"))
+        F.when(F.col("class.mid") < KEYLESS, F.col("class.hi")).alias("source_doc"))
 
 
 def drop_similar_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """Documents without the lines that repeat or resemble an earlier one; columns as they came, and
     ``n_chars``, where there is one, counted anew. A document of which only blank lines remain goes,
-    unless nothing was removed from it. Keys are unique, but for exact repeats of a row, which stay or
-    go together; a null key counts as the last."""
+    unless nothing was removed from it. Different texts are different documents, also without a key or
+    with the same key; exact repeats of a row stay or go together. Documents without a key come last."""
     judged = judge_lines(docs, key, text, all_links=False, **options)
-    gone = judged.filter("removed").groupBy("doc").agg(F.collect_set("no").alias("_gone"))
-    joined = docs.join(gone.withColumnRenamed("doc", "_doc"), F.col(key).eqNullSafe(F.col("_doc")), "left").drop("_doc")
+    gone = judged.filter("removed").groupBy(F.col("at.hi").alias("_hi"), F.col("at.mid").alias("_mid")).agg(F.collect_set("no").alias("_gone"))
+    hi, mid = _document(key, text)
+    joined = docs.withColumns({"_hi": hi, "_mid": mid}).join(gone, ["_hi", "_mid"], "left")
     kept = F.array_compact(F.transform(F.split(text, "\n"), lambda l, i: F.when(~F.array_contains("_gone", i), l)))
     joined = joined.withColumn("_text", F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n")))
     joined = joined.filter(F.col("_gone").isNull() | (F.trim("_text") != ""))

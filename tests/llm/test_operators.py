@@ -230,6 +230,19 @@ def test_lines(spark, docs):
     assert one.exceptAll(lines.judge_lines(docs, all_links=False).select("doc", "no", "removed")).count() == 0
 
 
+def test_lines_of_documents_without_own_key(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(10)) for x in "abcd")
+    rows = [(1, a), (None, f"{a}\n{b}"), (None, f"{c}\n{d}"), (None, f"{d} more\n{b} more"), (2, f"{a}\nu1 u2 u3 u4 u5"), (2, "v1 v2 v3 v4 v5\nw1 w2 w3 w4 w5")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, r.text) for r in lines.drop_similar_lines(df).collect()]
+    assert {t for k, t in got if k is not None} == {a, "u1 u2 u3 u4 u5", "v1 v2 v3 v4 v5\nw1 w2 w3 w4 w5"}
+    left = "\n".join(t for k, t in got if k is None).split("\n")
+    # One line of each pair of near copies stays, and c, which nothing resembles.
+    assert len(left) == 3 and c in left and {line[:2] for line in left} == {"b0", "c0", "d0"}
+    report = sorted((r.doc_id or 0, r.n_lines, r.n_links) for r in lines.lines_report(df).collect())
+    assert report == [(0, 2, 1), (0, 2, 1), (0, 2, 2), (1, 1, 0), (2, 4, 0), (2, 4, 0)]
+
+
 def test_pii(spark):
     key = b"k" * 16
     card = "4041894974608795"
