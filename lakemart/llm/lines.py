@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lakemart.llm.common import store
 
 SIMILARITY = 0.8
-#: Shorter lines are never compared: headings and separators repeat in clean text.
+#: Shorter lines are not compared by default: headings and separators repeat in clean text. With 1, all lines
+#: with a word take part.
 MIN_WORDS = 5
 #: Words are counted in so many hash classes; the counts order words by rarity. Any total order gives
 #: the same result, so collisions cost time only, and the broadcast has this size for any corpus.
@@ -90,6 +91,11 @@ def _joined_place(end: str) -> Column:
     return F.struct(*[F.col(c + end).alias(c) for c in PLACE])
 
 
+def _only_equal(n: str, similarity: float) -> Column:
+    """Whether a set of this size is similar to equal sets only: one word more or less is too much."""
+    return F.col(n) < (F.col(n) + 1) * similarity - 1e-9
+
+
 def _line_table(lines: DataFrame, ranks: Column, similarity: float, min_words: int) -> DataFrame:
     """``doc``, ``no``, ``at``, a digest (``h1``, ``h2``) of the text, ``n``, ``parity`` and ``prefix`` (its codes)
     of every line to compare. All texts are split and hashed once, for this; later steps read only these columns."""
@@ -99,7 +105,9 @@ def _line_table(lines: DataFrame, ranks: Column, similarity: float, min_words: i
     # for each word that must be met.
     length = (F.col("n") - _least_overlap(F.col("n"), similarity) + LEAST_MET).cast("int")
     table = coded.select("doc", "no", "at", "h1", "h2", "n", _parity("codes").alias("parity"),
-                         F.slice("codes", F.lit(1), length).alias("prefix"))
+                         F.when(_only_equal("n", similarity), F.array(F.xxhash64("codes")))
+                         .otherwise(F.slice("codes", F.lit(1), length)).alias("prefix"))
+    # Sets that only equal ones resemble meet on their digest, in place of words that thousands of short lines share.
     # A filter before the store would be pushed below the codes and compute them twice.
     return store(table, "lines-table", "zstd").filter(F.col("n") >= min_words)
 
@@ -158,7 +166,7 @@ def _pairs_met(met: DataFrame, similarity: float) -> DataFrame:
     # the shorter remainder must be able to fill the overlap.
     needed = _least_overlap(F.col("n_a") + F.col("n_b"), similarity / (1 + similarity))
     can_fill = F.col("m") + F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) - 1 >= needed
-    met = met.filter(can_fill & (F.col("m") >= LEAST_MET)) \
+    met = met.filter(can_fill & (F.col("m") >= F.when(_only_equal("n_a", similarity), 1).otherwise(LEAST_MET))) \
         .select(_joined_place("_a").alias("x"), _joined_place("_b").alias("y"))
     return store(met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")), "lines-candidates")
 

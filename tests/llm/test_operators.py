@@ -230,6 +230,26 @@ def test_lines(spark, docs):
     assert one.exceptAll(lines.judge_lines(docs, all_links=False).select("doc", "no", "removed")).count() == 0
 
 
+def test_short_lines(spark):
+    import corpus_pipeline
+    rnd = random.Random(8)
+    body = [" ".join(rnd.choices(["les", "la", "Les", "x", "y\tz", "中文段落没有空格", "q"], k=rnd.randint(1, 6))) for _ in range(150)]
+    body += ["the the the the the", "   ", "the THE the", "Les.", "Les.", "a b c d", "a b c d e"]
+    rows = [(i, "\n".join(body[3 * i:3 * i + 3])) for i in range(-(-len(body) // 3))]
+    kept, seen = defaultdict(list), []
+    for i, text in rows:
+        for line in text.split("\n"):
+            words = set(line.lower().replace("\t", " ").split(" ")) - {""}
+            if not words or not any(len(words & old) >= 0.8 * len(words | old) - 1e-9 for old in seen):
+                kept[i].append(line)
+            seen += [words] if words else []
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in corpus_pipeline.dedup_lines(spark, df, None).collect()}
+    assert got == {i: "\n".join(own) for i, own in kept.items() if "".join(own).strip()}
+    one = lines.judge_lines(df, min_words=1).select("doc", "no", "removed")
+    assert one.exceptAll(lines.judge_lines(df, min_words=1, all_links=False).select("doc", "no", "removed")).count() == 0
+
+
 def test_lines_of_documents_without_own_key(spark):
     a, b, c, d = (" ".join(f"{x}{i}" for i in range(10)) for x in "abcd")
     rows = [(1, a), (None, f"{a}\n{b}"), (None, f"{c}\n{d}"), (None, f"{d} more\n{b} more"), (2, f"{a}\nu1 u2 u3 u4 u5"), (2, "v1 v2 v3 v4 v5\nw1 w2 w3 w4 w5")]
