@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakemart.llm import decontaminate, lines, packing, pii, repeats, simhash, tokens, toxicity, urls, vectors
+from lakemart.llm import (
+    decontaminate, languages, lines, packing, pii, ranked, repeats, runs, simhash, tokens, toxicity, urls, vectors,
+)
 from lakemart.llm.common import LOWER, UPPER, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,9 +61,22 @@ def op10_urls(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_languages(spark: SparkSession, folder: str) -> DataFrame:
+    return languages.language_report(read_table(spark, folder, "documents"))
+
+
+def op12_ranked(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked.ranked_report(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+
+
+def op13_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return runs.runs_report(read_table(spark, folder, "documents"))
+
+
 def llm_queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_decontaminate, op2_simhash, op3_repeats, op4_nearest, op5_lines, op6_pii,
-                                    op7_toxicity, op8_tokens, op9_packing, op10_urls)}
+                                    op7_toxicity, op8_tokens, op9_packing, op10_urls, op11_languages, op12_ranked,
+                                    op13_runs)}
 
 
 def words_sql(text: str) -> str:
@@ -127,7 +142,26 @@ SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict
 FROM p LEFT JOIN (SELECT * FROM fits WHERE nth = 1) USING (r)
 """
 
+OP12_SQL = f"""
+WITH d AS (
+  SELECT r, doc_id, w, len(w) AS n
+  FROM (SELECT row_number() OVER () AS r, doc_id, {words_sql('text')} AS w FROM documents) WHERE len(w) > 0),
+s AS (SELECT count(*) AS total, coalesce(sum(n), 0)::BIGINT AS words FROM d),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM d) GROUP BY ALL),
+i AS (SELECT row_number() OVER () AS item_no, item_id, {words_sql('text')} AS w FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+q AS (SELECT item_no, item_id, term, count(*) AS times FROM (SELECT item_no, item_id, unnest(w) AS term FROM i) GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf WHERE term IN (SELECT term FROM q) GROUP BY term),
+weights AS (SELECT term, floor(1000 * ln((2 * total + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS weight FROM df, s),
+scores AS (
+  SELECT item_no, item_id, r, doc_id, sum(times * weight
+    * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * total) // words))))::BIGINT AS score
+  FROM q JOIN tf USING (term) JOIN weights USING (term) JOIN d USING (r), s GROUP BY ALL),
+places AS (
+  SELECT *, row_number() OVER (PARTITION BY item_no ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scores WHERE score > 0)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM places WHERE rank <= 20
+"""
+
 
 def llm_oracles() -> dict[str, str]:
     """Oracles where SQL can express the result at a bearable cost. The rest is tested against brute force."""
-    return {"op1_decontaminate": OP1_SQL, "op5_lines": OP5_SQL, "op10_urls": OP10_SQL}
+    return {"op1_decontaminate": OP1_SQL, "op5_lines": OP5_SQL, "op10_urls": OP10_SQL, "op12_ranked": OP12_SQL}
