@@ -147,4 +147,9 @@ def clean_transactions(raw: DataFrame) -> DataFrame:
         F.col("prix").alias("price"),
         F.col("timestamp").try_cast("timestamp").alias("transaction_time"),
     )
+    return latest_transaction(typed)
+
+
+def latest_transaction(typed: DataFrame) -> DataFrame:
+    """Latest of the typed versions of each transaction; any part of them may have been reduced before."""
     return keep_latest(typed, ["id_transaction"], "transaction_time", [F.col("price").desc_nulls_last()])

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lakemart.functions import money, parse_timestamp, ratio, share
+from lakemart.functions import parse_timestamp, ratio, share
 from lakemart.operators.joins import order_base, with_default
 
 
@@ -117,11 +117,40 @@ def with_revenue_share(category_performance: DataFrame) -> DataFrame:
     return category_performance.withColumn("category_revenue_share", share("total_revenue", month))
 
 
-def hourly_client_spend(transactions: DataFrame) -> DataFrame:
-    """Spend and count per client and hour over raw transactions; unreadable times share the null hour."""
+#: Exact amounts; their sum keeps ten more digits, so that no number of rows overflows it.
+EXACT = "decimal(28,10)"
+
+
+def spend_parts(transactions: DataFrame) -> DataFrame:
+    """Per client and hour over raw transactions: exact spend, spend beyond the exact type, and count.
+    Parts of any cut of the rows can be added up; unreadable times share the null hour."""
+    amount = F.col("prix")
+    exact = amount.try_cast(EXACT)
     return transactions.groupBy(
         "client", F.date_trunc("hour", parse_timestamp("timestamp")).alias("transaction_hour")
     ).agg(
-        F.sum(money("prix")).alias("total_spending"),
+        F.sum(exact).alias("exact_spending"),
+        F.sum(F.when(exact.isNull(), amount)).alias("other_spending"),
         F.count("id_transaction").alias("transaction_count"),
     )
+
+
+def add_spend(parts: DataFrame) -> DataFrame:
+    """Parts of the same client and hour as one."""
+    return parts.groupBy("client", "transaction_hour").agg(
+        F.sum("exact_spending").cast("decimal(38,10)").alias("exact_spending"), F.sum("other_spending").alias("other_spending"),
+        F.sum("transaction_count").alias("transaction_count"))
+
+
+def total_spend(parts: DataFrame, *more: str) -> DataFrame:
+    """Whole sums of parts, with further columns passed through."""
+    exact = F.col("exact_spending").cast("double")
+    total = F.coalesce(exact + F.coalesce("other_spending", F.lit(0.0)), "other_spending")
+    return parts.select("client", "transaction_hour", total.alias("total_spending"), "transaction_count", *more)
+
+
+def hourly_client_spend(transactions: DataFrame) -> DataFrame:
+    """Spend and count per client and hour over raw transactions; unreadable times share the null hour.
+    Amounts are summed as exact decimals of ten digits behind the point, so that the order of rows does
+    not matter; what is too large for that (from 1e18 on) is summed as it is, and nothing is left out."""
+    return total_spend(spend_parts(transactions))

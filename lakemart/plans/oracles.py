@@ -174,7 +174,7 @@ ORACLES["category_revenue_share"] = f"""
           FROM base LEFT JOIN products p USING (product_id) GROUP BY 1, 2)"""
 ORACLES["hourly_client_spend"] = """
     SELECT client, DATE_TRUNC('hour', TRY_STRPTIME("timestamp", '%Y-%m-%d %H:%M:%S')) AS transaction_hour,
-           CAST(SUM(CAST(prix AS DECIMAL(18,2))) AS DOUBLE) AS total_spending, COUNT(*) AS transaction_count
+           CAST(SUM(CAST(ROUND(prix * 100) AS BIGINT)) AS DOUBLE) / 100 AS total_spending, COUNT(*) AS transaction_count
     FROM raw_transactions GROUP BY 1, 2"""
 
 
@@ -630,8 +630,7 @@ ORACLES["replicate_items"] = f"""
 
 ORACLES["stream_bronze"] = "SELECT * FROM raw_transactions"
 ORACLES["stream_latest"] = "SELECT * FROM transactions"
-ORACLES["stream_hourly_spend"] = f"""
-    SELECT * FROM ({ORACLES['hourly_client_spend']}) WHERE transaction_hour IS NOT NULL"""
+ORACLES["stream_hourly_spend"] = ORACLES["hourly_client_spend"]
 
 
 # --- joins, duplicates, hashes, skew ----------------------------------------------------
@@ -664,13 +663,20 @@ ORACLES["daily_batches"] = """
 
 ORACLES["csv_reviews"] = ORACLES["clean_reviews"]
 ORACLES["orders_table"] = ORACLES["clean_orders"]
-ORACLES["hourly_spend_table"] = ORACLES["stream_hourly_spend"]
+ORACLES["hourly_spend_table"] = f"""
+    SELECT *, CAST(SUM(transaction_count) OVER (PARTITION BY client) AS BIGINT) AS client_transactions
+    FROM ({ORACLES['hourly_client_spend']})"""
 ORACLES["upsert_orders_table"] = """
     SELECT order_id, customer_id,
            CASE WHEN purchase_date >= DATE '1999-10-01' AND order_status = 'shipped' THEN 'delivered' ELSE order_status END
                AS order_status, order_purchase_timestamp, purchase_year_month
     FROM orders_clean"""
 
+ORACLES["batches_run_once"] = """
+    SELECT 'load_orders' AS job_name, CAST(YEAR(order_purchase_timestamp) AS VARCHAR) AS batch_id, 'succeeded' AS status,
+           COUNT(*) AS source_rows, COUNT(*) AS target_rows, COUNT(*) AS rows_in_table
+    FROM orders_clean GROUP BY 2"""
+
 
 def all_oracles() -> dict[str, str]:
     return {name: with_steps(sql) for name, sql in ORACLES.items()}

@@ -16,6 +16,7 @@ from lakemart.session import materialize, work_path
 from lakemart.functions import row_hash
 from lakemart.sources import files, tables
 from lakemart.sources.adapters import RawEntities
+from lakemart.sources.ledger import table_location
 from lakemart.streaming import ingest, latest
 
 # Test places belong to these regions (state -> region), a fixed five-way mapping.
@@ -527,12 +528,13 @@ def replicate_items(s):
 
 # --- streaming --------------------------------------------------------------------------
 
-def _transaction_stream(s):
-    """The transactions as JSON messages in files, read as a stream."""
+def _transaction_stream(s, batches: int = 3):
+    """The transactions as JSON messages in files, read as a stream in about so many micro-batches."""
     messages = s.raw["transactions"].select(F.to_json(F.struct("*")).alias("value"))
     source = work_path(s.spark, "messages")
     messages.write.text(source)
-    stream = ingest.read_stream(s.spark, "text", schema=messages.schema, path=source)
+    per_batch = max(1, len(s.spark.read.text(source).inputFiles()) // batches)
+    stream = ingest.read_stream(s.spark, "text", {"maxFilesPerTrigger": str(per_batch)}, schema=messages.schema, path=source)
     return ingest.decode_json(stream, SCHEMAS["transactions"])
 
 
@@ -546,18 +548,20 @@ def stream_bronze(s):
 
 @query
 def stream_latest(s):
-    out = work_path(s.spark, "latest")
-    ingest.run_available(latest.stream_latest(
-        _transaction_stream(s), out, work_path(s.spark, "latest-log"), {"availableNow": True}))
-    return latest.read_latest(s.spark, out, ["id_transaction"], "transaction_time", [F.col("price").desc_nulls_last()])
+    """Upserted batch by batch; then a new checkpoint reads all of it again into the same table."""
+    t = _new_table(s, "latest")
+    stream = _transaction_stream(s)
+    for log in ("latest-log", "latest-log-again"):
+        ingest.run_available(latest.stream_latest(stream, t["table"], work_path(s.spark, log), {"availableNow": True}, t["path"]))
+    return _read_and_forget(s, t["table"]).drop(latest.LATEST_DATE)
 
 
 @query
 def stream_hourly_spend(s):
-    out = work_path(s.spark, "hourly")
+    t = _new_table(s, "spend")
     ingest.run_available(latest.stream_hourly_spend(
-        _transaction_stream(s), out, work_path(s.spark, "hourly-log"), trigger={"availableNow": True}))
-    return latest.read_latest(s.spark, out, ["client", "transaction_hour"])
+        _transaction_stream(s), t["table"], work_path(s.spark, "spend-log"), {"availableNow": True}, t["path"]))
+    return sales.total_spend(_read_and_forget(s, t["table"]))
 
 
 # --- joins, duplicates, hashes, skew ----------------------------------------------------
@@ -618,11 +622,11 @@ def _new_table(s, name: str) -> dict:
 
 
 def _read_and_forget(s, table: str) -> DataFrame:
-    """The table's files, without leaving its name in the catalog (they stay: the location is external)."""
-    files_of_table = s.spark.table(table)
-    place = s.spark.sql(f"DESCRIBE FORMATTED {table}").filter("col_name = 'Location'").first().data_type
-    schema = files_of_table.schema
-    tables.drop_table(s.spark, table)
+    """The table's files, without leaving its names in the catalog (they stay: the location is external)."""
+    s.spark.catalog.refreshTable(table)
+    place, schema = table_location(s.spark, table), s.spark.table(table).schema
+    for name in (table, upsert.index_table(table)):
+        tables.drop_table(s.spark, name)
     return s.spark.read.schema(schema).parquet(place)
 
 
@@ -647,11 +651,19 @@ def orders_table(s):
 
 @query
 def hourly_spend_table(s):
-    t = _new_table(s, "hourly_spend")
-    hourly = sales.hourly_client_spend(s.raw["transactions"]).filter(F.col("transaction_hour").isNotNull())
-    tables.write_table(hourly.withColumn("day", F.date_format("transaction_hour", "yyyyMMdd")), t["table"], path=t["path"],
-                       partition_by=["day"], bucket_by=("client", 4))
-    return _read_and_forget(s, t["table"]).drop("day")
+    """Hourly spend partitioned by hour (the hour of unreadable times is a partition too) with clients in four
+    buckets, and in a second table of four buckets the spend of each client: joined bucket by bucket."""
+    hourly, total = _new_table(s, "hourly_spend"), _new_table(s, "client_spend")
+    spend = sales.spend_parts(s.raw["transactions"])
+    tables.write_table(spend.withColumn("hour", F.date_format("transaction_hour", "yyyy-MM-dd-HH")), hourly["table"],
+                       path=hourly["path"], partition_by=["hour"], bucket_by=("client", 4))
+    per_client = s.spark.table(hourly["table"]).groupBy("client").agg(F.sum("transaction_count").alias("client_transactions"))
+    tables.write_table(per_client, total["table"], path=total["path"], bucket_by=("client", 4))
+    joined = s.spark.table(hourly["table"]).join(s.spark.table(total["table"]), "client")
+    out = materialize(sales.total_spend(joined, "client_transactions"), "hourly-of-clients")
+    for t in (hourly, total):
+        tables.drop_table(s.spark, t["table"])
+    return out
 
 
 @query
@@ -667,3 +679,26 @@ def upsert_orders_table(s):
     batch = orders.filter(bought >= F.lit("1999-10-01")).withColumn("order_status", arrived)
     upsert.upsert_table(s.spark, t["table"], batch, ["order_id"])
     return _read_and_forget(s, t["table"])
+
+
+@query
+def batches_run_once(s):
+    """Orders loaded year by year, every batch asked for twice: the audit has one successful run of each."""
+    loaded, audit_name = _new_table(s, "loaded"), _new_table(s, "runs")
+    years = [str(y) for y in range(1995, 2002)]
+    orders = materialize(s.orders.select("order_id", F.year("order_purchase_timestamp").cast("string").alias("year")), "loaded-orders")
+    tables.create_table(s.spark, loaded["table"], orders.schema, location=loaded["path"])
+
+    def load(year):
+        part = orders.filter(F.col("year") == year)
+        part.write.insertInto(loaded["table"])
+        return {"source_rows": part.count(), "target_rows": part.count()}
+
+    for year in years + years:
+        upsert.run_batch_once(s.spark, audit_name["table"], "load_orders", year, lambda y=year: load(y))
+    in_table = s.spark.table(loaded["table"]).groupBy(F.col("year").alias("batch_id")).agg(F.count(F.lit(1)).alias("rows_in_table"))
+    runs = s.spark.table(audit_name["table"]).select("job_name", "batch_id", "status", "source_rows", "target_rows")
+    out = materialize(runs.join(in_table, "batch_id", "left"), "batches-run-once")
+    for t in (loaded, audit_name):
+        tables.drop_table(s.spark, t["table"])
+    return out

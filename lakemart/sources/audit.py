@@ -27,11 +27,12 @@ def run_audit(spark: SparkSession, table: str, job_name: str, batch_id: str | No
     create_table(spark, table, RUN_SCHEMA)
     counts: dict = {"run_id": uuid.uuid4().hex}
     start = datetime.datetime.now()
-    status, error = "succeeded", None
+    status, error = "failed", None
     try:
         yield counts
-    except Exception as e:
-        status, error = "failed", f"{type(e).__name__}: {e}"
+        status = "succeeded"
+    except BaseException as e:  # an interrupt is no success either
+        error = f"{type(e).__name__}: {e}"
         raise
     finally:
         end = datetime.datetime.now()

@@ -1,63 +1,102 @@
-"""Continuous tables: latest row per id, and hourly spend.
+"""Continuous tables: latest row per transaction, and hourly spend.
 
-Each micro-batch writes only its own reduced rows under its batch number, so its cost follows
-the batch and not the table, and a repeated batch replaces itself. Reading keeps the newest
-version per key; compaction folds the batches into a new base from time to time.
+Each micro-batch is reduced and then upserted into an ordinary partitioned table, exactly once: its
+number and the identity of the stream are the batch id of the upsert. No state is kept in the stream,
+so nothing is too late to count, and the table is complete and readable after every batch.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import json
+
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from lakemart.functions import money
-from lakemart.operators.clean import clean_transactions
-from lakemart.operators.dedup import keep_latest
+from lakemart.operators.clean import clean_transactions, latest_transaction
+from lakemart.operators.sales import add_spend, spend_parts, total_spend
+from lakemart.operators.upsert import batch_ledger, upsert_table
+from lakemart.schemas import SCHEMAS
+from lakemart.sources.ledger import Ledger
+from lakemart.sources.tables import create_table
+
+EVERY = {"processingTime": "10 seconds"}
+LATEST_DATE, SPEND_DAY = "transaction_date", "spend_day"
+
+
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """Identity that the stream keeps in its checkpoint; a checkpoint made anew has another."""
+    return json.loads(Ledger(spark, checkpoint).read("metadata"))["id"]
+
+
+def with_latest_date(transactions: DataFrame) -> DataFrame:
+    return transactions.withColumn(LATEST_DATE, F.to_date("transaction_time"))
+
+
+def with_spend_day(spend: DataFrame) -> DataFrame:
+    return spend.withColumn(SPEND_DAY, F.to_date("transaction_hour"))
+
+
+def _empty(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], SCHEMAS["transactions"])
+
 
-BATCH = "batch_number"
+def stream_latest(transactions: DataFrame, table: str, checkpoint: str, trigger: dict | None = None,
+                  path: str | None = None) -> StreamingQuery:
+    """Keep the latest cleaned row per transaction id in a table partitioned by its date.
 
+    The newest of all versions wins by the order of the batch job, whatever the cut into batches: a
+    repeated batch, a stop between batches and a new checkpoint that reads everything again change
+    nothing. Rows without an id are one key, rows without a time one partition.
+    """
+    spark = transactions.sparkSession
+    schema = with_latest_date(clean_transactions(_empty(spark))).schema
+    create_table(spark, table, T.StructType(schema.fields), partition_by=[LATEST_DATE], location=path)
 
-def _batch_writer(path: str, reduce):
-    def write(batch: DataFrame, batch_number: int) -> None:
-        reduce(batch).write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_number}")
-    return write
+    def apply(batch: DataFrame, number: int) -> None:
+        rows = with_latest_date(clean_transactions(batch))
+        own = batch.sparkSession
+        upsert_table(own, table, rows, ["id_transaction"], batch_id=f"{_stream_id(own, checkpoint)}-{number}",
+                     resolve=latest_transaction)
 
+    return transactions.writeStream.option("checkpointLocation", checkpoint).trigger(**(trigger or EVERY)) \
+        .foreachBatch(apply).start()
 
-def stream_latest(transactions: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Keep the latest cleaned row per transaction id."""
-    writer = transactions.writeStream.option("checkpointLocation", checkpoint)
-    return writer.trigger(**(trigger or {"processingTime": "10 seconds"})) \
-        .foreachBatch(_batch_writer(path, clean_transactions)).start()
 
+def read_latest(spark: SparkSession, table: str) -> DataFrame:
+    spark.catalog.refreshTable(table)  # the stream writes in a session of its own
+    return spark.table(table).drop(LATEST_DATE)
 
-def read_latest(spark: SparkSession, path: str, keys: list[str], ts: str | None = None,
-                tie_break: list[Column] | None = None) -> DataFrame:
-    """Newest version per key: by ``ts``, or by batch number where a batch replaces earlier ones."""
-    versions = spark.read.parquet(path)
-    order = F.col(ts) if ts else F.col(BATCH)
-    return keep_latest(versions, keys, order, tie_break).drop(BATCH)
 
+def stream_hourly_spend(transactions: DataFrame, table: str, checkpoint: str, trigger: dict | None = None,
+                        path: str | None = None) -> StreamingQuery:
+    """Add up spend and count per client and hour in a table partitioned by day.
 
-def compact_latest(spark: SparkSession, path: str, target: str, keys: list[str], ts: str | None = None,
-                   tie_break: list[Column] | None = None) -> None:
-    """Fold all batches into batch 0 of a new folder."""
-    read_latest(spark, path, keys, ts, tie_break).write.parquet(f"{target}/{BATCH}=0")
+    Every batch is reduced to partial sums, which are added to the days it touches; rows may come as
+    late as they like, and unreadable times share the null hour. Totals are those of the batch job for
+    every cut into batches. Sums of one stream only can be added up: a checkpoint made anew would count
+    its source again, so it needs a new table, and is refused for this one.
+    """
+    spark = transactions.sparkSession
+    schema = with_spend_day(spend_parts(_empty(spark))).schema
+    create_table(spark, table, T.StructType(schema.fields), partition_by=[SPEND_DAY], location=path)
 
+    def apply(batch: DataFrame, number: int) -> None:
+        own = batch.sparkSession
+        stream = _stream_id(own, checkpoint)
+        ledger = batch_ledger(own, table)
+        first = ledger.read("stream")
+        if first is None:
+            ledger.put("stream", stream)
+        elif first != stream:
+            raise ValueError(f"{table} holds the sums of stream {first}, not of {stream}")
+        upsert_table(own, table, with_spend_day(spend_parts(batch)), ["client", "transaction_hour"],
+                     batch_id=f"{stream}-{number}", keys_fix_partition=True,
+                     resolve=lambda rows: with_spend_day(add_spend(rows)))
 
-def hourly_spend(transactions: DataFrame, delay: str = "2 days") -> DataFrame:
-    """Streaming twin of the hourly client spend. Rows later than ``delay`` behind the newest time
-    are dropped; that bounds the state. Rows without a readable time have no hour."""
-    ts = F.try_to_timestamp(F.col("timestamp"), F.lit("yyyy-MM-dd HH:mm:ss"))
-    timed = transactions.withColumn("transaction_time", ts).filter(F.col("transaction_time").isNotNull())
-    hourly = timed.withWatermark("transaction_time", delay).groupBy("client", F.window("transaction_time", "1 hour").alias("w"))
-    return hourly.agg(
-        F.sum(money("prix")).alias("total_spending"), F.count("id_transaction").alias("transaction_count"),
-    ).select("client", F.col("w.start").alias("transaction_hour"), "total_spending", "transaction_count")
+    return transactions.writeStream.option("checkpointLocation", checkpoint).trigger(**(trigger or EVERY)) \
+        .foreachBatch(apply).start()
 
 
-def stream_hourly_spend(transactions: DataFrame, path: str, checkpoint: str, delay: str = "2 days",
-                        trigger: dict | None = None) -> StreamingQuery:
-    """Write changed hours per micro-batch; read them with :func:`read_latest` by client and hour."""
-    writer = hourly_spend(transactions, delay).writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-    return writer.trigger(**(trigger or {"processingTime": "10 seconds"})) \
-        .foreachBatch(_batch_writer(path, lambda batch: batch)).start()
+def read_hourly_spend(spark: SparkSession, table: str) -> DataFrame:
+    spark.catalog.refreshTable(table)
+    return total_spend(spark.table(table))

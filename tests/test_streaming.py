@@ -1,7 +1,6 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from lakemart.operators.clean import clean_transactions
 from lakemart.operators.sales import hourly_client_spend
@@ -47,38 +46,76 @@ def test_bronze_table_sink(spark, tmp_path):
     spark.sql("DROP TABLE bronze_transactions")
 
 
-def test_latest_over_batches_equals_batch_result(spark, tmp_path):
-    out, log = str(tmp_path / "out"), str(tmp_path / "log")
-    for name, rows in (("a", FIRST[:2]), ("b", SECOND)):
-        write(tmp_path / "in", name, rows)
-        ingest.run_available(latest.stream_latest(source(spark, tmp_path / "in"), out, log, ONCE))
-    args = (["id_transaction"], "transaction_time", [F.col("price").desc_nulls_last()])
-    got = {tuple(r) for r in latest.read_latest(spark, out, *args).collect()}
-    want = {tuple(r) for r in clean_transactions(spark.createDataFrame(FIRST[:2] + SECOND, SCHEMAS["transactions"])).collect()}
-    assert got == want and {(r[0], r[3]) for r in got} == {("1", 5.0), ("2", 2.0), ("3", 4.0)}
-    folded = str(tmp_path / "folded")
-    latest.compact_latest(spark, out, folded, *args)
-    assert {tuple(r) for r in latest.read_latest(spark, folded, *args).collect()} == want
-
-
-def test_hourly_spend_over_batches_equals_batch_result(spark, tmp_path):
-    out, log = str(tmp_path / "out"), str(tmp_path / "log")
-    for name, rows in (("a", FIRST[:2]), ("b", SECOND)):
-        write(tmp_path / "in", name, rows)
-        ingest.run_available(latest.stream_hourly_spend(source(spark, tmp_path / "in"), out, log, trigger=ONCE))
-    got = {tuple(r) for r in latest.read_latest(spark, out, ["client", "transaction_hour"]).collect()}
-    want = {tuple(r) for r in hourly_client_spend(spark.createDataFrame(FIRST[:2] + SECOND, SCHEMAS["transactions"])).collect()}
-    assert got == want and len(got) == 4
+@pytest.fixture
+def table(spark):
+    yield "live_rows"
+    for name in ("live_rows", "live_rows_keys"):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def test_rows_behind_the_watermark_are_dropped(spark, tmp_path):
-    out, log = str(tmp_path / "out"), str(tmp_path / "log")
-    late = [("9", "ana", "x", 1.0, "2024-01-01 00:30:00")]
-    for name, rows in (("a", FIRST[:2]), ("b", [("5", "ana", "x", 1.0, "2024-01-09 00:00:00")]), ("c", late)):
-        write(tmp_path / "in", name, rows)
-        ingest.run_available(latest.stream_hourly_spend(source(spark, tmp_path / "in"), out, log, "1 hour", ONCE))
-    hours = {str(r.transaction_hour) for r in latest.read_latest(spark, out, ["client", "transaction_hour"]).collect()}
-    assert hours == {"2024-01-01 10:00:00", "2024-01-09 00:00:00"}
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def batch_rows(spark, *lists):
+    return spark.createDataFrame([r for rows in lists for r in rows], SCHEMAS["transactions"])
+
+
+THIRD = [("2", "bob", "y", 7.0, "not a date"), ("1", "ana", "x", 6.0, "2024-01-01 11:05:00"), ("4", "eve", "z", None, None),
+         (None, "eve", "z", 1.0, "2023-01-01 00:00:00")]
+
+
+def test_latest_over_batches_equals_batch_result(spark, tmp_path, table):
+    log, out = str(tmp_path / "log"), str(tmp_path / "out")
+    for name, part in (("a", FIRST[:2]), ("b", SECOND), ("c", THIRD)):  # stopped after each batch
+        write(tmp_path / "in", name, part)
+        ingest.run_available(latest.stream_latest(source(spark, tmp_path / "in"), table, log, ONCE, out))
+    want = rows(clean_transactions(batch_rows(spark, FIRST[:2], SECOND, THIRD)))
+    assert rows(latest.read_latest(spark, table)) == want
+    assert {(r[0], r[3]) for r in want} == {("1", 6.0), ("2", 2.0), ("3", 4.0), ("4", None), (None, 1.0)}
+    assert rows(spark.read.parquet(out).drop("transaction_date")) == want  # no file is left behind
+    # A new checkpoint reads every file again, one per batch.
+    ingest.run_available(latest.stream_latest(source(spark, tmp_path / "in"), table, str(tmp_path / "log2"), ONCE, out))
+    assert rows(latest.read_latest(spark, table)) == want
+
+
+def test_a_batch_that_stopped_halfway_is_completed_once(spark, tmp_path, table, monkeypatch):
+    log, out = str(tmp_path / "log"), str(tmp_path / "out")
+    write(tmp_path / "in", "a", FIRST[:2])
+    ingest.run_available(latest.stream_hourly_spend(source(spark, tmp_path / "in"), table, log, ONCE, out))
+    write(tmp_path / "in", "b", SECOND)
+    from lakemart.operators import upsert
+    real = upsert.overwrite_partitions
+
+    def stop_behind(*args):
+        real(*args)
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(upsert, "overwrite_partitions", stop_behind)
+        with pytest.raises(Exception, match="stopped"):
+            ingest.run_available(latest.stream_hourly_spend(source(spark, tmp_path / "in"), table, log, ONCE, out))
+    write(tmp_path / "in", "c", THIRD)
+    ingest.run_available(latest.stream_hourly_spend(source(spark, tmp_path / "in"), table, log, ONCE, out))
+    want = rows(hourly_client_spend(batch_rows(spark, FIRST[:2], SECOND, THIRD)))
+    assert rows(latest.read_hourly_spend(spark, table)) == want
+
+
+def test_hourly_spend_counts_every_row(spark, tmp_path, table):
+    """Years late, without a time, too large for any decimal: all count, whatever the cut."""
+    odd = [("8", "ana", "x", 1e300, "2024-01-01 10:05:00"), ("9", "ana", "x", 1.5, "2001-01-01 00:30:00"),
+           ("10", "ana", "x", 3e18, "2001-01-01 00:40:00"), ("11", "bob", "x", 0.001, "never")]
+    for name, part in (("a", FIRST[:2]), ("b", [("5", "ana", "x", 1.0, "2024-01-09 00:00:00")]), ("c", odd), ("d", THIRD)):
+        write(tmp_path / "in", name, part)
+        ingest.run_available(latest.stream_hourly_spend(source(spark, tmp_path / "in"), table, str(tmp_path / "log"), ONCE,
+                                                        str(tmp_path / "out")))
+    got = {(r.client, str(r.transaction_hour)): (r.total_spending, r.transaction_count)
+           for r in latest.read_hourly_spend(spark, table).collect()}
+    assert got["ana", "2001-01-01 00:00:00"] == (3e18 + 1.5, 2) and got["ana", "2024-01-01 10:00:00"] == (1e300, 2)
+    assert got["bob", "None"] == (7.001, 2) and got["eve", "None"] == (None, 1)
+    with pytest.raises(Exception, match="holds the sums of stream"):
+        ingest.run_available(latest.stream_hourly_spend(
+            source(spark, tmp_path / "in"), table, str(tmp_path / "other"), ONCE, str(tmp_path / "out")))
 
 
 def test_timeout_is_reported(spark, tmp_path):
