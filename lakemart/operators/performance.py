@@ -87,7 +87,7 @@ def agg_delivery_performance(orders: DataFrame, items: DataFrame, by: list[str],
         items = with_default(items.join(names, "product_id", "left"), "category", "unknown")
     base = orders.join(item_totals(items, *item_keys), "order_id")
     if "customer_state" in columns:
-        base = base.join(customers.select("customer_id", "customer_state"), "customer_id")
+        base = persons_of(base, customers.select("customer_id", "customer_state"), known_only=False)
     outcomes = base.groupBy(*columns, "delivery_duration_days", "delivery_delay_days").agg(
         F.count(F.lit(1)).alias("n"), F.sum("freight").alias("freight"), F.sum("items").alias("items"))
     days, delay, n = F.col("delivery_duration_days"), F.col("delivery_delay_days"), F.col("n")
@@ -124,9 +124,10 @@ def agg_payment_performance(orders: DataFrame, payments: DataFrame) -> DataFrame
 
 
 def agg_state_performance(orders: DataFrame, items: DataFrame, reviews: DataFrame, customers: DataFrame) -> DataFrame:
-    """One row per month and customer state, order-weighted; customers are persons."""
+    """One row per month and customer state, order-weighted; customers are persons. Orders without a
+    customer record are in the state 'unknown'."""
     base = persons_of(order_base(orders, items, reviews),
-                      customers.select("customer_id", "customer_unique_id", "customer_state"))
+                      customers.select("customer_id", "customer_unique_id", "customer_state"), known_only=False)
     rows = F.count(F.lit(1))
     days, score = F.col("delivery_duration_days"), F.col("review_score")
     return base.groupBy("purchase_year_month", "customer_state").agg(
@@ -140,17 +141,18 @@ def agg_state_performance(orders: DataFrame, items: DataFrame, reviews: DataFram
     )
 
 
-def person_orders(orders: DataFrame, items: DataFrame, customers: DataFrame, reviews: DataFrame | None = None) -> DataFrame:
-    """One row per order with items, its totals, person and place."""
+def person_orders(orders: DataFrame, items: DataFrame, customers: DataFrame, reviews: DataFrame | None = None,
+                  known_only: bool = True) -> DataFrame:
+    """One row per order with items, its totals, person and place (see :func:`persons_of`)."""
     base = orders.join(item_totals(items), "order_id")
     if reviews is not None:
         base = base.join(review_per_order(reviews), "order_id", "left")
-    return persons_of(base, customers)
+    return persons_of(base, customers, known_only)
 
 
 def agg_customer_value(orders: DataFrame, items: DataFrame, customers: DataFrame, by: str = "person") -> DataFrame:
-    """Orders, spend and order value per person, or per state of the order's address."""
-    base = person_orders(orders, items, customers)
+    """Orders, spend and order value per known person, or per state of the order's address (all orders)."""
+    base = person_orders(orders, items, customers, known_only=by == "person")
     key = {"person": "customer_unique_id", "state": "customer_state"}[by]
     people = [] if by == "person" else [F.count_distinct("customer_unique_id").alias("customers")]
     return base.groupBy(key).agg(
@@ -159,7 +161,7 @@ def agg_customer_value(orders: DataFrame, items: DataFrame, customers: DataFrame
 
 
 def agg_person_sales(orders: DataFrame, items: DataFrame, customers: DataFrame) -> DataFrame:
-    """Persons per month beside the per-order customer ids that the sales marts count."""
-    base = person_orders(orders, items, customers)
+    """Known persons per month beside the per-order customer ids that the sales marts count."""
+    base = person_orders(orders, items, customers, known_only=False)
     return base.groupBy("purchase_year_month").agg(
         F.count(F.lit(1)).alias("unique_customers"), F.count_distinct("customer_unique_id").alias("unique_persons"))

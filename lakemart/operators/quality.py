@@ -7,22 +7,28 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lakemart.functions import on_or_after, ratio
 from lakemart.operators.joins import missing_parents
 from lakemart.operators.rules import all_hold, broken_rules
 from lakemart.schemas import ORDER_STATUSES
 
+#: Referential rules of the cleaned tables: child, parent, key.
+REFERENCES = [
+    ("orders", "customers", "customer_id"), ("order_items", "orders", "order_id"), ("order_items", "products", "product_id"),
+    ("order_items", "sellers", "seller_id"), ("payments", "orders", "order_id"), ("reviews", "orders", "order_id"),
+]
+
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def _result(table: str, rule: Column, rule_type: str) -> list[Column]:
+def _result(table: str | Column, rule: Column, rule_type: str) -> list[Column]:
     failed = F.col("rows_failed")
     return [
-        F.lit(table).alias("table_name"), rule.alias("rule_name"), F.lit(rule_type).alias("rule_type"),
+        (F.lit(table) if isinstance(table, str) else table).alias("table_name"), rule.alias("rule_name"), F.lit(rule_type).alias("rule_type"),
         F.col("rows_checked"), failed,
         (F.coalesce(ratio(failed, "rows_checked"), F.lit(0.0)) * 100).alias("failure_percentage"),
         F.when(failed == 0, "passed").otherwise("failed").alias("status"),
@@ -56,6 +62,33 @@ def check_reference(child: DataFrame, parent: DataFrame, table: str, parent_tabl
     return both.select(*_result(table, F.lit(f"{key}_in_{parent_table}"), "referential"))
 
 
+def check_references(tables: dict[str, DataFrame], rules: list[tuple[str, str, str]]) -> DataFrame:
+    """All referential rules (child, parent, key) from one aggregate.
+
+    Every table is read once: its rows give a key for each rule they take part in, tagged with their
+    role. Counted per key, with the map side's help, a key holds the child rows of every rule and
+    whether a parent has it, so one shuffle serves all tables and rules. Null keys are left to the
+    not-null rules.
+    """
+    families = list(dict.fromkeys((parent, key) for _, parent, key in rules))
+    tagged = []
+    for name, df in tables.items():
+        roles = [(families.index((parent, key)), key, i) for i, (child, parent, key) in enumerate(rules) if child == name]
+        roles += [(f, key, -1) for f, (parent, key) in enumerate(families) if parent == name]
+        if roles:
+            tags = [F.struct(F.lit(f).alias("family"), F.col(key).cast("string").alias("key"), F.lit(role).alias("role")) for f, key, role in roles]
+            tagged.append(df.select(F.inline(F.array(*tags))).filter(F.col("key").isNotNull()))
+    counts = [F.count_if(F.col("role") == i).alias(f"n{i}") for i in range(len(rules))]
+    per_key = union_all(tagged).groupBy("family", "key").agg(F.max(F.col("role") == -1).alias("known"), *counts)
+    zero = F.lit(0).cast("bigint")
+    outcomes = per_key.agg(F.array(*[
+        F.struct(F.lit(child).alias("table"), F.lit(f"{key}_in_{parent}").alias("rule"),
+                 F.coalesce(F.sum(f"n{i}"), zero).alias("rows_checked"),
+                 F.coalesce(F.sum(F.when(~F.col("known"), F.col(f"n{i}"))), zero).alias("rows_failed"))
+        for i, (child, parent, key) in enumerate(rules)]).alias("outcomes"))
+    return outcomes.select(F.inline("outcomes")).select(*_result(F.col("table"), F.col("rule"), "referential"))
+
+
 def time_rules() -> dict[str, Column]:
     """Order of an order's steps; an unknown time breaks nothing."""
     return {
@@ -139,9 +172,32 @@ def compare_totals(name: str, left: DataFrame, left_value: Column, right: DataFr
                        F.when(difference == 0, "passed").otherwise("failed").alias("status"))
 
 
+def conservation(daily: DataFrame, marts: dict[str, tuple[DataFrame, str, str]]) -> DataFrame:
+    """Revenue and orders of every mart against the daily sales: none may lose or double an order.
+
+    ``marts`` maps a name to (mart, revenue column, orders column). The rows of all marts are summed in
+    one grouped pass; what is compared afterwards has a row per mart.
+    """
+    total = "decimal(38,2)"
+    marts = {"daily": (daily, "total_revenue", "order_count"), **marts}
+    rows = union_all([df.select(F.lit(name).alias("mart"), F.col(revenue).cast(total).alias("revenue"), F.col(orders).cast(total).alias("orders"))
+                      for name, (df, revenue, orders) in marts.items()])
+    sums = rows.groupBy("mart").agg(*[F.coalesce(F.sum(c).cast(total), F.lit(0).cast(total)).alias(c) for c in ("revenue", "orders")])
+    every = Window.partitionBy(F.lit(0))
+    expected = {c: F.max(F.when(F.col("mart") == "daily", F.col(c))).over(every) for c in ("revenue", "orders")}
+    checks = F.explode(F.array(
+        F.struct(F.concat("mart", F.lit("_revenue_equals_daily")).alias("check_name"), F.col("revenue").alias("left_value"),
+                 F.coalesce("expected_revenue", F.lit(0).cast(total)).alias("right_value")),
+        F.struct(F.concat("mart", F.lit("_orders_equal_daily")).alias("check_name"), F.col("orders").alias("left_value"),
+                 F.coalesce("expected_orders", F.lit(0).cast(total)).alias("right_value"))))
+    compared = sums.withColumns({f"expected_{c}": e for c, e in expected.items()}).filter("mart <> 'daily'").select(checks.alias("c")).select("c.*")
+    difference = F.col("left_value") - F.col("right_value")
+    return compared.select("*", difference.alias("difference"), F.when(difference == 0, "passed").otherwise("failed").alias("status"))
+
+
 def reconcile_gold(daily: DataFrame, monthly: DataFrame, facts: DataFrame, fact_orders: DataFrame,
-                   dim_customer: DataFrame) -> DataFrame:
-    """Marts against the facts they come from."""
+                   dim_customer: DataFrame, marts: dict[str, tuple[DataFrame, str, str]] | None = None) -> DataFrame:
+    """Marts against the facts they come from, and ``marts`` against the daily sales (:func:`conservation`)."""
     with_items = fact_orders.filter(F.col("item_count") > 0)
     negative = F.sum(F.when(F.col("total_revenue") < 0, 1).otherwise(0))
     known_people = with_items.filter(F.col("customer_key").isNotNull())
@@ -151,6 +207,7 @@ def reconcile_gold(daily: DataFrame, monthly: DataFrame, facts: DataFrame, fact_
         compare_totals("daily_orders_equal_fact", daily, F.sum("order_count"), with_items, F.count(F.lit(1))),
         compare_totals("dimension_orders_equal_fact", dim_customer, F.sum("total_orders"), known_people, F.count(F.lit(1))),
         compare_totals("no_negative_revenue", daily, negative, daily.limit(0), F.count(F.lit(1))),
+        *([conservation(daily, marts)] if marts else []),
     ])
 
 

@@ -13,17 +13,18 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lakemart.functions import parse_timestamp
 
 
-LARGEST_AMOUNT = 1e15
+#: The largest double that the money type holds.
+LARGEST_AMOUNT = 9_999_999_999_999_998.0
 
 
 def _present(*names: str) -> dict[str, Column]:
     return {f"{n}_present": F.col(n).isNotNull() for n in names}
 
 
-def _amount(name: str) -> Column:
-    """Not negative and small enough for the money type. Compared as it comes, so that the range
-    reaches the scan and no row is converted twice; the upper end also excludes not-a-number."""
-    return F.col(name).between(0, LARGEST_AMOUNT)
+def _amount(column: str, name: str) -> dict[str, Column]:
+    """Not negative, and held by the money type (not-a-number is not). Compared as they come, so that the
+    bounds reach the scan and no row is converted twice."""
+    return {f"{name}_not_negative": F.col(column) >= 0, f"{name}_representable": F.col(column) <= LARGEST_AMOUNT}
 
 
 def entity_rules(entity: str) -> dict[str, Column]:
@@ -38,8 +39,7 @@ def entity_rules(entity: str) -> dict[str, Column]:
     if entity == "order_items":
         return {
             **_present("order_id", "order_item_id"),
-            "price_not_negative": _amount("price"),
-            "freight_not_negative": _amount("freight_value"),
+            **_amount("price", "price"), **_amount("freight_value", "freight"),
         }
     if entity == "products":
         return _present("product_id")
@@ -48,7 +48,7 @@ def entity_rules(entity: str) -> dict[str, Column]:
     if entity == "payments":
         return {
             **_present("order_id"),
-            "value_not_negative": _amount("payment_value"),
+            **_amount("payment_value", "value"),
             "installments_not_negative": F.col("payment_installments") >= 0,
         }
     if entity == "reviews":
@@ -58,6 +58,8 @@ def entity_rules(entity: str) -> dict[str, Column]:
             "latitude_in_range": F.col("geolocation_lat").between(-90, 90),
             "longitude_in_range": F.col("geolocation_lng").between(-180, 180),
         }
+    if entity in ("category_translation", "transactions"):
+        return {}
     raise KeyError(entity)
 
 

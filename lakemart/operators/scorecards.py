@@ -55,7 +55,7 @@ def _kpis() -> list[Column]:
 
 
 def executive_kpis(person_orders: DataFrame) -> DataFrame:
-    """One row over all orders of :func:`person_orders` (with reviews)."""
+    """One row over all orders of :func:`person_orders` (with reviews; ``known_only=False`` for whole totals)."""
     return person_orders.agg(*_kpis())
 
 

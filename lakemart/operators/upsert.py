@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
 
 from lakemart.functions import row_hash
-from lakemart.operators.ranking import split_large_groups
+from lakemart.operators.ranking import same_values, split_groups
 from lakemart.session import materialize, work_path
 from lakemart.sources.audit import RUN_SCHEMA, already_done, run_audit
 from lakemart.sources.ledger import Ledger, table_location
@@ -303,10 +303,19 @@ def affected_months(*changes: DataFrame) -> DataFrame:
     return months.distinct()
 
 
+def in_months(df: DataFrame, months: DataFrame, column: str = "purchase_year_month") -> DataFrame:
+    """Rows of some months. There are as many months as the calendar has, so they are broadcast; a frame
+    stored by month is then read in those folders only."""
+    wanted = months.select(column).distinct().filter(F.length(column) > 0)
+    return df.join(F.broadcast(wanted), column, "left_semi")
+
+
 def refresh_months(mart: Callable[..., DataFrame], orders: DataFrame, *others: DataFrame, months: DataFrame) -> DataFrame:
-    """Recompute a mart for some months only. ``mart`` takes orders first; everything else reaches it
-    through its join with the orders, so restricting them is enough."""
-    return mart(orders.join(months, "purchase_year_month", "left_semi"), *others)
+    """Recompute a mart for some months only. ``mart`` takes orders first; what else it takes reaches it
+    through its join with the orders. Inputs stored with their order's month are pruned by it as well."""
+    month = "purchase_year_month"
+    pruned = [in_months(df, months).drop(month) if month in df.columns else df for df in others]
+    return mart(in_months(orders, months), *pruned)
 
 
 def replace_months(mart: DataFrame, refreshed: DataFrame, months: DataFrame) -> DataFrame:
@@ -314,47 +323,38 @@ def replace_months(mart: DataFrame, refreshed: DataFrame, months: DataFrame) ->
     return mart.join(months, "purchase_year_month", "left_anti").unionByName(refreshed)
 
 
-def customer_history(versions: DataFrame, key: str, valid_from: str, tracked: list[str], **limits) -> DataFrame:
+def customer_history(versions: DataFrame, key: str, valid_from: str, tracked: list[str], pieces: int | None = None) -> DataFrame:
     """Type 2 history: one row per period in which the tracked columns did not change.
 
     ``versions`` has one row per observation. Same-time observations count as one, the last by
-    content. A person may hold a large part of the rows, so long histories are cut into time
-    ranges: changes are found inside each range and across the borders between ranges.
+    content. A person may hold a large part of the rows, so histories are dealt into ranges of
+    (person, time): changes are found inside each range and across the borders between ranges.
     """
-    content = F.struct(*tracked)
-    observed = materialize(
-        versions.groupBy(key, valid_from).agg(F.max(content).alias("state")), "history-observations")
-    starts = _changes(observed, key, valid_from, **limits)
-    ends = _next_start(starts, key, valid_from, **limits)
+    observed = versions.groupBy(key, valid_from).agg(F.max(F.struct(*tracked)).alias("state"))
+    starts = _changes(split_groups(observed, [key], valid_from, pieces), key, valid_from)
+    ends = _next_start(split_groups(starts, [key], valid_from, pieces), key, valid_from)
     return ends.select(key, valid_from, F.col("next_start").alias("valid_to"),
                        F.col("next_start").isNull().alias("is_current"), "state.*")
 
 
-def _changes(observed: DataFrame, key: str, valid_from: str, **limits) -> DataFrame:
-    """Observations that differ from the one before, stored because they are read again."""
+def _changes(cut: DataFrame, key: str, valid_from: str) -> DataFrame:
+    """Observations that differ from the one before."""
     person = Window.partitionBy(key)
-    cut = split_large_groups(observed, [key], valid_from, **limits)
-    if cut is None:
-        before = observed.withColumn("_before", F.lag("state").over(person.orderBy(valid_from)))
-    else:
-        inside = Window.partitionBy(key, "_piece").orderBy(valid_from)
-        last = cut.groupBy(key, "_piece").agg(F.max_by("state", valid_from).alias("_last"))
-        border = last.withColumn("_border", F.lag("_last").over(person.orderBy("_piece"))).drop("_last")
-        before = cut.withColumns({"_inner": F.lag("state").over(inside), "_nth": F.row_number().over(inside)}) \
-            .join(border, [key, "_piece"]) \
-            .withColumn("_before", F.when(F.col("_nth") == 1, F.col("_border")).otherwise(F.col("_inner")))
-    changed = before.filter(~F.col("state").eqNullSafe(F.col("_before")))
-    return materialize(changed.select(key, valid_from, "state"), "history-changes")
+    inside = Window.partitionBy(key, "_piece").orderBy(valid_from)
+    last = cut.groupBy(key, "_piece").agg(F.max_by("state", valid_from).alias("_last"))
+    border = last.withColumn("_border", F.lag("_last").over(person.orderBy("_piece"))).drop("_last")
+    inner = cut.withColumns({"_inner": F.lag("state").over(inside), "_nth": F.row_number().over(inside)})
+    before = inner.alias("v").join(border.alias("o"), same_values("v", "o", [key, "_piece"])).select("v.*", "o._border") \
+        .withColumn("_before", F.when(F.col("_nth") == 1, F.col("_border")).otherwise(F.col("_inner")))
+    return before.filter(~F.col("state").eqNullSafe(F.col("_before"))).select(key, valid_from, "state")
 
 
-def _next_start(starts: DataFrame, key: str, valid_from: str, **limits) -> DataFrame:
+def _next_start(cut: DataFrame, key: str, valid_from: str) -> DataFrame:
     """Start of the following period, null for the last."""
     person = Window.partitionBy(key)
-    cut = split_large_groups(starts, [key], valid_from, **limits)
-    if cut is None:
-        return starts.withColumn("next_start", F.lead(valid_from).over(person.orderBy(valid_from)))
     inside = Window.partitionBy(key, "_piece").orderBy(valid_from)
     first = cut.groupBy(key, "_piece").agg(F.min(valid_from).alias("_first"))
     border = first.withColumn("_border", F.lead("_first").over(person.orderBy("_piece"))).drop("_first")
-    return cut.withColumn("_inner", F.lead(valid_from).over(inside)).join(border, [key, "_piece"]) \
+    inner = cut.withColumn("_inner", F.lead(valid_from).over(inside))
+    return inner.alias("v").join(border.alias("o"), same_values("v", "o", [key, "_piece"])).select("v.*", "o._border") \
         .withColumn("next_start", F.coalesce("_inner", "_border"))

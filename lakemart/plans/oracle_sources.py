@@ -136,6 +136,14 @@ STEPS["order_totals"] = """
 STEPS["person_orders"] = "SELECT t.*, c.customer_unique_id, c.customer_zip_code_prefix, c.customer_city, " \
                          "c.customer_state FROM order_totals t JOIN customers c USING (customer_id)"
 
+# The same for totals: orders without a customer record stay, in the state 'unknown'.
+STEPS["placed_orders"] = """
+    SELECT t.*, c.customer_unique_id, COALESCE(c.customer_state, 'unknown') AS customer_state
+    FROM order_totals t LEFT JOIN customers c USING (customer_id)"""
+STEPS["placed_items"] = """
+    SELECT b.*, COALESCE(c.customer_state, 'unknown') AS customer_state
+    FROM base b LEFT JOIN customers c USING (customer_id)"""
+
 
 def with_steps(query: str) -> str:
     """Prefix a query with the named steps it uses."""

@@ -239,10 +239,10 @@ def _delivery(columns: list[str], source: str) -> str:
 _CATEGORIZED = """(SELECT b.*, COALESCE(p.product_category_name_en, 'unknown') AS category
                    FROM base b LEFT JOIN products p USING (product_id))"""
 ORACLES["agg_delivery_by_date"] = _delivery(["purchase_date"], "base")
-ORACLES["agg_delivery_by_state"] = _delivery(["customer_state"], "persons")
+ORACLES["agg_delivery_by_state"] = _delivery(["customer_state"], "placed_items")
 ORACLES["agg_delivery_by_seller"] = _delivery(["seller_id"], "base")
 ORACLES["agg_delivery_by_category"] = _delivery(["category"], _CATEGORIZED)
-ORACLES["agg_delivery_by_month_state"] = _delivery(["purchase_year_month", "customer_state"], "persons")
+ORACLES["agg_delivery_by_month_state"] = _delivery(["purchase_year_month", "customer_state"], "placed_items")
 ORACLES["agg_payment_performance"] = """
     SELECT *, paid_value / SUM(paid_value) OVER (PARTITION BY purchase_year_month) AS payment_type_share
     FROM (SELECT purchase_year_month, payment_type, COUNT(*) AS payment_count, SUM(payment_value) AS paid_value,
@@ -261,17 +261,17 @@ ORACLES["agg_state_performance"] = f"""
            {_mean('days')} AS avg_delivery_days,
            CAST(COUNT(*) FILTER (is_late_delivery) AS DOUBLE) / COUNT(*) AS late_delivery_rate,
            {_mean('score')} AS avg_review_score
-    FROM person_orders GROUP BY 1, 2"""
+    FROM placed_orders GROUP BY 1, 2"""
 ORACLES["agg_customer_value"] = f"""
     SELECT customer_unique_id, COUNT(*) AS orders, {_money('total', 'total_spend')},
            CAST(SUM(total) AS DOUBLE) / COUNT(*) AS avg_order_value FROM person_orders GROUP BY 1"""
 ORACLES["agg_customer_value_by_state"] = f"""
     SELECT customer_state, COUNT(*) AS orders, {_money('total', 'total_spend')},
            CAST(SUM(total) AS DOUBLE) / COUNT(*) AS avg_order_value, COUNT(DISTINCT customer_unique_id) AS customers
-    FROM person_orders GROUP BY 1"""
+    FROM placed_orders GROUP BY 1"""
 ORACLES["agg_person_sales"] = """
     SELECT purchase_year_month, COUNT(DISTINCT customer_id) AS unique_customers,
-           COUNT(DISTINCT customer_unique_id) AS unique_persons FROM person_orders GROUP BY 1"""
+           COUNT(DISTINCT customer_unique_id) AS unique_persons FROM placed_orders GROUP BY 1"""
 
 # --- star schema ------------------------------------------------------------------------
 
@@ -447,16 +447,16 @@ _KPIS = f"""{_money('total', 'total_revenue')}, COUNT(*) AS orders,
     CAST(COUNT(*) FILTER (is_cancelled) AS DOUBLE) / COUNT(*) AS cancellation_rate,
     CAST(COUNT(*) FILTER (delay <= 0) AS DOUBLE) / NULLIF(COUNT(delay), 0) AS on_time_rate,
     {_mean('score')} AS avg_review_score, COUNT(DISTINCT customer_unique_id) AS customers"""
-ORACLES["executive_kpis"] = f"SELECT {_KPIS} FROM person_orders"
+ORACLES["executive_kpis"] = f"SELECT {_KPIS} FROM placed_orders"
 ORACLES["sales_dashboard"] = f"""
     SELECT * EXCLUDE (exact, previous), CASE WHEN previous > 0
                THEN CAST(exact - previous AS DOUBLE) / CAST(previous AS DOUBLE) END AS revenue_growth
     FROM (SELECT purchase_year_month, {_KPIS}, SUM(total) AS exact,
                  LAG(SUM(total)) OVER (ORDER BY purchase_year_month) AS previous
-          FROM person_orders GROUP BY 1)"""
+          FROM placed_orders GROUP BY 1)"""
 ORACLES["orders_by_status"] = "SELECT order_status, COUNT(*) AS orders FROM orders_clean GROUP BY 1"
 ORACLES["revenue_by_state"] = f"""
-    SELECT customer_state, {_money('total', 'revenue')}, COUNT(*) AS orders FROM person_orders GROUP BY 1"""
+    SELECT customer_state, {_money('total', 'revenue')}, COUNT(*) AS orders FROM placed_orders GROUP BY 1"""
 ORACLES["top_categories"] = f"""
     SELECT COALESCE(product_category_name_en, 'unknown') AS category, {_money('total_item_amount', 'total_revenue')}
     FROM base LEFT JOIN products USING (product_id) GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5"""
@@ -526,10 +526,12 @@ _RULES = {
                "purchase_timestamp_valid":
                    "TRY_STRPTIME(order_purchase_timestamp, '%Y-%m-%d %H:%M:%S') IS NOT NULL"},
     "order_items": {"order_id_present": "order_id IS NOT NULL", "order_item_id_present": "order_item_id IS NOT NULL",
-                    "price_not_negative": "price >= 0", "freight_not_negative": "freight_value >= 0"},
+                    "price_not_negative": "price >= 0", "price_representable": "price < 1e16",
+                    "freight_not_negative": "freight_value >= 0", "freight_representable": "freight_value < 1e16"},
     "products": {"product_id_present": "product_id IS NOT NULL"},
     "sellers": {"seller_id_present": "seller_id IS NOT NULL"},
     "payments": {"order_id_present": "order_id IS NOT NULL", "value_not_negative": "payment_value >= 0",
+                 "value_representable": "payment_value < 1e16",
                  "installments_not_negative": "payment_installments >= 0"},
     "reviews": {"review_id_present": "review_id IS NOT NULL", "order_id_present": "order_id IS NOT NULL",
                 "score_in_range": "review_score BETWEEN 1 AND 5"},
@@ -579,7 +581,9 @@ ORACLES["reconcile_gold"] = " UNION ALL ".join(
     for name, value, source in [
         ("daily_gross_equals_fact", "SUM(price)", "base"), ("monthly_total_equals_daily", "SUM(total_item_amount)", "base"),
         ("daily_orders_equal_fact", "COUNT(DISTINCT order_id)", "base"),
-        ("dimension_orders_equal_fact", "COUNT(*)", "person_orders"), ("no_negative_revenue", "0", "(SELECT 1)")])
+        ("dimension_orders_equal_fact", "COUNT(*)", "person_orders"), ("no_negative_revenue", "0", "(SELECT 1)"),
+        *[(f"{mart}_revenue_equals_daily", "SUM(total_item_amount)", "base") for mart in ("executive", "dashboard", "states")],
+        *[(f"{mart}_orders_equal_daily", "COUNT(DISTINCT order_id)", "base") for mart in ("executive", "dashboard", "states")]])
 
 # --- upsert, history, replication -------------------------------------------------------
 

@@ -205,8 +205,9 @@ def _stored_seller_performance(s):
     return materialize(_seller_performance(s), "seller-performance")
 
 
-def _person_orders(s):
-    return performance.person_orders(s.orders, s.items, s.customers, s.reviews)
+def _placed_orders(s):
+    """All orders with items, also those without a customer record."""
+    return performance.person_orders(s.orders, s.items, s.customers, s.reviews, known_only=False)
 
 
 @query
@@ -366,12 +367,12 @@ def product_scorecard(s):
 
 @query
 def executive_kpis(s):
-    return scorecards.executive_kpis(_person_orders(s))
+    return scorecards.executive_kpis(_placed_orders(s))
 
 
 @query
 def sales_dashboard(s):
-    return scorecards.sales_dashboard(_person_orders(s))
+    return scorecards.sales_dashboard(_placed_orders(s))
 
 
 @query
@@ -381,7 +382,7 @@ def orders_by_status(s):
 
 @query
 def revenue_by_state(s):
-    return scorecards.revenue_by_state(_person_orders(s))
+    return scorecards.revenue_by_state(_placed_orders(s))
 
 
 @query
@@ -423,6 +424,11 @@ def seller_kpis(s):
 
 # --- quality ----------------------------------------------------------------------------
 
+def _cleaned(s) -> dict[str, DataFrame]:
+    return {"customers": s.customers, "orders": s.orders, "order_items": s.items, "products": s.products,
+            "sellers": s.sellers, "payments": s.payments, "reviews": s.reviews}
+
+
 @query
 def dq_uniqueness(s):
     names = ["customers", "orders", "products", "sellers", "order_items", "payments"]
@@ -431,15 +437,7 @@ def dq_uniqueness(s):
 
 @query
 def dq_referential(s):
-    pairs = [
-        (s.orders, "orders", s.customers, "customers", "customer_id"), (s.items, "order_items", s.orders, "orders", "order_id"),
-        (s.items, "order_items", s.products, "products", "product_id"),
-        (s.items, "order_items", s.sellers, "sellers", "seller_id"), (s.payments, "payments", s.orders, "orders", "order_id"),
-        (s.reviews, "reviews", s.orders, "orders", "order_id"),
-    ]
-    return quality.union_all([
-        quality.check_reference(child, parent, table, parent_table, key)
-        for child, table, parent, parent_table, key in pairs])
+    return quality.check_references(_cleaned(s), quality.REFERENCES)
 
 
 @query
@@ -481,7 +479,13 @@ def reconcile_gold(s):
     facts = star.fact_order_items(s.orders, s.items, s.reviews, s.customers, s.sellers)
     orders = materialize(star.fact_orders(s.orders, s.items, s.reviews, s.customers), "fact-orders")
     people = star.dim_customer(s.orders, s.items, s.customers, REGIONS)
-    return quality.reconcile_gold(daily, monthly, facts, orders, people)
+    placed = materialize(_placed_orders(s), "placed-orders")
+    marts = {
+        "executive": (scorecards.executive_kpis(placed), "total_revenue", "orders"),
+        "dashboard": (scorecards.sales_dashboard(placed), "total_revenue", "orders"),
+        "states": (scorecards.revenue_by_state(placed), "revenue", "orders"),
+    }
+    return quality.reconcile_gold(daily, monthly, facts, orders, people, marts)
 
 
 # --- upsert, history, replication -------------------------------------------------------
@@ -505,7 +509,13 @@ def incremental_months(s):
     known = s.orders.filter(F.col("purchase_date") < F.lit("1999-12-15"))
     months = materialize(upsert.affected_months(late), "months")
     before = sales.agg_category_performance(known, s.items, s.products, s.reviews)
-    fresh = upsert.refresh_months(sales.agg_category_performance, s.orders, s.items, s.products, s.reviews, months=months)
+    by_month = {}
+    for name, df in (("orders", s.orders), ("items", s.items.join(s.orders.select("order_id", "purchase_year_month"), "order_id"))):
+        by_month[name] = work_path(s.spark, f"{name}-by-month")
+        tables.arrange(df, ["purchase_year_month"]).write.partitionBy("purchase_year_month").parquet(by_month[name])
+    orders, items = (s.spark.read.parquet(p).withColumn("purchase_year_month", F.col("purchase_year_month").cast("string"))
+                     for p in by_month.values())
+    fresh = upsert.refresh_months(sales.agg_category_performance, orders, items, s.products, s.reviews, months=months)
     return upsert.replace_months(before, fresh, months)
 
 
@@ -568,7 +578,10 @@ def stream_hourly_spend(s):
 
 @query
 def item_base(s):
-    return joins.item_base(s.orders, s.items, s.reviews)
+    return joins.item_base(s.orders, s.items, s.reviews).select(
+        "order_id", "customer_id", "order_purchase_timestamp", "purchase_date", "purchase_year_month", "order_status",
+        "is_delivered", "is_cancelled", "is_late_delivery", "delivery_duration_days", "delivery_delay_days", "order_item_id",
+        "product_id", "seller_id", "price", "freight_value", "total_item_amount", "review_score")
 
 
 @query

@@ -166,3 +166,14 @@ def test_columns(spark):
 @pytest.mark.parametrize("value, expected", [(1, "Negative"), (2, "Negative"), (3, "Neutral"), (4, "Positive")])
 def test_score_category(spark, value, expected):
     assert spark.range(1).select(fn.score_category(F.lit(value))).first()[0] == expected
+
+
+def test_amounts_up_to_the_money_type_are_kept(spark):
+    from lakemart.operators import quality
+    from lakemart.operators.rules import entity_rules
+    values = [0.0, 5e15, 9_999_999_999_999_998.0, 1e16, float("nan"), float("inf"), -1.0]
+    raw = frame(spark, "order_items", [{"order_id": str(i), "order_item_id": 1, "price": v, "freight_value": 0.0} for i, v in enumerate(values)])
+    assert {int(r.order_id): float(r.price) for r in clean.clean_order_items(raw).collect()} == dict(enumerate(values[:3]))
+    _, rejected = quality.split_rejects(raw, entity_rules("order_items"))
+    named = {int(r.order_id): r._validation_errors for r in rejected.collect()}
+    assert named == {**{i: ["price_representable"] for i in (3, 4, 5)}, 6: ["price_not_negative"]}

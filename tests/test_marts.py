@@ -139,3 +139,34 @@ def test_segments(spark, scores, segment):
 def test_top_k(spark):
     df = spark.createDataFrame([("a", 1.0), ("b", 3.0), ("c", 3.0), ("b", 1.0)], "category string, total_revenue double")
     assert [r.category for r in scorecards.top_categories(df, 2).collect()] == ["b", "c"]
+
+
+def test_orders_without_a_customer_record_stay_in_totals(spark, shop):
+    """A lost order is found by the conservation check; totals by state have it in the state 'unknown'."""
+    from lakemart.operators import quality
+    people = shop["customers"].filter("customer_id <> 'c1'")
+    daily = sales.agg_daily_sales(shop["orders"], shop["items"], shop["reviews"])
+    placed = performance.person_orders(shop["orders"], shop["items"], people, shop["reviews"], known_only=False)
+    known = performance.person_orders(shop["orders"], shop["items"], people, shop["reviews"])
+    checks = {r.check_name: (float(r.difference), r.status) for r in quality.conservation(daily, {
+        "all": (scorecards.executive_kpis(placed), "total_revenue", "orders"),
+        "states": (performance.agg_state_performance(shop["orders"], shop["items"], shop["reviews"], people), "revenue", "orders"),
+        "known": (scorecards.revenue_by_state(known), "revenue", "orders"),
+        "none": (scorecards.revenue_by_state(known).limit(0), "revenue", "orders")}).collect()}
+    assert checks["all_revenue_equals_daily"] == checks["states_orders_equal_daily"] == (0.0, "passed")
+    assert checks["known_orders_equal_daily"] == (-1.0, "failed") and checks["known_revenue_equals_daily"] == (-63.0, "failed")
+    assert "unknown" in {r.customer_state for r in scorecards.revenue_by_state(placed).collect()}
+    by_state = performance.agg_delivery_performance(shop["orders"], shop["items"], ["state"], people).collect()
+    assert sum(r.orders for r in by_state) == 4
+
+
+def test_references_with_nulls(spark):
+    from lakemart.operators import quality
+    child = spark.createDataFrame([(1, "a"), (2, "b"), (2, None), (None, "a"), (3, "z")], "p long, q string")
+    parent = spark.createDataFrame([(1,), (2,), (2,), (None,)], "p long")
+    other = spark.createDataFrame([("a",)], "q string")
+    got = quality.check_references({"c": child, "x": parent, "y": other, "unused": child}, [("c", "x", "p"), ("c", "y", "q"), ("x", "c", "p")])
+    assert {(r.table_name, r.rule_name, r.rows_checked, r.rows_failed, r.status) for r in got.collect()} == {
+        ("c", "p_in_x", 4, 1, "failed"), ("c", "q_in_y", 4, 2, "failed"), ("x", "p_in_c", 3, 0, "passed")}
+    empty = {n: d.limit(0) for n, d in (("c", child), ("x", parent))}
+    assert [(r.rows_checked, r.status) for r in quality.check_references(empty, [("c", "x", "p")]).collect()] == [(0, "passed")]

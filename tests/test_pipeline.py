@@ -8,6 +8,7 @@ from lakemart.operators import quality
 from lakemart.operators.rules import entity_rules
 from lakemart.plans import pipeline
 from lakemart.schemas import KEYS, SCHEMAS
+from lakemart.sources import files
 from lakemart.sources.adapters import RawEntities
 from lakemart.streaming import ingest
 
@@ -18,7 +19,20 @@ def test_files_to_gold(spark, tmp_path):
     raw = RawEntities(spark, FOLDER)
     for entity in [*pipeline.SORT_KEYS, "category_translation"]:
         raw[entity].coalesce(1).write.option("header", True).option("escape", '"').csv(f"{tmp_path}/in/{entity}.csv")
-    silver = pipeline.build_silver(spark, f"{tmp_path}/in")
+    (tmp_path / "in" / "orders.csv" / "extra.csv").write_text(
+        ",".join(SCHEMAS["orders"].fieldNames()) + "\nx1,c1,shipped,1998-03-04 00:00:00,,,,,too,many\n")
+    bronze = pipeline.load_bronze(spark, f"{tmp_path}/in", "monday")
+    assert bronze["orders"] == {"source_rows": 1501, "malformed_rows": 1, "target_rows": 1500,
+                                "rejected_rows": 1 + raw["orders"].filter("order_purchase_timestamp = 'not a date'").count()}
+    assert pipeline.load_bronze(spark, f"{tmp_path}/in", "monday") == {}  # this batch is done
+    copy = next((tmp_path / "in" / "orders.csv").glob("part-*.csv"))
+    (copy.parent / "renamed.csv").write_bytes(copy.read_bytes())
+    assert {c["source_rows"] for c in pipeline.load_bronze(spark, f"{tmp_path}/in", "tuesday").values()} == {0}
+    assert files.fitting_rows(spark, "bronze.orders", "orders").count() == 1500
+    bad = files.malformed_rows(spark, "bronze.orders").first()
+    assert bad.raw_text.startswith("x1,c1") and bad._source_file.endswith("extra.csv") and bad._batch_id == "monday"
+    silver = pipeline.build_silver(spark)
+    assert silver["geolocation"]["rejected_rows"] > 0
     for entity in KEYS.keys() & pipeline.SORT_KEYS.keys():
         row = quality.reconcile(raw[entity], entity_rules(entity), KEYS[entity], entity).first()
         assert silver[entity]["target_rows"] == row.target_rows, entity
@@ -33,11 +47,16 @@ def test_files_to_gold(spark, tmp_path):
     assert daily == kept.agg(F.sum("price")).first()[0] <= items
     assert spark.table("silver.orders").filter("purchase_year_month = '1998-03'").inputFiles()
     runs = spark.table("governance.pipeline_runs")
-    assert runs.filter("status = 'succeeded'").count() == 8 + 3 + 3
+    # Two batches of nine raw tables, eight cleaned ones with their checks, three marts twice.
+    assert runs.filter("status = 'succeeded'").count() == 2 * 9 + 8 + 1 + 3 + 3
+    written = spark.table("governance.data_quality_results")
+    assert {(r.rule_type, r["count"]) for r in written.groupBy("rule_type").count().collect()} == \
+        {("uniqueness", 7), ("referential", 6), ("timestamp", 5)}
+    assert written.filter("rule_type = 'uniqueness' and status = 'failed'").isEmpty()
     results = quality.stamp(quality.check_unique(spark.table("silver.orders"), "orders", ["order_id"]), "r", "2020-01-01")
     for _ in range(2):
         quality.append_results(results, "governance.data_quality_results")
-    assert spark.table("governance.data_quality_results").count() == 2
+    assert spark.table("governance.data_quality_results").count() == 18 + 2
     rates = quality.check_reject_rate(quality.reconcile(
         raw["reviews"], entity_rules("reviews"), KEYS["reviews"], "reviews"), 5.0).first()
     assert rates.status == "failed" and rates.rejected_percentage > 50

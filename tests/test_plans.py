@@ -5,6 +5,7 @@ import re
 import pytest
 
 from lakemart.operators import sales
+from lakemart.session import materialize
 from lakemart.sources import tables
 
 FOLDER = "/root/testdata/sf0.001"
@@ -44,6 +45,29 @@ def test_month_filter_prunes_partitions(silver):
     assert re.search(r"PartitionFilters: \[isnotnull\(purchase_year_month[^\]]*1998-01", plan)
 
 
+def test_refresh_reads_the_affected_months_of_orders_and_items(spark, silver):
+    from lakemart.operators import upsert
+    by_month = silver["items"].join(silver["orders"].select("order_id", "purchase_year_month"), "order_id")
+    tables.write_table(by_month, "planned.items_by_month", partition_by=["purchase_year_month"])
+    months = materialize(spark.createDataFrame([("1998-03",), (None,)], "purchase_year_month string"), "months")
+    fresh = upsert.refresh_months(sales.agg_category_performance, silver["orders"], spark.table("planned.items_by_month"),
+                                  silver["products"], silver["reviews"], months=months)
+    plan = plan_of(fresh)
+    pruned = [line for line in plan.splitlines() if "dynamicpruningexpression(purchase_year_month" in line and "FileScan" in line]
+    assert {"items_by_month" if "items_by_month" in line else "orders" for line in pruned} == {"items_by_month", "orders"}
+    whole = sales.agg_category_performance(silver["orders"], silver["items"], silver["products"], silver["reviews"])
+    key = ["purchase_year_month", "category", "total_revenue", "order_count"]
+    assert sorted(fresh.select(*key).collect()) == sorted(whole.filter("purchase_year_month = '1998-03'").select(*key).collect())
+
+
+def test_referential_rules_take_one_shuffle_of_keys(silver):
+    from lakemart.operators import quality
+    rules = [("items", "orders", "order_id"), ("items", "products", "product_id"), ("reviews", "orders", "order_id")]
+    plan = plan_of(quality.check_references(silver, rules))
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 1 and "Join" not in plan
+    assert len(re.findall(r"FileScan", plan)) == 4
+
+
 def test_category_sales_have_no_expand(silver):
     plan = plan_of(sales.agg_category_performance(silver["orders"], silver["items"], silver["products"], silver["reviews"]))
     assert "Expand" not in plan and "SinglePartition" not in plan
