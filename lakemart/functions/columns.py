@@ -6,6 +6,8 @@ rules then reject it.
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column, functions as F
 
 __all__ = [
@@ -17,9 +19,22 @@ __all__ = [
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 MONEY = "decimal(18,2)"
 
-# Latin letters with accents and their plain forms, position by position.
-ACCENTED = "áàâãäåéèêëíìîïóòôõöúùûüçñÁÀÂÃÄÅÉÈÊËÍÌÎÏÓÒÔÕÖÚÙÛÜÇÑ"
-PLAIN = "aaaaaaeeeeiiiiooooouuuucnAAAAAAEEEEIIIIOOOOOUUUUCN"
+# Letters that no decomposition makes plain, and ligatures.
+PLAIN_LETTERS = {"Ø": "O", "ø": "o", "Ł": "L", "ł": "l", "Đ": "D", "đ": "d", "Ð": "D", "ð": "d", "Ħ": "H", "ħ": "h", "Ŧ": "T",
+                 "ŧ": "t", "ı": "i", "Ŀ": "L", "ŀ": "l", "ſ": "s", "ĸ": "k", "Ŋ": "N", "ŋ": "n"}
+LIGATURES = {"ß": "ss", "Æ": "AE", "æ": "ae", "Œ": "OE", "œ": "oe", "Þ": "TH", "þ": "th", "Ĳ": "IJ", "ĳ": "ij", "ŉ": "n"}
+MARKS = "".join(map(chr, range(0x300, 0x370)))
+
+
+def _letters() -> tuple[str, str]:
+    """Accented letters of Latin-1 and Latin Extended-A and their plain forms, position by position. Marks
+    that follow a letter have no counterpart and are taken out."""
+    plain = dict(PLAIN_LETTERS)
+    for letter in map(chr, range(0xC0, 0x180)):
+        base = unicodedata.normalize("NFD", letter)[0]
+        if base != letter and base.isascii() and letter not in LIGATURES:
+            plain[letter] = base
+    return "".join(plain) + MARKS, "".join(plain.values())
 
 
 def _col(c) -> Column:
@@ -65,7 +80,11 @@ def blank_to_null(c) -> Column:
 
 
 def accents_removed(c) -> Column:
-    return F.translate(_col(c), ACCENTED, PLAIN)
+    """Letters of Latin-1 and Latin Extended-A without accents, composed or not; ligatures are spelled out."""
+    spelled = _col(c)
+    for ligature, letters in LIGATURES.items():
+        spelled = F.replace(spelled, F.lit(ligature), F.lit(letters))
+    return F.translate(spelled, *_letters())
 
 
 def valid_zip(c) -> Column:

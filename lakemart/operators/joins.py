@@ -9,14 +9,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from lakemart.session import materialize
 
-def broadcast_lookup(fact: DataFrame, dimension: DataFrame, on: list[str], max_rows: int = 500_000) -> DataFrame:
-    """Left join to a dimension, broadcast only after checking that it has at most ``max_rows`` rows.
 
-    The check reads the dimension's key up to the bound. A larger one takes the shuffle join.
+def broadcast_lookup(fact: DataFrame, dimension: DataFrame, on: list[str], max_bytes: int = 32 << 20) -> DataFrame:
+    """Left join to a dimension, broadcast only if it takes at most ``max_bytes``; else the shuffle join.
+
+    The dimension is stored once, so it is not computed again for the join, and its size is that of
+    the stored file, times what unpacking strings and rows in memory costs.
     """
-    fits = dimension.select(*on).limit(max_rows + 1).count() <= max_rows
-    return fact.join(F.broadcast(dimension) if fits else dimension, on, "left")
+    stored = materialize(dimension, "dimension")
+    in_memory = 5 * int(str(stored._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return fact.join(F.broadcast(stored) if in_memory <= max_bytes else stored, on, "left")
 
 
 def with_default(df: DataFrame, column: str, default: str, name: str | None = None) -> DataFrame:

@@ -62,18 +62,15 @@ ORACLES["review_extras"] = """
 
 
 def _region(column: str) -> str:
-    """Last digits of the place number, modulo five, name the region; places from 20 on are not mapped."""
-    number = f"CAST(SUBSTR({column}, 8) AS INT)"
-    names = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
-    whens = " ".join(f"WHEN {i} THEN '{n}'" for i, n in enumerate(names))
-    return f"CASE WHEN {number} >= 20 THEN 'Unknown' ELSE CASE {number} % 5 {whens} END END"
+    return f"""COALESCE((SELECT r_name FROM nation JOIN region ON n_regionkey = r_regionkey
+        WHERE UPPER(TRIM(n_name)) = {column}), 'Unknown')"""
 
 
 ORACLES["customer_extras"] = f"""
     SELECT customer_id, LOWER(STRIP_ACCENTS(customer_city)) AS customer_city_key,
            {_region('customer_state')} AS customer_region,
            REGEXP_FULL_MATCH(customer_zip_code_prefix, '[0-9]{{1,5}}') AS has_valid_zip,
-           CAST(SUBSTR(customer_state, 8) AS INT) < 20 AS has_valid_state
+           customer_state IN (SELECT UPPER(TRIM(n_name)) FROM nation) AS has_valid_state
     FROM customers"""
 ORACLES["seller_place"] = f"""
     SELECT s.seller_id, s.seller_zip_code_prefix, s.seller_city, s.seller_state, z.latitude AS seller_latitude,
@@ -650,11 +647,18 @@ ORACLES["item_categories"] = """
 ORACLES["missing_orders"] = """
     SELECT order_id, COUNT(*) AS child_rows FROM items
     WHERE NOT EXISTS (SELECT 1 FROM orders_clean o WHERE o.order_id = items.order_id) GROUP BY 1"""
-ORACLES["exact_duplicates"] = "SELECT DISTINCT product_id, seller_id FROM raw_order_items"
+ORACLES["exact_duplicates"] = """
+    SELECT *, (SELECT COUNT(*) FROM raw_order_items) AS source_rows, COUNT(*) OVER () AS target_rows,
+           (SELECT COUNT(*) FROM raw_order_items) - COUNT(*) OVER () AS duplicate_rows
+    FROM (SELECT DISTINCT * FROM raw_order_items)"""
 ORACLES["record_hashes"] = """
-    SELECT customer_id, SHA256(customer_id || CHR(1) || COALESCE(customer_unique_id, CHR(0)) || CHR(1) || customer_city)
-               AS record_hash
+    SELECT customer_id, SHA256(customer_id || CHR(1) || COALESCE(customer_unique_id, CHR(0)) || CHR(1)
+        || customer_zip_code_prefix || CHR(1) || customer_city || CHR(1) || customer_state) AS record_hash
     FROM raw_customers"""
+ORACLES["customer_record_times"] = """
+    SELECT customer_id, SHA256(customer_city || CHR(1) || customer_state) AS record_hash,
+           TIMESTAMP '2002-01-01 00:00:00' AS record_created_at, TIMESTAMP '2002-01-01 00:00:00' AS record_updated_at
+    FROM customers"""
 ORACLES["salted_join"] = """
     SELECT order_id, order_item_id, seller_state FROM items LEFT JOIN sellers USING (seller_id)"""
 ORACLES["salted_aggregate"] = f"""
@@ -681,6 +685,40 @@ ORACLES["batches_run_once"] = """
            COUNT(*) AS source_rows, COUNT(*) AS target_rows, COUNT(*) AS rows_in_table
     FROM orders_clean GROUP BY 2"""
 
+ORACLES["bronze_load"] = """
+    SELECT 'first' AS batch_id, FALSE AS malformed, COUNT(*) AS rows,
+           COUNT(*) FILTER (customer_id IS NOT NULL AND customer_unique_id IS NOT NULL) AS valid_rows,
+           COUNT(DISTINCT customer_id) AS records FROM raw_customers
+    UNION ALL SELECT 'first', TRUE, COUNT(*), 0, COUNT(*) FROM supplier"""
+ORACLES["quality_results"] = f"""
+    SELECT *, 'run-1' AS run_id FROM ({ORACLES['dq_uniqueness']})
+    UNION ALL SELECT *, 'run-2' FROM ({ORACLES['dq_timestamps']})"""
+ORACLES["replaced_table"] = """
+    SELECT seller_id, seller_state, TRUE AS processed_now, 0 AS rows_before, COUNT(*) OVER () AS rows_written FROM sellers"""
+ORACLES["sql_model"] = """
+    SELECT UPPER(client) AS client_name, COUNT(*) AS transactions, MAX(prix) AS highest_price FROM raw_transactions GROUP BY 1"""
+ORACLES["sorted_daily_sales"] = """
+    SELECT purchase_date, COUNT(DISTINCT order_id) AS order_count, ROW_NUMBER() OVER (ORDER BY purchase_date) AS position
+    FROM base GROUP BY 1"""
+ORACLES["compacted_payments"] = """
+    SELECT COUNT(*) AS payments, CAST(SUM(payment_value) AS DOUBLE) AS paid, TRUE AS as_few_files_as_said FROM payments"""
+ORACLES["layout_comparison"] = """
+    SELECT layout, COUNT(*) AS orders, MAX(order_purchase_timestamp) AS latest
+    FROM orders_clean, (SELECT UNNEST(['plain', 'by month']) AS layout) WHERE purchase_year_month = '1998-03' GROUP BY 1"""
+ORACLES["order_freshness"] = """
+    SELECT newest, EPOCH(TIMESTAMP '2001-08-01 12:00:00' - newest) / 3600 AS age_hours,
+           newest >= TIMESTAMP '2001-07-31 12:00:00' AS is_fresh
+    FROM (SELECT MAX(order_purchase_timestamp) AS newest FROM orders_clean)"""
+ORACLES["load_anomalies"] = """
+    SELECT CAST(year AS VARCHAR) AS batch_id, n AS target_rows, before AS previous_rows,
+           CAST(n - before AS DOUBLE) / before AS relative_change
+    FROM (SELECT year, n, LAG(n) OVER (ORDER BY year) AS before
+          FROM (SELECT YEAR(order_purchase_timestamp) AS year, COUNT(*) AS n FROM orders_clean GROUP BY 1))
+    WHERE ABS(CAST(n - before AS DOUBLE) / before) > 0.1"""
+ORACLES["order_value_ranks"] = """
+    SELECT order_id, CAST(total AS DOUBLE) AS total, RANK() OVER (ORDER BY total) AS value_rank
+    FROM (SELECT order_id, SUM(total_item_amount) AS total FROM items GROUP BY 1)"""
+
 
 def all_oracles() -> dict[str, str]:
     return {name: with_steps(sql) for name, sql in ORACLES.items()}

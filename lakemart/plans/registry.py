@@ -5,24 +5,20 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, Window, functions as F
 
 from lakemart.operators import (
-    clean, customers, dedup, enrich, joins, performance, quality, sales, scale, scorecards, skew, star, upsert,
+    clean, customers, dedup, enrich, joins, performance, quality, ranking, sales, scale, scorecards, skew, star, upsert,
 )
 from lakemart.operators.rules import entity_rules
 from lakemart.schemas import KEYS, SCHEMAS
 from lakemart.session import materialize, work_path
 from lakemart.functions import row_hash
-from lakemart.sources import files, tables
+from lakemart.sources import audit, files, tables
 from lakemart.sources.adapters import RawEntities
 from lakemart.sources.ledger import table_location
 from lakemart.streaming import ingest, latest
 
-# Test places belong to these regions (state -> region), a fixed five-way mapping.
-REGIONS = {f"NATION_{n}": ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"][n % 5] for n in range(20)}
-
-
 class Silver:
     """Lazily built cleaned entities over one folder."""
 
@@ -30,12 +26,15 @@ class Silver:
         self.spark = spark
         self.raw = RawEntities(spark, folder)
 
-    def __getattr__(self, name: str) -> DataFrame:
+    def __getattr__(self, name: str):
         built = self._build(name)
         setattr(self, name, built)
         return built
 
-    def _build(self, name: str) -> DataFrame:
+    def _build(self, name: str):
+        if name == "regions":  # state to region; a nation is a row, so there are few
+            places = self.raw.table("nation").join(self.raw.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+            return {r.state: r.r_name for r in places.select(F.upper(F.trim("n_name")).alias("state"), "r_name").collect()}
         if name == "products":
             return clean.clean_products(self.raw["products"], self.raw["category_translation"])
         if name == "items":
@@ -118,14 +117,14 @@ def review_extras(s):
 
 @query
 def customer_extras(s):
-    return enrich.with_customer_extras(s.customers, REGIONS).select(
+    return enrich.with_customer_extras(s.customers, s.regions).select(
         "customer_id", "customer_city_key", "customer_region", "has_valid_zip", "has_valid_state")
 
 
 @query
 def seller_place(s):
     zips = enrich.geolocation_by_zip(s.raw["geolocation"])
-    return enrich.with_seller_place(s.sellers, zips, REGIONS)
+    return enrich.with_seller_place(s.sellers, zips, s.regions)
 
 
 @query
@@ -259,7 +258,7 @@ def dim_date(s):
 
 @query
 def dim_customer(s):
-    return star.dim_customer(s.orders, s.items, s.customers, REGIONS)
+    return star.dim_customer(s.orders, s.items, s.customers, s.regions)
 
 
 @query
@@ -269,12 +268,12 @@ def dim_product(s):
 
 @query
 def dim_seller(s):
-    return star.dim_seller(s.sellers, REGIONS)
+    return star.dim_seller(s.sellers, s.regions)
 
 
 @query
 def dim_geography(s):
-    return star.dim_geography(enrich.geolocation_by_zip(s.raw["geolocation"]), REGIONS)
+    return star.dim_geography(enrich.geolocation_by_zip(s.raw["geolocation"]), s.regions)
 
 
 @query
@@ -478,7 +477,7 @@ def reconcile_gold(s):
     monthly = sales.agg_monthly_sales(s.orders, s.items, s.reviews)
     facts = star.fact_order_items(s.orders, s.items, s.reviews, s.customers, s.sellers)
     orders = materialize(star.fact_orders(s.orders, s.items, s.reviews, s.customers), "fact-orders")
-    people = star.dim_customer(s.orders, s.items, s.customers, REGIONS)
+    people = star.dim_customer(s.orders, s.items, s.customers, s.regions)
     placed = materialize(_placed_orders(s), "placed-orders")
     marts = {
         "executive": (scorecards.executive_kpis(placed), "total_revenue", "orders"),
@@ -598,20 +597,29 @@ def missing_orders(s):
 
 @query
 def exact_duplicates(s):
-    return dedup.drop_exact_duplicates(s.raw["order_items"].select("product_id", "seller_id"))
+    """Whole rows once each, with the counts observed while they were written."""
+    counts = Observation()
+    unique = materialize(dedup.drop_exact_duplicates(s.raw["order_items"], counts), "unique-items")
+    return unique.withColumns({name: F.lit(n) for name, n in counts.get.items()})
 
 
 @query
 def record_hashes(s):
-    hashed = row_hash("customer_id", "customer_unique_id", "customer_city")
-    return s.raw["customers"].select("customer_id", hashed.alias("record_hash"))
+    customers = s.raw["customers"]
+    return customers.select("customer_id", row_hash(*customers.columns).alias("record_hash"))
+
+
+@query
+def customer_record_times(s):
+    loaded = enrich.with_record_times(s.customers, "2002-01-01 00:00:00", ["customer_city", "customer_state"])
+    return loaded.select("customer_id", "record_hash", "record_created_at", "record_updated_at")
 
 
 @query
 def salted_join(s):
     """Items with the state of their seller; sellers with many items are spread over tasks."""
     states = s.sellers.select("seller_id", "seller_state")
-    return skew.salted_join(s.items, states, ["seller_id"], "left", min_rows=100, salts=8).select(
+    return skew.salted_join(s.items, states, ["seller_id"], "left", share=0.002, salts=8).select(
         "order_id", "order_item_id", "seller_state")
 
 
@@ -715,3 +723,131 @@ def batches_run_once(s):
     for t in (loaded, audit_name):
         tables.drop_table(s.spark, t["table"])
     return out
+
+
+@query
+def bronze_load(s):
+    """Customers as CSV beside lines that do not fit, loaded twice: the second time as copies under other names."""
+    columns = s.raw["customers"].columns
+    folders = [work_path(s.spark, "landing") for _ in range(2)]
+    for folder in folders:
+        s.raw["customers"].repartition(4, "customer_id").write.option("header", True).csv(folder)
+    too_many = [F.col("s_suppkey").alias(columns[0]), *[F.lit("x").alias(c) for c in [*columns[1:], "extra"]]]
+    s.raw.table("supplier").select(*too_many).write.mode("append").option("header", True).csv(folders[0])
+    t, registry = _new_table(s, "raw_customers"), _new_table(s, "source_files")
+    for batch, folder in zip(("first", "second"), folders):
+        files.load_new_files(s.spark, folder, "customers", t["table"], registry["table"], batch)
+    by = ["_batch_id", files.MALFORMED]
+    out = materialize(s.spark.table(t["table"]).groupBy(*by).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if("_is_valid").alias("valid_rows"),
+        F.count_distinct("_record_hash").alias("records")).withColumnsRenamed({"_batch_id": "batch_id", files.MALFORMED: "malformed"}), "bronze-load")
+    for name in (t, registry):
+        tables.drop_table(s.spark, name["table"])
+    return out
+
+
+@query
+def quality_results(s):
+    """Checks appended to the result table under a run."""
+    t = _new_table(s, "quality")
+    for run, found in (("run-1", dq_uniqueness(s)), ("run-2", dq_timestamps(s))):
+        quality.append_results(quality.stamp(found, run, "2002-01-01 00:00:00"), t["table"])
+    out = materialize(s.spark.table(t["table"]).drop("checked_at", "details"), "quality-results")
+    tables.drop_table(s.spark, t["table"])
+    return out
+
+
+@query
+def replaced_table(s):
+    """A typed empty table in a namespace of its own, replaced whole by sellers with the time of processing."""
+    database = f"shop_{uuid.uuid4().hex}"
+    tables.create_database(s.spark, database)
+    t = f"{database}.sellers"
+    tables.create_table(s.spark, t, s.sellers.schema)
+    empty = s.spark.table(t).count()
+    written = tables.write_table(s.sellers, t, with_processed_at=True)["target_rows"]
+    recent = F.abs(F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp("processed_at")) < 3600
+    out = materialize(s.spark.table(t).select("seller_id", "seller_state", recent.alias("processed_now"), F.lit(empty).alias("rows_before"),
+                                              F.lit(written).alias("rows_written")), "replaced")
+    s.spark.sql(f"DROP DATABASE {database} CASCADE")
+    return out
+
+
+@query
+def sql_model(s):
+    """A SQL text kept as a table."""
+    view, t = f"raw_transactions_{uuid.uuid4().hex}", f"model_{uuid.uuid4().hex}"
+    s.raw["transactions"].createOrReplaceTempView(view)
+    tables.materialize_sql(s.spark, f"SELECT upper(client) AS client_name, count(*) AS transactions, max(prix) AS highest_price FROM {view} GROUP BY 1", t)
+    out = materialize(s.spark.table(t), "sql-model")
+    tables.drop_table(s.spark, t)
+    s.spark.catalog.dropTempView(view)
+    return out
+
+
+@query
+def sorted_daily_sales(s):
+    """Daily sales written in order of the date; the position is that of the row in the files."""
+    t = _new_table(s, "daily_sorted")
+    daily = sales.agg_daily_sales(s.orders, s.items, s.reviews).select("purchase_date", "order_count")
+    tables.write_table(daily, t["table"], path=t["path"], global_order=["purchase_date"])
+    written = s.spark.table(t["table"]).select("*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
+    # One row per day: the calendar bounds this window.
+    position = F.row_number().over(Window.orderBy("file", "row")).cast("bigint")
+    out = materialize(written.select("purchase_date", "order_count", position.alias("position")), "sorted-days")
+    tables.drop_table(s.spark, t["table"])
+    return out
+
+
+@query
+def compacted_payments(s):
+    """Payments in many small files, rewritten in few, sorted by value."""
+    many, few = work_path(s.spark, "many-files"), work_path(s.spark, "few-files")
+    s.payments.select("order_id", "payment_sequential", "payment_value").repartition(16).write.parquet(many)
+    number = tables.compact_folder(s.spark, many, few, sort_by=["payment_value"])
+    files_now = F.col("_metadata.file_name")
+    return s.spark.read.parquet(few).agg(
+        F.count(F.lit(1)).alias("payments"), F.sum("payment_value").alias("paid"),
+        (F.count_distinct(files_now) <= number).alias("as_few_files_as_said"))
+
+
+@query
+def layout_comparison(s):
+    """One month from a plain and from a partitioned layout: the same rows."""
+    plain, parts = _new_table(s, "plain"), _new_table(s, "by_month")
+    tables.write_table(s.orders, plain["table"], path=plain["path"])
+    tables.write_table(s.orders, parts["table"], path=parts["path"], partition_by=["purchase_year_month"])
+    found = [tables.filter_period(s.spark.table(t["table"]), "1998-03", "1998-03").agg(
+        F.lit(name).alias("layout"), F.count(F.lit(1)).alias("orders"), F.max("order_purchase_timestamp").alias("latest"))
+        for name, t in (("plain", plain), ("by month", parts))]
+    out = materialize(quality.union_all(found), "layouts")
+    for t in (plain, parts):
+        tables.drop_table(s.spark, t["table"])
+    return out
+
+
+@query
+def order_freshness(s):
+    return audit.freshness(s.orders, "order_purchase_timestamp", "2001-08-01 12:00:00", 24.0)
+
+
+@query
+def load_anomalies(s):
+    """Orders loaded year by year under the run audit, and the runs whose row count left the one before by over a tenth."""
+    t = _new_table(s, "year_runs")
+    per_year = {r.year: r.n for r in s.orders.groupBy(F.year("order_purchase_timestamp").alias("year")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    for year in sorted(per_year):
+        with audit.run_audit(s.spark, t["table"], "load_year", str(year)) as run:
+            run["target_rows"] = per_year[year]
+    out = materialize(audit.row_count_changes(s.spark.table(t["table"]), 0.1).select(
+        "batch_id", "target_rows", "previous_rows", "relative_change"), "load-anomalies")
+    tables.drop_table(s.spark, t["table"])
+    return out
+
+
+@query
+def order_value_ranks(s):
+    """Rank of every order by its total among all orders: one group, cut into ranges."""
+    totals = materialize(joins.item_totals(s.items).select("order_id", "total"), "order-totals")
+    below = ranking.value_positions(totals, [], "total").select("total", (F.col("rows_below") + 1).alias("value_rank"))
+    return totals.join(below, "total")

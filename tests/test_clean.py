@@ -177,3 +177,10 @@ def test_amounts_up_to_the_money_type_are_kept(spark):
     _, rejected = quality.split_rejects(raw, entity_rules("order_items"))
     named = {int(r.order_id): r._validation_errors for r in rejected.collect()}
     assert named == {**{i: ["price_representable"] for i in (3, 4, 5)}, 6: ["price_not_negative"]}
+
+
+def test_accents_of_latin_1_and_extended_a(spark):
+    words = {"São Tomé": "Sao Tome", "ÝŁódź Škoda ø": "YLodz Skoda o", "Straße Æ œ Þ": "Strasse AE oe TH", "e\u0301te\u0301": "ete",
+             "ĞİŞ ığş ŕ ţ": "GIS igs r t", "plain 中": "plain 中", "": ""}
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+    assert {r.w: r.plain for r in df.select("w", fn.accents_removed("w").alias("plain")).collect()} == words

@@ -116,8 +116,10 @@ def test_salted_join_and_aggregate(spark):
     small = spark.createDataFrame([("hot", 1), ("k1", 2), ("k2", 3), (None, 4)], "k string, w int")
     for how in ("inner", "left"):
         want = sorted(map(str, big.join(small, "k", how).collect()))
-        got = sorted(map(str, skew.salted_join(big, small, ["k"], how, min_rows=100, salts=8).collect()))
+        got = sorted(map(str, skew.salted_join(big, small, ["k"], how, share=0.1, salts=8).collect()))
         assert got == want
+    assert [r.k for r in skew.hot_keys(big.filter("k is not null"), ["k"], 0.1).collect()] == ["hot"]
+    assert skew.hot_keys(big, ["k"], 0.001).count() <= 1000
     with pytest.raises(ValueError):
         skew.salted_join(big, small, ["k"], "full")
     got = skew.salted_aggregate(big, ["k"], {"s": F.sum("v"), "n": F.count("v")}, {"s": F.sum("s"), "n": F.sum("n")}, 8)
