@@ -346,6 +346,66 @@ def test_packing(spark, docs):
     assert total == {r[0]: len((r[1] or "").split()) for r in rows}
 
 
+def test_nearest_repeated_queries_and_extreme_components(spark):
+    rnd = np.random.default_rng(4)
+    v = rnd.normal(size=(120, 6))
+    scale = np.where(np.arange(120) % 3 == 0, 1e200, np.where(np.arange(120) % 3 == 1, 1e-200, 1.0))
+    rows = [(i, [float(x) for x in r]) for i, r in enumerate(v * scale[:, None])]
+    other = [float(x) for x in rnd.normal(size=6)]
+    df = spark.createDataFrame(rows + [rows[50], rows[50], (100, other)], "vec_id long, embedding array<double>")
+    unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+    got = defaultdict(list)
+    for r in vectors.nearest_report(df).collect():
+        got[r.query_id].append((r.rank, r.vec_id, r.score))
+    for q in (0, 50):
+        sims = unit @ unit[q]
+        sims[100] = max(sims[100], unit[q] @ np.array(other) / np.linalg.norm(other))
+        sims[q] = -9
+        want = np.argsort(-sims)[:5]
+        assert [r[:2] for r in sorted(got[q])] == [(i + 1, j) for i, j in enumerate(want)]
+        assert np.allclose([r[2] for r in sorted(got[q])], sims[want])
+    assert sorted(r[0] for r in got[100]) == sorted([1, 2, 3, 4, 5] * 2)  # two vectors under one id
+
+
+def test_recall_over_shards(spark):
+    v = np.random.default_rng(9).normal(size=(2000, 16))
+    rows = [(i, [float(x) for x in r]) for i, r in enumerate(v)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    index = vectors.build_index(df, "vec_id", "embedding", 6, shard_rows=700)
+    assert index.count() == 3
+    found = defaultdict(set)
+    for r in vectors.search(index, df.filter("vec_id % 50 = 0"), "vec_id", "embedding").collect():
+        found[r.query_id].add(r.vec_id)
+    unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+    hits = 0
+    for q in range(0, 2000, 50):
+        sims = unit @ unit[q]
+        sims[q] = -9
+        hits += len(found[q] & set(np.argsort(-sims)[:5].tolist()))
+    print("recall over three shards", hits / 200)
+    assert hits >= 0.9 * 200
+
+
+def test_urls_beside_own_columns(spark):
+    pages = spark.createDataFrame([(1, "http://net/x", "a", "b", 7), (2, None, None, "c", 8)], "page_id int, url string, u string, best string, r_rule int")
+    rules = spark.createDataFrame(queries.URL_RULES, "host string, path string, action string")
+    got = sorted(map(tuple, urls.judge_urls(pages, rules).collect()), key=str)
+    assert got == [(1, "http://net/x", "a", "b", 7, "net", "/x", "net/", "block"), (2, None, None, "c", 8, "", "", None, "allow")]
+    assert urls.judge_urls(pages.limit(0), rules).count() == 0
+
+
+def test_decontamination_keeps_own_columns(spark):
+    docs = spark.createDataFrame([(1, "one two three four", 5, "x"), (2, "other", 6, None)], "doc_id int, text string, items int, n_words string")
+    left = decontaminate.drop_contaminated(docs, spark.createDataFrame([(1, "two three")], "item_id int, text string"))
+    assert left.columns == docs.columns and [tuple(r) for r in left.collect()] == [(2, "other", 6, None)]
+    assert decontaminate.drop_contaminated(docs.limit(0), spark.createDataFrame([(1, "x")], "item_id int, text string")).count() == 0
+
+
+def test_lines_report_compares_short_lines(spark):
+    df = spark.createDataFrame([(1, "Les.\nown"), (2, "les.\n \nLes."), (3, "a b c d")], "doc_id long, text string")
+    assert sorted((r.doc_id, r.n_lines, r.n_removed) for r in lines.lines_report(df).collect()) == [(1, 2, 0), (2, 2, 2), (3, 1, 0)]
+
+
 def test_urls(spark):
     pages = [(1, "http://WWW.Example.net/en/x?q"), (2, "https://a.example.com/de/y"), (3, "http://example.net"), (4, "http://b.org/fr/#x"),
              (5, None), (6, "no url"), (7, "http://example.net/de/"), (7, "http://example.net/de/"), (8, "http://net.org/fr"), (9, "http://x/" + "a/" * 5000)]
