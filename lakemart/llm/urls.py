@@ -79,8 +79,10 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
         (F.col("u_full") == F.col("r_full")) & F.col("u_path").startswith(F.col("r_path")))
     rank = F.struct(F.length("r_rule"), (F.col("r_action") == "block").cast("int"), F.col("r_rule"))
     best = fits.groupBy("u").agg(F.max_by(F.struct("r_rule", "r_action"), rank).alias("best"))
-    judged = pages.select(*kept, address.alias("_u")) if url in kept else pages.withColumn("_u", address)
-    judged = judged.join(best, F.col("_u") == F.col("u"), "left")
+    # The page travels as one column, so that its own names meet none of these.
+    judged = pages.select(F.struct(F.lit(0).alias("_"), *kept).alias("page"), address.alias("page_url"))
+    judged = judged.join(best, F.col("page_url") == F.col("u"), "left")
     return judged.select(
-        *kept, url_host(F.col("_u")).alias("host"), url_path(F.col("_u")).alias("path"),
+        *[F.col("page").getField(c).alias(c) for c in kept], url_host(F.col("page_url")).alias("host"),
+        url_path(F.col("page_url")).alias("path"),
         F.col("best.r_rule").alias("rule"), F.coalesce("best.r_action", F.lit(default)).alias("verdict"))
