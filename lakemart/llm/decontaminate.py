@@ -148,6 +148,7 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents without any hit, columns as they came."""
-    found = find_contamination(docs, benchmark)
-    return found.filter(F.size("hit_spans") == 0).select(*docs.columns)
+    """The documents without any hit, columns as they came, also those with names of the search."""
+    own = {c: f"_own_{c}" for c in ("n_words", "hit_spans", "items") if c in docs.columns}
+    found = find_contamination(docs.withColumnsRenamed(own), benchmark).filter(F.size("hit_spans") == 0)
+    return found.drop(*own).withColumnsRenamed({new: old for old, new in own.items()}).select(*docs.columns)
