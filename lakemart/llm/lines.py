@@ -256,12 +256,12 @@ def judge_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", simila
 
 
 def lines_report(docs: DataFrame) -> DataFrame:
-    """Per document: lines compared, lines removed, links to other texts, and its earliest source: the
+    """Per document: lines with words (of any number), lines removed, links to other texts, and its earliest source: the
     document of the earliest line that one of its lines equals or resembles (its own id if none). Texts
     with one id are counted together, texts without an id each for itself."""
     docs = docs.select("doc_id", *_document("doc_id", "text"), "text")
     own = F.when(F.col("mid") >= KEYLESS, F.col("mid")).otherwise(F.lit(0))
-    judged = judge_lines(docs.select("doc_id", "text")).select("*", *_split_place(F.col("at")))
+    judged = judge_lines(docs.select("doc_id", "text"), min_words=1).select("*", *_split_place(F.col("at")))
     by_doc = judged.groupBy("hi", own.alias("mid")).agg(
         F.count(F.lit(1)).alias("n_lines"), F.count_if("removed").alias("n_removed"), F.sum("links").alias("n_links"),
         F.min("class").alias("class"))

@@ -108,7 +108,7 @@ OP5_SQL = """
 WITH l AS (
   SELECT doc_id, no, line, list_sort(list_distinct(list_filter(string_split(replace(lower(line), chr(9), ' '), ' '), lambda x: x <> ''))) AS w
   FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS no FROM documents)),
-e AS (SELECT *, len(w) AS n FROM l WHERE len(w) >= 5),
+e AS (SELECT *, len(w) AS n FROM l WHERE len(w) >= 1),
 f AS (SELECT line, any_value(w) AS w, any_value(n) AS n, min((doc_id, no)) AS place FROM e GROUP BY line),
 t AS (SELECT line, n, place, unnest(w) AS word FROM f),
 c AS (SELECT word, count(*) AS freq FROM t GROUP BY word),
