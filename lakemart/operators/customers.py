@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lakemart.functions import ratio
-from lakemart.operators.joins import with_default
+from lakemart.operators.joins import item_totals, persons_of, review_per_order, with_default
 from lakemart.operators.performance import person_orders
 from lakemart.operators.ranking import ntile_by_value, quantile_value
 from lakemart.session import materialize
@@ -70,8 +70,12 @@ def _preferred(pairs: DataFrame, value: str, weight: Column) -> DataFrame:
 
 def customer_360(orders: DataFrame, items: DataFrame, customers: DataFrame, products: DataFrame, payments: DataFrame,
                  reviews: DataFrame, rfm: DataFrame) -> DataFrame:
-    """One row per person for marketing use."""
-    base = person_orders(orders, items, customers, reviews)
+    """One row per person for marketing use. Orders with their persons are stored, because three branches
+    read them: order totals, categories and payments."""
+    buyers = materialize(persons_of(orders, customers).select(
+        "order_id", "customer_unique_id", "customer_city", "customer_state", "order_purchase_timestamp", "purchase_date",
+        "delivery_delay_days"), "buyers")
+    base = buyers.join(item_totals(items), "order_id").join(review_per_order(reviews), "order_id", "left")
     place = F.struct("customer_city", "customer_state")
     people = base.groupBy("customer_unique_id").agg(
         F.max_by(place, F.struct("order_purchase_timestamp", "order_id")).alias("place"),
@@ -83,8 +87,7 @@ def customer_360(orders: DataFrame, items: DataFrame, customers: DataFrame, prod
         ratio(F.sum("review_score"), F.count("review_score")).alias("avg_review_score"),
         ratio(F.sum("delivery_delay_days"), F.count("delivery_delay_days")).alias("avg_delivery_delay_days"),
     )
-    persons = orders.select("order_id", "customer_id").join(
-        customers.select("customer_id", "customer_unique_id"), "customer_id").select("order_id", "customer_unique_id")
+    persons = buyers.select("order_id", "customer_unique_id")
     names = products.select("product_id", F.col("product_category_name_en").alias("category"))
     per_category = with_default(items.join(names, "product_id", "left"), "category", "unknown") \
         .groupBy("order_id", "category").agg(F.count(F.lit(1)).alias("pieces"))

@@ -8,6 +8,7 @@ from lakemart.functions import (
     accents_removed, days_between, hours_between, ratio, region_of, row_hash, valid_zip,
 )
 from lakemart.operators.clean import tidy_geolocation
+from lakemart.operators.joins import broadcast_lookup
 from lakemart.operators.ranking import exact_median
 
 
@@ -127,10 +128,8 @@ def review_summary(reviews: DataFrame) -> DataFrame:
 
 def order_details(orders: DataFrame, items: DataFrame, customers: DataFrame, products: DataFrame,
                   sellers: DataFrame) -> DataFrame:
-    """Wide table, one row per order item. Customers join to orders before the items do, so the
-    larger side is shuffled once by order."""
+    """Wide table, one row per order item. Customers join to orders before the items do, and products and
+    sellers are broadcast as long as their size allows, so items are shuffled once, by order."""
     buyers = orders.join(customers, "customer_id", "left")
-    return (
-        items.join(products, "product_id", "left").join(sellers, "seller_id", "left")
-        .join(buyers, "order_id", "inner")
-    )
+    named = broadcast_lookup(broadcast_lookup(items, products, ["product_id"]), sellers, ["seller_id"])
+    return named.join(buyers, "order_id", "inner")

@@ -34,6 +34,8 @@ def agg_seller_performance(orders: DataFrame, items: DataFrame, reviews: DataFra
         ratio(F.sum("review_score"), F.count("review_score")).alias("avg_review_score"),
         ratio(F.count_if("is_late_delivery"), rows).alias("late_delivery_rate"),
         ratio(F.count_if("is_cancelled"), rows).alias("cancellation_rate"),
+        F.count_if("is_late_delivery").alias("late_orders"),
+        F.count_if("is_cancelled").alias("cancelled_orders"),
         F.count_distinct("customer_id").alias("unique_customers"),
     )
     products = _distinct_per(orders, items, by, "seller_id", "product_id", "active_products")

@@ -16,8 +16,7 @@ def seller_scorecard(performance: DataFrame, scores: DataFrame) -> DataFrame:
     joined = performance.join(scores.select("seller_id", "purchase_year_month", "seller_score"),
                               ["seller_id", "purchase_year_month"], "left")
     orders = F.sum("orders_received")
-    late = F.sum(F.round(F.col("late_delivery_rate") * F.col("orders_received")).cast("bigint"))
-    cancelled = F.sum(F.round(F.col("cancellation_rate") * F.col("orders_received")).cast("bigint"))
+    late, cancelled = F.sum("late_orders"), F.sum("cancelled_orders")
     # Scores are summed as decimals: the order of rows must not matter.
     return joined.groupBy("seller_id").agg(
         F.count(F.lit(1)).alias("active_months"), orders.alias("orders_received"), F.sum("items_sold").alias("items_sold"),
@@ -90,7 +89,7 @@ def top_sellers_by_month(performance: DataFrame, k: int = 3) -> DataFrame:
 
 def late_seller_ranking(performance: DataFrame, k: int = 10) -> DataFrame:
     """Sellers with the highest share of late orders over all time."""
-    late = F.sum(F.round(F.col("late_delivery_rate") * F.col("orders_received")).cast("bigint"))
+    late = F.sum("late_orders")
     totals = performance.groupBy("seller_id").agg(
         late.alias("late_orders"), ratio(late, F.sum("orders_received")).alias("late_delivery_rate"))
     return totals.orderBy(F.col("late_delivery_rate").desc(), "seller_id").limit(k)

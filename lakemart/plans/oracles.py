@@ -213,7 +213,7 @@ STEPS["seller_scores"] = """
 ORACLES["agg_seller_performance"] = """
     SELECT m.seller_id, m.purchase_year_month, orders_received, items_sold,
            CAST(exact_gross AS DOUBLE) AS gross_merchandise_value, avg_item_price, avg_review_score, late_delivery_rate,
-           cancellation_rate, unique_customers, p.active_products
+           cancellation_rate, late_orders, cancelled_orders, unique_customers, p.active_products
     FROM seller_months m JOIN (SELECT seller_id, purchase_year_month, COUNT(DISTINCT product_id) AS active_products
                                FROM base GROUP BY 1, 2) p USING (seller_id, purchase_year_month)"""
 ORACLES["seller_score"] = "SELECT * FROM seller_scores"

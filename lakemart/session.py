@@ -49,9 +49,25 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+#: Work paths handed out, by application.
+_handed_out: dict[str, list[str]] = {}
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _handed_out.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear_work(spark: SparkSession) -> int:
+    """Delete what this application stored on the way; returns the number of paths. To be called once the
+    results that read from there have been written or collected."""
+    paths = _handed_out.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    return len(paths)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

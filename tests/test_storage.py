@@ -220,3 +220,15 @@ def test_replication_keeps_references(spark):
     assert {r.customer_id for r in scale.replicate_customers(people, 3).collect()} == {r.customer_id for r in o.values()}
     batches = scale.daily_batches(spark.range(100).select(F.col("id").cast("string").alias("order_id")), 4)
     assert {r.batch_number for r in batches.collect()} == {0, 1, 2, 3}
+
+
+def test_work_files_can_be_cleared(spark):
+    from lakemart.plans.registry import all_queries
+    from lakemart.session import _handed_out, clear_work, shared_folder
+    folder = shared_folder(spark).removeprefix("file:")
+    clear_work(spark)
+    before = set(os.listdir(folder))
+    assert all_queries()["order_value_ranks"](spark, "/root/testdata/sf0.001").collect()
+    made = set(os.listdir(folder)) - before
+    assert made and clear_work(spark) >= len(made)
+    assert set(os.listdir(folder)) == before and not _handed_out
