@@ -19,7 +19,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 2: one document of each group of near-duplicates stays."""
+    """Operator 2, with its own shingle length and distance: one document of each group of near-duplicates stays."""
     return simhash.keep_one(docs)
 
 

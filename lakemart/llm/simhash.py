@@ -15,7 +15,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lakemart.llm.common import add_columns, as_bytes, store
 from lakemart.llm.components import connected_components
@@ -28,8 +28,6 @@ SEED = 42
 CHUNK = 1 << 16
 #: Fingerprints from which the grouping of bits is chosen (a documented bound; it affects speed only).
 SAMPLE = 20_000
-#: Shingles known as frequent when near copies are sought (a documented bound; it affects speed only).
-FREQUENT = 1 << 16
 #: Low bits of a group's value that its count table tells apart.
 TABLE_BITS = 16
 
@@ -242,6 +240,14 @@ def _keyed(group: np.ndarray, value: np.ndarray, fps: np.ndarray) -> pa.RecordBa
     return pa.RecordBatch.from_arrays([pa.array((group.astype(np.int64) << 58) | value), pa.array(fps)], names=["key", "fp"])
 
 
+def _classes(points: DataFrame, distance: int) -> DataFrame:
+    """``points`` (distinct ``fp``) with ``class``, the smallest fingerprint that links reach."""
+    links = store(near_pairs(points.select("fp"), distance), "simhash-links")
+    classes = connected_components(links.select("a", "b"))
+    return points.join(classes, F.col("fp") == F.col("node"), "left") \
+        .select(*points.columns, F.coalesce("class", "fp").alias("class"))
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
                     distance: int = DISTANCE) -> DataFrame:
     """``key``, ``fp``, ``component_id`` (smallest key reachable over links, itself included).
@@ -253,10 +259,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     """
     done = store(fingerprints(docs.select(F.col(key), F.col(text)), text, shingle).select(key, "fp"), "simhash-fps")
     points = store(done.groupBy("fp").agg(F.min(key).alias("first")), "simhash-points")
-    links = store(near_pairs(points.select("fp"), distance), "simhash-links")
-    classes = connected_components(links.select("a", "b"))
-    joined = points.join(classes, points["fp"] == classes["node"], "left") \
-        .select("fp", "first", F.coalesce("class", "fp").alias("class"))
+    joined = _classes(points, distance)
     smallest = joined.groupBy("class").agg(F.min("first").alias("component_id"))
     named = joined.join(smallest, "class").select("fp", "component_id")
     return done.join(named, "fp").select(key, "fp", "component_id")
@@ -271,137 +274,46 @@ def hex_fingerprint(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def _shingle_hashes(text: bytes | None, shingle: int) -> np.ndarray:
-    """Sorted distinct hashes of the shingles of a text."""
-    words = text.lower().split() if text else []
-    n = max(1, len(words) - shingle + 1) if words else 0
-    return np.unique(np.fromiter(
-        (xxhash.xxh64_intdigest(b" ".join(words[i:i + shingle]), SEED) for i in range(n)), dtype=np.uint64, count=n))
-
-
-def frequent_shingles(source: DataFrame, shingle: int) -> np.ndarray:
-    """Hashes of shingles that several sampled texts ``t`` hold, rarest first. They only order shingles,
-    and any order gives the same result, so the sample costs or saves time, nothing else."""
-    share = max(1, source.count() // SAMPLE)
-    hashed = add_columns(source.filter(F.pmod(F.xxhash64("k"), F.lit(share)) == 0).select("t"), ["t"], "h array<bigint>",
-                         lambda: lambda texts: [[_shingle_hashes(t, shingle).view(np.int64) for t in as_bytes(texts)]])
-    counts = hashed.select(F.explode("h").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 3")
-    top = counts.orderBy(F.desc("n"), "h").limit(FREQUENT).collect()
-    return np.array([r.h for r in reversed(top)], dtype=np.int64).view(np.uint64)
-
-
-def shingle_prefix(hashes: np.ndarray, frequent: np.ndarray, similarity: float) -> np.ndarray:
-    """The first n - ceil(similarity * n) + 1 hashes of a set, those in ``frequent`` last and in its order.
-    Two sets of at least this Jaccard similarity share one of them."""
-    n = len(hashes)
-    length = n - int(np.ceil(similarity * n - 1e-9)) + 1 if n else 0
-    if not len(frequent):
-        return hashes[:length]
-    order = np.argsort(frequent)
-    at = np.minimum(np.searchsorted(frequent[order], hashes), len(frequent) - 1)
-    rank = np.where(frequent[order][at] == hashes, order[at] + 1, 0)
-    return hashes[np.argsort(rank, kind="stable")][:length]
-
-
-def _heads(points: DataFrame) -> DataFrame:
-    """One row for each prefix shingle ``h`` of a text."""
-    return points.select("p", "n", F.posexplode("prefix").alias("pos", "h"))
-
-
-def _shared_needed(x: str, y: str, similarity: float) -> Column:
-    """Shingles that two sets of these sizes must share."""
-    return F.ceil((F.col(x) + F.col(y)) * similarity / (1 + similarity) - 1e-9)
-
-
-def _likely_copies(points: DataFrame) -> DataFrame:
-    """For a text, the one first text of about its size with which it shares most prefix shingles: one pair
-    (x, y) a text at most, however large a group of near copies is."""
-    heads = _heads(points).withColumn("size", F.floor(F.log(F.col("n")) * 8))
-    hubs = heads.groupBy("h", "size").agg(F.min("p").alias("x"))
-    met = heads.join(hubs, ["h", "size"]).filter("x < p").groupBy("x", F.col("p").alias("y")).agg(F.count(F.lit(1)).alias("m"))
-    return met.groupBy("y").agg(F.max(F.struct("m", "x")).alias("best")).select("best.x", "y")
-
-
-def _open_pairs(points: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
-    """All pairs (x < y) that share a prefix shingle, are not in one class yet and may reach the similarity."""
-    known = points.join(classes.withColumnRenamed("node", "p"), "p", "left") \
-        .select("p", "n", "prefix", F.coalesce("class", "p").alias("class"))
-    heads = known.select("p", "n", "class", F.posexplode("prefix").alias("pos", "h"))
-    # Shingles of a single class, most of all, need no pair.
-    mixed = heads.groupBy("h").agg(F.min("class").alias("a"), F.max("class").alias("b")).filter("a < b").select("h")
-    heads = store(heads.join(mixed, "h"), "near-heads")
-    x = heads.select("h", *[F.col(c).alias(c + "_x") for c in ("p", "n", "pos", "class")])
-    y = heads.select("h", *[F.col(c).alias(c + "_y") for c in ("p", "n", "pos", "class")])
-    needed = _shared_needed("n_x", "n_y", similarity)
-    rest = F.least(F.col("n_x") - F.col("pos_x"), F.col("n_y") - F.col("pos_y"))
-    met = x.join(y, "h").filter((F.col("p_x") < F.col("p_y")) & (F.col("class_x") != F.col("class_y"))
-                                & (F.least("pos_x", "pos_y") + rest >= needed)
-                                & (F.least("n_x", "n_y") >= F.greatest("n_x", "n_y") * similarity - 1e-9))
-    met = met.groupBy("p_x", "p_y", "n_x", "n_y") \
-        .agg(F.count(F.lit(1)).alias("m"), F.max("pos_x").alias("pos_x"), F.max("pos_y").alias("pos_y"))
-    # Prefixes are in one order, so what is shared up to the last met shingles has met.
-    return met.filter(F.col("m") + rest - 1 >= needed).select(F.col("p_x").alias("x"), F.col("p_y").alias("y"))
-
-
-def _verified(proposed: DataFrame, points: DataFrame, source: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """The pairs whose shingle sets reach the similarity."""
-    proposed = store(proposed, "near-proposed")
-    wanted = proposed.select(F.col("x").alias("p")).union(proposed.select("y")).distinct().join(points, "p").select("p", "first", "same")
-    texts = source.join(wanted.select(F.col("first").alias("k")).distinct(), "k", "left_semi")
-    # Texts that share a key are told apart by their digest.
-    sets = add_columns(texts, ["t"], "same binary, s binary", lambda: lambda texts: [
-        [_digest(t) for t in as_bytes(texts)], [_shingle_hashes(t, shingle).tobytes() for t in as_bytes(texts)]])
-    sets = store(sets.select("same", "s").join(wanted, "same").groupBy("p").agg(F.min("s").alias("s")), "near-sets")
-
-    def alike(batches):
-        for batch in batches:
-            kept = []
-            for s, t in zip(as_bytes(batch.column(2)), as_bytes(batch.column(3))):
-                u, v = np.frombuffer(s, dtype=np.uint64), np.frombuffer(t, dtype=np.uint64)
-                both = len(np.intersect1d(u, v, assume_unique=True))
-                kept.append(both >= similarity * (len(u) + len(v) - both) - 1e-9)
-            yield batch.select([0, 1]).filter(pa.array(kept, pa.bool_()))
-
-    pairs = proposed.join(sets.select(F.col("p").alias("x"), F.col("s").alias("sx")), "x") \
-        .join(sets.select(F.col("p").alias("y"), F.col("s").alias("sy")), "y").select("x", "y", "sx", "sy")
-    return store(pairs.mapInArrow(alike, "x long, y long"), "near-links")
-
+def _row_key(key: str, text: str) -> list[Column]:
+    """What tells documents apart, in the order in which one of a group is kept: documents with a key first, by
+    key; of one key, the smallest digest of the text."""
+    return [F.col(key).isNull().alias("_no"), F.col(key).alias("_k"), F.coalesce(F.md5(text), F.lit("")).alias("_d")]
 
-def _digest(text: bytes | None) -> bytes | None:
-    """Digest of the words of a text; none without words."""
-    return xxhash.xxh3_128_digest(b" ".join(text.lower().split())) if text and not text.isspace() else None
 
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """One document of each component of ``near_duplicates``: the one with the smallest key; columns as they came.
 
-def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the smallest key, columns as they came.
-
-    Texts with the same words are copies. Different texts are linked if their shingle sets have a Jaccard
-    similarity of at least ``similarity``, and groups are what links connect. No link that matters is
-    missed: fingerprints at a distance cannot promise that, so pairs come from an exact prefix filter over
-    the distinct shingles. First each text is compared with one likely text; then all pairs are compared
-    that are not in one group yet. Documents without a key or without words stay; rows that share a key
-    stay or go together.
+    Documents without words are near-duplicates of each other, so one of them stays. A document without a key
+    stays only if no document of its component has one. Of different texts with one key, the smallest digest
+    stays; of rows alike in key and text, the one whose other columns have the smallest hash.
     """
-    source = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).filter(F.col("k").isNotNull())
-    shared = docs.sparkSession.sparkContext.broadcast(frequent_shingles(source, shingle))
-
-    def start():
-        def work(texts):
-            bodies = as_bytes(texts)
-            sets = [_shingle_hashes(t, shingle) for t in bodies]
-            return [_digest(t) for t in bodies], [len(s) for s in sets], \
-                [shingle_prefix(s, shared.value, similarity).view(np.int64) for s in sets]
-        return work
-
-    marked = add_columns(source, ["t"], "same binary, n int, prefix array<bigint>", start).select("k", "same", "n", "prefix")
-    marked = store(marked.filter(F.col("same").isNotNull()), "near-texts")
-    points = marked.groupBy("same").agg(F.min("k").alias("first"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    points = store(points.withColumn("p", F.monotonically_increasing_id()), "near-points")
-
-    likely = _verified(_likely_copies(points), points, source, shingle, similarity)
-    rest = _verified(_open_pairs(points, connected_components(likely, "x", "y"), similarity), points, source, shingle, similarity)
-    classes = connected_components(likely.union(rest), "x", "y")
-    named = points.join(classes, F.col("p") == F.col("node"), "left").select("same", "first", F.coalesce("class", "p").alias("class"))
-    smallest = named.groupBy("class").agg(F.min("first").alias("kept"))
-    losers = marked.join(named.join(smallest, "class"), "same").filter(F.col("k") != F.col("kept")).select(F.col("k").alias("_k")).distinct()
-    return docs.join(losers, F.col(key) == F.col("_k"), "left_anti")
+    place = [F.col(c) for c in ("_no", "_k", "_d")]
+    done = fingerprints(docs.select(*_row_key(key, text), F.col(text).alias("_t")), "_t", shingle)
+    done = store(done.groupBy("fp", *place).agg(F.count(F.lit(1)).alias("n")), "simhash-rows")
+    points = store(done.groupBy("fp").agg(F.min(F.struct(*place)).alias("first")), "simhash-points")
+    joined = _classes(points, distance)
+    kept = joined.groupBy("class").agg(F.min("first").alias("kept"))
+    named = joined.join(kept, "class").select("fp", "kept")
+    first = F.struct(*place) == F.col("kept")
+    # Most rows are documents that stay; only the others are joined with the texts.
+    others = store(done.join(named, "fp").filter(~first | (F.col("n") > 1)).select(*place, first.alias("_first")), "simhash-others")
+    return _without(docs, others.filter("not _first"), others.filter("_first"), key, text)
+
+
+def _without(docs: DataFrame, losers: DataFrame, repeated: DataFrame, key: str, text: str) -> DataFrame:
+    """``docs`` without the documents of ``losers``, and with one row of each document of ``repeated``."""
+    own = "_" * (1 + max(map(len, docs.columns)))  # longer than any column's name, so no helper clashes with one
+
+    def among(rows: DataFrame, how: str, left: DataFrame) -> DataFrame:
+        left = left.withColumns({own + "key": F.col(key), own + "digest": _row_key(key, text)[2]})
+        right = rows.select(F.col("_k").alias(own + "k"), F.col("_d").alias(own + "d"))
+        same = F.col(own + "key").eqNullSafe(F.col(own + "k")) & (F.col(own + "digest") == F.col(own + "d"))
+        return left.join(right, same, how).select(*docs.columns)
+
+    left = among(losers, "left_anti", docs)
+    if repeated.isEmpty():
+        return left
+    # JSON, since maps have no hash of their own.
+    order = Window.partitionBy(key, F.md5(text)).orderBy(F.xxhash64(F.to_json(F.struct(*docs.columns))))
+    one = among(repeated, "left_semi", left).withColumn(own, F.row_number().over(order)).filter(F.col(own) == 1).drop(own)
+    return among(repeated, "left_anti", left).unionByName(one)
