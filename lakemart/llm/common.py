@@ -76,4 +76,13 @@ def store(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     path = work_path(df.sparkSession, name)
     with shuffle_cleanup(df.sparkSession):
         df.write.parquet(path, compression=compression)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored.stored_path = path
+    return stored
+
+
+def discard(*stored: DataFrame) -> None:
+    """Deletes what ``store`` wrote. To be called once all that reads it is itself stored."""
+    for df in stored:
+        place = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.stored_path)
+        place.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(place, True)

@@ -8,9 +8,12 @@ word sets decide. A line goes if a similar line came before it.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lakemart.llm.common import store
+from lakemart.llm.common import discard, store
 
 SIMILARITY = 0.8
 #: Shorter lines are not compared by default: headings and separators repeat in clean text. With 1, all lines
@@ -21,6 +24,8 @@ MIN_WORDS = 5
 RARITY_CLASSES = 1 << 16
 #: Prefixes are longer by one word, and lines must meet on two: one rare word in common is mostly chance.
 LEAST_MET = 2
+#: Prefix words meet in so many passes, by their code, so that one pass's share of the join is on disk at a time.
+PASSES = 4
 PLACE = ("hi", "mid", "lo")
 #: Set in the middle part of a place if the document has no key.
 KEYLESS = 1 << 62
@@ -96,9 +101,9 @@ def _only_equal(n: str, similarity: float) -> Column:
     return F.col(n) < (F.col(n) + 1) * similarity - 1e-9
 
 
-def _line_table(lines: DataFrame, ranks: Column, similarity: float, min_words: int) -> DataFrame:
-    """``doc``, ``no``, ``at``, a digest (``h1``, ``h2``) of the text, ``n``, ``parity`` and ``prefix`` (its codes)
-    of every line to compare. All texts are split and hashed once, for this; later steps read only these columns."""
+def _line_table(lines: DataFrame, ranks: Column, similarity: float, min_words: int) -> tuple[DataFrame, DataFrame]:
+    """``doc``, ``no``, ``at`` and a digest (``h1``, ``h2``) of the text of every line to compare, and ``_prefixes``
+    of the different ones. All texts are split and hashed once, for this; later steps read only these two."""
     coded = lines.select("doc", "no", "at", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), F.reverse("line")).alias("h2"),
                          word_codes(F.col("line"), ranks).alias("codes")).withColumn("n", F.size("codes"))
     # The longer line offers its whole prefix; the shorter needs only n - ceil(2t/(1+t) n) words and one more
@@ -109,7 +114,12 @@ def _line_table(lines: DataFrame, ranks: Column, similarity: float, min_words: i
                          .otherwise(F.slice("codes", F.lit(1), length)).alias("prefix"))
     # Sets that only equal ones resemble meet on their digest, in place of words that thousands of short lines share.
     # A filter before the store would be pushed below the codes and compute them twice.
-    return store(table, "lines-table", "zstd").filter(F.col("n") >= min_words)
+    whole = store(table, "lines-table", "zstd")
+    wanted = whole.filter(F.col("n") >= min_words)
+    prefixes = _prefixes(wanted)
+    known = store(wanted.select("doc", "no", "at", "h1", "h2"), "lines-known", "zstd")
+    discard(whole)
+    return known, prefixes
 
 
 def _firsts(table: DataFrame) -> DataFrame:
@@ -128,9 +138,15 @@ def _exploded(prefixes: DataFrame, end: str) -> DataFrame:
     return prefixes.select(*kept, F.posexplode("prefix").alias("pos" + end, "code"))
 
 
-def _shorter_prefix(similarity: float) -> Column:
-    """Positions of ``_a`` with which the shorter line of a pair must be met."""
-    return F.col("pos_a") < LEAST_MET + F.col("n_a") - _least_overlap(F.col("n_a"), 2 * similarity / (1 + similarity))
+def _shorter_prefix(similarity: float, end: str = "_a") -> Column:
+    """Positions with which the shorter line of a pair must be met; of equally long ones, both."""
+    n = F.col("n" + end)
+    return F.col("pos" + end) < LEAST_MET + n - _least_overlap(n, 2 * similarity / (1 + similarity))
+
+
+def _in_passes(name: str, meet: Callable[[Column], DataFrame]) -> list[DataFrame]:
+    """``meet`` stored for one share of the codes after the other; a pass frees its shuffle files before the next."""
+    return [store(meet(F.pmod("code", F.lit(PASSES)) == share), name) for share in range(PASSES)]
 
 
 def _later(x: str, y: str) -> Column:
@@ -146,21 +162,21 @@ def _close(similarity: float) -> Column:
     return (F.col("n_a") >= F.col("n_b") * similarity - 1e-9) & alike & placed
 
 
-def _meet(short: DataFrame, long: DataFrame, similarity: float, wanted: Column | None = None) -> DataFrame:
+def _meet(short: DataFrame, long: DataFrame, similarity: float, share: Column, wanted: Column | None = None) -> DataFrame:
     """Rows of two lines of which the shorter (of equal ones, the earlier) is in ``short``, one for each
-    word their prefixes share, where the filters allow the similarity."""
+    word of this share that their prefixes share, where the filters allow the similarity."""
     partitions = int(short.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few bytes make many rows here
-    a = _exploded(short, "_a").filter(_shorter_prefix(similarity)).repartition(partitions, "code")
-    b = _exploded(long, "_b").repartition(partitions, "code")
+    a = _exploded(short, "_a").filter(_shorter_prefix(similarity) & share).repartition(partitions, "code")
+    b = _exploded(long, "_b").filter(share).repartition(partitions, "code")
     ordered = (F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & _later("_b", "_a"))
     condition = ordered & _close(similarity)
     met = a.join(b, "code").filter(condition if wanted is None else condition & wanted)
     return met.select(*[c + end for end in ("_a", "_b") for c in (*PLACE, "n", "pos")])
 
 
-def _pairs_met(met: DataFrame, similarity: float) -> DataFrame:
+def _pairs_met(parts: list[DataFrame], similarity: float) -> DataFrame:
     """``a`` and ``b`` (places, a before b) of the lines that met on enough words."""
-    met = met.groupBy(*[c + end for end in ("_a", "_b") for c in (*PLACE, "n")]) \
+    met = reduce(DataFrame.union, parts).groupBy(*[c + end for end in ("_a", "_b") for c in (*PLACE, "n")]) \
         .agg(F.count(F.lit(1)).alias("m"), F.max("pos_a").alias("pos_a"), F.max("pos_b").alias("pos_b"))
     # Both prefixes are in one order, so words shared up to the last met ones have all met; the rest of
     # the shorter remainder must be able to fill the overlap.
@@ -168,21 +184,26 @@ def _pairs_met(met: DataFrame, similarity: float) -> DataFrame:
     can_fill = F.col("m") + F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) - 1 >= needed
     met = met.filter(can_fill & (F.col("m") >= F.when(_only_equal("n_a", similarity), 1).otherwise(LEAST_MET))) \
         .select(_joined_place("_a").alias("x"), _joined_place("_b").alias("y"))
-    return store(met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")), "lines-candidates")
+    pairs = store(met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")), "lines-candidates")
+    discard(*parts)
+    return pairs
 
 
 def _likely(prefixes: DataFrame, similarity: float) -> DataFrame:
     """For a line, the earliest line of its size with which it shares most prefix words, if the filters
     allow it: one pair (a, b) a line at most, however large a group of near copies is."""
-    words = _exploded(prefixes, "_b")
-    heads = prefixes.select(*PLACE, "n", "parity", F.posexplode("prefix").alias("pos", "code")) \
-        .groupBy("code", F.col("n").alias("n_b")) \
-        .agg(F.min(F.struct(*PLACE, "parity", "pos")).alias("head")) \
-        .select("code", "n_b", F.col("n_b").alias("n_a"), *[F.col("head." + c).alias(c + "_a") for c in (*PLACE, "parity", "pos")])
-    met = words.join(heads, ["code", "n_b"]).filter(_later("_b", "_a") & _close(similarity))
-    pairs = met.groupBy(_joined_place("_b").alias("b"), _joined_place("_a").alias("a")).agg(F.count(F.lit(1)).alias("m"))
-    best = pairs.groupBy("b").agg(F.max(F.struct("m", "a")).alias("best"))
-    return store(best.select("best.a", "b"), "lines-likely")
+    def meet(share: Column) -> DataFrame:
+        words = _exploded(prefixes, "_b").filter(_shorter_prefix(similarity, "_b") & share)
+        heads = words.groupBy("code", "n_b").agg(F.min(F.struct(*[c + "_b" for c in (*PLACE, "parity", "pos")])).alias("head")) \
+            .select("code", "n_b", F.col("n_b").alias("n_a"), *[F.col(f"head.{c}_b").alias(c + "_a") for c in (*PLACE, "parity", "pos")])
+        met = words.join(heads, ["code", "n_b"]).filter(_later("_b", "_a") & _close(similarity))
+        return met.groupBy(_joined_place("_b").alias("b"), _joined_place("_a").alias("a")).agg(F.count(F.lit(1)).alias("m"))
+
+    parts = _in_passes("lines-heads", meet)
+    pairs = reduce(DataFrame.union, parts).groupBy("b", "a").agg(F.sum("m").alias("m"))
+    likely = store(pairs.groupBy("b").agg(F.max(F.struct("m", "a")).alias("best")).select("best.a", "b"), "lines-likely")
+    discard(*parts)
+    return likely
 
 
 def _word_sets(pairs: DataFrame, lines: DataFrame, ranks: Column) -> DataFrame:
@@ -192,39 +213,42 @@ def _word_sets(pairs: DataFrame, lines: DataFrame, ranks: Column) -> DataFrame:
     return store(found.select("at", word_codes(F.col("line"), ranks).alias("codes")), "lines-sets")
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+def _verify(pairs: DataFrame, lines: DataFrame, ranks: Column, similarity: float) -> DataFrame:
     """The pairs whose word sets reach the similarity."""
+    sets = _word_sets(pairs, lines, ranks)
     left = sets.select(F.col("at").alias("a"), F.col("codes").alias("ca"))
     right = sets.select(F.col("at").alias("b"), F.col("codes").alias("cb"))
     shared = F.size(F.array_intersect("ca", "cb"))
     alike = shared >= (F.size("ca") + F.size("cb") - shared) * similarity - 1e-9
-    return store(pairs.join(left, "a").join(right, "b").filter(alike).select("a", "b"), "lines-pairs")
+    found = store(pairs.join(left, "a").join(right, "b").filter(alike).select("a", "b"), "lines-pairs")
+    discard(sets, pairs)
+    return found
 
 
-def _similar_lines(lines: DataFrame, table: DataFrame, ranks: Column, similarity: float) -> DataFrame:
-    prefixes = _prefixes(table)
-    met = _pairs_met(_meet(prefixes, prefixes, similarity), similarity)
-    return _verify(met, _word_sets(met, lines, ranks), similarity)
+def _similar_lines(lines: DataFrame, prefixes: DataFrame, ranks: Column, similarity: float) -> DataFrame:
+    parts = _in_passes("lines-met", lambda share: _meet(prefixes, prefixes, similarity, share))
+    return _verify(_pairs_met(parts, similarity), lines, ranks, similarity)
 
 
-def _earlier_matches(lines: DataFrame, table: DataFrame, ranks: Column, similarity: float) -> DataFrame:
+def _earlier_matches(lines: DataFrame, prefixes: DataFrame, ranks: Column, similarity: float) -> DataFrame:
     """For every line that a different earlier one resembles, at least one such pair (a, b).
 
     First each line is compared with one likely earlier line. Lines settled by that need no other partner;
     they stay in the join only as possible earlier matches of the lines still open. So a large group of
     near copies costs a few pairs a line, and no match is missed.
     """
-    prefixes = _prefixes(table)
-    likely = _likely(prefixes, similarity)
-    first = _verify(likely, _word_sets(likely, lines, ranks), similarity)
+    first = _verify(_likely(prefixes, similarity), lines, ranks, similarity)
     settled = first.select(*_split_place(F.col("b")), F.lit(True).alias("settled"))
     marked = prefixes.join(settled, list(PLACE), "left").withColumn("open", F.col("settled").isNull()).drop("settled")
+    marked = store(marked, "lines-marked", "zstd")
     still, done = marked.filter("open"), marked.filter("not open")
     # Pairs of two settled lines are not formed at all; of the others, those whose later line is open count.
-    # The two joins share no pair, and each frees its shuffle files before the next.
-    rest = _pairs_met(_meet(marked, still, similarity, _later("_b", "_a") | F.col("open_a")), similarity) \
-        .union(_pairs_met(_meet(still, done, similarity, _later("_a", "_b")), similarity))
-    return first.union(_verify(rest, _word_sets(rest, lines, ranks), similarity))
+    # The two joins share no pair.
+    parts = _in_passes("lines-met", lambda share: _meet(marked, still, similarity, share, _later("_b", "_a") | F.col("open_a"))
+                       .union(_meet(still, done, similarity, share, _later("_a", "_b"))))
+    rest = _pairs_met(parts, similarity)
+    discard(marked)
+    return first.union(_verify(rest, lines, ranks, similarity))
 
 
 def similar_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY,
@@ -232,7 +256,8 @@ def similar_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", simi
     """All pairs (a, b) of places of different lines, a before b, whose word sets reach ``similarity``.
     Equal lines are found by equality and need no pair."""
     ranks, lines = _literal(rarity_ranks(docs, text)), split_lines(docs, key, text)
-    return _similar_lines(lines, _line_table(lines, ranks, similarity, min_words), ranks, similarity)
+    _, prefixes = _line_table(lines, ranks, similarity, min_words)
+    return _similar_lines(lines, prefixes, ranks, similarity)
 
 
 def judge_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY,
@@ -244,9 +269,10 @@ def judge_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", simila
     ``class`` come from the matches that were needed.
     """
     ranks, placed = _literal(rarity_ranks(docs, text)), split_lines(docs, key, text)
-    lines = _line_table(placed, ranks, similarity, min_words)
+    lines, prefixes = _line_table(placed, ranks, similarity, min_words)
     search = _similar_lines if all_links else _earlier_matches
-    pairs = search(placed, lines, ranks, similarity)
+    pairs = search(placed, prefixes, ranks, similarity)
+    discard(prefixes)
     sides = pairs.select(F.col("a").alias("at"), F.col("b").alias("other")).union(pairs.select("b", "a"))
     linked = sides.groupBy("at").agg(F.count(F.lit(1)).alias("links"), F.min("other").alias("earliest"))
     known = _firsts(lines).join(linked, F.col("first") == F.col("at"), "left") \
