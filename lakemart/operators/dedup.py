@@ -11,19 +11,26 @@ from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 
 def _first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    window = Window.partitionBy(*keys).orderBy(*order)
+    window = Window.partitionBy(*keys).orderBy(*(order or keys))  # without an order all rows of a key are alike
     return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
 
 
-def _total_order(df: DataFrame, used: list[str]) -> list[Column]:
-    """The remaining columns, so that ties cannot change the survivor between runs."""
-    return [F.col(c).asc_nulls_last() for c in df.columns if c not in used]
+def _total_order(df: DataFrame, used: list[str], wanted: list[str] | None = None) -> list[Column]:
+    """The remaining columns, so that ties cannot change the survivor between runs. Columns behind the last
+    wanted one are left out: rows that tie up to there agree in all that is wanted."""
+    rest = [c for c in df.columns if c not in used]
+    if wanted is not None:
+        rest = rest[:max((i + 1 for i, c in enumerate(rest) if c in wanted), default=0)]
+    return [F.col(c).asc_nulls_last() for c in rest]
 
 
-def dedup(df: DataFrame, keys: list[str], order_by: list[Column] | None = None) -> DataFrame:
+def dedup(df: DataFrame, keys: list[str], order_by: list[Column] | None = None,
+          columns: list[str] | None = None) -> DataFrame:
     """One row per key. Null keys are one group. The survivor is the first by ``order_by``,
-    then by all other columns."""
-    return _first_per_key(df, keys, list(order_by or []) + _total_order(df, keys))
+    then by all other columns. With ``columns`` only these come back, of the same survivors, and columns
+    that cannot change them are not read."""
+    unique = _first_per_key(df, keys, list(order_by or []) + _total_order(df, keys, columns))
+    return unique if columns is None else unique.select(*columns)
 
 
 def keep_latest(df: DataFrame, keys: list[str], ts: str | Column, tie_break: list[Column] | None = None) -> DataFrame:

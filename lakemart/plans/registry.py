@@ -39,6 +39,8 @@ class Silver:
             return clean.clean_products(self.raw["products"], self.raw["category_translation"])
         if name == "items":
             return clean.clean_order_items(self.raw["order_items"])
+        if name == "scores":
+            return clean.clean_scores(self.raw["reviews"])
         if name == "translation":
             return clean.clean_translation(self.raw["category_translation"])
         return getattr(clean, f"clean_{name}")(self.raw[name])
@@ -149,42 +151,42 @@ def order_details(s):
 
 @query
 def agg_daily_sales(s):
-    return sales.agg_daily_sales(s.orders, s.items, s.reviews)
+    return sales.agg_daily_sales(s.orders, s.items, s.scores)
 
 
 @query
 def agg_daily_sales_item_grain(s):
-    return sales.agg_daily_sales(s.orders, s.items, s.reviews, grain="item")
+    return sales.agg_daily_sales(s.orders, s.items, s.scores, grain="item")
 
 
 @query
 def agg_daily_sales_all_orders(s):
-    return sales.agg_daily_sales(s.orders, s.items, s.reviews, include_empty_orders=True)
+    return sales.agg_daily_sales(s.orders, s.items, s.scores, include_empty_orders=True)
 
 
 @query
 def agg_monthly_sales(s):
-    return sales.agg_monthly_sales(s.orders, s.items, s.reviews)
+    return sales.agg_monthly_sales(s.orders, s.items, s.scores)
 
 
 @query
 def agg_monthly_sales_item_grain(s):
-    return sales.agg_monthly_sales(s.orders, s.items, s.reviews, grain="item")
+    return sales.agg_monthly_sales(s.orders, s.items, s.scores, grain="item")
 
 
 @query
 def agg_category_performance(s):
-    return sales.agg_category_performance(s.orders, s.items, s.products, s.reviews)
+    return sales.agg_category_performance(s.orders, s.items, s.products, s.scores)
 
 
 @query
 def agg_category_performance_item_grain(s):
-    return sales.agg_category_performance(s.orders, s.items, s.products, s.reviews, grain="item")
+    return sales.agg_category_performance(s.orders, s.items, s.products, s.scores, grain="item")
 
 
 @query
 def category_revenue_share(s):
-    perf = sales.agg_category_performance(s.orders, s.items, s.products, s.reviews)
+    perf = sales.agg_category_performance(s.orders, s.items, s.products, s.scores)
     return sales.with_revenue_share(perf).select("purchase_year_month", "category", "category_revenue_share")
 
 
@@ -196,7 +198,7 @@ def hourly_client_spend(s):
 # --- seller, delivery, payment, state, customer -----------------------------------------
 
 def _seller_performance(s):
-    return performance.agg_seller_performance(s.orders, s.items, s.reviews)
+    return performance.agg_seller_performance(s.orders, s.items, s.scores)
 
 
 def _stored_seller_performance(s):
@@ -206,7 +208,7 @@ def _stored_seller_performance(s):
 
 def _placed_orders(s):
     """All orders with items, also those without a customer record."""
-    return performance.person_orders(s.orders, s.items, s.customers, s.reviews, known_only=False)
+    return performance.person_orders(s.orders, s.items, s.customers, s.scores, known_only=False)
 
 
 @query
@@ -231,7 +233,7 @@ def agg_payment_performance(s):
 
 @query
 def agg_state_performance(s):
-    return performance.agg_state_performance(s.orders, s.items, s.reviews, s.customers)
+    return performance.agg_state_performance(s.orders, s.items, s.scores, s.customers)
 
 
 @query
@@ -283,12 +285,12 @@ def dim_payment_type(s):
 
 @query
 def fact_order_items(s):
-    return star.fact_order_items(s.orders, s.items, s.reviews, s.customers, s.sellers)
+    return star.fact_order_items(s.orders, s.items, s.scores, s.customers, s.sellers)
 
 
 @query
 def fact_orders(s):
-    return star.fact_orders(s.orders, s.items, s.reviews, s.customers)
+    return star.fact_orders(s.orders, s.items, s.scores, s.customers)
 
 
 @query
@@ -323,7 +325,7 @@ def rfm_segments(s):
 @query
 def customer_360(s):
     rfm = customers.customer_rfm(s.orders, s.items, s.customers)
-    return customers.customer_360(s.orders, s.items, s.customers, s.products, s.payments, s.reviews, rfm)
+    return customers.customer_360(s.orders, s.items, s.customers, s.products, s.payments, s.scores, rfm)
 
 
 @query
@@ -361,7 +363,7 @@ def seller_scorecard(s):
 
 @query
 def product_scorecard(s):
-    return scorecards.product_scorecard(s.orders, s.items, s.products, s.reviews)
+    return scorecards.product_scorecard(s.orders, s.items, s.products, s.scores)
 
 
 @query
@@ -387,7 +389,7 @@ def revenue_by_state(s):
 @query
 def top_categories(s):
     return scorecards.top_categories(
-        sales.agg_category_performance(s.orders, s.items, s.products, s.reviews))
+        sales.agg_category_performance(s.orders, s.items, s.products, s.scores))
 
 
 @query
@@ -402,12 +404,12 @@ def late_seller_ranking(s):
 
 @query
 def delay_vs_score(s):
-    return scorecards.delay_vs_score(s.orders, s.reviews)
+    return scorecards.delay_vs_score(s.orders, s.scores)
 
 
 @query
 def delay_score_correlation(s):
-    return scorecards.delay_score_correlation(s.orders, s.reviews)
+    return scorecards.delay_score_correlation(s.orders, s.scores)
 
 
 @query
@@ -473,10 +475,10 @@ def reconcile_silver(s):
 
 @query
 def reconcile_gold(s):
-    daily = materialize(sales.agg_daily_sales(s.orders, s.items, s.reviews), "daily")
-    monthly = sales.agg_monthly_sales(s.orders, s.items, s.reviews)
-    facts = star.fact_order_items(s.orders, s.items, s.reviews, s.customers, s.sellers)
-    orders = materialize(star.fact_orders(s.orders, s.items, s.reviews, s.customers), "fact-orders")
+    daily = materialize(sales.agg_daily_sales(s.orders, s.items, s.scores), "daily")
+    monthly = sales.agg_monthly_sales(s.orders, s.items, s.scores)
+    facts = star.fact_order_items(s.orders, s.items, s.scores, s.customers, s.sellers)
+    orders = materialize(star.fact_orders(s.orders, s.items, s.scores, s.customers), "fact-orders")
     people = star.dim_customer(s.orders, s.items, s.customers, s.regions)
     placed = materialize(_placed_orders(s), "placed-orders")
     marts = {
@@ -507,14 +509,14 @@ def incremental_months(s):
     late = s.orders.filter(F.col("purchase_date") >= F.lit("1999-12-15"))
     known = s.orders.filter(F.col("purchase_date") < F.lit("1999-12-15"))
     months = materialize(upsert.affected_months(late), "months")
-    before = sales.agg_category_performance(known, s.items, s.products, s.reviews)
+    before = sales.agg_category_performance(known, s.items, s.products, s.scores)
     by_month = {}
     for name, df in (("orders", s.orders), ("items", s.items.join(s.orders.select("order_id", "purchase_year_month"), "order_id"))):
         by_month[name] = work_path(s.spark, f"{name}-by-month")
         tables.arrange(df, ["purchase_year_month"]).write.partitionBy("purchase_year_month").parquet(by_month[name])
     orders, items = (s.spark.read.parquet(p).withColumn("purchase_year_month", F.col("purchase_year_month").cast("string"))
                      for p in by_month.values())
-    fresh = upsert.refresh_months(sales.agg_category_performance, orders, items, s.products, s.reviews, months=months)
+    fresh = upsert.refresh_months(sales.agg_category_performance, orders, items, s.products, s.scores, months=months)
     return upsert.replace_months(before, fresh, months)
 
 
@@ -577,7 +579,7 @@ def stream_hourly_spend(s):
 
 @query
 def item_base(s):
-    return joins.item_base(s.orders, s.items, s.reviews).select(
+    return joins.item_base(s.orders, s.items, s.scores).select(
         "order_id", "customer_id", "order_purchase_timestamp", "purchase_date", "purchase_year_month", "order_status",
         "is_delivered", "is_cancelled", "is_late_delivery", "delivery_duration_days", "delivery_delay_days", "order_item_id",
         "product_id", "seller_id", "price", "freight_value", "total_item_amount", "review_score")
@@ -789,7 +791,7 @@ def sql_model(s):
 def sorted_daily_sales(s):
     """Daily sales written in order of the date; the position is that of the row in the files."""
     t = _new_table(s, "daily_sorted")
-    daily = sales.agg_daily_sales(s.orders, s.items, s.reviews).select("purchase_date", "order_count")
+    daily = sales.agg_daily_sales(s.orders, s.items, s.scores).select("purchase_date", "order_count")
     tables.write_table(daily, t["table"], path=t["path"], global_order=["purchase_date"])
     written = s.spark.table(t["table"]).select("*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
     # One row per day: the calendar bounds this window.

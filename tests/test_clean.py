@@ -142,6 +142,23 @@ def test_dedup_keys_unique_and_survivor_is_a_row(spark, rows):
     assert set(out) <= set(rows)
 
 
+def test_dedup_of_some_columns_keeps_the_same_survivors(spark):
+    rows = [(k % 5 if k % 7 else None, k % 3, k % 2 or None, f"t{k % 11}", k % 4) for k in range(80)]
+    df = spark.createDataFrame(rows, "k int, a int, b int, text string, z int")
+    for columns in (["k", "a"], ["a", "b"], ["k", "text"], ["z", "k"], ["k"], ["b"]):
+        for order in (None, [F.col("b").desc_nulls_last()]):
+            whole = dedup.dedup(df, ["k"], order).select(*columns)
+            assert sorted(map(str, whole.collect())) == sorted(map(str, dedup.dedup(df, ["k"], order, columns).collect()))
+
+
+def test_scores_are_those_of_the_reviews(spark):
+    rows = [{"review_id": f"r{k % 6}", "order_id": f"o{k % 4}" if k % 9 else None, "review_score": k % 7,
+             "review_comment_message": f"m{-k}"} for k in range(40)]
+    raw = frame(spark, "reviews", rows)
+    both = [df.select("order_id", "review_score").collect() for df in (clean.clean_reviews(raw), clean.clean_scores(raw))]
+    assert both[0] and sorted(both[0]) == sorted(both[1])
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.one_of(st.none(), st.sampled_from("ab")), st.integers(0, 2),
                           st.one_of(st.none(), st.floats(-2, 2))), max_size=12))

@@ -39,6 +39,14 @@ def test_daily_sales_reads_few_columns_and_shuffles_reduced_rows(silver):
         assert exchange in ("HashAggregate", "Project", "Filter"), exchange
 
 
+def test_daily_sales_from_raw_reads_no_review_text(spark):
+    from lakemart.plans.registry import QUERIES, Silver
+    for name in ("agg_daily_sales", "agg_category_performance", "delay_vs_score"):
+        plan = plan_of(QUERIES[name](Silver(spark, FOLDER)))
+        scans = re.findall(r"documents.parquet[^\n]*ReadSchema: struct<([^>]*)>", plan)
+        assert all(s == "doc_id:bigint" for s in scans), (name, scans)
+
+
 def test_month_filter_prunes_partitions(silver):
     orders = tables.filter_period(silver["orders"], "1998-01", "1998-03")
     plan = plan_of(sales.agg_monthly_sales(orders, silver["items"], silver["reviews"]))
