@@ -12,6 +12,8 @@ from typing import Any
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lakemart.llm import simhash
+
 CAPACITY = 2048
 #: Documents packed together in one task; bins never cross such a shard.
 SHARD_ROWS = 8192
@@ -126,4 +128,11 @@ def exact_cluster(text: str = "text") -> Column:
 
 
 def pack_documents(docs: DataFrame) -> DataFrame:
+    """For documents that are free of near copies: clusters are equal texts."""
     return pack(docs, word_length(), exact_cluster())
+
+
+def pack_near(docs: DataFrame) -> DataFrame:
+    """For any documents: clusters are the near-duplicate classes of the SimHash operator, equal texts included."""
+    lean = docs.select("doc_id", "source", word_length().alias("n"), "text")
+    return pack(simhash.with_class(lean), F.col("n"), F.col("class"))

@@ -52,7 +52,7 @@ def op8_tokens(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.pack_documents(read_table(spark, folder, "documents"))
+    return packing.pack_near(read_table(spark, folder, "documents"))
 
 
 def op10_urls(spark: SparkSession, folder: str) -> DataFrame:

@@ -265,6 +265,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     return done.join(named, "fp").select(key, "fp", "component_id")
 
 
+def with_class(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """The other columns of ``docs``, row by row, and ``class``: a number shared by all documents that links reach.
+    Columns named ``fp`` or ``class`` are replaced."""
+    rows = fingerprints(docs.drop("fp", "class"), text, shingle).drop(text)
+    done = store(rows, "simhash-rows")
+    points = store(done.select("fp").distinct(), "simhash-points")
+    return done.join(_classes(points, distance), "fp").drop("fp")
+
+
 def simhash_report(docs: DataFrame) -> DataFrame:
     found = near_duplicates(docs.select("doc_id", "text"))
     return found.select("doc_id", hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")

@@ -271,6 +271,46 @@ def test_pii(spark):
         assert sorted(pii.permute(i, size, key, "t") for i in range(size)) == list(range(size))
 
 
+# Valid account numbers as published for their countries.
+ACCOUNTS = """AD1200012030200359100100 AE070331234567890123456 AL47212110090000000235698741 AZ21NABZ00000000137010001944
+BA391290079401028494 BG80BNBG96611020345678 BH67BMAG00001299123456 BI4210000100010000332045181 BR1800360305000010009795493C1
+BY13NBRB3600900000002Z00AB00 CR05015202001026284066 CY17002001280000001200527600 DE89370400440532013000
+DO28BAGR00000001212453611324 EE382200221020145685 EG380019000500000000263180002
+FK88SC123456789012 FO6264600001631634 GE29NB0000000101904917 GI75NWBK000000007099453 GL8964710001000206
+GT82TRAJ01020000001210029690 HN88CABF00000000000250005469 HR1210010051863000160 IL620108000000099999999
+IQ98NBIQ850123456789012 IS140159260076545510730339 JO94CBJO0010000000000131000302 KW81CBKU0000000000001234560101
+KZ86125KZT5004100100 LB62099900000001001901229114 LC55HEMM000100010012001200023015 LI21088100002324013AA
+LT121000011101001000 LV80BANK0000435195001 LY83002048000020100120361 MC5811222000010123456789030 MD24AG000225100013104168
+ME25505000012345678951 MK07250120000058984 MN121234123456789123 MR1300020001010000123456753
+MT84MALT011000012345MTLCAST001S MU17BOMM0101101030300200000MUR NI45BAPR00000013000003558124 OM810180000001299123456
+PK36SCBL0000001123456702 PS92PALS000000000400123456702 QA58DOHB00001234567890ABCDEFG RS35260005601001611379
+RU0204452560040702810412345678901 SA0380000000608010167519 SC18SSCB11010000000000001497USD SD2129010501234001
+SI56263300012039086 SM86U0322509800000000270100 SO211000001001000100141 SV62CENR00000000000000700025
+TL380080012345678910157 TN5910006035183598478831 UA213223130000026007233566001 VA59001123000012345678
+VG96VPVG0000012345678901 XK051212012345678906 YE15CBYE0001018861234567891234""".split()
+
+
+def test_pii_accounts_of_all_countries():
+    worker = pii.Pseudonyms(b"k" * 16)
+    bodies = {country: ("7302" * 8)[:length - 4] for country, length in pii.IBAN_LENGTH.items()}
+    accounts = ACCOUNTS + [f"{c}{98 - pii._mod97(body + c + '00'):02d}{body}" for c, body in bodies.items()]
+    seen = set()
+    for account in accounts:
+        spaced = " ".join(account[i:i + 4] for i in range(0, len(account), 4))
+        text = f"pay {account} or {spaced} today"
+        found = worker.find(text)
+        assert [(k, text[a:b]) for k, a, b, _ in found] == [("iban", account), ("iban", spaced)], account
+        new = found[0][3]
+        assert new == found[1][3].replace(" ", "") and len(new) == len(account) and new[:2] == account[:2]
+        assert pii._mod97(new[4:] + new[:4]) == 1
+        seen.add(new)
+    assert len(seen) == len(set(accounts))
+    # The permutation of a small shape, inverted by brute force.
+    plain = [f"{chr(65 + i // 10)}{i % 10}" for i in range(260)]
+    back = {pii._permute_classes(p, b"k" * 16, "t"): p for p in plain}
+    assert sorted(back) == plain
+
+
 def test_pii_beside_other_numbers():
     worker = pii.Pseudonyms(b"k" * 16)
     card, other, phone, iban = "4111 1111 1111 1111", "5500 0000 0000 0004", "556-555-4807", "DE89 3704 0044 0532 0130 00"
@@ -338,6 +378,48 @@ def test_packing(spark, docs):
     assert total == {r[0]: len((r[1] or "").split()) for r in rows}
 
 
+def test_packing_takes_the_tightest_compatible_bin():
+    """Every placement against a plain search of all open bins."""
+    for seed in range(40):
+        rnd = random.Random(seed)
+        rows = [(i, rnd.randint(0, 80), rnd.choice([None, "a", "b", "c", "d", "e"]), rnd.choice([None, 1, 2, 3, *range(10, 40)]))
+                for i in range(rnd.randint(0, 120))]
+        facts, used, held = {r[0]: r[2:] for r in rows}, {}, defaultdict(set)
+        total = defaultdict(int)
+        for doc, _, number, offset, start, n in packing.pack_shard(rows, 32):
+            assert start == total[doc]
+            total[doc] += n
+            if number is None:
+                assert n == 0
+                continue
+            own = {f for f in zip("sc", facts[doc]) if f[1] is not None} if n < 32 else set()
+            fits = {b: 32 - u for b, u in used.items() if u + n <= 32 and not own & held[b]}
+            assert fits.get(number) == min(fits.values(), default=None) if fits else number not in used
+            assert offset == used.get(number, 0)
+            used[number] = offset + n
+            held[number] |= own
+        assert total == {r[0]: r[1] for r in rows}
+
+
+def test_packing_keeps_near_copies_apart(spark, docs):
+    rnd = random.Random(6)
+    base = ["".join(rnd.choices("abcdefgh", k=6)) for _ in range(300)]
+    rows = [(i, " ".join(base if i % 2 else base[:150] + [f"x{i}"] + base[151:]), f"s{i}", i) for i in range(40)]
+    rows += [(100 + i, " ".join(rnd.choices(base, k=40)), f"t{i}", i) for i in range(40)]
+    rows += [(None, rows[1][1], "u", 1), (100, rows[0][1], "v", 1), (200, None, "w", 1), (201, "", "w", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, class int")
+    component = {r.doc_id: r.component_id for r in simhash.near_duplicates(df.filter("doc_id <> 100 OR doc_id IS NULL")).collect()}
+    assert len({component[i] for i in range(1, 40, 2)}) == 1 and len(set(component.values())) > 30
+    got = packing.pack_near(df).collect()
+    bins = defaultdict(list)
+    for r in got:
+        if r.bin_id is not None and r.doc_id != 100:
+            bins[r.bin_id].append(component[r.doc_id])
+    assert all(len(set(own)) == len(own) for own in bins.values()) and max(map(len, bins.values())) > 1
+    assert sum(r.n_tokens for r in got) == sum(len((r[1] or "").split()) for r in rows)
+    assert packing.pack_near(df.limit(0)).count() == 0
+
+
 def test_nearest_repeated_queries_and_extreme_components(spark):
     rnd = np.random.default_rng(4)
     v = rnd.normal(size=(120, 6))
