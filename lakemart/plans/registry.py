@@ -12,7 +12,7 @@ from lakemart.operators import (
 )
 from lakemart.operators.rules import entity_rules
 from lakemart.schemas import KEYS, SCHEMAS
-from lakemart.session import materialize, work_path
+from lakemart.session import materialize, materialize_by, work_path
 from lakemart.functions import row_hash
 from lakemart.sources import audit, files, tables
 from lakemart.sources.adapters import RawEntities
@@ -45,6 +45,21 @@ class Silver:
             return clean.clean_translation(self.raw["category_translation"])
         return getattr(clean, f"clean_{name}")(self.raw[name])
 
+    #: Key by which the branches of a query join or add up a stored entity.
+    STORED_BY = {"orders": "order_id", "items": "order_id", "scores": "order_id", "payments": "order_id", "customers": "customer_id"}
+    #: One bucket of the stored entities for so many bytes of the largest raw table, up to the partitions of a shuffle.
+    BUCKET_BYTES = 4 << 20
+
+    def store(self, *names: str) -> None:
+        """Clean these entities once for a query that reads them in several branches or jobs. From here on
+        the stored rows are read, of them only the columns a branch needs, and not shuffled again by their key."""
+        sizes = [int(str(self.raw.table(t)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for t in ("orders", "lineitem")]
+        most = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        buckets = min(most, max(self.spark.sparkContext.defaultParallelism, -(-max(sizes) // self.BUCKET_BYTES)))
+        for name in names:
+            df, key = getattr(self, name), self.STORED_BY.get(name)
+            setattr(self, name, materialize_by(df, name, key, buckets) if key else materialize(df, name))
+
 
 def publish(df: DataFrame) -> DataFrame:
     """Result types for exchange: exact decimals as doubles, times without a zone."""
@@ -475,6 +490,7 @@ def reconcile_silver(s):
 
 @query
 def reconcile_gold(s):
+    s.store("orders", "items", "customers", "scores")
     daily = materialize(sales.agg_daily_sales(s.orders, s.items, s.scores), "daily")
     monthly = sales.agg_monthly_sales(s.orders, s.items, s.scores)
     facts = star.fact_order_items(s.orders, s.items, s.scores, s.customers, s.sellers)

@@ -5,7 +5,7 @@ import re
 import pytest
 
 from lakemart.operators import sales
-from lakemart.session import materialize
+from lakemart.session import materialize, materialize_by
 from lakemart.sources import tables
 
 FOLDER = "/root/testdata/sf0.001"
@@ -47,6 +47,28 @@ def test_daily_sales_from_raw_reads_no_review_text(spark):
         assert all(s == "doc_id:bigint" for s in scans), (name, scans)
 
 
+@pytest.mark.parametrize("name", ["reconcile_gold"])
+def test_entities_read_by_several_branches_are_cleaned_once(spark, name):
+    from lakemart.plans.registry import QUERIES, Silver
+    plan = plan_of(QUERIES[name](Silver(spark, FOLDER)))
+    assert "lineitem.parquet" not in plan and "customer.parquet" not in plan
+
+
+def test_stored_buckets_are_not_shuffled_by_their_key(spark):
+    left = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4)], "k string, v int")
+    right = spark.createDataFrame([("a", 10), ("c", 30), (None, 40)], "k string, w int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        x, y = (materialize_by(df, "side", "k", 4) for df in (left, right))
+        joined = x.groupBy("k").agg({"v": "sum"}).join(y, "k", "full")
+        assert "Exchange hashpartitioning" not in plan_of(joined)
+        expected = {("a", 3, 10), ("b", 3, None), ("c", None, 30), (None, 4, None), (None, None, 40)}
+        assert {tuple(r) for r in joined.collect()} == expected
+        assert x.count() == 4 and not [t for t in spark.catalog.listTables() if t.name.startswith("stored_")]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_month_filter_prunes_partitions(silver):
     orders = tables.filter_period(silver["orders"], "1998-01", "1998-03")
     plan = plan_of(sales.agg_monthly_sales(orders, silver["items"], silver["reviews"]))
@@ -86,7 +108,7 @@ def test_a_hot_order_is_split_and_keeps_its_rows(spark):
     from pyspark.sql import functions as F
 
     from lakemart.operators import joins
-    from lakemart.session import materialize
+    from lakemart.session import materialize, materialize_by
 
     orders = materialize(spark.range(2000).select(
         F.col("id").cast("string").alias("order_id"), F.concat(F.lit("c"), "id").alias("customer_id"),
