@@ -522,6 +522,7 @@ def upsert_orders(s):
 @query
 def incremental_months(s):
     """A category mart whose orders before 2000 are loaded, then brought up to date by month."""
+    s.store("orders", "items", "products", "scores")
     late = s.orders.filter(F.col("purchase_date") >= F.lit("1999-12-15"))
     known = s.orders.filter(F.col("purchase_date") < F.lit("1999-12-15"))
     months = materialize(upsert.affected_months(late), "months")
