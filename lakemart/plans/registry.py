@@ -339,6 +339,7 @@ def rfm_segments(s):
 
 @query
 def customer_360(s):
+    s.store("orders", "items", "customers")
     rfm = customers.customer_rfm(s.orders, s.items, s.customers)
     return customers.customer_360(s.orders, s.items, s.customers, s.products, s.payments, s.scores, rfm)
 

@@ -47,7 +47,7 @@ def test_daily_sales_from_raw_reads_no_review_text(spark):
         assert all(s == "doc_id:bigint" for s in scans), (name, scans)
 
 
-@pytest.mark.parametrize("name", ["reconcile_gold", "incremental_months"])
+@pytest.mark.parametrize("name", ["reconcile_gold", "incremental_months", "customer_360"])
 def test_entities_read_by_several_branches_are_cleaned_once(spark, name):
     from lakemart.plans.registry import QUERIES, Silver
     plan = plan_of(QUERIES[name](Silver(spark, FOLDER)))
