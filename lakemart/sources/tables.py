@@ -125,14 +125,30 @@ def folder_bytes(spark: SparkSession, path: str) -> int:
     return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
 
 
-def compact_folder(spark: SparkSession, source: str, target: str, target_bytes: int = 256 << 20, sort_by=()) -> int:
+def memory_bytes(df: DataFrame) -> int:
+    """About what the rows take in a sort: eight bytes a column, null bits, an entry to sort by, and the
+    values without a fixed width, which are read for their length."""
+    fixed = T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType
+    loose = [f.name for f in df.schema if not isinstance(f.dataType, fixed)]
+    lengths = [F.coalesce(F.sum(F.octet_length(F.col(f"`{c}`").cast("string"))), F.lit(0)) for c in loose]
+    rows, *loose_bytes = df.agg(F.count(F.lit(1)), *lengths).first()
+    return rows * (8 * len(df.columns) + 32) + sum(loose_bytes)
+
+
+def compact_folder(spark: SparkSession, source: str, target: str, target_bytes: int = 256 << 20, sort_by=(),
+                   sort_bytes: int = 512 << 20) -> int:
     """Rewrite a parquet folder into a new one with files near the target size; returns their number.
 
-    With ``sort_by`` the files are ranges of the sort order, which sharpens min/max statistics.
+    With ``sort_by`` the files are ranges of the sort order, which sharpens min/max statistics. One task
+    sorts one file, so there are more, smaller files where one would take over ``sort_bytes`` in memory.
     """
     files = max(1, math.ceil(folder_bytes(spark, source) / target_bytes))
     df = spark.read.parquet(source)
-    df = df.repartitionByRange(files, *sort_by).sortWithinPartitions(*sort_by) if sort_by else df.repartition(files)
+    if sort_by:
+        files = max(files, math.ceil(memory_bytes(df) / sort_bytes))
+        df = df.repartitionByRange(files, *sort_by).sortWithinPartitions(*sort_by)
+    else:
+        df = df.repartition(files)
     df.write.parquet(target)
     return files
 

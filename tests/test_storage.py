@@ -66,6 +66,18 @@ def test_location_ddl_and_sql_model(spark, db, tmp_path):
     assert tables.materialize_sql(spark, f"SELECT sum(v) AS s FROM {db}.g", f"{db}.m") == {"target_rows": 1}
 
 
+def test_compaction_sorts_no_more_than_a_bounded_part_in_one_task(spark, tmp_path):
+    src, out = str(tmp_path / "many"), str(tmp_path / "few")
+    spark.range(20000).selectExpr("CAST(id AS STRING) AS name", "CAST((id * 7919) % 20011 AS DECIMAL(18,2)) AS v").repartition(5).write.parquet(src)
+    number = tables.compact_folder(spark, src, out, sort_by=["v"], sort_bytes=200_000)
+    # A row takes 48 bytes and the four or five of its name at least.
+    assert 5 <= number <= 7
+    per_file = spark.read.parquet(out).groupBy(F.col("_metadata.file_name").alias("f")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).orderBy("lo").collect()
+    assert len(per_file) <= number and sum(r.n for r in per_file) == 20000
+    assert all(a.hi <= b.lo for a, b in zip(per_file, per_file[1:])) and max(r.n for r in per_file) < 10000
+
+
 def test_compaction(spark, db, tmp_path):
     src, out = str(tmp_path / "many"), str(tmp_path / "few")
     spark.range(1000).repartition(20).write.parquet(src)
