@@ -26,6 +26,10 @@ RARITY_CLASSES = 1 << 16
 LEAST_MET = 2
 #: Prefix words meet in so many passes, by their code, so that one pass's share of the join is on disk at a time.
 PASSES = 4
+#: Sets of so many words have a parity of so many times 64 bits (a power of two). With 64 alone, two sets of 100
+#: words or more that met by chance would look alike, and their number grows with the square of the lines.
+WIDE_FROM, WIDE = 64, 4
+PARITIES = ("parity", *(f"parity{k}" for k in range(1, WIDE)))
 PLACE = ("hi", "mid", "lo")
 #: Set in the middle part of a place if the document has no key.
 KEYLESS = 1 << 62
@@ -55,13 +59,29 @@ def word_codes(line: Column, ranks: Column) -> Column:
     return F.sort_array(F.transform(hashes, code))
 
 
-def _parity(codes: str) -> Column:
-    """64 bits; each word of the set turns the bit of its hash."""
+def _parity(codes: str, part: int | None = None) -> Column:
+    """64 bits; each word of the set (of one in ``WIDE`` hash classes, with ``part``) turns the bit of its hash."""
     def turn(bits, code):
-        return bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), code.bitwiseAND(F.lit(63)).cast("int")))
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), code.bitwiseAND(F.lit(63)).cast("int"))
+        if part is not None:
+            bit = F.when(F.shiftright(code, 6).bitwiseAND(F.lit(WIDE - 1)) == part, bit).otherwise(F.lit(0).cast("long"))
+        return bits.bitwiseXOR(bit)
     return F.aggregate(codes, F.lit(0).cast("long"), turn)
 
 
+def _parities(codes: str, n: str) -> list[Column]:
+    """``parity`` of the whole set and, for sets that fill 64 bits, those of all parts but the first, which follows."""
+    return [_parity(codes).alias("parity")] + [F.when(F.col(n) >= WIDE_FROM, _parity(codes, k)).alias(f"parity{k}") for k in range(1, WIDE)]
+
+
+def _odd_places() -> Column:
+    """Odd places of the parities of ``_a`` and ``_b``: no more than the words that only one of both sets has."""
+    whole, *parts = [F.col(f"{p}_a").bitwiseXOR(F.col(f"{p}_b")) for p in PARITIES]
+    first = reduce(Column.bitwiseXOR, parts, whole)
+    # Null where one of both sets is short.
+    return F.coalesce(reduce(Column.__add__, map(F.bit_count, parts), F.bit_count(first)), F.bit_count(whole))
+
+
 def _literal(ranks: list[int]) -> Column:
     return F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<bigint>")
 
@@ -109,7 +129,7 @@ def _line_table(lines: DataFrame, ranks: Column, similarity: float, min_words: i
     # The longer line offers its whole prefix; the shorter needs only n - ceil(2t/(1+t) n) words and one more
     # for each word that must be met.
     length = (F.col("n") - _least_overlap(F.col("n"), similarity) + LEAST_MET).cast("int")
-    table = coded.select("doc", "no", "at", "h1", "h2", "n", _parity("codes").alias("parity"),
+    table = coded.select("doc", "no", "at", "h1", "h2", "n", *_parities("codes", "n"),
                          F.when(_only_equal("n", similarity), F.array(F.xxhash64("codes")))
                          .otherwise(F.slice("codes", F.lit(1), length)).alias("prefix"))
     # Sets that only equal ones resemble meet on their digest, in place of words that thousands of short lines share.
@@ -127,9 +147,9 @@ def _firsts(table: DataFrame) -> DataFrame:
 
 
 def _prefixes(table: DataFrame) -> DataFrame:
-    """Place, ``n``, ``parity`` and ``prefix`` of every different line, at its first place."""
+    """Place, ``n``, parities and ``prefix`` of every different line, at its first place."""
     at_first = table.join(_firsts(table), ["h1", "h2"]).filter(F.col("at") == F.col("first"))
-    return store(at_first.select(*_split_place(F.col("at")), "n", "parity", "prefix"), "lines-prefixes", "zstd")
+    return store(at_first.select(*_split_place(F.col("at")), "n", *PARITIES, "prefix"), "lines-prefixes", "zstd")
 
 
 def _exploded(prefixes: DataFrame, end: str) -> DataFrame:
@@ -156,8 +176,7 @@ def _later(x: str, y: str) -> Column:
 def _close(similarity: float) -> Column:
     """Whether length, parities and the positions of a met word allow the similarity (``_a`` not longer than ``_b``)."""
     needed = _least_overlap(F.col("n_a") + F.col("n_b"), similarity / (1 + similarity))
-    # Every odd place of the two parities stands for a word that only one line has.
-    alike = F.bit_count(F.col("parity_a").bitwiseXOR(F.col("parity_b"))) <= F.col("n_a") + F.col("n_b") - 2 * needed
+    alike = _odd_places() <= F.col("n_a") + F.col("n_b") - 2 * needed
     placed = F.least("pos_a", "pos_b") + F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) >= needed
     return (F.col("n_a") >= F.col("n_b") * similarity - 1e-9) & alike & placed
 
@@ -194,8 +213,8 @@ def _likely(prefixes: DataFrame, similarity: float) -> DataFrame:
     allow it: one pair (a, b) a line at most, however large a group of near copies is."""
     def meet(share: Column) -> DataFrame:
         words = _exploded(prefixes, "_b").filter(_shorter_prefix(similarity, "_b") & share)
-        heads = words.groupBy("code", "n_b").agg(F.min(F.struct(*[c + "_b" for c in (*PLACE, "parity", "pos")])).alias("head")) \
-            .select("code", "n_b", F.col("n_b").alias("n_a"), *[F.col(f"head.{c}_b").alias(c + "_a") for c in (*PLACE, "parity", "pos")])
+        heads = words.groupBy("code", "n_b").agg(F.min(F.struct(*[c + "_b" for c in (*PLACE, *PARITIES, "pos")])).alias("head")) \
+            .select("code", "n_b", F.col("n_b").alias("n_a"), *[F.col(f"head.{c}_b").alias(c + "_a") for c in (*PLACE, *PARITIES, "pos")])
         met = words.join(heads, ["code", "n_b"]).filter(_later("_b", "_a") & _close(similarity))
         return met.groupBy(_joined_place("_b").alias("b"), _joined_place("_a").alias("a")).agg(F.count(F.lit(1)).alias("m"))
 

@@ -242,6 +242,23 @@ def test_short_lines(spark):
     assert one.exceptAll(lines.judge_lines(df, min_words=1, all_links=False).select("doc", "no", "removed")).count() == 0
 
 
+def test_long_lines_that_met_by_chance_make_no_rows(spark):
+    """Sets of over 100 words fill a parity of 64 bits, which then lets nearly every pair with a word in common through."""
+    rnd = random.Random(3)
+    words = [f"w{i}" for i in range(1500)]
+    body = [" ".join(rnd.sample(words, 160 + i % 9)) for i in range(60)]
+    body += [body[7] + " more and more", body[7].replace(" w1", " x1"), " ".join(body[9].split()[:63]), " ".join(body[9].split()[:66])]
+    df = spark.createDataFrame(list(enumerate(body)), "doc_id long, text string")
+    sets = [set(line.split()) for line in body]
+    want = {(i, k) for k in range(len(sets)) for i in range(k) if len(sets[i] & sets[k]) >= 0.8 * len(sets[i] | sets[k]) - 1e-9}
+    assert {(7, 60), (62, 63)} <= want  # the second pair has one short and one long parity
+    assert {(r.a.hi, r.b.hi) for r in lines.similar_lines(df).collect()} == want
+    ranks = lines._literal(lines.rarity_ranks(df))
+    _, prefixes = lines._line_table(lines.split_lines(df), ranks, 0.8, 1)
+    met = lines._meet(prefixes, prefixes, 0.8, lines.F.lit(True))
+    assert met.select("hi_a", "hi_b").distinct().count() <= len(want) + 2
+
+
 def test_lines_of_documents_without_own_key(spark):
     a, b, c, d = (" ".join(f"{x}{i}" for i in range(10)) for x in "abcd")
     rows = [(1, a), (None, f"{a}\n{b}"), (None, f"{c}\n{d}"), (None, f"{d} more\n{b} more"), (2, f"{a}\nu1 u2 u3 u4 u5"), (2, "v1 v2 v3 v4 v5\nw1 w2 w3 w4 w5")]
