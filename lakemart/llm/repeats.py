@@ -24,8 +24,8 @@ from lakemart.llm.suffixes import permuted_prefixes, suffix_array
 
 SPAN = 50
 GRAM = 16
-#: Texts are scanned together up to so many bytes.
-BLOCK_BYTES = 1 << 20
+#: Texts are scanned together up to so many bytes; arrays of eight times that stay in a core's cache.
+BLOCK_BYTES = 1 << 16
 #: Fragments sorted together reach about so many bytes; the grams of one shard are never parted.
 SHARD_BYTES = 1 << 20
 
@@ -135,7 +135,7 @@ def _emit_anchors(span, gram, buckets):
             if not parts or not sum(len(p[0]) for p in parts):
                 continue
             own, h, where = (np.concatenate(x) for x in zip(*parts))
-            order = np.argsort(h, kind="stable")
+            order = np.argsort(h)  # of one gram, any order will do
             h, doc, where = h[order], ids[own[order]], where[order]
             heads = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
             lo, hi = np.minimum.reduceat(doc, heads), np.maximum.reduceat(doc, heads)
@@ -146,12 +146,12 @@ def _emit_anchors(span, gram, buckets):
             docs = np.concatenate([doc[~settled], lo[lo < hi], hi[lo < hi]])
             places = np.concatenate([where[~settled], told])
             bucket = (keys >> np.uint64(32)) % np.uint64(buckets)
-            order = np.lexsort((keys, bucket))
+            order = _by_bucket(bucket, buckets)
             rows = _slices(bucket[order], keys[order].view(np.int64), docs[order], places[order])
             out = [(b, False, data) for b, data in rows]
             free = np.arange(settled.sum()) * buckets // max(1, settled.sum())
             turned = (free + number + int(ids[0] or 0)) % buckets
-            order = np.argsort(turned, kind="stable")
+            order = _by_bucket(turned, buckets)
             rows = _slices(turned[order], h[settled].view(np.int64)[order], doc[settled][order], where[settled][order])
             out += [(b, True, data) for b, data in rows]
             yield pa.RecordBatch.from_arrays(
@@ -160,6 +160,11 @@ def _emit_anchors(span, gram, buckets):
     return run
 
 
+def _by_bucket(bucket: np.ndarray, buckets: int) -> np.ndarray:
+    """Order by bucket, otherwise as it is. Small numbers are sorted by radix."""
+    return np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")
+
+
 def _slices(bucket, gram, doc, where):
     heads = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else []
     ends = np.append(heads[1:], len(bucket)) if len(bucket) else []
@@ -201,6 +206,7 @@ def _cut(span, gram):
     """Distinct fragments of a batch with digest, place of the gram, smallest and largest document, and
     packed occurrences."""
     def run(batches):
+        pack = struct.Struct(OCCURRENCE).pack
         for batch in batches:
             found: dict[bytes, list] = {}  # fragment: gram, place of it, smallest and largest document, occurrences
             places = batch.column(2).flatten().to_numpy(zero_copy_only=False)
@@ -217,10 +223,13 @@ def _cut(span, gram):
                     piece = text[a:b]
                     cell = found.get(piece)
                     if cell is None:
-                        found[piece] = [key, o, doc, doc, struct.pack(OCCURRENCE, doc, a)]
+                        found[piece] = [key, o, doc, doc, pack(doc, a)]
                     else:
-                        cell[2], cell[3] = min(doc, cell[2]), max(doc, cell[3])
-                        cell[4] += struct.pack(OCCURRENCE, doc, a)
+                        if doc < cell[2]:
+                            cell[2] = doc
+                        elif doc > cell[3]:
+                            cell[3] = doc
+                        cell[4] += pack(doc, a)
             pieces = list(found)
             for low in range(0, len(pieces), 50_000):
                 some = pieces[low:low + 50_000]
@@ -251,14 +260,33 @@ def smallest_holders(fragments: list[bytes], lows: np.ndarray, span: int = SPAN)
     return [holder[a:a + n - span + 1] for a, n in zip(starts.tolist(), lengths.tolist())]
 
 
+#: Windows of a fragment are told apart in so many ranges by the place of their gram.
+PLACES = 8
+
+
 def _may_share(fragments: list[bytes], offs: list[int], span: int, gram: int) -> list[bool]:
-    """Whether a fragment of one gram can share a window with another: a window reaches half of the rest
-    of its length beyond the gram on one side, and that much of both fragments must then be equal."""
-    half = (span - gram + 1) // 2
-    right = [f[o:o + gram + half] for f, o in zip(fragments, offs)]
-    left = [f[o - half:o + gram] if o >= half else None for f, o in zip(fragments, offs)]
-    seen_right, seen_left = Counter(right), Counter(left)
-    return [seen_right[r] > 1 and len(r) == gram + half or l is not None and seen_left[l] > 1 for r, l in zip(right, left)]
+    """Whether a fragment of one gram can share a window with another. Equal windows have the gram at one place, so
+    for some range of places both fragments hold the bytes that all windows of that range have in common. Two ranges
+    rule out most fragments; the others are told apart by more."""
+    rest = span - gram  # bytes of a window before and behind the gram
+    maybe, found = range(len(fragments)), set()
+    for ranges in (2, PLACES):
+        step = -(-(rest + 1) // ranges)
+        found = set()
+        for low in range(0, rest + 1, step):
+            behind = gram + rest - min(low + step - 1, rest)
+            seen: dict[bytes, int] = {}
+            for i in maybe:
+                piece, off = fragments[i], offs[i]
+                if low <= off <= len(piece) - behind:
+                    first = seen.setdefault(piece[off - low:off + behind], i)
+                    if first != i:
+                        found.add(first)
+                        found.add(i)
+        if not found:
+            break
+        maybe = sorted(found)
+    return [i in found for i in range(len(fragments))]
 
 
 def _judge(span, gram, shard_bytes):

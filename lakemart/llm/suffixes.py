@@ -29,10 +29,14 @@ def _append(array, heads, texts, places, sign):
     symbols = texts[places]
     order = np.argsort(symbols, kind="stable")
     sizes = np.bincount(symbols, minlength=len(heads))
-    sorted_symbols = symbols[order]
     first = np.cumsum(sizes) - sizes
-    array[heads[sorted_symbols] + sign * (np.arange(len(places)) - first[sorted_symbols])] = places[order]
-    heads += sign * sizes
+    nth = np.arange(len(places))
+    if sign > 0:
+        array[(heads - first)[symbols[order]] + nth] = places[order]
+        heads += sizes
+    else:
+        array[(heads + first)[symbols[order]] - nth] = places[order]
+        heads -= sizes
 
 
 def induce(text: np.ndarray, smaller: np.ndarray, seeds: np.ndarray, alphabet: int) -> np.ndarray:
@@ -157,24 +161,25 @@ def permuted_prefixes(text: np.ndarray, order: np.ndarray, limit: np.ndarray, ap
     before; only the other places are compared symbol by symbol.
     """
     n = len(text)
-    before = np.full(n, -1, dtype=np.int64)
+    before = np.full(n, -1, dtype=np.int32)
     before[order[1:]] = order[:-1]
-    place = np.arange(n)
+    place = np.arange(n, dtype=np.int32)
     follows = (before > 0) & (place > 0)
     follows[follows] = text[place[follows] - 1] == text[before[follows] - 1]
     if apart:
         follows[1:] &= text[:-1] != 0
     fresh = ~follows
-    value = np.zeros(n, dtype=np.int64)
+    value = np.zeros(n, dtype=np.int32)
     open_ = np.flatnonzero(fresh & (before >= 0))
+    other = before[open_]
+    # How far both suffixes reach at most.
+    reach = np.minimum(np.minimum(limit[open_], limit[other]), n - np.maximum(open_, other))
     offset = 0
     while len(open_):
-        a, b = open_ + offset, before[open_] + offset
-        going = (limit[open_] > offset) & (limit[before[open_]] > offset) & (np.maximum(a, b) < n)
-        open_, a, b = open_[going], a[going], b[going]
-        equal = text[a] == text[b]
-        open_ = open_[equal]
-        value[open_] = offset + 1
+        equal = reach > offset
+        equal[equal] = text[open_[equal] + offset] == text[other[equal] + offset]
+        value[open_[~equal]] = offset
+        open_, other, reach = open_[equal], other[equal], reach[equal]
         offset += 1
     last = np.maximum.accumulate(np.where(fresh, place, 0))
     return np.maximum(value[last] - (place - last), 0)

@@ -212,6 +212,23 @@ def test_nearest(spark):
     assert vectors.nearest_report(df.limit(0)).count() == 0
 
 
+def test_fragments_that_may_share_a_window():
+    """Only fragments that cannot share a window are left out of the sort, and most of those are."""
+    rnd = random.Random(5)
+    gram = b"0123456789abcdef"
+    for _ in range(200):
+        left, right = (bytes(rnd.choices(b"xyz", k=34)) for _ in range(2))
+        some = [(left[rnd.randint(0, 34):] if rnd.random() < 0.7 else bytes(rnd.choices(b"xyz", k=rnd.randint(0, 34))),
+                 right[:rnd.randint(0, 34)] + bytes(rnd.choices(b"xyz", k=rnd.randint(0, 6)))) for _ in range(6)]
+        pieces = list(dict.fromkeys((a + gram + b[:34], len(a)) for a, b in some))
+        got = repeats._may_share([p for p, _ in pieces], [o for _, o in pieces], 50, 16)
+        windows = [{p[i:i + 50] for i in range(o + 1) if i + 50 <= len(p)} for p, o in pieces]
+        for i, own in enumerate(windows):
+            assert got[i] or not any(own & other for k, other in enumerate(windows) if k != i)
+    same = b"r" * 20  # equal for 20 bytes behind the gram and for none before: no window of 50 is shared
+    assert repeats._may_share([b"a" * 34 + gram + same + b"s" * 14, b"b" * 34 + gram + same + b"t" * 14], [34, 34], 50, 16) == [False, False]
+
+
 def test_lines(spark, docs):
     long = "one two three four five six seven eight nine ten"
     df = spark.createDataFrame([(1, long + "\nshort", 9), (2, long + " eleven\nshort\nown words stand in this line", 9), (3, long, 9),
