@@ -26,6 +26,9 @@ RARITY_CLASSES = 1 << 16
 LEAST_MET = 2
 #: Prefix words meet in so many passes, by their code, so that one pass's share of the join is on disk at a time.
 PASSES = 4
+#: Lines of one size that share a prefix word count as a group from so many on: its earliest is compared with lines of
+#: other sizes before the join, and a line is compared with so many of those. Both only save rows of the join.
+GROUP, TRIED = 4, 4
 #: Sets of so many words have a parity of so many times 64 bits (a power of two). With 64 alone, two sets of 100
 #: words or more that met by chance would look alike, and their number grows with the square of the lines.
 WIDE_FROM, WIDE = 64, 4
@@ -174,11 +177,12 @@ def _later(x: str, y: str) -> Column:
 
 
 def _close(similarity: float) -> Column:
-    """Whether length, parities and the positions of a met word allow the similarity (``_a`` not longer than ``_b``)."""
+    """Whether lengths, parities and the positions of a met word allow the similarity."""
     needed = _least_overlap(F.col("n_a") + F.col("n_b"), similarity / (1 + similarity))
     alike = _odd_places() <= F.col("n_a") + F.col("n_b") - 2 * needed
     placed = F.least("pos_a", "pos_b") + F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) >= needed
-    return (F.col("n_a") >= F.col("n_b") * similarity - 1e-9) & alike & placed
+    sized = F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * similarity - 1e-9
+    return sized & alike & placed
 
 
 def _meet(short: DataFrame, long: DataFrame, similarity: float, share: Column, wanted: Column | None = None) -> DataFrame:
@@ -208,15 +212,26 @@ def _pairs_met(parts: list[DataFrame], similarity: float) -> DataFrame:
     return pairs
 
 
+def _heads(words: DataFrame, least: int = 1) -> DataFrame:
+    """Of ``least`` lines or more that share a prefix word and have one size, the earliest (``_a``)."""
+    columns = [*PLACE, *PARITIES, "pos"]
+    return words.groupBy("code", F.col("n_b").alias("n_a")) \
+        .agg(F.min(F.struct(*[c + "_b" for c in columns])).alias("head"), F.count(F.lit(1)).alias("lines")).filter(F.col("lines") >= least) \
+        .select("code", "n_a", *[F.col(f"head.{c}_b").alias(c + "_a") for c in columns])
+
+
+def _meet_heads(words: DataFrame, heads: DataFrame, same: Column, similarity: float) -> DataFrame:
+    met = words.join(heads, same).filter(_later("_b", "_a") & _close(similarity))
+    return met.groupBy(_joined_place("_b").alias("b"), _joined_place("_a").alias("a")).agg(F.count(F.lit(1)).alias("m"))
+
+
 def _likely(prefixes: DataFrame, similarity: float) -> DataFrame:
     """For a line, the earliest line of its size with which it shares most prefix words, if the filters
     allow it: one pair (a, b) a line at most, however large a group of near copies is."""
     def meet(share: Column) -> DataFrame:
         words = _exploded(prefixes, "_b").filter(_shorter_prefix(similarity, "_b") & share)
-        heads = words.groupBy("code", "n_b").agg(F.min(F.struct(*[c + "_b" for c in (*PLACE, *PARITIES, "pos")])).alias("head")) \
-            .select("code", "n_b", F.col("n_b").alias("n_a"), *[F.col(f"head.{c}_b").alias(c + "_a") for c in (*PLACE, *PARITIES, "pos")])
-        met = words.join(heads, ["code", "n_b"]).filter(_later("_b", "_a") & _close(similarity))
-        return met.groupBy(_joined_place("_b").alias("b"), _joined_place("_a").alias("a")).agg(F.count(F.lit(1)).alias("m"))
+        heads = _heads(words).withColumnRenamed("code", "code_a")
+        return _meet_heads(words, heads, (F.col("code") == F.col("code_a")) & (F.col("n_b") == F.col("n_a")), similarity)
 
     parts = _in_passes("lines-heads", meet)
     pairs = reduce(DataFrame.union, parts).groupBy("b", "a").agg(F.sum("m").alias("m"))
@@ -225,6 +240,21 @@ def _likely(prefixes: DataFrame, similarity: float) -> DataFrame:
     return likely
 
 
+def _likely_of_other_sizes(marked: DataFrame, similarity: float) -> DataFrame:
+    """For an open line, ``TRIED`` of the earliest lines of all sizes (heads of a ``GROUP``) with which it shares most prefix words."""
+    def meet(share: Column) -> DataFrame:
+        words = _exploded(marked, "_b").filter(share)
+        heads = _heads(words.filter(_shorter_prefix(similarity, "_b")), GROUP).withColumnRenamed("code", "code_a")
+        return _meet_heads(words.filter("open_b"), heads, F.col("code") == F.col("code_a"), similarity)
+
+    parts = _in_passes("lines-heads", meet)
+    pairs = reduce(DataFrame.union, parts).groupBy("b", "a").agg(F.sum("m").alias("m"))
+    best = F.slice(F.sort_array(F.collect_list(F.struct((-F.col("m")).alias("m"), "a"))), 1, TRIED)
+    likely = store(pairs.groupBy("b").agg(best.alias("best")).select(F.explode("best.a").alias("a"), "b"), "lines-likely")
+    discard(*parts)
+    return likely
+
+
 def _word_sets(pairs: DataFrame, lines: DataFrame, ranks: Column) -> DataFrame:
     """``at`` and ``codes`` of the lines in the pairs."""
     wanted = pairs.select(F.col("a").alias("at")).union(pairs.select(F.col("b").alias("at"))).distinct()
@@ -249,17 +279,26 @@ def _similar_lines(lines: DataFrame, prefixes: DataFrame, ranks: Column, similar
     return _verify(_pairs_met(parts, similarity), lines, ranks, similarity)
 
 
+def _marked(prefixes: DataFrame, settled: DataFrame) -> DataFrame:
+    """``prefixes`` and whether a line is ``open``: no pair of ``settled`` has it as its later one."""
+    later = settled.select(*_split_place(F.col("b")), F.lit(True).alias("settled")).distinct()
+    marked = prefixes.join(later, list(PLACE), "left").withColumn("open", F.col("settled").isNull()).drop("settled")
+    return store(marked, "lines-marked", "zstd")
+
+
 def _earlier_matches(lines: DataFrame, prefixes: DataFrame, ranks: Column, similarity: float) -> DataFrame:
     """For every line that a different earlier one resembles, at least one such pair (a, b).
 
-    First each line is compared with one likely earlier line. Lines settled by that need no other partner;
-    they stay in the join only as possible earlier matches of the lines still open. So a large group of
+    First each line is compared with one likely earlier line of its size, and those still open with a few of other
+    sizes. Lines settled by that need no other partner; they stay in the join only as possible earlier matches of the lines still open. So a large group of
     near copies costs a few pairs a line, and no match is missed.
     """
     first = _verify(_likely(prefixes, similarity), lines, ranks, similarity)
-    settled = first.select(*_split_place(F.col("b")), F.lit(True).alias("settled"))
-    marked = prefixes.join(settled, list(PLACE), "left").withColumn("open", F.col("settled").isNull()).drop("settled")
-    marked = store(marked, "lines-marked", "zstd")
+    half = _marked(prefixes, first)
+    second = _verify(_likely_of_other_sizes(half, similarity), lines, ranks, similarity)
+    settled = first.union(second)
+    marked = _marked(prefixes, settled)
+    discard(half)
     still, done = marked.filter("open"), marked.filter("not open")
     # Pairs of two settled lines are not formed at all; of the others, those whose later line is open count.
     # The two joins share no pair.
@@ -267,7 +306,7 @@ def _earlier_matches(lines: DataFrame, prefixes: DataFrame, ranks: Column, simil
                        .union(_meet(still, done, similarity, share, _later("_a", "_b"))))
     rest = _pairs_met(parts, similarity)
     discard(marked)
-    return first.union(_verify(rest, lines, ranks, similarity))
+    return settled.union(_verify(rest, lines, ranks, similarity))
 
 
 def similar_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY,

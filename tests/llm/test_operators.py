@@ -544,3 +544,22 @@ def test_pipeline(spark):
         assert left.columns == docs.columns
     packed = corpus_pipeline.run(spark, FOLDER)
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == {r.doc_id for r in left.collect()}
+
+
+def test_near_copies_of_many_sizes_are_settled_before_the_join(spark, monkeypatch):
+    rnd = random.Random(11)
+    base = ["".join(rnd.choices("abcdefgh", k=7)) for _ in range(60)]
+    # The last eight lines are the only ones of their sizes, so none has an earlier line of its own size.
+    rows = [(i, " ".join([w for j, w in enumerate(base) if j != i % 7] + [f"only{i}x{k}" for k in range(max(1, i - 110))])) for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    met, real = [], lines.store
+
+    def counted(frame, name, *more):
+        stored = real(frame, name, *more)
+        if name == "lines-met":
+            met.append(stored.count())
+        return stored
+
+    monkeypatch.setattr(lines, "store", counted)
+    assert [r.doc_id for r in lines.drop_similar_lines(df, min_words=1).collect()] == [0]
+    assert sum(met) <= 2 * len(rows)
