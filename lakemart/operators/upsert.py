@@ -17,6 +17,8 @@ from lakemart.sources.ledger import Ledger, table_location
 from lakemart.sources.tables import arrange, create_table, overwrite_partitions, partition_columns
 
 CREATED, UPDATED = "record_created_at", "record_updated_at"
+#: Marks the rows of a batch while they are resolved against those of the table.
+ARRIVED = "_arrived"
 #: Additions to a key index after which it is written anew.
 APPENDS = 50
 
@@ -156,13 +158,15 @@ def _stage(df: DataFrame, name: str) -> str:
 
 def upsert_table(spark: SparkSession, table: str, source: DataFrame, keys: list[str], sort_by=(),
                  batch_id: str | None = None, resolve: Callable[[DataFrame], DataFrame] | None = None,
-                 keys_fix_partition: bool = False) -> dict:
+                 keys_fix_partition: bool = False, picks_rows: bool = False) -> dict:
     """Apply ``source`` to a parquet table, rewriting only the partitions it touches.
 
     Touched are the partitions of the new rows and, by the key index, those that hold their old
     versions, so a row that moves leaves no copy behind and no other partition is read. A new row
     replaces the old one; with ``resolve``, that function takes the rows of both sides and returns one
-    per key. ``keys_fix_partition`` says that a key never moves: no index is kept then.
+    per key. ``keys_fix_partition`` says that a key never moves: no index is kept then. ``picks_rows`` says that
+    ``resolve`` returns rows as they came, all columns kept and earlier columns deciding first: partitions of
+    which the batch changes nothing are not written then.
 
     Applied exactly once: the result is staged, then noted as open, then swapped in, and every step of
     the swap can be repeated. A run that stopped before the note has changed nothing; one that stopped
@@ -198,11 +202,16 @@ def upsert_table(spark: SparkSession, table: str, source: DataFrame, keys: list[
     if resolve is None:
         result = upsert(target, source, keys)
     else:
-        result = resolve(target.unionByName(source)).withColumn("_change", F.lit(None).cast("string"))
+        sides = [target, source]
+        if picks_rows:  # the mark is the last column, so of equal rows the one of the table stays
+            sides = [side.withColumn(ARRIVED, F.lit(new)) for side, new in zip(sides, (False, True))]
+        result = resolve(sides[0].unionByName(sides[1])).withColumn("_change", F.lit(None).cast("string"))
     result = result.observe(
         counts, F.count_if(F.col("_change") == "insert").alias("inserted_rows"),
         F.count_if(F.col("_change") == "update").alias("updated_rows"), F.count(F.lit(1)).alias("rewritten_rows"))
     note["staged"] = _stage(result.drop("_change"), "upsert-result")
+    if picks_rows and parts:
+        note["changed"] = _stage(_changed(spark.read.parquet(note["staged"]), target, parts), "upsert-changed")
     ledger.put("open", json.dumps(note))
     finish_open_batch(spark, table, sort_by)
     return counts.get
@@ -223,6 +232,14 @@ def _touched(spark: SparkSession, note: dict) -> DataFrame:
     return spark.read.parquet(note["source"]).groupBy(*parts).agg(F.count(F.lit(1)).alias("touching"))
 
 
+def _changed(staged: DataFrame, target: DataFrame, parts: list[str]) -> DataFrame:
+    """Partitions with a row that arrived, or with fewer rows of the table than it holds there. Others stay as they are."""
+    held = target.groupBy(*parts).agg(F.count(F.lit(1)).alias("n"), F.lit(False).alias("new"))
+    kept = staged.groupBy(*parts).agg((-F.count_if(~F.col(ARRIVED))).alias("n"), F.bool_or(ARRIVED).alias("new"))
+    both = held.unionByName(kept).groupBy(*parts).agg(F.sum("n").alias("gone"), F.bool_or("new").alias("new"))
+    return both.filter("new OR gone <> 0").select(*parts)
+
+
 def finish_open_batch(spark: SparkSession, table: str, sort_by=()) -> None:
     """Swap in the staged rows of the batch noted as open, if there is one."""
     ledger = batch_ledger(spark, table)
@@ -232,7 +249,11 @@ def finish_open_batch(spark: SparkSession, table: str, sort_by=()) -> None:
     note = json.loads(text)
     parts = note["parts"]
     staged = spark.read.schema(spark.table(table).schema).parquet(note["staged"])
-    overwrite_partitions(arrange(staged, parts, sort_by), table)
+    wanted = staged
+    if "changed" in note:  # one row a folder
+        changed = spark.read.schema(staged.select(*parts).schema).parquet(note["changed"])
+        wanted = staged.join(F.broadcast(changed.select(*[F.col(p).alias(_new(p)) for p in parts])), _all_same([(p, _new(p)) for p in parts]), "left_semi")
+    overwrite_partitions(arrange(wanted, parts, sort_by), table)
     if "located" in note:
         emptied = _touched(spark, note).select(*parts).subtract(staged.select(*parts))  # null equals null here
         for row in emptied.collect():  # folders without rows: only a command per folder removes them

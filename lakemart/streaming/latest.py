@@ -56,7 +56,7 @@ def stream_latest(transactions: DataFrame, table: str, checkpoint: str, trigger:
         rows = with_latest_date(clean_transactions(batch))
         own = batch.sparkSession
         upsert_table(own, table, rows, ["id_transaction"], batch_id=f"{_stream_id(own, checkpoint)}-{number}",
-                     resolve=latest_transaction)
+                     resolve=latest_transaction, picks_rows=True)
 
     return transactions.writeStream.option("checkpointLocation", checkpoint).trigger(**(trigger or EVERY)) \
         .foreachBatch(apply).start()

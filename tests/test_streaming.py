@@ -123,3 +123,23 @@ def test_timeout_is_reported(spark, tmp_path):
     query = ingest.write_stream(source(spark, tmp_path / "in"), str(tmp_path / "log"), path=str(tmp_path / "out"))
     with pytest.raises(TimeoutError):
         ingest.run_available(query, 1)
+
+
+def test_a_replay_leaves_unchanged_partitions_alone(spark, tmp_path, table):
+    out = tmp_path / "out"
+    for name, part in (("a", FIRST[:2]), ("b", SECOND), ("c", THIRD)):
+        write(tmp_path / "in", name, part)
+
+    def files():
+        return {str(f.relative_to(out)) for f in out.glob("transaction_date=*/*.parquet")}
+
+    ingest.run_available(latest.stream_latest(source(spark, tmp_path / "in"), table, str(tmp_path / "log"), ONCE, str(out)))
+    before, kept = files(), rows(latest.read_latest(spark, table))
+    moved = [("5", "ana", "x", 1.0, "2024-02-01 00:00:00"), ("3", "ana", "z", 4.0, "2024-02-01 10:00:00")]
+    write(tmp_path / "in", "d", moved)
+    ingest.run_available(latest.stream_latest(source(spark, tmp_path / "in"), table, str(tmp_path / "log2"), ONCE, str(out)))
+    after, want = files(), rows(clean_transactions(batch_rows(spark, FIRST[:2], SECOND, THIRD, moved)))
+    assert rows(latest.read_latest(spark, table)) == want != kept
+    untouched = {f for f in before if "2024-01-01" not in f}
+    assert untouched and untouched <= after and any("2024-02-01" in f for f in after)
+    assert not {f for f in before - untouched} & after  # row 3 moved away
