@@ -1,6 +1,7 @@
 """Corpus operators against brute force on small frames, with nulls, empty texts, repeats and clashing columns."""
 
 import hashlib
+import os
 import random
 import re
 from collections import defaultdict
@@ -563,3 +564,31 @@ def test_near_copies_of_many_sizes_are_settled_before_the_join(spark, monkeypatc
     monkeypatch.setattr(lines, "store", counted)
     assert [r.doc_id for r in lines.drop_similar_lines(df, min_words=1).collect()] == [0]
     assert sum(met) <= 2 * len(rows)
+
+
+def test_line_stage_keeps_one_prefix_table_while_lines_meet(spark, monkeypatch):
+    rnd = random.Random(5)
+    base = [" ".join("".join(rnd.choices("abcdefgh", k=5)) for _ in range(20)) for _ in range(12)]
+    rows = [(i, base[i % 12] + (f"\n{base[i % 5]} only{i}" if i % 3 else "")) for i in range(40)]
+    df = spark.createDataFrame([*rows, rows[0], rows[1]], "doc_id long, text string")  # two rows come twice
+    tables, at_join, real = [], [], lines.store
+
+    def on_disk():
+        return [name for name, path in tables if os.path.exists(path.removeprefix("file:"))]
+
+    def noted(frame, name, *more):
+        stored = real(frame, name, *more)
+        if name in ("lines-prefixes", "lines-marked"):
+            assert stored.count() == stored.distinct().count()  # a line that comes twice at one place is one line
+            tables.append((name, stored.stored_path))
+        if name == "lines-met":
+            at_join.append(on_disk())
+        return stored
+
+    monkeypatch.setattr(lines, "store", noted)
+    # A row that comes twice goes or stays as one.
+    assert sorted(r.doc_id for r in lines.drop_similar_lines(df, min_words=1).collect()) == [0, 0, 1, 1, *range(2, 12)]
+    assert at_join and all(found == ["lines-marked"] for found in at_join)
+    tables.clear(), at_join.clear()
+    lines.lines_report(df).collect()
+    assert at_join and all(found == ["lines-prefixes"] for found in at_join) and on_disk() == []
